@@ -11,6 +11,7 @@ from lakemart import standins as si
 from lakemart.catalog.ctes import with_views
 from lakemart.functions import date_key, money, sum_where
 from lakemart.operators.monitor import within_retention
+from lakemart.session import new_table_path
 
 KEYS = ["id"]
 
@@ -49,10 +50,11 @@ def scd2_history(spark, sf_dir):
 
 
 def scd2_apply_batch(spark, sf_dir):
-    """History of the early events, then the later ones as one batch."""
-    events = si.table(spark, sf_dir, "events")
+    """The history of the early events is a stored table; the later events are one batch."""
+    events, path = si.table(spark, sf_dir, "events"), new_table_path(spark, "history")
     early = op.build_history(si.before_cut(events, "ts"), ["user_id"], ["event_type"], "ts", ["event_id"])
-    return op.apply_batch(early, si.from_cut(events, "ts"), ["user_id"], ["event_type"], "ts", ["event_id"])
+    early.write.parquet(path)
+    return op.apply_batch(spark.read.parquet(path), si.from_cut(events, "ts"), ["user_id"], ["event_type"], "ts", ["event_id"])
 
 
 def fact_current_dim_lookup(spark, sf_dir):

@@ -4,13 +4,14 @@ from lakemart.operators.containment import join_path_contains
 from lakemart.operators.history import apply_batch, build_history, current_versions, lookup_current
 from lakemart.operators.merge import insert_newer, merge_incremental, rows_past_watermark, upsert
 from lakemart.operators.newest import current_rows, newest_per_key, stamp, union_sources
-from lakemart.operators.spread import mark_time_slices
+from lakemart.operators.spread import hot_keys, mark_time_slices
 
 __all__ = [
     "apply_batch",
     "build_history",
     "current_rows",
     "current_versions",
+    "hot_keys",
     "insert_newer",
     "join_path_contains",
     "lookup_current",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakemart.operators.spread import HOT, HOT_SHARE, MIN_ROWS, SLICE, mark_time_slices
+from lakemart.operators.spread import HOT, HOT_SHARE, MIN_ROWS, SLICE, hot_keys, mark_time_slices
 
 
 def _slice_edges(rows: DataFrame, keys: Sequence[str], edge, name: str, neighbour) -> DataFrame:
@@ -46,22 +46,25 @@ def build_history(
     shuffle and sort. A hot key is spread over time slices and joined up at the slice edges.
     """
     narrow = rows.select(*keys, *tracked, updated_at, *tie_breakers)
-    sliced = mark_time_slices(narrow, keys, updated_at, hot_share, min_rows)
+    hot = hot_keys(narrow, keys, updated_at, hot_share, min_rows)
+    sliced = mark_time_slices(narrow, keys, updated_at, hot)
     value = F.struct(*tracked)
     position = [updated_at, *tie_breakers]
     in_slice = Window.partitionBy(*keys, SLICE).orderBy(*position)
 
-    last_values = _slice_edges(sliced, keys, F.max_by(value, F.struct(*position)), "_carried", F.lag)
-    before = F.coalesce(F.lag(value).over(in_slice), F.col("_carried"))
-    starts = (
-        _with_edge(sliced, last_values, keys)
-        .withColumn("_before", before)
-        .where(~F.col("_before").eqNullSafe(value))
-    )
-
-    next_starts = _slice_edges(starts, keys, F.min(updated_at), "_next", F.lead)
-    valid_to = F.coalesce(F.lead(updated_at).over(in_slice), F.col("_next"))
-    return _with_edge(starts, next_starts, keys).select(
+    before = F.lag(value).over(in_slice)
+    if hot is not None:
+        last_values = _slice_edges(sliced, keys, F.max_by(value, F.struct(*position)), "_carried", F.lag)
+        sliced = _with_edge(sliced, last_values, keys)
+        before = F.coalesce(before, F.col("_carried"))
+    starts = sliced.withColumn("_before", before).where(~F.col("_before").eqNullSafe(value))
+
+    valid_to = F.lead(updated_at).over(in_slice)
+    if hot is not None:
+        next_starts = _slice_edges(starts, keys, F.min(updated_at), "_next", F.lead)
+        starts = _with_edge(starts, next_starts, keys)
+        valid_to = F.coalesce(valid_to, F.col("_next"))
+    return starts.select(
         *keys,
         *tracked,
         F.col(updated_at).alias("valid_from"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakemart.functions.dates import order_seconds
@@ -13,34 +13,50 @@ SLICE = "_slice"
 HOT = "_hot"
 
 # A key is hot above 1/HOT_SHARE of the table, so there are fewer than HOT_SHARE hot keys and the
-# list of them is small enough to broadcast whatever the size of the table.
+# list of them is small, whatever the size of the table.
 HOT_SHARE = 20_000
-# Tables this small are never cut.
+# Keys this small are never cut.
 MIN_ROWS = 1_000_000
 # Slices have equal width, not equal size; cutting finer evens out bursts.
 FINER = 4
 
 
-def mark_time_slices(
+def hot_keys(
     df: DataFrame, keys: Sequence[str], order: str, hot_share: int = HOT_SHARE, min_rows: int = MIN_ROWS
-) -> DataFrame:
+) -> DataFrame | None:
+    """Keys too large for one task, with the start and width of their time slices; None if there are none.
+
+    One job over the key and order columns: rows are counted per key before the shuffle, and no more
+    than ``hot_share`` keys come back. Those above the limit are always among the ``hot_share`` largest.
+    """
+    seen = Observation()
+    sizes = (
+        df.select(*keys, order_seconds(df, order).alias("_at"))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
+        .observe(seen, F.sum("_n").alias("rows"))
+    )
+    largest = sizes.where(F.col("_n") > min_rows).orderBy(F.col("_n").desc()).limit(hot_share).collect()
+    if not largest:
+        return None
+    limit = max(seen.get["rows"] / hot_share, min_rows)
+    return (
+        df.sparkSession.createDataFrame([row for row in largest if row["_n"] > limit], sizes.schema)
+        .withColumn("_width", (F.col("_hi") - F.col("_lo") + 1) / (F.ceil(F.col("_n") / F.lit(limit)) * FINER))
+        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_lo", "_width")
+    )
+
+
+def mark_time_slices(df: DataFrame, keys: Sequence[str], order: str, hot: DataFrame | None) -> DataFrame:
     """Add ``_hot`` and ``_slice``; every row of an ordinary key is in slice 0.
 
     Slices follow ``order``: all of slice 1 comes before slice 2. They derive from exact counts and
     bounds only, so a recomputed task puts each row into the same slice.
     """
-    seconds = order_seconds(df, order)
-    sizes = df.select(*keys, seconds.alias("_at")).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_lo"), F.max("_at").alias("_hi")
-    )
-    limit = F.greatest(sizes.select(F.sum("_n")).scalar() / F.lit(hot_share), F.lit(float(min_rows)))
-    hot = sizes.where(F.col("_n") > limit).select(
-        *[F.col(k).alias(f"_hot_{k}") for k in keys],
-        "_lo",
-        ((F.col("_hi") - F.col("_lo") + 1) / (F.ceil(F.col("_n") / limit) * FINER)).alias("_width"),
-    )
+    if hot is None:
+        return df.withColumn(HOT, F.lit(False)).withColumn(SLICE, F.lit(0))
     same_key = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    cut = F.floor((seconds - F.col("_lo")) / F.col("_width")).cast("int")
+    cut = F.floor((order_seconds(df, order) - F.col("_lo")) / F.col("_width")).cast("int")
     return (
         df.join(F.broadcast(hot), same_key, "left")
         .withColumn(HOT, F.col("_width").isNotNull())
