@@ -55,34 +55,19 @@ def _paid_activity(activity: DataFrame, months: DataFrame, employees: DataFrame)
     return activity.join(F.broadcast(month), ["year", "month"]).join(salaries, "employee_key")
 
 
-def _line(category: str, actual: Column, forecast: Column) -> Column:
-    actual, none = actual.cast(AMOUNT), F.lit(None).cast(AMOUNT)
-    return F.struct(
-        F.lit(category).alias("cost_category_key"),
-        (actual if category == SALARY else none).alias("prorated_salary"),
-        F.lit(None).cast(MONEY).alias("project_bonus"),
-        (actual if category == OVERTIME else none).alias("overtime_cost"),
-        actual.alias("cost_actual"),
-        forecast.cast(MONEY).alias("cost_forecast"),
-    )
-
-
-def _salary_line() -> Column:
-    prorated = safe_divide(F.col("base_salary") * F.col("days_worked"), "working_days_in_month")
-    return _line(SALARY, prorated, F.col("base_salary"))
-
-
-def _overtime_line() -> Column:
+def _cost_rows(paid: DataFrame, category: Column) -> DataFrame:
+    """Price the activity rows by cost kind; ``category`` may explode a row into one per kind."""
+    salary = safe_divide(F.col("base_salary") * F.col("days_worked"), "working_days_in_month")
     hours = F.col("total_overtime_hours").cast("decimal(9,2)") * F.lit(OVERTIME_FACTOR).cast("decimal(2,1)")
-    cost = safe_divide(F.col("base_salary") * hours, F.col("working_days_in_month") * HOURS_PER_DAY)
-    return F.when(F.col("total_overtime_hours") > 0, _line(OVERTIME, cost, F.lit(None)))
-
-
-def _cost_rows(paid: DataFrame, *lines: Column) -> DataFrame:
-    """One read of the activity; each row gives one row per cost kind that applies."""
+    overtime = safe_divide(F.col("base_salary") * hours, F.col("working_days_in_month") * HOURS_PER_DAY)
+    is_salary = F.col("cost_category_key") == SALARY
     return (
-        paid.withColumn("_line", F.explode(F.array_compact(F.array(*lines))))
-        .select("*", "_line.*")
+        paid.withColumn("cost_category_key", category)
+        .withColumn("cost_actual", F.when(is_salary, amount(salary)).otherwise(amount(overtime)))
+        .withColumn("prorated_salary", F.when(is_salary, F.col("cost_actual")))
+        .withColumn("project_bonus", F.lit(None).cast(MONEY))
+        .withColumn("overtime_cost", F.when(~is_salary, F.col("cost_actual")))
+        .withColumn("cost_forecast", F.when(is_salary, F.col("base_salary")))
         .withColumn(
             "cost_monthly_key", surrogate_key("date_key", "employee_key", "project_key", "cost_category_key")
         )
@@ -92,18 +77,19 @@ def _cost_rows(paid: DataFrame, *lines: Column) -> DataFrame:
 
 def fct_cost_salary(activity: DataFrame, months: DataFrame, employees: DataFrame) -> DataFrame:
     """Salary share of the days worked on a project."""
-    return _cost_rows(_paid_activity(activity, months, employees), _salary_line())
+    return _cost_rows(_paid_activity(activity, months, employees), F.lit(SALARY))
 
 
 def fct_cost_overtime(activity: DataFrame, months: DataFrame, employees: DataFrame) -> DataFrame:
     """Overtime at one and a half times the hourly salary, where there is any."""
     overtime = activity.where(F.col("total_overtime_hours") > 0)
-    return _cost_rows(_paid_activity(overtime, months, employees), _overtime_line())
+    return _cost_rows(_paid_activity(overtime, months, employees), F.lit(OVERTIME))
 
 
 def fct_cost_monthly(activity: DataFrame, months: DataFrame, employees: DataFrame) -> DataFrame:
-    """Salary and overtime cost per (month, employee, project, kind)."""
-    return _cost_rows(_paid_activity(activity, months, employees), _salary_line(), _overtime_line())
+    """Salary and overtime cost per (month, employee, project, kind), from one read of the activity."""
+    kinds = F.array(F.lit(SALARY), F.when(F.col("total_overtime_hours") > 0, F.lit(OVERTIME)))
+    return _cost_rows(_paid_activity(activity, months, employees), F.explode(F.array_compact(kinds)))
 
 
 def _names_any(words: tuple[str, ...]) -> Column:

@@ -7,6 +7,8 @@ holds and what arrives next; ``AS_OF`` is the day reports are cut off at.
 from __future__ import annotations
 
 import datetime as dt
+import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +45,21 @@ PROJECT_NAMES = {
 }
 
 
+def once(build: Callable) -> Callable:
+    """Build an input once per session: queries then share the read schema and the analysed plan."""
+    built: dict[tuple, DataFrame] = {}
+
+    @functools.wraps(build)
+    def get(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir, *more)
+        if key not in built:
+            built[key] = build(spark, sf_dir, *more)
+        return built[key]
+
+    return get
+
+
+@once
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -77,6 +94,7 @@ def from_cut(df: DataFrame, column: str = "_load_id") -> DataFrame:
 # --- calendar and dimensions ----------------------------------------------------------------------
 
 
+@once
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Urgent orders on the first of a month mark the holidays."""
     holidays = (
@@ -87,6 +105,7 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cal.dim_date(spark, holidays, FIRST_DAY, LAST_DAY)
 
 
+@once
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("employee"),
@@ -96,6 +115,7 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@once
 def erp_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = (
         F.when(F.col("s_acctbal") < 0, "Part-time").when(F.col("s_acctbal") >= 9000, "Outsource").otherwise("Full-time")
@@ -108,6 +128,7 @@ def erp_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@once
 def dim_employee(spark: SparkSession, sf_dir: str) -> DataFrame:
     time_employees = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     return dims.dim_employee(
@@ -127,6 +148,7 @@ def _units(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@once
 def dim_organization(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations are departments; their path starts without a slash, so only the second segment counts."""
     nation = table(spark, sf_dir, "nation")
@@ -161,6 +183,7 @@ def _project_type() -> Column:
     return F.when(F.col("p_type") == "ECONOMY", facts.FIX_COST_TYPE).otherwise("Teambase")
 
 
+@once
 def dim_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     status = F.when(F.col("p_size") > 25, "Open").otherwise("Closed")
@@ -189,8 +212,13 @@ def dim_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- timesheet ------------------------------------------------------------------------------------
 
 
-def _employee_key(column: str = "l_suppkey") -> Column:
-    return surrogate_key(F.col(column), F.lit(ERP))
+def _homes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of each supplier, digested once per supplier and not once per timesheet row."""
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"),
+        surrogate_key(F.col("s_suppkey"), F.lit(ERP)).alias("employee_key"),
+        surrogate_key(F.col("s_nationkey"), F.lit(CRM)).alias("org_key"),
+    )
 
 
 def _month_days(days: DataFrame) -> DataFrame:
@@ -204,7 +232,8 @@ def _month_days(days: DataFrame) -> DataFrame:
     )
 
 
-def activity(spark: SparkSession, sf_dir: str, days: DataFrame) -> DataFrame:
+@once
+def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days and hours per (month, employee, project), a project being a product type.
 
     Entries of a day are added up first; both steps combine before their shuffle.
@@ -217,7 +246,7 @@ def activity(spark: SparkSession, sf_dir: str, days: DataFrame) -> DataFrame:
         .agg(F.sum(_decimal("l_quantity", "decimal(8,2)")).alias("hours"))
     )
     monthly = (
-        daily.join(F.broadcast(_month_days(days)), "day")
+        daily.join(F.broadcast(_month_days(calendar(spark, sf_dir))), "day")
         .groupBy("l_suppkey", "p_type", "year", "month")
         .agg(
             F.count_if("is_working_day").cast("int").alias("days_worked"),
@@ -227,13 +256,12 @@ def activity(spark: SparkSession, sf_dir: str, days: DataFrame) -> DataFrame:
             .alias("total_overtime_hours"),
         )
     )
-    home = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    return monthly.join(home, "l_suppkey").select(
+    return monthly.join(_homes(spark, sf_dir), "l_suppkey").select(
         "year",
         "month",
-        _employee_key().alias("employee_key"),
+        "employee_key",
         surrogate_key(F.col("p_type"), F.lit(TIMESHEET)).alias("project_key"),
-        surrogate_key(F.col("s_nationkey"), F.lit(CRM)).alias("org_key"),
+        "org_key",
         "days_worked",
         "total_hours",
         "total_overtime_hours",
@@ -251,6 +279,7 @@ def _by_word(mapping: dict[str, str], other: Column) -> Column:
     return out.otherwise(other)
 
 
+@once
 def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     billable = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")
     monthly = (
@@ -258,17 +287,17 @@ def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_suppkey", F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"))
         .agg(F.bool_or(billable).alias("has_billable_work"), F.sum(_decimal("l_quantity")).alias("total_hours"))
     )
-    home = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    return monthly.join(home, "l_suppkey").select(
+    return monthly.join(_homes(spark, sf_dir), "l_suppkey").select(
         "year",
         "month",
-        _employee_key().alias("employee_key"),
-        surrogate_key(F.col("s_nationkey"), F.lit(CRM)).alias("org_key"),
+        "employee_key",
+        "org_key",
         "has_billable_work",
         "total_hours",
     )
 
 
+@once
 def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = _by_word(PROJECT_NAMES, F.col("p_name")).alias("project_name")
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), name)
@@ -278,21 +307,23 @@ def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_suppkey", F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"), "project_name")
         .agg(F.sum(_decimal("l_quantity")).alias("hours_on_project"))
     )
-    return monthly.select("year", "month", _employee_key().alias("employee_key"), "project_name", "hours_on_project")
+    keys = _homes(spark, sf_dir).select("l_suppkey", "employee_key")
+    return monthly.join(keys, "l_suppkey").select("year", "month", "employee_key", "project_name", "hours_on_project")
 
 
 # --- facts ----------------------------------------------------------------------------------------
 
 
 def cost_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    days = calendar(spark, sf_dir)
-    return activity(spark, sf_dir, days), cal.month_spine(days), dim_employee(spark, sf_dir)
+    return activity(spark, sf_dir), cal.month_spine(calendar(spark, sf_dir)), dim_employee(spark, sf_dir)
 
 
+@once
 def fct_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.fct_cost_monthly(*cost_inputs(spark, sf_dir))
 
 
+@once
 def fct_headcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = cal.month_spine(calendar(spark, sf_dir))
     return facts.fct_headcount_monthly(
@@ -300,16 +331,19 @@ def fct_headcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@once
 def fct_revenue_fixcost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.fct_revenue_fixcost(dim_project(spark, sf_dir), cal.month_starts(calendar(spark, sf_dir)))
 
 
+@once
 def fct_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     team = metrics.teambase_member_revenue(team_members(spark, sf_dir))
     starts = cal.month_starts(calendar(spark, sf_dir))
     return facts.fct_revenue_monthly(dim_project(spark, sf_dir), starts, team)
 
 
+@once
 def months_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cal.month_spine(calendar(spark, sf_dir), AS_OF)
 
@@ -317,22 +351,29 @@ def months_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- members of projects --------------------------------------------------------------------------
 
 
+@once
 def divisions_of_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region of each supplier's nation."""
     return (
         table(spark, sf_dir, "supplier")
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(F.col("s_suppkey").alias("l_suppkey"), F.col("r_name").alias("division"))
+        .select(
+            F.col("s_suppkey").alias("l_suppkey"),
+            surrogate_key(F.col("s_suppkey"), F.lit(ERP)).alias("employee_key"),
+            F.col("r_name").alias("division"),
+        )
     )
 
 
+@once
 def salaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.latest_contracts(contracts(spark, sf_dir), ["base_salary"]).select(
         F.col("employee").alias("l_suppkey"), "base_salary"
     )
 
 
+@once
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (month, supplier, part), with natural keys next to the surrogate ones."""
     daily = (
@@ -367,7 +408,7 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
             "date_key",
             "l_suppkey",
             "l_partkey",
-            _employee_key().alias("employee_key"),
+            "employee_key",
             surrogate_key(F.col("l_partkey"), F.lit(TIMESHEET)).alias("project_key"),
             "division",
             "working_days_in_month",
@@ -391,14 +432,17 @@ def _parts_of_type(spark: SparkSession, sf_dir: str, fixed: bool) -> DataFrame:
     return table(spark, sf_dir, "part").where(economy if fixed else ~economy).select(F.col("p_partkey").alias("l_partkey"))
 
 
+@once
 def team_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members(spark, sf_dir).join(_parts_of_type(spark, sf_dir, fixed=False), "l_partkey", "left_semi")
 
 
+@once
 def fixed_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members(spark, sf_dir).join(_parts_of_type(spark, sf_dir, fixed=True), "l_partkey", "left_semi")
 
 
+@once
 def completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cumulative completion of each fixed-price part: actual by quantity shipped, plan by month count."""
     part = table(spark, sf_dir, "part").where(F.col("p_type") == "ECONOMY")
@@ -424,6 +468,7 @@ def completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@once
 def classed_work(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours per (month, employee, class of work)."""
     kind = _by_word(WORK_CLASSES, F.lit(metrics.BILLABLE)).alias("work_class")
@@ -454,6 +499,7 @@ def classed_work(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@once
 def heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Employees with returned open work in a month."""
     rows = (
@@ -474,6 +520,7 @@ def heads(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- run log --------------------------------------------------------------------------------------
 
 
+@once
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as runs: the user is the source, an error is a failed run."""
     job = F.when(F.col("event_type") == "purchase", "stg2sil__web__").otherwise("src2brz__web__")
