@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 from lakemart import operators as op
 from lakemart import standins as si
 from lakemart.catalog.ctes import with_views
+from lakemart.catalog.watch import freshness_check
 from lakemart.functions import money
 from lakemart.operators.monitor import load_summary as summarize
 from lakemart.session import new_table_path
 from lakemart.sources import bronze, load, meta, seed, staging
+from lakemart.sources.store import KeyedTable
+from lakemart.streaming import intake
 
 COUNTED = ("orders", "customer", "supplier", "part")
 
@@ -159,8 +162,6 @@ def run_audit_append(spark, sf_dir):
 
 def meta_freshness_append(spark, sf_dir):
     """Freshness results stored in their own table."""
-    from lakemart.catalog.watch import freshness_check
-
     path = new_table_path(spark, "freshness")
     checked = freshness_check(spark, sf_dir).withColumn("checked_at", F.lit("2024-01-31 00:00:00").cast("timestamp"))
     meta.append(checked, path, meta.FRESHNESS_SCHEMA)
@@ -173,14 +174,35 @@ def meta_freshness_append(spark, sf_dir):
 
 def stream_intake_upsert(spark, sf_dir):
     """Events of two deliveries picked up as a file stream and merged into a keyed table."""
-    from lakemart.streaming import intake
-
-    inbox, store = new_table_path(spark, "inbox"), new_table_path(spark, "store")
+    inbox, checkpoint = new_table_path(spark, "inbox"), new_table_path(spark, "checkpoint")
+    store = KeyedTable(spark, new_table_path(spark, "keyed"), ["id"], ["event_id"])
     rows = si.event_rows(spark, sf_dir).withColumnRenamed("event_type", op.newest.SOURCE)
     for delivery in (si.before_cut(rows), si.from_cut(rows)):
         delivery.write.mode("append").parquet(inbox)
-        intake.run_available(spark, inbox, rows.schema, store, ["id"], ["event_id"])
-    return intake.read_store(spark, store)
+        intake.run_available(store, inbox, rows.schema, checkpoint)
+    return store.read()
+
+
+def keyed_table_refresh(spark, sf_dir):
+    """Three refreshes of a stored keyed table, the last without news; one old version is kept."""
+    store = KeyedTable(spark, new_table_path(spark, "keyed"), ["id"], ["event_id"])
+    sources = si.event_sources(spark, sf_dir)
+    store.refresh(op.union_sources({s: si.before_cut(df) for s, df in sources.items()}))
+    store.refresh(op.union_sources(sources))
+    store.refresh(op.union_sources(sources))
+    store.keep(2)
+    return store.read()
+
+
+def land_group(spark, sf_dir):
+    """A group of tables landed on one day, with the rows each holds."""
+    root, day = new_table_path(spark, "bronze"), dt.date(2001, 8, 1)
+    bronze.land_group({t: si.table(spark, sf_dir, t) for t in ("orders", "customer")}, root, day)
+    counts = [
+        spark.read.parquet(f"{root}/{t}").groupBy("load_date").agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(t))
+        for t in ("orders", "customer")
+    ]
+    return counts[0].unionByName(counts[1])
 
 
 QUERIES = {
@@ -199,6 +221,8 @@ QUERIES = {
     "run_audit_append": run_audit_append,
     "meta_freshness_append": meta_freshness_append,
     "stream_intake_upsert": stream_intake_upsert,
+    "keyed_table_refresh": keyed_table_refresh,
+    "land_group": land_group,
 }
 
 _DAY = "CAST(ts AS DATE)"
@@ -210,6 +234,10 @@ _STAGED = f"""
                                        WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders))
     UNION ALL SELECT 'returns', 'skipped', 0, 'no snapshot', 0"""
 
+_NEWEST = """
+        SELECT event_type AS _source, user_id AS id, event_id, value, props, ts AS _load_id FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1"""
+
 ORACLE = {
     "load_full": "SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus FROM orders",
     "load_append": "SELECT c_custkey, c_name FROM customer UNION ALL SELECT c_custkey, c_name FROM customer",
@@ -260,7 +288,9 @@ ORACLE = {
         FROM (VALUES ('0', 24), ('1', 2), ('2', 48), ('never', 24)) t(s, h)
         LEFT JOIN (SELECT source, max(finished_at) AS done_at FROM run
                    WHERE status = 'success' AND dag_id LIKE 'src2brz%' GROUP BY source) ON s = source"""),
-    "stream_intake_upsert": """
-        SELECT event_type AS _source, user_id AS id, event_id, value, props, ts AS _load_id FROM events
-        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
+    "stream_intake_upsert": _NEWEST,
+    "keyed_table_refresh": _NEWEST,
+    "land_group": """
+        SELECT DATE '2001-08-01' AS load_date, count(*) AS rows, 'orders' AS table_name FROM orders
+        UNION ALL SELECT DATE '2001-08-01', count(*), 'customer' FROM customer""",
 }

@@ -111,9 +111,7 @@ def m_target_variance(spark, sf_dir):
 
 def m_pnl_ratio(spark, sf_dir):
     members = si.members(spark, sf_dir)
-    homes = members.select("date_key", "employee_key", "project_key", "division")
-    earned = metrics.teambase_member_revenue(members).join(homes, metrics.MONTH_MEMBER)
-    return metrics.pnl_ratio(earned, metrics.member_cost(members))
+    return metrics.pnl_ratio(metrics.teambase_member_revenue(members), metrics.member_cost(members))
 
 
 def m_rates_by_division(spark, sf_dir):
@@ -211,7 +209,7 @@ ORACLE = {
                CAST(plan AS DOUBLE) AS complete_rate_plan, CAST(done AS DOUBLE) AS complete_rate_actual,
                CAST(forecast AS DOUBLE) AS revenue_forecast, CAST(actual AS DOUBLE) AS revenue_actual FROM ({_DELTA})""",
     "m_teambase_revenue": """
-        SELECT mk AS date_key, employee_key, project_key, CAST(rate AS DOUBLE) AS employee_rate,
+        SELECT mk AS date_key, employee_key, project_key, division, CAST(rate AS DOUBLE) AS employee_rate,
                CAST(wd * 8 AS DOUBLE) AS forecast_hours, CAST(hours AS DOUBLE) AS actual_hours,
                CAST(forecast AS DOUBLE) AS revenue_forecast, CAST(actual AS DOUBLE) AS revenue_actual FROM team""",
     "m_fixcost_member_share": f"""

@@ -11,6 +11,7 @@ from lakemart import standins as si
 from lakemart.catalog.ctes import with_views
 from lakemart.functions import date_key, money, sum_where
 from lakemart.operators.monitor import within_retention
+from lakemart.plans.dims import latest_contracts
 from lakemart.session import new_table_path
 
 KEYS = ["id"]
@@ -20,28 +21,34 @@ def silver_current(spark, sf_dir):
     return op.current_rows(si.event_sources(spark, sf_dir), KEYS, ["event_id"])
 
 
-def _target(spark, sf_dir):
-    early = {s: si.before_cut(df) for s, df in si.event_sources(spark, sf_dir).items()}
-    return op.current_rows(early, KEYS, ["event_id"])
+def _stored(spark, sources, *drop):
+    """The keyed table as a first load left it."""
+    path = new_table_path(spark, "keyed")
+    op.current_rows(sources, KEYS, ["event_id"]).drop(*drop).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _early(spark, sf_dir):
+    return {s: si.before_cut(df) for s, df in si.event_sources(spark, sf_dir).items()}
 
 
 def merge_upsert(spark, sf_dir):
     landing = op.union_sources(si.event_sources(spark, sf_dir))
-    return op.merge_incremental(_target(spark, sf_dir), landing, KEYS, ["event_id"])
+    return op.merge_incremental(_stored(spark, _early(spark, sf_dir)), landing, KEYS, ["event_id"])
 
 
 def merge_append_new_columns(spark, sf_dir):
     """The target has no ``props`` yet, the batch brings it."""
     landing = op.union_sources(si.event_sources(spark, sf_dir))
-    return op.merge_incremental(_target(spark, sf_dir).drop("props"), landing, KEYS, ["event_id"])
+    return op.merge_incremental(_stored(spark, _early(spark, sf_dir), "props"), landing, KEYS, ["event_id"])
 
 
 def merge_global_watermark(spark, sf_dir):
     """One watermark for all sources: clicks are late and lie before the newest batch of the others."""
     sources = si.event_sources(spark, sf_dir)
     early = {s: df if s != "click" else si.before_cut(df) for s, df in sources.items()}
-    target = op.current_rows(early, KEYS, ["event_id"])
-    return op.merge_incremental(target, op.union_sources(sources), KEYS, ["event_id"], watermark="global")
+    landing = op.union_sources(sources)
+    return op.merge_incremental(_stored(spark, early), landing, KEYS, ["event_id"], watermark="global")
 
 
 def scd2_history(spark, sf_dir):
@@ -82,8 +89,6 @@ def latest_by_composite_key(spark, sf_dir):
 
 
 def latest_contract(spark, sf_dir):
-    from lakemart.plans.dims import latest_contracts
-
     return latest_contracts(si.contracts(spark, sf_dir), ["base_salary"]).select("employee", "base_salary", "modified")
 
 

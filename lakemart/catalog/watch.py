@@ -10,7 +10,9 @@ from lakemart import standins as si
 from lakemart.catalog.ctes import with_views
 from lakemart.operators import monitor, quality
 from lakemart.plans import calendar as cal
+from lakemart.plans import mart, metrics
 from lakemart.plans.checks import DECLARED
+from lakemart.session import new_table_path
 from lakemart.sources import seed
 
 CLOCK = dt.datetime(2024, 1, 31)
@@ -67,23 +69,32 @@ def dq_accepted_values(spark, sf_dir):
     )
 
 
-def _gold_tables(spark, sf_dir):
-    return {
-        "dim_date": si.calendar(spark, sf_dir),
-        "dim_organization": si.dim_organization(spark, sf_dir),
-        "dim_project": si.dim_project(spark, sf_dir),
-        "dim_employee": si.dim_employee(spark, sf_dir),
-        "dim_cost_category": seed.cost_categories(spark),
-        "fct_revenue_monthly": si.fct_revenue(spark, sf_dir),
-        "fct_cost_monthly": si.fct_cost(spark, sf_dir),
-        "fct_headcount_monthly": si.fct_headcount(spark, sf_dir),
-    }
+def _mart(spark, sf_dir):
+    return mart.MartInputs(
+        calendar=si.calendar(spark, sf_dir),
+        employees=si.dim_employee(spark, sf_dir),
+        organization=si.dim_organization(spark, sf_dir),
+        projects=si.dim_project(spark, sf_dir),
+        categories=seed.cost_categories(spark),
+        activity=si.activity(spark, sf_dir),
+        presence=si.presence(spark, sf_dir),
+        assignments=si.assignments(spark, sf_dir),
+        team_revenue=metrics.teambase_member_revenue(si.team_members(spark, sf_dir)),
+    )
+
+
+def mart_tables(spark, sf_dir):
+    """The whole mart built and stored; the rows of each of its tables."""
+    tables = mart.build_mart(spark, _mart(spark, sf_dir), new_table_path(spark, "mart"), si.AS_OF)
+    counts = [df.agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(n)) for n, df in tables.items()]
+    return quality.suite(counts)
 
 
 def dq_declared_suite(spark, sf_dir):
-    """Every check declared for the dimensions and facts."""
-    tables = _gold_tables(spark, sf_dir)
-    return quality.run_declared(tables, {t: DECLARED[t] for t in tables if t in DECLARED})
+    """Every check declared for the dimensions and facts, on the stored tables."""
+    inputs, root = _mart(spark, sf_dir), new_table_path(spark, "mart")
+    dims = mart.build_dims(inputs, root)
+    return mart.check_mart({**dims, **mart.build_facts(inputs, dims, root)})
 
 
 def _mixed_results(spark, sf_dir):
@@ -156,6 +167,7 @@ QUERIES = {
     "dq_orphan_rows": dq_orphan_rows,
     "dq_accepted_values": dq_accepted_values,
     "dq_declared_suite": dq_declared_suite,
+    "mart_tables": mart_tables,
     "dq_summary": dq_summary,
     "dq_daily_trend": dq_daily_trend,
     "freshness_check": freshness_check,
@@ -230,6 +242,20 @@ _VIEWS = {
 }
 
 
+_GRID = "SELECT (SELECT count(*) FROM shown) * (SELECT count(*) FROM organization)"
+_COUNTS = {
+    "dim_cost_category": "SELECT count(*) FROM category",
+    **{table: f"SELECT count(*) FROM {view}" for table, (view, _) in _VIEWS.items()},
+    "rpt_monthly_pnl": "SELECT count(*) FROM shown",
+    "rpt_rate_metrics": "SELECT count(*) FROM shown",
+    "rpt_revenue_mix": "SELECT count(*) FROM (SELECT DISTINCT date_key, revenue_type FROM revenue)",
+    "rpt_cost_mix": "SELECT count(*) FROM (SELECT DISTINCT date_key, cost_category_key FROM cost)",
+    "rpt_cost_summary": _GRID,
+    "rpt_hr_summary": _GRID,
+    "rpt_revenue_by_project": "SELECT count(*) FROM revenue r JOIN months ON date_key = mk",
+}
+
+
 def _declared_sql() -> str:
     parts = []
     for table, (view, names) in _VIEWS.items():
@@ -266,6 +292,7 @@ ORACLE = {
         WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)""",
     "dq_accepted_values": _ACCEPTED,
     "dq_declared_suite": _declared_sql(),
+    "mart_tables": _ALL.join(f"SELECT '{table}' AS table_name, ({count}) AS rows" for table, count in _COUNTS.items()),
     "dq_summary": f"""
         SELECT count(*) FILTER (status = 'pass') AS passed, count(*) FILTER (status = 'fail') AS failed,
                count(*) FILTER (status = 'warn') AS warned, count(*) AS total

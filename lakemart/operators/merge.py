@@ -20,14 +20,20 @@ def rows_past_watermark(
     target has never seen, lets every row through.
     """
     if watermark == "global":
-        mark = target.select(F.max(load_id)).scalar()
-        return landing.where(mark.isNull() | (F.col(load_id) > mark))
-    marks = target.groupBy(SOURCE).agg(F.max(load_id).alias("_mark"))
-    return (
-        landing.join(marks, SOURCE, "left")
-        .where(F.col("_mark").isNull() | (F.col(load_id) > F.col("_mark")))
-        .drop("_mark")
-    )
+        newest = target.agg(F.max(load_id)).first()[0]
+        return landing if newest is None else landing.where(F.col(load_id) > _as(target, load_id, newest))
+    # one mark per source system, as literals: in each source's branch of a union only its own
+    # comparison is left and is pushed into the scan
+    marks = target.groupBy(SOURCE).agg(F.max(load_id).alias("mark")).where("mark is not null").collect()
+    past = ~F.col(SOURCE).isin([m[SOURCE] for m in marks])
+    for m in marks:
+        past = past | ((F.col(SOURCE) == m[SOURCE]) & (F.col(load_id) > _as(target, load_id, m["mark"])))
+    return landing.where(past) if marks else landing
+
+
+def _as(df: DataFrame, column: str, value: object) -> Column:
+    """A literal of the column's type."""
+    return F.lit(value).cast(df.schema[column].dataType)
 
 
 def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -56,6 +62,6 @@ def merge_incremental(
 
 def insert_newer(fact: DataFrame, rows: DataFrame, created: str) -> DataFrame:
     """Append rows created after the newest row of the fact; nothing is updated."""
-    mark = fact.select(F.max(created)).scalar()
-    fresh = rows.where(mark.isNull() | (F.col(created) > mark))
+    newest = fact.agg(F.max(created)).first()[0]
+    fresh = rows if newest is None else rows.where(F.col(created) > _as(fact, created, newest))
     return fact.unionByName(fresh, allowMissingColumns=True)

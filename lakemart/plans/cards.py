@@ -9,9 +9,8 @@ from lakemart.functions import percent
 
 
 def _latest_month(report: DataFrame, active: str) -> DataFrame:
-    """Rows of the newest month in which ``active`` is positive."""
-    newest = report.where(F.col(active) > 0).select(F.max("month_date")).scalar()
-    return report.where(F.col("month_date") == newest)
+    """The newest month in which ``active`` is positive; the report holds one row per month."""
+    return report.where(F.col(active) > 0).orderBy(F.col("month_date").desc()).limit(1)
 
 
 def card_revenue_kpi(pnl: DataFrame) -> DataFrame:

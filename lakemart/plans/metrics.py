@@ -65,6 +65,7 @@ def teambase_member_revenue(members: DataFrame) -> DataFrame:
     hours = (F.col("plan_days") * HOURS_PER_DAY).cast("decimal(9,2)")
     return members.select(
         *MONTH_MEMBER,
+        "division",
         rate,
         hours.alias("forecast_hours"),
         "actual_hours",

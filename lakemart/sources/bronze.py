@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -52,6 +53,26 @@ def write_run(df: DataFrame, path: str, day: dt.date) -> int:
     return run
 
 
+def land_group(
+    tables: Mapping[str, DataFrame], root: str, day: dt.date, attempts: int = 3, pause: float = 5.0
+) -> dict[str, int]:
+    """Land the tables of one source for a day, all of them or none; returns rows per table.
+
+    The whole group is tried again after a failure. If the last attempt fails, the day is removed from
+    every table and the error is raised.
+    """
+    for attempt in range(1, attempts + 1):
+        try:
+            return {name: write_day(df, f"{root}/{name}", day) for name, df in tables.items()}
+        except Exception:
+            if attempt == attempts:
+                for name, df in tables.items():
+                    drop_days(df.sparkSession, f"{root}/{name}", [day])
+                raise
+            time.sleep(pause)
+    return {}
+
+
 def latest_snapshot(bronze: DataFrame) -> DataFrame:
     """Rows of the newest day, and of its newest run if runs are kept.
 

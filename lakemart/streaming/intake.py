@@ -1,74 +1,38 @@
 """Landed files as a stream into a keyed table.
 
 The stream's checkpoint remembers which files were taken, so a missed day is caught up and no file is
-read twice. Each micro-batch is merged into the newest version of the store and written as the next
-version; a batch that is retried after a lost executor writes the same version again.
+read twice. Each micro-batch is merged into the newest version of the table and written as the next
+one; a batch that is retried after a lost executor writes the same version again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from lakemart.operators.merge import upsert
-from lakemart.operators.newest import LOAD_ID, SOURCE, newest_per_key
-from lakemart.sources.bronze import partition_values
-
-VERSION = "version"
-
-
-def store_versions(spark: SparkSession, store: str) -> list[int]:
-    return sorted(int(v) for v in partition_values(spark, f"{store}/table", VERSION))
-
-
-def read_store(spark: SparkSession, store: str, before: int | None = None) -> DataFrame | None:
-    """The newest version, or the newest one older than ``before``."""
-    versions = [v for v in store_versions(spark, store) if before is None or v < before]
-    return spark.read.parquet(f"{store}/table/{VERSION}={versions[-1]}") if versions else None
-
-
-def merge_batch(
-    spark: SparkSession,
-    batch: DataFrame,
-    batch_id: int,
-    store: str,
-    keys: Sequence[str],
-    tie_breakers: Sequence[str] = (),
-    load_id: str = LOAD_ID,
-) -> None:
-    """The next version of the store. A row older than the stored one of its key changes nothing."""
-    keyed = [*keys, SOURCE]
-    delta = newest_per_key(batch, keyed, [load_id, *tie_breakers])
-    stored = read_store(spark, store, before=batch_id)
-    if stored is None:
-        merged = delta
-    else:
-        touched = stored.join(delta.select(*keyed), keyed, "left_semi")
-        newest = newest_per_key(touched.unionByName(delta, allowMissingColumns=True), keyed, [load_id, *tie_breakers])
+from lakemart.operators.newest import SOURCE, newest_per_key
+from lakemart.sources.store import KeyedTable
+
+
+def merge_batch(table: KeyedTable, batch: DataFrame, batch_id: int) -> None:
+    """The table's version for this batch. A row older than the stored one of its key changes nothing."""
+    keyed, order = [*table.keys, SOURCE], [table.load_id, *table.tie_breakers]
+    merged = newest_per_key(batch, keyed, order)
+    stored = table.read(before=batch_id)
+    if stored is not None:
+        touched = stored.join(merged.select(*keyed), keyed, "left_semi")
+        newest = newest_per_key(touched.unionByName(merged, allowMissingColumns=True), keyed, order)
         merged = upsert(stored, newest, keyed)
-    merged.write.mode("overwrite").parquet(f"{store}/table/{VERSION}={batch_id}")
+    table.write(merged, batch_id)
 
 
-def run_available(
-    spark: SparkSession,
-    inbox: str,
-    schema: StructType,
-    store: str,
-    keys: Sequence[str],
-    tie_breakers: Sequence[str] = (),
-    max_files: int = 10_000,
-) -> None:
+def run_available(table: KeyedTable, inbox: str, schema: StructType, checkpoint: str, max_files: int = 10_000) -> None:
     """Merge everything that has arrived since the last call, then stop."""
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch.sparkSession, batch, batch_id, store, keys, tie_breakers)
-
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(inbox)
+    stream = table.spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(inbox)
     (
-        stream.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", f"{store}/checkpoint")
+        stream.writeStream.foreachBatch(lambda batch, batch_id: merge_batch(table, batch, batch_id))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
