@@ -42,7 +42,7 @@ def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFram
     ``delta`` must hold one row per key. Columns only one side has are kept and null on the other, so
     a new source column is appended. Rows deleted in the source are never deleted here.
     """
-    kept = target.join(delta.select(*keys), list(keys), "left_anti")
+    kept = target.join(delta.select(*keys), list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(delta, allowMissingColumns=True)
 
 

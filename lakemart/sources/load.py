@@ -98,10 +98,8 @@ def _write(df: DataFrame, target: str, mode: str, *metrics) -> dict:
 
 
 def _stored_cursor(spark: SparkSession, state: str, table: str) -> str | None:
-    """Newest value as text; ISO text orders like the timestamps it stands for."""
+    """Newest value as text: by number where it is one, else as text, which orders ISO times."""
     mine = spark.read.schema(STATE_SCHEMA).parquet(state).where(F.col("table_name") == table)
-    numeric = mine.agg(
-        F.max(F.expr("try_cast(cursor_value as decimal(38,10))")).alias("number"),
-        F.max("cursor_value").alias("text"),
-    ).first()
-    return str(numeric["number"]) if numeric["number"] is not None else numeric["text"]
+    number = F.expr("try_cast(cursor_value as decimal(38,10))")
+    newest = mine.agg(F.max_by("cursor_value", number).alias("number"), F.max("cursor_value").alias("text")).first()
+    return newest["number"] or newest["text"]

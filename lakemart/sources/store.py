@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,11 +28,18 @@ def write_model(df: DataFrame, path: str, partition_by: str | None = None) -> Da
 
 
 def write_models(
-    models: Mapping[str, DataFrame], root: str, partitioned: Mapping[str, str] | None = None
+    models: Mapping[str, DataFrame], root: str, partitioned: Mapping[str, str] | None = None, together: int = 4
 ) -> dict[str, DataFrame]:
-    """Write several models; what follows reads the stored tables and computes nothing twice."""
+    """Write models that do not depend on each other, a few at a time, and return them as stored.
+
+    What follows reads the stored tables and computes nothing twice.
+    """
     partitioned = partitioned or {}
-    return {name: write_model(df, f"{root}/{name}", partitioned.get(name)) for name, df in models.items()}
+    with ThreadPoolExecutor(together) as pool:
+        running = {
+            name: pool.submit(write_model, df, f"{root}/{name}", partitioned.get(name)) for name, df in models.items()
+        }
+        return {name: done.result() for name, done in running.items()}
 
 
 @dataclass(frozen=True)
