@@ -94,7 +94,8 @@ def test_batches_add_up_to_the_whole_history(spark, limits):
     history = build(spark, parts[0], **limits)
     for part in parts[1:]:
         batch = spark.createDataFrame(part, SCHEMA)
-        history = op.apply_batch(history, batch, ["k"], ["a"], "t", ["n"], **limits)
+        stored = spark.createDataFrame(history.collect(), history.schema)
+        history = op.apply_batch(stored, batch, ["k"], ["a"], "t", ["n"], **limits)
     assert rows(history) == history_by_hand(data)
 
 
