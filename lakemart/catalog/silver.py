@@ -12,7 +12,9 @@ from lakemart.catalog.ctes import with_views
 from lakemart.functions import date_key, money, sum_where
 from lakemart.operators.monitor import within_retention
 from lakemart.plans.dims import latest_contracts
+from lakemart.plans.silver import SilverModel, refresh_silver
 from lakemart.session import new_table_path
+from lakemart.sources.store import HistoryTable
 
 KEYS = ["id"]
 
@@ -51,17 +53,45 @@ def merge_global_watermark(spark, sf_dir):
     return op.merge_incremental(_stored(spark, early), landing, KEYS, ["event_id"], watermark="global")
 
 
+MODELS = [
+    SilverModel("party", "party", ["shop", "vendor"]),
+    SilverModel("purchase", "orders", ["shop"], tie_breakers=["note"]),
+]
+
+
+def silver_models(spark, sf_dir):
+    """Two declared models: parties of two sources under one key, and orders kept per customer."""
+    loaded = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("_load_id")
+    party = {
+        ("shop", "party"): ("customer", "c_custkey", "c_name"),
+        ("vendor", "party"): ("supplier", "s_suppkey", "s_name"),
+    }
+    staging = {
+        at: si.table(spark, sf_dir, t).select(F.col(k).alias("id"), F.col(n).alias("note"), loaded)
+        for at, (t, k, n) in party.items()
+    }
+    staging["shop", "orders"] = si.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"),
+        F.concat("o_orderpriority", F.lit(" "), F.col("o_orderkey").cast("string")).alias("note"),
+        F.col("o_orderdate").alias("_load_id"),
+    )
+    tables = refresh_silver(spark, MODELS, staging, new_table_path(spark, "silver"))
+    named = [df.select(F.lit(name).alias("model"), "id", "_source", "note") for name, df in tables.items()]
+    return named[0].unionByName(named[1])
+
+
 def scd2_history(spark, sf_dir):
     events = si.table(spark, sf_dir, "events")
     return op.build_history(events, ["user_id"], ["event_type"], "ts", ["event_id"])
 
 
 def scd2_apply_batch(spark, sf_dir):
-    """The history of the early events is a stored table; the later events are one batch."""
-    events, path = si.table(spark, sf_dir, "events"), new_table_path(spark, "history")
-    early = op.build_history(si.before_cut(events, "ts"), ["user_id"], ["event_type"], "ts", ["event_id"])
-    early.write.parquet(path)
-    return op.apply_batch(spark.read.parquet(path), si.from_cut(events, "ts"), ["user_id"], ["event_type"], "ts", ["event_id"])
+    """The early events are a stored history; the later ones are applied as one batch."""
+    events = si.table(spark, sf_dir, "events")
+    history = HistoryTable(spark, new_table_path(spark, "history"), ["user_id"], ["event_type"], "ts", ["event_id"])
+    history.apply(si.before_cut(events, "ts"))
+    history.apply(si.from_cut(events, "ts"))
+    return history.read()
 
 
 def fact_current_dim_lookup(spark, sf_dir):
@@ -135,6 +165,7 @@ QUERIES = {
     "merge_upsert": merge_upsert,
     "merge_append_new_columns": merge_append_new_columns,
     "merge_global_watermark": merge_global_watermark,
+    "silver_models": silver_models,
     "scd2_history": scd2_history,
     "scd2_apply_batch": scd2_apply_batch,
     "fact_current_dim_lookup": fact_current_dim_lookup,
@@ -161,6 +192,12 @@ ORACLE = {
         where="""WHERE event_type <> 'click' OR ts < TIMESTAMP '2024-01-20'
                  OR ts > (SELECT max(ts) FROM events WHERE event_type <> 'click')""",
     ),
+    "silver_models": """
+        SELECT 'party' AS model, c_custkey AS id, 'shop' AS _source, c_name AS note FROM customer
+        UNION ALL SELECT 'party', s_suppkey, 'vendor', s_name FROM supplier
+        UNION ALL SELECT 'purchase', o_custkey, 'shop',
+                         max_by(o_orderpriority || ' ' || o_orderkey, (o_orderdate, o_orderpriority || ' ' || o_orderkey))
+                  FROM orders GROUP BY o_custkey""",
     "scd2_history": with_views(_VERSIONS),
     "scd2_apply_batch": with_views(_VERSIONS),
     "fact_current_dim_lookup": with_views("""

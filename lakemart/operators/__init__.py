@@ -1,14 +1,21 @@
 """Operators over any DataFrame."""
 
 from lakemart.operators.containment import join_path_contains
-from lakemart.operators.history import apply_batch, build_history, current_versions, lookup_current
-from lakemart.operators.merge import insert_newer, merge_incremental, rows_past_watermark, upsert
+from lakemart.operators.history import (
+    apply_batch,
+    build_history,
+    changed_versions,
+    current_versions,
+    lookup_current,
+)
+from lakemart.operators.merge import insert_newer, merge_incremental, past_marks, rows_past_watermark, upsert
 from lakemart.operators.newest import current_rows, newest_per_key, stamp, union_sources
 from lakemart.operators.spread import hot_keys, mark_time_slices
 
 __all__ = [
     "apply_batch",
     "build_history",
+    "changed_versions",
     "current_rows",
     "current_versions",
     "hot_keys",
@@ -18,6 +25,7 @@ __all__ = [
     "mark_time_slices",
     "merge_incremental",
     "newest_per_key",
+    "past_marks",
     "rows_past_watermark",
     "stamp",
     "union_sources",

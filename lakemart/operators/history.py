@@ -73,8 +73,8 @@ def build_history(
     )
 
 
-def apply_batch(
-    history: DataFrame,
+def changed_versions(
+    open_versions: DataFrame,
     batch: DataFrame,
     keys: Sequence[str],
     tracked: Sequence[str],
@@ -82,13 +82,12 @@ def apply_batch(
     tie_breakers: Sequence[str] = (),
     **limits: int,
 ) -> DataFrame:
-    """The history after one more batch.
+    """What the open versions become with one more batch: the ones it closes, and the open ones.
 
     A new key is inserted, a change closes the open version and opens the next, anything not newer
-    than the open version is ignored. Closed versions are passed through without a shuffle.
+    than the open version is ignored.
     """
-    closed = history.where(~F.col("is_current"))
-    open_rows = history.where("is_current").select(*keys, *tracked, F.col("valid_from").alias(updated_at))
+    open_rows = open_versions.select(*keys, *tracked, F.col("valid_from").alias(updated_at))
     since = open_rows.select(*keys, F.col(updated_at).alias("_since"))
     newer = (
         batch.select(*keys, *tracked, updated_at, *tie_breakers)
@@ -96,8 +95,14 @@ def apply_batch(
         .where(F.col("_since").isNull() | (F.col(updated_at) > F.col("_since")))
         .drop("_since")
     )
-    changed = open_rows.unionByName(newer, allowMissingColumns=True)
-    return closed.unionByName(build_history(changed, keys, tracked, updated_at, tie_breakers, **limits))
+    rows = open_rows.unionByName(newer, allowMissingColumns=True)
+    return build_history(rows, keys, tracked, updated_at, tie_breakers, **limits)
+
+
+def apply_batch(history: DataFrame, batch: DataFrame, keys: Sequence[str], *shape, **limits: int) -> DataFrame:
+    """The history after one more batch; see ``changed_versions``. Closed versions pass without a shuffle."""
+    closed = history.where(~F.col("is_current"))
+    return closed.unionByName(changed_versions(current_versions(history), batch, keys, *shape, **limits))
 
 
 def current_versions(history: DataFrame) -> DataFrame:

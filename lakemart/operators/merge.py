@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,28 @@ from pyspark.sql import functions as F
 from lakemart.operators.newest import LOAD_ID, SOURCE, newest_per_key
 
 
+def past_marks(
+    landing: DataFrame, marks: Mapping[str, object], load_id: str = LOAD_ID, watermark: str = "per_source"
+) -> DataFrame:
+    """Rows loaded after the newest load id of their source, or of all sources for ``global``.
+
+    A source without a mark passes whole. The marks, one per source system, become literals: in each
+    source's branch of a union only its own comparison is left, and it is pushed into the scan.
+    """
+    if not marks:
+        return landing
+
+    def after(mark: object) -> Column:
+        return F.col(load_id) > F.lit(mark).cast(landing.schema[load_id].dataType)
+
+    if watermark == "global":
+        return landing.where(after(max(marks.values())))
+    past = ~F.col(SOURCE).isin(list(marks))
+    for source, mark in marks.items():
+        past = past | ((F.col(SOURCE) == source) & after(mark))
+    return landing.where(past)
+
+
 def rows_past_watermark(
     landing: DataFrame, target: DataFrame, load_id: str = LOAD_ID, watermark: str = "per_source"
 ) -> DataFrame:
@@ -19,21 +41,8 @@ def rows_past_watermark(
     not lost behind another's. ``global`` uses one mark for all. An empty target, or a source the
     target has never seen, lets every row through.
     """
-    if watermark == "global":
-        newest = target.agg(F.max(load_id)).first()[0]
-        return landing if newest is None else landing.where(F.col(load_id) > _as(target, load_id, newest))
-    # one mark per source system, as literals: in each source's branch of a union only its own
-    # comparison is left and is pushed into the scan
-    marks = target.groupBy(SOURCE).agg(F.max(load_id).alias("mark")).where("mark is not null").collect()
-    past = ~F.col(SOURCE).isin([m[SOURCE] for m in marks])
-    for m in marks:
-        past = past | ((F.col(SOURCE) == m[SOURCE]) & (F.col(load_id) > _as(target, load_id, m["mark"])))
-    return landing.where(past) if marks else landing
-
-
-def _as(df: DataFrame, column: str, value: object) -> Column:
-    """A literal of the column's type."""
-    return F.lit(value).cast(df.schema[column].dataType)
+    newest = target.groupBy(SOURCE).agg(F.max(load_id).alias("mark")).where("mark is not null")
+    return past_marks(landing, {r[SOURCE]: r["mark"] for r in newest.collect()}, load_id, watermark)
 
 
 def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -63,5 +72,5 @@ def merge_incremental(
 def insert_newer(fact: DataFrame, rows: DataFrame, created: str) -> DataFrame:
     """Append rows created after the newest row of the fact; nothing is updated."""
     newest = fact.agg(F.max(created)).first()[0]
-    fresh = rows if newest is None else rows.where(F.col(created) > _as(fact, created, newest))
+    fresh = rows if newest is None else rows.where(F.col(created) > F.lit(newest).cast(fact.schema[created].dataType))
     return fact.unionByName(fresh, allowMissingColumns=True)

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.keys import source_of
+from lakemart.sources import folders
+from lakemart.sources.folders import partition_values
 
 DAY = "load_date"
 RUN = "run_seq"
@@ -84,16 +86,6 @@ def latest_snapshot(bronze: DataFrame) -> DataFrame:
     return newest.where(F.col(RUN) == newest.select(F.max(RUN)).scalar())
 
 
-def partition_values(spark: SparkSession, path: str, partition: str) -> list[str]:
-    """Values of a partition column, from the folder names alone; one per folder, no file is opened."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
-    return [n.split("=", 1)[1] for n in names if n.startswith(f"{partition}=")]
-
-
 def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
     """The newest day (and run) of a table by path, or None if there is none.
 
@@ -113,20 +105,13 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the folder exists and holds a finished or partitioned table."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.exists(jvm_path) and len(files.listStatus(jvm_path)) > 0
+    """Whether anything was written there."""
+    return bool(folders.names(spark, path))
 
 
 def drop_days(spark: SparkSession, path: str, days: Iterable[dt.date]) -> int:
     """Delete whole day partitions; returns how many were there. Touches folders, never rows."""
-    dropped = 0
-    for day in days:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{DAY}={day.isoformat()}")
-        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        dropped += bool(files.delete(folder, True))
-    return dropped
+    return sum(folders.drop(spark, f"{path.rstrip('/')}/{DAY}={day.isoformat()}") for day in days)
 
 
 def expired_days(spark: SparkSession, path: str, as_of: dt.date, retention_days: int) -> list[dt.date]:

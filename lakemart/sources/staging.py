@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.sources.bronze import DAY, partition_values, read_latest
+from lakemart.sources.bronze import DAY, read_latest
+from lakemart.sources.folders import partition_values
 
 RESULT_SCHEMA = T.StructType(
     [

@@ -1,18 +1,22 @@
-"""Finished tables: models written once and read back, and keyed tables kept as numbered versions."""
+"""Finished tables: models written once and read back, keyed tables and histories that grow by batches."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from lakemart.operators.merge import merge_incremental
+from lakemart.operators.history import build_history, changed_versions
+from lakemart.operators.merge import past_marks, upsert
 from lakemart.operators.newest import LOAD_ID, SOURCE, newest_per_key
-from lakemart.sources.bronze import partition_values
+from lakemart.sources import folders
 
 VERSION = "version"
+BUCKET = "bucket"
 
 
 def write_model(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
@@ -44,53 +48,181 @@ def write_models(
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """One row per (key, source), kept as numbered versions under a folder.
+    """One row per (key, source), cut into buckets by a hash of the key.
 
-    A version is written next to the one readers use and counts once it is finished, so a failed or
-    repeated write never shows half a table. Old versions are dropped by ``keep``.
+    A merge writes a new version that holds only the buckets its batch touches; the other buckets stay
+    where they are and are neither read nor written. Readers take each bucket from the newest version
+    that has it. A version counts once its write is finished, so a failed or repeated merge never
+    shows half a table. The newest load id per source is kept with each version, so finding the
+    watermark does not scan the table. Choose ``buckets`` for some hundred megabytes each.
     """
 
     spark: SparkSession
     path: str
     keys: Sequence[str]
-    tie_breakers: Sequence[str | Column] = ()
+    tie_breakers: Sequence[str] = ()
     load_id: str = LOAD_ID
+    buckets: int = 16
+
+    @property
+    def _data(self) -> str:
+        return f"{self.path}/data"
+
+    @property
+    def _keyed(self) -> list[str]:
+        return [*self.keys, SOURCE]
+
+    @property
+    def _order(self) -> list[str]:
+        return [self.load_id, *self.tie_breakers]
 
     def versions(self) -> list[int]:
-        done = [int(v) for v in partition_values(self.spark, self.path, VERSION)]
-        return sorted(v for v in done if self._finished(v))
+        return folders.finished_versions(self.spark, self._data)
 
     def read(self, before: int | None = None) -> DataFrame | None:
-        """The newest version, or the newest one older than ``before``."""
-        versions = [v for v in self.versions() if before is None or v < before]
-        return self.spark.read.parquet(self._folder(versions[-1])) if versions else None
-
-    def write(self, df: DataFrame, version: int | None = None) -> int:
-        """Write the next version, or a given one again."""
-        if version is None:
-            version = 1 + max(self.versions(), default=-1)
-        df.write.mode("overwrite").parquet(self._folder(version))
-        return version
+        """The newest state, or the newest one older than version ``before``; None if there is none."""
+        return self._open(self._homes(before).values(), before)
 
     def refresh(self, landing: DataFrame, watermark: str = "per_source") -> int:
-        """Merge what landed since the newest version. The first refresh takes everything."""
-        stored = self.read()
-        if stored is None:
-            newest = newest_per_key(landing, [*self.keys, SOURCE], [self.load_id, *self.tie_breakers])
-            return self.write(newest)
-        return self.write(merge_incremental(stored, landing, self.keys, self.tie_breakers, self.load_id, watermark))
+        """Merge the rows of ``landing`` past the watermark; the first refresh takes all. Returns the version.
+
+        If nothing is past the watermark, no version is written.
+        """
+        versions = self.versions()
+        version = versions[-1] + 1 if versions else 0
+        marks = self._marks(versions[-1]) if versions else {}
+        fresh = past_marks(landing, marks, self.load_id, watermark)
+        delta = self._stage(newest_per_key(fresh, self._keyed, self._order), version)
+        touched = self._touched(delta)
+        if versions and not touched:
+            return versions[-1]
+        stored = self._read_buckets(touched)
+        merged = delta if stored is None else upsert(stored, delta, self._keyed)
+        return self._commit(merged, delta, version)
+
+    def merge_batch(self, batch: DataFrame, version: int) -> None:
+        """Write ``version`` from the state before it and one batch; a row older than the stored one is ignored."""
+        delta = self._stage(newest_per_key(batch, self._keyed, self._order), version)
+        merged, stored = delta, self._read_buckets(self._touched(delta), before=version)
+        if stored is not None:
+            known = stored.join(delta.select(*self._keyed), self._keyed, "left_semi")
+            newest = newest_per_key(known.unionByName(delta, allowMissingColumns=True), self._keyed, self._order)
+            merged = upsert(stored, newest, self._keyed)
+        self._commit(merged, delta, version)
 
     def keep(self, count: int) -> int:
-        """Drop all but the newest versions; returns how many went."""
-        old = self.versions()[:-count] if count > 0 else []
-        for version in old:
-            folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._folder(version))
-            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-        return len(old)
-
-    def _folder(self, version: int) -> str:
-        return f"{self.path.rstrip('/')}/{VERSION}={version}"
-
-    def _finished(self, version: int) -> bool:
-        done = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self._folder(version)}/_SUCCESS")
-        return done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+        """Drop buckets that none of the newest ``count`` versions reads; returns how many went."""
+        versions = self.versions()
+        used = {home for v in versions[-count:] for home in self._homes(v + 1).values()}
+        dropped = 0
+        for v in versions[:-count]:
+            for b in folders.partition_values(self.spark, f"{self._data}/{VERSION}={v}", BUCKET):
+                if (home := self._home(v, b)) not in used:
+                    dropped += folders.drop(self.spark, home)
+        return dropped
+
+    def _home(self, version: int, bucket: str | int) -> str:
+        return f"{self._data}/{VERSION}={version}/{BUCKET}={bucket}"
+
+    def _homes(self, before: int | None = None) -> dict[int, str]:
+        """Folder of each bucket. Names only: versions times buckets of them."""
+        homes: dict[int, str] = {}
+        for v in self.versions():
+            if before is None or v < before:
+                for b in folders.partition_values(self.spark, f"{self._data}/{VERSION}={v}", BUCKET):
+                    homes[int(b)] = self._home(v, b)
+        return homes
+
+    def _schema(self, before: int | None = None) -> StructType | None:
+        """Columns of the newest version; every version has all columns of the ones before it."""
+        versions = [v for v in self.versions() if before is None or v < before]
+        if not versions:
+            return None
+        return self.spark.read.parquet(f"{self._data}/{VERSION}={versions[-1]}").drop(BUCKET).schema
+
+    def _open(self, homes: Iterable[str], before: int | None = None) -> DataFrame | None:
+        homes = list(homes)
+        return self.spark.read.schema(self._schema(before)).parquet(*homes) if homes else None
+
+    def _read_buckets(self, buckets: Sequence[int], before: int | None = None) -> DataFrame | None:
+        homes = self._homes(before)
+        return self._open([homes[b] for b in buckets if b in homes], before)
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def _stage(self, delta: DataFrame, version: int) -> DataFrame:
+        """The batch on disk: it is read for its buckets, its marks and the merge."""
+        staged = f"{self.path}/batch/{VERSION}={version}"
+        delta.write.mode("overwrite").parquet(staged)
+        return self.spark.read.parquet(staged)
+
+    def _touched(self, delta: DataFrame) -> list[int]:
+        return sorted(r[0] for r in delta.select(self._bucket()).distinct().collect())
+
+    def _marks(self, version: int) -> dict:
+        rows = self.spark.read.parquet(f"{self.path}/marks/{VERSION}={version}").collect()
+        return {row[SOURCE]: row["mark"] for row in rows if row["mark"] is not None}
+
+    def _commit(self, merged: DataFrame, delta: DataFrame, version: int) -> int:
+        marks = delta.groupBy(SOURCE).agg(F.max(self.load_id).alias("mark"))
+        earlier = [v for v in self.versions() if v < version]
+        if earlier:
+            marks = marks.unionByName(self.spark.read.parquet(f"{self.path}/marks/{VERSION}={earlier[-1]}"))
+            marks = marks.groupBy(SOURCE).agg(F.max("mark").alias("mark"))
+        marks.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/marks/{VERSION}={version}")
+        known = self._schema(before=version) or StructType()
+        for column in known:
+            if column.name not in merged.columns:
+                merged = merged.withColumn(column.name, F.lit(None).cast(column.dataType))
+        bucketed = merged.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET)
+        target = f"{self._data}/{VERSION}={version}"
+        writer = bucketed.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(BUCKET).parquet(target)
+        return version
+
+
+@dataclass(frozen=True)
+class HistoryTable:
+    """Version history that grows by batches.
+
+    Closed versions never change, so a batch only adds the ones it closes; the open versions, one per
+    key, are written anew. The closed part is neither read nor rewritten by a batch.
+    """
+
+    spark: SparkSession
+    path: str
+    keys: Sequence[str]
+    tracked: Sequence[str]
+    updated_at: str
+    tie_breakers: Sequence[str] = ()
+
+    def versions(self) -> list[int]:
+        return folders.finished_versions(self.spark, f"{self.path}/open")
+
+    def open_versions(self) -> DataFrame | None:
+        versions = self.versions()
+        return self.spark.read.parquet(f"{self.path}/open/{VERSION}={versions[-1]}") if versions else None
+
+    def read(self) -> DataFrame | None:
+        """Closed and open versions together."""
+        versions = self.versions()
+        if not versions:
+            return None
+        closed = [f"{self.path}/closed/{VERSION}={v}" for v in versions]
+        return self.spark.read.parquet(*closed).unionByName(self.open_versions())
+
+    def apply(self, batch: DataFrame) -> int:
+        """Add one batch; returns its number. A batch that failed half way is simply applied again."""
+        versions = self.versions()
+        number = versions[-1] + 1 if versions else 0
+        shape = (self.keys, self.tracked, self.updated_at, self.tie_breakers)
+        current = self.open_versions()
+        rows = build_history(batch, *shape) if current is None else changed_versions(current, batch, *shape)
+        staged = f"{self.path}/batch/{VERSION}={number}"
+        rows.write.mode("overwrite").parquet(staged)
+        rows = self.spark.read.parquet(staged)
+        rows.where(~F.col("is_current")).write.mode("overwrite").parquet(f"{self.path}/closed/{VERSION}={number}")
+        # readers see the batch when this, the last write, is finished
+        rows.where("is_current").write.mode("overwrite").parquet(f"{self.path}/open/{VERSION}={number}")
+        return number

@@ -1,37 +1,22 @@
 """Landed files as a stream into a keyed table.
 
 The stream's checkpoint remembers which files were taken, so a missed day is caught up and no file is
-read twice. Each micro-batch is merged into the newest version of the table and written as the next
-one; a batch that is retried after a lost executor writes the same version again.
+read twice. Each micro-batch becomes one version of the table; a batch that is retried after a lost
+executor writes the same version again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from lakemart.operators.merge import upsert
-from lakemart.operators.newest import SOURCE, newest_per_key
 from lakemart.sources.store import KeyedTable
 
 
-def merge_batch(table: KeyedTable, batch: DataFrame, batch_id: int) -> None:
-    """The table's version for this batch. A row older than the stored one of its key changes nothing."""
-    keyed, order = [*table.keys, SOURCE], [table.load_id, *table.tie_breakers]
-    merged = newest_per_key(batch, keyed, order)
-    stored = table.read(before=batch_id)
-    if stored is not None:
-        touched = stored.join(merged.select(*keyed), keyed, "left_semi")
-        newest = newest_per_key(touched.unionByName(merged, allowMissingColumns=True), keyed, order)
-        merged = upsert(stored, newest, keyed)
-    table.write(merged, batch_id)
-
-
 def run_available(table: KeyedTable, inbox: str, schema: StructType, checkpoint: str, max_files: int = 10_000) -> None:
     """Merge everything that has arrived since the last call, then stop."""
     stream = table.spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(inbox)
     (
-        stream.writeStream.foreachBatch(lambda batch, batch_id: merge_batch(table, batch, batch_id))
+        stream.writeStream.foreachBatch(lambda batch, number: table.merge_batch(batch, number))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

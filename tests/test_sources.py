@@ -5,8 +5,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from lakemart.operators import monitor
-from lakemart.sources import bronze, load, meta, rdbms, seed, staging
-from lakemart.sources.store import KeyedTable, write_models
+from lakemart.sources import bronze, folders, load, meta, rdbms, seed, staging
+from lakemart.sources.store import HistoryTable, KeyedTable, write_models
 
 DAY = dt.date
 
@@ -193,17 +193,62 @@ def test_models_are_stored_and_pruned_by_partition(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date_key" in one._jdf.queryExecution().executedPlan().toString()
 
 
+SCHEMA = "id int, v string, _load_id int, _source string"
+
+
 def test_keyed_table_versions(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
-    schema = "id int, v string, _load_id int, _source string"
     assert table.read() is None
-    assert table.refresh(numbers(spark, (1, "a", 1, "x"), (1, "b", 2, "x"), schema=schema)) == 0
-    assert table.refresh(numbers(spark, (1, "c", 3, "x"), (2, "d", 3, "x"), schema=schema)) == 1
-    assert rows(table.read(), "id", "v") == [(1, "c"), (2, "d")]
-    assert rows(table.read(before=1), "id", "v") == [(1, "b")]
-    (tmp_path / "t" / "version=7").mkdir()
+    assert table.refresh(numbers(spark, (1, "a", 1, "x"), (1, "b", 2, "x"), (5, "e", 1, "y"), schema=SCHEMA)) == 0
+    assert table.refresh(numbers(spark, (1, "c", 3, "x"), (2, "d", 3, "x"), schema=SCHEMA)) == 1
+    assert rows(table.read(), "id", "v") == [(1, "c"), (2, "d"), (5, "e")]
+    assert rows(table.read(before=1), "id", "v") == [(1, "b"), (5, "e")]
+    assert table.refresh(numbers(spark, (1, "late", 2, "x"), schema=SCHEMA)) == 1
+    (tmp_path / "t" / "data" / "version=7" / "bucket=0").mkdir(parents=True)
+    assert table.versions() == [0, 1]
+    assert table.keep(1) == 1
+    assert rows(table.read(), "id", "v") == [(1, "c"), (2, "d"), (5, "e")]
+
+
+def test_merge_writes_only_the_buckets_it_touches(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"], buckets=8)
+    table.refresh(numbers(spark, *[(n, "old", 1, "x") for n in range(100)], schema=SCHEMA))
+    table.refresh(numbers(spark, (42, "new", 2, "x"), schema=SCHEMA))
+    written = folders.partition_values(spark, f"{tmp_path}/t/data/version=1", "bucket")
+    assert len(written) == 1 and len(folders.partition_values(spark, f"{tmp_path}/t/data/version=0", "bucket")) == 8
+    assert rows(table.read().where("v = 'new'"), "id") == [(42,)] and table.read().count() == 100
+
+
+def test_new_column_appears_in_buckets_not_yet_rewritten(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"], buckets=8)
+    table.refresh(numbers(spark, *[(n, "old", 1, "x") for n in range(20)], schema=SCHEMA))
+    table.refresh(numbers(spark, (3, "new", 2, "x", 7), schema=SCHEMA + ", extra int"))
+    assert rows(table.read().where("extra is not null"), "id", "extra") == [(3, 7)] and table.read().count() == 20
+    table.refresh(numbers(spark, (4, "newer", 3, "x"), schema=SCHEMA))
+    assert rows(table.read().where("extra is not null"), "id", "extra") == [(3, 7)] and table.read().count() == 20
+
+
+def test_repeated_batch_writes_the_same_version(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
+    table.merge_batch(numbers(spark, (1, "a", 5, "x"), schema=SCHEMA), 0)
+    second = numbers(spark, (1, "older", 4, "x"), (2, "b", 1, "x"), schema=SCHEMA)
+    table.merge_batch(second, 1)
+    table.merge_batch(second, 1)
     assert table.versions() == [0, 1]
-    assert table.keep(1) == 1 and table.versions() == [1]
+    assert rows(table.read(), "id", "v") == [(1, "a"), (2, "b")]
+
+
+def test_history_table_adds_closed_versions_only(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "h"), ["id"], ["v"], "at")
+    schema = "id int, v string, at int"
+    assert table.read() is None
+    table.apply(numbers(spark, (1, "a", 1), (1, "b", 2), (2, "a", 1), schema=schema))
+    table.apply(numbers(spark, (1, "c", 3), (3, "a", 3), schema=schema))
+    table.apply(numbers(spark, (2, "a", 9), schema=schema))
+    assert rows(table.read(), "id", "v", "valid_from", "valid_to") == [
+        (1, "a", 1, 2), (1, "b", 2, 3), (1, "c", 3, None), (2, "a", 1, None), (3, "a", 3, None),
+    ]
+    assert spark.read.parquet(f"{tmp_path}/h/closed/version=1").count() == 1
 
 
 class Reader:
