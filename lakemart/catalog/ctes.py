@@ -137,19 +137,19 @@ VIEWS = {
     "division": """
         SELECT s_suppkey AS sup, r_name AS division FROM supplier JOIN nation ON s_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey""",
-    "member": f"""
+    "member_month": f"""
         SELECT mk, sup, part_id, {key('sup', "'erp'")} AS employee_key, {key('part_id', "'timesheet'")} AS project_key,
-               division, wd, days, hours, extra, rate, disc, pay, least(tax + 10, 30) AS perf
+               wd, days, hours, extra, rate, disc, least(tax + 10, 30) AS perf
         FROM (SELECT c.mk, sup, part_id, wd, CAST(count(*) FILTER (working) AS BIGINT) AS days,
                      CAST(sum(hours) AS BIGINT) AS hours, CAST(sum(greatest(hours - 8, 0)) AS BIGINT) AS extra,
                      {quotient('CAST(sum(price) * 100 AS BIGINT)', '(CAST(sum(hours) AS BIGINT) * 100)', 2)} AS rate,
                      max(disc) AS disc, max(tax) AS tax
               FROM day_work JOIN cal c USING (d) JOIN months mo ON c.mk = mo.mk
-              GROUP BY c.mk, sup, part_id, wd)
-        JOIN division USING (sup) JOIN contract USING (sup)""",
+              GROUP BY c.mk, sup, part_id, wd)""",
+    "member": "SELECT * FROM member_month JOIN division USING (sup) JOIN contract USING (sup)",
     "team": f"""
         SELECT m.*, CAST(rate * (wd * 8) AS DECIMAL(20,6)) AS forecast, CAST(rate * hours AS DECIMAL(20,6)) AS actual
-        FROM member m JOIN part ON part_id = p_partkey WHERE NOT {_FIX}""",
+        FROM member_month m JOIN part ON part_id = p_partkey WHERE NOT {_FIX}""",
     "revenue": f"""
         SELECT {key('date_key', 'project_key')} AS revenue_monthly_key, date_key, project_key,
                'fix_cost' AS revenue_type, amount AS contract, plan_rate, done_rate,

@@ -209,16 +209,16 @@ ORACLE = {
                CAST(plan AS DOUBLE) AS complete_rate_plan, CAST(done AS DOUBLE) AS complete_rate_actual,
                CAST(forecast AS DOUBLE) AS revenue_forecast, CAST(actual AS DOUBLE) AS revenue_actual FROM ({_DELTA})""",
     "m_teambase_revenue": """
-        SELECT mk AS date_key, employee_key, project_key, division, CAST(rate AS DOUBLE) AS employee_rate,
+        SELECT mk AS date_key, employee_key, project_key, CAST(rate AS DOUBLE) AS employee_rate,
                CAST(wd * 8 AS DOUBLE) AS forecast_hours, CAST(hours AS DOUBLE) AS actual_hours,
                CAST(forecast AS DOUBLE) AS revenue_forecast, CAST(actual AS DOUBLE) AS revenue_actual FROM team""",
     "m_fixcost_member_share": f"""
         SELECT mk AS date_key, employee_key, project_key, CAST(wd * 8 * disc * 0.1 AS DOUBLE) AS effort_hours,
                CAST(total * 0.1 AS DOUBLE) AS total_effort_hours,
                CAST({quotient('(wd * 8 * disc * perf * cents)', '(total * 10000)')} AS DOUBLE) AS member_revenue
-        FROM member JOIN (SELECT mk, part_id, CAST(CAST(actual AS DECIMAL(18,2)) * 100 AS BIGINT) AS cents FROM ({_DELTA}))
+        FROM member_month JOIN (SELECT mk, part_id, CAST(CAST(actual AS DECIMAL(18,2)) * 100 AS BIGINT) AS cents FROM ({_DELTA}))
              USING (mk, part_id)
-        JOIN (SELECT mk, part_id, CAST(sum(wd * 8 * disc) AS BIGINT) AS total FROM member GROUP BY mk, part_id)
+        JOIN (SELECT mk, part_id, CAST(sum(wd * 8 * disc) AS BIGINT) AS total FROM member_month GROUP BY mk, part_id)
              USING (mk, part_id)""",
     "m_total_effort": """
         SELECT mk AS date_key, employee_key, CAST(sum(wd * 8 * disc) * 0.1 AS DOUBLE) AS total_effort

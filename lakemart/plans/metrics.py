@@ -63,9 +63,10 @@ def teambase_member_revenue(members: DataFrame) -> DataFrame:
     """Forecast: rate times eight hours per planned day. Actual: rate times hours worked."""
     rate = F.col("employee_rate")
     hours = (F.col("plan_days") * HOURS_PER_DAY).cast("decimal(9,2)")
+    known = [c for c in ("division",) if c in members.columns]
     return members.select(
         *MONTH_MEMBER,
-        "division",
+        *known,
         rate,
         hours.alias("forecast_hours"),
         "actual_hours",

@@ -358,11 +358,7 @@ def divisions_of_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "supplier")
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.col("s_suppkey").alias("l_suppkey"),
-            surrogate_key(F.col("s_suppkey"), F.lit(ERP)).alias("employee_key"),
-            F.col("r_name").alias("division"),
-        )
+        .select(F.col("s_suppkey").alias("l_suppkey"), F.col("r_name").alias("division"))
     )
 
 
@@ -374,8 +370,8 @@ def salaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @once
-def members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (month, supplier, part), with natural keys next to the surrogate ones."""
+def member_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (month, supplier, part): time, hourly rate, effort and performance."""
     daily = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_suppkey", "l_partkey", F.to_date("l_shipdate").alias("day"))
@@ -401,29 +397,35 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     performance = F.least(F.lit("0.30").cast("decimal(4,2)"), F.col("tax") + F.lit("0.10").cast("decimal(4,2)"))
     effort = (F.col("discount") * 10).cast("decimal(4,1)")
+    return monthly.select(
+        "date_key",
+        "l_suppkey",
+        "l_partkey",
+        surrogate_key(F.col("l_suppkey"), F.lit(ERP)).alias("employee_key"),
+        surrogate_key(F.col("l_partkey"), F.lit(TIMESHEET)).alias("project_key"),
+        "working_days_in_month",
+        "actual_days",
+        F.col("working_days_in_month").alias("plan_days"),
+        "actual_hours",
+        "overtime_hours",
+        money(safe_divide("price", "actual_hours")).alias("employee_rate"),
+        "discount",
+        effort.alias("effort_rate"),
+        performance.cast("decimal(4,2)").alias("performance_rate"),
+        (F.col("working_days_in_month") * facts.HOURS_PER_DAY * effort).cast("decimal(8,2)").alias("effort_hours"),
+    )
+
+
+@once
+def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows with the employee's division, salary and bonus."""
+    homes = divisions_of_employees(spark, sf_dir).select("l_suppkey", "division")
     return (
-        monthly.join(divisions_of_employees(spark, sf_dir), "l_suppkey")
+        member_months(spark, sf_dir)
+        .join(homes, "l_suppkey")
         .join(salaries(spark, sf_dir), "l_suppkey")
-        .select(
-            "date_key",
-            "l_suppkey",
-            "l_partkey",
-            "employee_key",
-            surrogate_key(F.col("l_partkey"), F.lit(TIMESHEET)).alias("project_key"),
-            "division",
-            "working_days_in_month",
-            "actual_days",
-            F.col("working_days_in_month").alias("plan_days"),
-            "actual_hours",
-            "overtime_hours",
-            money(safe_divide("price", "actual_hours")).alias("employee_rate"),
-            effort.alias("effort_rate"),
-            performance.cast("decimal(4,2)").alias("performance_rate"),
-            (F.col("working_days_in_month") * facts.HOURS_PER_DAY * effort).cast("decimal(8,2)").alias("effort_hours"),
-            "base_salary",
-            F.col("base_salary").alias("direct_cost"),
-            (F.col("base_salary") * F.col("discount")).cast("decimal(18,4)").alias("project_bonus"),
-        )
+        .withColumn("direct_cost", F.col("base_salary"))
+        .withColumn("project_bonus", (F.col("base_salary") * F.col("discount")).cast("decimal(18,4)"))
     )
 
 
@@ -434,12 +436,12 @@ def _parts_of_type(spark: SparkSession, sf_dir: str, fixed: bool) -> DataFrame:
 
 @once
 def team_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return members(spark, sf_dir).join(_parts_of_type(spark, sf_dir, fixed=False), "l_partkey", "left_semi")
+    return member_months(spark, sf_dir).join(_parts_of_type(spark, sf_dir, fixed=False), "l_partkey", "left_semi")
 
 
 @once
 def fixed_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return members(spark, sf_dir).join(_parts_of_type(spark, sf_dir, fixed=True), "l_partkey", "left_semi")
+    return member_months(spark, sf_dir).join(_parts_of_type(spark, sf_dir, fixed=True), "l_partkey", "left_semi")
 
 
 @once
