@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakemart.functions import money, month_key, safe_divide, surrogate_key
-from lakemart.operators import newest_per_key
 from lakemart.plans import calendar as cal
 from lakemart.plans import dims, facts, metrics
 
@@ -370,11 +369,18 @@ def salaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @once
-def member_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (month, supplier, part): time, hourly rate, effort and performance."""
+def member_months(spark: SparkSession, sf_dir: str, kind: str = "all") -> DataFrame:
+    """One row per (month, supplier, part): time, hourly rate, effort and performance.
+
+    ``kind`` keeps the ``team`` or the ``fixed`` price projects, before anything is added up.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    if kind != "all":
+        economy = F.col("p_type") == "ECONOMY"
+        parts = table(spark, sf_dir, "part").where(economy if kind == "fixed" else ~economy)
+        lines = lines.join(parts.select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_semi")
     daily = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_suppkey", "l_partkey", F.to_date("l_shipdate").alias("day"))
+        lines.groupBy("l_suppkey", "l_partkey", F.to_date("l_shipdate").alias("day"))
         .agg(
             F.sum(_decimal("l_quantity", "decimal(8,2)")).alias("hours"),
             F.sum(_decimal("l_extendedprice")).alias("price"),
@@ -429,19 +435,12 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _parts_of_type(spark: SparkSession, sf_dir: str, fixed: bool) -> DataFrame:
-    economy = F.col("p_type") == "ECONOMY"
-    return table(spark, sf_dir, "part").where(economy if fixed else ~economy).select(F.col("p_partkey").alias("l_partkey"))
-
-
-@once
 def team_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return member_months(spark, sf_dir).join(_parts_of_type(spark, sf_dir, fixed=False), "l_partkey", "left_semi")
+    return member_months(spark, sf_dir, "team")
 
 
-@once
 def fixed_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return member_months(spark, sf_dir).join(_parts_of_type(spark, sf_dir, fixed=True), "l_partkey", "left_semi")
+    return member_months(spark, sf_dir, "fixed")
 
 
 @once
@@ -536,8 +535,3 @@ def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") != "error", F.col("event_id")).alias("row_count"),
         F.col("ts").alias("finished_at"),
     )
-
-
-def newest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newest event of each user over all sources."""
-    return newest_per_key(event_rows(spark, sf_dir), ["id"], ["_load_id", "event_id"])
