@@ -71,6 +71,14 @@ def bronze_daily_partition(spark, sf_dir):
     )
 
 
+def retention_apply(spark, sf_dir):
+    """Days landed, then the ones past ten days dropped; the rows that are left per day."""
+    path = new_table_path(spark, "events")
+    bronze.write_days(_event_days(spark, sf_dir), path)
+    bronze.purge(spark, {"events": path}, dt.date(2024, 1, 31), 10)
+    return spark.read.parquet(path).groupBy("load_date").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def bronze_run_versions(spark, sf_dir):
     """Two runs on one day; both are kept and the second is the newest."""
     path, day = new_table_path(spark, "orders"), dt.date(2001, 8, 1)
@@ -212,6 +220,7 @@ QUERIES = {
     "load_row_counts": load_row_counts,
     "bronze_daily_partition": bronze_daily_partition,
     "bronze_run_versions": bronze_run_versions,
+    "retention_apply": retention_apply,
     "latest_snapshot": latest_snapshot,
     "bronze_merged_schema": bronze_merged_schema,
     "stage_replace": stage_replace,
@@ -254,6 +263,8 @@ ORACLE = {
         FROM events e WHERE ts < TIMESTAMP '2024-01-20' OR event_type = 'purchase'
            OR NOT EXISTS (FROM events p WHERE p.event_type = 'purchase' AND CAST(p.ts AS DATE) = CAST(e.ts AS DATE))
         GROUP BY 1""",
+    "retention_apply": f"""
+        SELECT {_DAY} AS load_date, count(*) AS rows FROM events WHERE {_DAY} >= DATE '2024-01-21' GROUP BY 1""",
     "bronze_run_versions": """
         SELECT DATE '2001-08-01' AS load_date, 0 AS run_seq, count(*) AS rows, false AS is_newest
         FROM orders WHERE o_orderstatus = 'F'

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from lakemart import standins as si
 from lakemart.catalog.ctes import key, quotient, with_views
 from lakemart.functions import money, month_key, surrogate_key
-from lakemart.plans import calendar as cal
 from lakemart.plans import dims, metrics
 
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.operators import union_sources
 from lakemart.sources.store import KeyedTable
+from lakemart.sources.together import run_together
 
 
 @dataclass(frozen=True)
@@ -29,20 +30,16 @@ def refresh_silver(
     staging: Mapping[tuple[str, str], DataFrame],
     root: str,
     buckets: int = 16,
-    together: int = 4,
 ) -> dict[str, DataFrame]:
     """Merge what is staged into every model's table; returns the tables.
 
     ``staging`` maps (source, table) to its rows, which carry ``_load_id``. Models do not depend on
-    each other and are refreshed a few at a time.
+    each other.
     """
 
     def refresh(model: SilverModel) -> DataFrame:
-        table = KeyedTable(
-            spark, f"{root}/{model.name}", [model.key], model.tie_breakers, buckets=buckets
-        )
+        table = KeyedTable(spark, f"{root}/{model.name}", [model.key], model.tie_breakers, buckets=buckets)
         table.refresh(union_sources({s: staging[s, model.table] for s in model.sources}))
         return table.read()
 
-    with ThreadPoolExecutor(together) as pool:
-        return dict(zip([m.name for m in models], pool.map(refresh, models)))
+    return run_together({model.name: partial(refresh, model) for model in models})

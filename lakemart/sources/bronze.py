@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Iterable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from lakemart.functions.keys import source_of
 from lakemart.sources import folders
 from lakemart.sources.folders import partition_values
+from lakemart.sources.together import run_together
 
 DAY = "load_date"
 RUN = "run_seq"
@@ -46,30 +48,43 @@ def write_day(df: DataFrame, path: str, day: dt.date) -> int:
     return seen.get["rows"]
 
 
-def write_run(df: DataFrame, path: str, day: dt.date) -> int:
-    """Add a run to a day and keep the earlier ones; returns its number, starting at 0."""
-    earlier = partition_values(df.sparkSession, f"{path.rstrip('/')}/{DAY}={day.isoformat()}", RUN)
-    run = 1 + max((int(v) for v in earlier), default=-1)
-    stamped = df.withColumn(DAY, F.lit(day)).withColumn(RUN, F.lit(run))
-    stamped.write.mode("append").partitionBy(DAY, RUN).parquet(path)
-    return run
+def next_run(spark: SparkSession, path: str, day: dt.date) -> int:
+    """Number of the next run of a day, starting at 0."""
+    earlier = partition_values(spark, _day_folder(path, day), RUN)
+    return 1 + max((int(v) for v in earlier), default=-1)
+
+
+def write_run(df: DataFrame, path: str, day: dt.date, run: int | None = None) -> tuple[int, int]:
+    """Add a run to a day and keep the earlier ones; returns its number and its rows."""
+    run = next_run(df.sparkSession, path, day) if run is None else run
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").parquet(f"{_day_folder(path, day)}/{RUN}={run}")
+    return run, seen.get["rows"]
+
+
+def _day_folder(path: str, day: dt.date) -> str:
+    return f"{path.rstrip('/')}/{DAY}={day.isoformat()}"
 
 
 def land_group(
     tables: Mapping[str, DataFrame], root: str, day: dt.date, attempts: int = 3, pause: float = 5.0
 ) -> dict[str, int]:
-    """Land the tables of one source for a day, all of them or none; returns rows per table.
+    """Land the tables of one source as a run of a day, all of them or none; returns rows per table.
 
-    The whole group is tried again after a failure. If the last attempt fails, the day is removed from
-    every table and the error is raised.
+    The whole group is tried again after a failure. A failed attempt leaves no run behind, and earlier
+    runs of the day stay as they were.
     """
+    paths = {name: f"{root}/{name}" for name in tables}
     for attempt in range(1, attempts + 1):
+        runs = {name: next_run(df.sparkSession, paths[name], day) for name, df in tables.items()}
+        work = {name: partial(write_run, df, paths[name], day, runs[name]) for name, df in tables.items()}
         try:
-            return {name: write_day(df, f"{root}/{name}", day) for name, df in tables.items()}
+            return {name: rows for name, (_, rows) in run_together(work).items()}
         except Exception:
+            for name, df in tables.items():
+                folders.drop(df.sparkSession, f"{_day_folder(paths[name], day)}/{RUN}={runs[name]}")
             if attempt == attempts:
-                for name, df in tables.items():
-                    drop_days(df.sparkSession, f"{root}/{name}", [day])
                 raise
             time.sleep(pause)
     return {}
@@ -86,17 +101,30 @@ def latest_snapshot(bronze: DataFrame) -> DataFrame:
     return newest.where(F.col(RUN) == newest.select(F.max(RUN)).scalar())
 
 
+def stored_days(spark: SparkSession, path: str) -> tuple[list[dt.date], int]:
+    """Days a table has, from its folder names, and the number of names that are no date."""
+    days, unreadable = [], 0
+    for value in partition_values(spark, path, DAY):
+        try:
+            days.append(dt.date.fromisoformat(value))
+        except ValueError:
+            unreadable += 1
+    return sorted(days), unreadable
+
+
 def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
     """The newest day (and run) of a table by path, or None if there is none.
 
     Days compare as dates, never as text. Only the newest folder is listed and read, with its own schema.
     """
-    days = [dt.date.fromisoformat(v) for v in partition_values(spark, path, DAY)]
-    if not days:
-        return None
-    folder = f"{path.rstrip('/')}/{DAY}={max(days).isoformat()}"
-    runs = [int(v) for v in partition_values(spark, folder, RUN)]
-    return spark.read.parquet(f"{folder}/{RUN}={max(runs)}" if runs else folder)
+    for day in reversed(stored_days(spark, path)[0]):
+        folder = _day_folder(path, day)
+        if not partition_values(spark, folder, RUN):
+            return spark.read.parquet(folder)
+        # a run that was not finished does not count
+        if runs := folders.finished_versions(spark, folder, RUN):
+            return spark.read.parquet(f"{folder}/{RUN}={runs[-1]}")
+    return None
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
@@ -111,14 +139,24 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def drop_days(spark: SparkSession, path: str, days: Iterable[dt.date]) -> int:
     """Delete whole day partitions; returns how many were there. Touches folders, never rows."""
-    return sum(folders.drop(spark, f"{path.rstrip('/')}/{DAY}={day.isoformat()}") for day in days)
+    return sum(folders.drop(spark, _day_folder(path, day)) for day in days)
+
 
+def purge(
+    spark: SparkSession, paths: Mapping[str, str], as_of: dt.date, retention_days: int
+) -> dict[str, tuple[int, int, int]]:
+    """Drop the days of each table strictly older than the cutoff; returns (dropped, kept, unreadable).
 
-def expired_days(spark: SparkSession, path: str, as_of: dt.date, retention_days: int) -> list[dt.date]:
-    """Days strictly older than the cutoff, from the folder names."""
+    A folder whose day cannot be read is kept.
+    """
     cutoff = as_of - dt.timedelta(days=retention_days)
-    days = [dt.date.fromisoformat(v) for v in partition_values(spark, path, DAY)]
-    return sorted(day for day in days if day < cutoff)
+
+    def one(path: str) -> tuple[int, int, int]:
+        days, unreadable = stored_days(spark, path)
+        old = [day for day in days if day < cutoff]
+        return drop_days(spark, path, old), len(days) - len(old), unreadable
+
+    return {name: one(path) for name, path in paths.items()}
 
 
 def write_counted(tables: Mapping[str, DataFrame], root: str) -> dict[str, int]:
@@ -126,13 +164,15 @@ def write_counted(tables: Mapping[str, DataFrame], root: str) -> dict[str, int]:
 
     Bookkeeping tables are written but not counted.
     """
-    counts = {}
-    for name, df in tables.items():
+
+    def write(name: str) -> int:
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{root}/{name}")
-        if not name.startswith(BOOKKEEPING):
-            counts[name] = seen.get["rows"]
-    return counts
+        counted = tables[name].observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("overwrite").parquet(f"{root}/{name}")
+        return seen.get["rows"]
+
+    counts = run_together({name: partial(write, name) for name in tables})
+    return {name: rows for name, rows in counts.items() if not name.startswith(BOOKKEEPING)}
 
 
 def listing_from_paths(paths: DataFrame, path_column: str = "path") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from lakemart.sources.bronze import DAY, read_latest
 from lakemart.sources.folders import partition_values
+from lakemart.sources.together import run_together
 
 RESULT_SCHEMA = T.StructType(
     [
@@ -50,13 +52,14 @@ def stage_group(spark: SparkSession, bronze_paths: Mapping[str, str], target_roo
     present = {name: bool(partition_values(spark, path, DAY)) for name, path in bronze_paths.items()}
     if bronze_paths and not any(present.values()):
         raise NothingToStage(f"no snapshot for any of {sorted(bronze_paths)}")
-    results = []
-    for name, path in bronze_paths.items():
+
+    def stage(name: str) -> tuple:
         if not present[name]:
-            results.append((name, "skipped", 0, "no snapshot", 0))
-            continue
+            return (name, "skipped", 0, "no snapshot", 0)
         try:
-            results.append((name, "loaded", 1, "", stage_table(spark, path, f"{target_root}/{name}")))
+            return (name, "loaded", 1, "", stage_table(spark, bronze_paths[name], f"{target_root}/{name}"))
         except Exception as error:  # noqa: BLE001 - the result row carries it
-            results.append((name, "failed", 0, str(error).splitlines()[0], 0))
+            return (name, "failed", 0, str(error).splitlines()[0], 0)
+
+    results = list(run_together({name: partial(stage, name) for name in bronze_paths}).values())
     return spark.createDataFrame(results, RESULT_SCHEMA)

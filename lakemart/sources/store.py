@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from lakemart.operators.history import build_history, changed_versions
 from lakemart.operators.merge import past_marks, upsert
 from lakemart.operators.newest import LOAD_ID, SOURCE, newest_per_key
 from lakemart.sources import folders
+from lakemart.sources.together import run_together
 
 VERSION = "version"
 BUCKET = "bucket"
@@ -32,18 +33,16 @@ def write_model(df: DataFrame, path: str, partition_by: str | None = None) -> Da
 
 
 def write_models(
-    models: Mapping[str, DataFrame], root: str, partitioned: Mapping[str, str] | None = None, together: int = 4
+    models: Mapping[str, DataFrame], root: str, partitioned: Mapping[str, str] | None = None
 ) -> dict[str, DataFrame]:
-    """Write models that do not depend on each other, a few at a time, and return them as stored.
+    """Write models that do not depend on each other and return them as stored.
 
     What follows reads the stored tables and computes nothing twice.
     """
     partitioned = partitioned or {}
-    with ThreadPoolExecutor(together) as pool:
-        running = {
-            name: pool.submit(write_model, df, f"{root}/{name}", partitioned.get(name)) for name, df in models.items()
-        }
-        return {name: done.result() for name, done in running.items()}
+    return run_together(
+        {name: partial(write_model, df, f"{root}/{name}", partitioned.get(name)) for name, df in models.items()}
+    )
 
 
 @dataclass(frozen=True)

@@ -15,6 +15,13 @@ def numbers(spark, *values, schema="id int, v string"):
     return spark.createDataFrame(values, schema)
 
 
+def test_tables_go_to_the_folder_the_cluster_names(spark):
+    from lakemart.session import new_table_path
+
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert named and new_table_path(spark, "t").startswith(named)
+
+
 def test_table_path():
     assert bronze.table_path("/lake/", "crm", "pg", "public", "customers") == "/lake/crm/pg/public/customers"
 
@@ -44,8 +51,10 @@ def test_same_day_again_replaces_only_that_day(spark, tmp_path):
 
 def test_runs_of_a_day_are_numbered_and_kept(spark, tmp_path):
     path = str(tmp_path / "t")
-    assert [bronze.write_run(numbers(spark, (n, "x")), path, DAY(2024, 1, 1)) for n in range(11)] == list(range(11))
-    assert bronze.write_run(numbers(spark, (99, "other")), path, DAY(2023, 12, 31)) == 0
+    runs = [bronze.write_run(numbers(spark, (n, "x")), path, DAY(2024, 1, 1)) for n in range(11)]
+    assert runs == [(n, 1) for n in range(11)]
+    assert bronze.write_run(numbers(spark, (99, "other")), path, DAY(2023, 12, 31)) == (0, 1)
+    (tmp_path / "t" / "load_date=2024-01-01" / "run_seq=11" / "_temporary").mkdir(parents=True)
     assert rows(bronze.read_latest(spark, path), "id") == [(10,)]
     assert rows(bronze.latest_snapshot(spark.read.parquet(path)), "id") == [(10,)]
     assert spark.read.parquet(path).count() == 12
@@ -54,10 +63,14 @@ def test_runs_of_a_day_are_numbered_and_kept(spark, tmp_path):
 def test_group_lands_completely_or_not_at_all(spark, tmp_path):
     good = numbers(spark, (1, "a"))
     bad = good.withColumn("v", F.raise_error(F.lit("source gone")).cast("string"))
-    with pytest.raises(Exception, match="source gone"):
-        bronze.land_group({"good": good, "bad": bad}, str(tmp_path), DAY(2024, 1, 1), attempts=2, pause=0)
-    assert bronze.read_latest(spark, str(tmp_path / "good")) is None
-    assert bronze.land_group({"good": good}, str(tmp_path), DAY(2024, 1, 1)) == {"good": 1}
+    for earlier in (None, [(1, "a")]):
+        with pytest.raises(Exception, match="source gone"):
+            bronze.land_group({"good": good, "bad": bad}, str(tmp_path), DAY(2024, 1, 1), attempts=2, pause=0)
+        runs = folders.partition_values(spark, f"{tmp_path}/good/load_date=2024-01-01", "run_seq")
+        assert len(runs) == (0 if earlier is None else 1)
+        if earlier is None:
+            assert bronze.land_group({"good": good}, str(tmp_path), DAY(2024, 1, 1)) == {"good": 1}
+    assert rows(bronze.read_latest(spark, f"{tmp_path}/good"), "id", "v") == [(1, "a")]
 
 
 def test_bookkeeping_tables_are_not_counted(spark, tmp_path):
@@ -76,10 +89,10 @@ def test_retention_keeps_the_cutoff_day(spark, tmp_path):
     path = str(tmp_path / "t")
     for day in (DAY(2024, 1, 1), DAY(2024, 1, 2), DAY(2024, 1, 3)):
         bronze.write_day(numbers(spark, (1, "a")), path, day)
-    old = bronze.expired_days(spark, path, DAY(2024, 1, 12), 10)
-    assert old == [DAY(2024, 1, 1)]
-    assert bronze.drop_days(spark, path, old) == 1
-    assert sorted(bronze.partition_values(spark, path, bronze.DAY)) == ["2024-01-02", "2024-01-03"]
+    (tmp_path / "t" / "load_date=soon").mkdir()
+    assert bronze.purge(spark, {"t": path}, DAY(2024, 1, 12), 10) == {"t": (1, 2, 1)}
+    assert sorted(bronze.partition_values(spark, path, bronze.DAY)) == ["2024-01-02", "2024-01-03", "soon"]
+    assert bronze.read_latest(spark, path).count() == 1
 
 
 def test_partition_listing(spark):
