@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# What a job of this library expects; every value can be overridden by the cluster.
+# What a job of this library expects; keywords of ``build_session`` override them.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
