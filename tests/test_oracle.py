@@ -10,8 +10,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import compare  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from lakemart import catalog  # noqa: E402
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -37,5 +38,10 @@ def test_same_rows(spark, con, small_dir, name):
     assert same, note
 
 
+def test_registered():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
+
+
 def test_entry(spark, small_dir):
     assert entry.entry(spark).count() == 66
