@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame
 
 RANKS = "byte_bpe_50k.tiktoken"
 CUT = re.compile(r"(?<=\S)(?= \S)")
-CACHE_WORDS = 200_000  # words a worker keeps; beyond that it starts anew
+CACHE_WORDS = 500_000  # words a worker keeps; beyond that it starts anew
 SLICE_CHARS = 2_000_000  # text taken at a time
+RUN = 128  # tokens that one aggregate decodes
 NAMES = ["__id", "ids", "decoded", "same"]
 
 # A turn makes one row per token position of the words that are not finished, joins it with the merge table and
@@ -55,7 +56,7 @@ SELECT word, arg_max(ids, turn) AS ids FROM state GROUP BY word ORDER BY word
 """
 
 DECODE = """
-SELECT run, string_agg(vocabulary.text, '' ORDER BY tokens.place) AS text
+SELECT run, array_to_string(list(vocabulary.text ORDER BY tokens.place), '') AS text
 FROM tokens JOIN vocabulary USING (id) GROUP BY run ORDER BY run
 """
 
@@ -85,10 +86,10 @@ class RecursiveBpe:
         ranks = _ranks(path)
         self.pattern = regex.compile(pattern)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.ids: dict[str, tuple[int, ...]] = {}
-        self.texts: dict[tuple[int, ...], bytes] = {}
-        self.starts = np.zeros(max(ranks.values()) + 1, dtype=bool)
-        self.starts[[rank for word, rank in ranks.items() if word[0] < 128 and not word[:1].isalpha()]] = True
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}  # pieces as they are
+        self.spaced: dict[str, bytes] = {}  # pieces with the space before them left out
+        self.odd: set[str] = set()  # those that start or end with white space, or are empty
         self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         pairs, ids = _merges(ranks)
         merges = pa.table({"pair": pa.array(pairs, pa.int64()), "id": pa.array(ids, pa.int32())})
@@ -99,15 +100,15 @@ class RecursiveBpe:
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary")
         del merges, vocabulary
 
-    def encode_words(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of each word by the recursive query."""
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word by the recursive query, as little-endian 32-bit integers."""
         edges = np.zeros(len(words) + 1, dtype=np.int32)
         np.cumsum([len(word) for word in words], out=edges[1:])
         ids = pa.array(self.byte_ids[np.frombuffer(b"".join(words), np.uint8)])
         rows = {"word": pa.array(np.arange(len(words), dtype=np.int32)), "ids": pa.ListArray.from_arrays(edges, ids)}
         found = self._ask(ENCODE, "bytes", rows).column("ids").combine_chunks()
-        ends, flat = found.offsets.to_pylist(), found.values.to_pylist()
-        return [tuple(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+        ends, flat = (found.offsets.to_numpy() * 4).tolist(), found.values.to_numpy().astype("<i4").tobytes()
+        return [flat[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
     def _ask(self, query: str, name: str, rows: dict[str, pa.Array]) -> pa.Table:
         self.con.register(name, pa.table(rows))
@@ -116,41 +117,47 @@ class RecursiveBpe:
         finally:
             self.con.unregister(name)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text."""
-        cut = [CUT.split(text) if text else [] for text in texts]
-        split = {piece: self.pattern.findall(piece) for piece in {piece for pieces in cut for piece in pieces}}
-        words = {word for found in split.values() for word in found}
-        if len(self.ids) + len(words) > CACHE_WORDS:
-            self.ids = {}
-        if new := [word for word in words if word not in self.ids]:
-            self.ids.update(zip(new, self.encode_words([word.encode() for word in new]), strict=True))
-        ids = self.ids
-        whole = {piece: tuple(chain.from_iterable([ids[word] for word in found])) for piece, found in split.items()}
-        return [list(chain.from_iterable([whole[piece] for piece in pieces])) for pieces in cut]
-
-    def decode(self, documents: list[list[int]]) -> list[bytes]:
-        """Bytes of each list of ids. Ids are cut before tokens that start no letter; equal runs are decoded once."""
-        cut = [self._runs(ids) for ids in documents]
-        runs = {run for found in cut for run in found}
-        if len(self.texts) + len(runs) > CACHE_WORDS:
-            self.texts = {}
-        if new := [run for run in runs if run not in self.texts]:
-            lengths = [len(run) for run in new]
-            ids = np.fromiter(chain.from_iterable(new), np.int32, sum(lengths))
-            run = np.repeat(np.arange(len(new), dtype=np.int32), lengths)
-            rows = {"run": run, "place": np.arange(len(ids), dtype=np.int32), "id": ids}
-            texts = self._ask(DECODE, "tokens", {k: pa.array(v) for k, v in rows.items()}).column("text").to_pylist()
-            self.texts.update(zip(new, [text.encode("latin-1") for text in texts], strict=True))
-        texts = self.texts
-        return [b"".join([texts[run] for run in found]) for found in cut]
-
-    def _runs(self, ids: list[int]) -> list[tuple[int, ...]]:
-        if not ids:
-            return []
-        edges = np.flatnonzero(self.starts[np.array(ids[1:], dtype=np.int32)]) + 1
-        edges = [0, *edges.tolist(), len(ids)]
-        return [tuple(ids[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+    def _learn(self, cache: dict[str, bytes], pieces: list[str], space: str) -> None:
+        split = [self.pattern.findall(space + piece) for piece in pieces]
+        new = list(set(chain.from_iterable(split)) - self.words.keys())
+        if new:
+            self.words.update(zip(new, self.encode_words([word.encode() for word in new]), strict=True))
+        word = self.words.__getitem__
+        cache.update((piece, b"".join(map(word, found))) for piece, found in zip(pieces, split, strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        if max(len(self.words), len(self.pieces), len(self.spaced)) > CACHE_WORDS:
+            self.words, self.pieces, self.spaced, self.odd = {}, {}, {}, set()
+        # most texts have single spaces only; the others are cut with care
+        cut = [text.split(" ") for text in texts]
+        new = list(set(chain.from_iterable(pieces[1:] for pieces in cut)) - self.spaced.keys())
+        odd = [piece for piece in new if not piece or piece[0].isspace() or piece[-1].isspace()]
+        self.odd.update(odd)
+        self._learn(self.spaced, new, " ")
+        plain = [self.odd.isdisjoint(pieces) and not pieces[0][-1:].isspace() for pieces in cut]
+        careful = [CUT.split(text) if not ok else [] for text, ok in zip(texts, plain, strict=True)]
+        whole = set(chain.from_iterable(careful)) | {pieces[0] for pieces, ok in zip(cut, plain, strict=True) if ok}
+        self._learn(self.pieces, list(whole - self.pieces.keys()), "")
+        first, rest, out = self.pieces.__getitem__, self.spaced.__getitem__, []
+        for pieces, parts, ok in zip(cut, careful, plain, strict=True):
+            out.append(first(pieces[0]) + b"".join(map(rest, pieces[1:])) if ok else b"".join(map(first, parts)))
+        return out
+
+    def decode(self, documents: list[bytes]) -> list[bytes]:
+        """Bytes of each document's ids: tokens join the vocabulary, and runs of ``RUN`` tokens are put in order."""
+        lengths = np.array([len(ids) // 4 for ids in documents], dtype=np.int64)
+        ids = np.frombuffer(b"".join(documents), "<i4")
+        if not len(ids):
+            return [b""] * len(documents)
+        runs = -(-lengths // RUN)
+        place = np.arange(len(ids))
+        within = place - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        run = within // RUN + np.repeat(np.cumsum(runs) - runs, lengths)
+        rows = {"run": run.astype(np.int32), "place": place.astype(np.int32), "id": ids}
+        texts = self._ask(DECODE, "tokens", {k: pa.array(v) for k, v in rows.items()}).column("text").to_pylist()
+        ends = np.cumsum(runs).tolist()
+        return ["".join(texts[a:b]).encode("latin-1") for a, b in zip([0, *ends], ends, strict=False)]
 
 
 _worker: dict[tuple[str, str], RecursiveBpe] = {}
@@ -176,6 +183,11 @@ def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[list[str]]:
         yield part
 
 
+def _lists(documents: list[bytes]) -> pa.ListArray:
+    offsets = np.cumsum([0, *[len(ids) // 4 for ids in documents]]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(documents), "<i4")))
+
+
 def round_trip(
     documents: DataFrame,
     ranks_path: str | None = None,
@@ -193,7 +205,7 @@ def round_trip(
                 ids = bpe.encode(texts)
                 decoded = bpe.decode(ids)
                 same = [found == text.encode() for found, text in zip(decoded, texts, strict=True)]
-                columns = [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.binary()), pa.array(same)]
+                columns = [_lists(ids), pa.array(decoded, pa.binary()), pa.array(same)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), *columns], NAMES)
                 at += len(texts)
 
