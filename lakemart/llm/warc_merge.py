@@ -212,7 +212,7 @@ class LoserTree:
             self.winner = at
 
 
-def _run_file(path: str, run: int, part: int, rows: Iterator[Capture]) -> Iterator[dict]:
+def _run_file(path: str, run: int, part: int, rows: Iterator[Capture], block_rows: int) -> Iterator[dict]:
     """Write sorted rows in blocks; yields what the list of blocks has of each."""
     name = f"{path}/{run:08d}-{part:08d}.arrow"
     found = []
@@ -228,7 +228,7 @@ def _run_file(path: str, run: int, part: int, rows: Iterator[Capture]) -> Iterat
 
         for row in rows:
             held.append(row)
-            if len(held) == BLOCK_ROWS:
+            if len(held) == block_rows:
                 flush()
         if held:
             flush()
@@ -303,7 +303,9 @@ def write_archives(
     listed.mapInArrow(run, "archive long, file string, records long").write.parquet(f"{path}/archives")
 
 
-def captures(spark: SparkSession, path: str, fan_in: int = FAN_IN, range_rows: int = RANGE_ROWS) -> DataFrame:
+def captures(
+    spark: SparkSession, path: str, fan_in: int = FAN_IN, range_rows: int = RANGE_ROWS, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """Every capture of the archives, read back; ``part`` and ``place`` give the order over all."""
     archives = spark.read.parquet(f"{path}/archives").select("archive", "file")
     runs = f"{path}/runs"
@@ -314,7 +316,7 @@ def captures(spark: SparkSession, path: str, fan_in: int = FAN_IN, range_rows: i
                 with open_file(name) as file:
                     found = [parse(content, name, at, size) for at, size, content in members(file)]
                 found.sort(key=Capture.order)
-                yield pa.RecordBatch.from_pylist(list(_run_file(f"{runs}-0", archive, 0, iter(found))), BLOCKS)
+                yield pa.RecordBatch.from_pylist(list(_run_file(f"{runs}-0", archive, 0, iter(found), block_rows)), BLOCKS)
 
     _one_task_each(archives, "archive").mapInArrow(index, _BLOCK_DDL).write.parquet(f"{path}/blocks-0")
     level = 0
@@ -327,7 +329,7 @@ def captures(spark: SparkSession, path: str, fan_in: int = FAN_IN, range_rows: i
         target = f"{runs}-{level}"
 
         def again(group: int, part: int, rows: Iterator[tuple], target: str = target) -> pa.Table:
-            return pa.Table.from_pylist(list(_run_file(target, group, part, (row for _, row in rows))), BLOCKS)
+            return pa.Table.from_pylist(list(_run_file(target, group, part, (row for _, row in rows), block_rows)), BLOCKS)
 
         _merged(grouped, range_rows * fan_in, again, _BLOCK_DDL).write.parquet(f"{path}/blocks-{level}")
         blocks = spark.read.parquet(f"{path}/blocks-{level}")
