@@ -13,7 +13,7 @@ from lakemart.catalog.watch import freshness_check
 from lakemart.functions import money
 from lakemart.operators.monitor import load_summary as summarize
 from lakemart.session import new_table_path
-from lakemart.sources import bronze, load, meta, seed, staging
+from lakemart.sources import bronze, load, meta, seed, staging, tables
 from lakemart.sources.store import KeyedTable
 from lakemart.streaming import intake
 
@@ -26,7 +26,7 @@ def load_full(spark, sf_dir):
     orders = si.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     load.load(orders.where(F.col("o_orderstatus") == "F"), path, "full")
     load.load(orders, path, "full")
-    return spark.read.parquet(path)
+    return load.read_target(spark, path)
 
 
 def load_append(spark, sf_dir):
@@ -35,7 +35,7 @@ def load_append(spark, sf_dir):
     rows = si.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     load.load(rows, path, "append")
     load.load(rows, path, "append")
-    return spark.read.parquet(path)
+    return load.read_target(spark, path)
 
 
 def load_incremental_cursor(spark, sf_dir):
@@ -45,7 +45,7 @@ def load_incremental_cursor(spark, sf_dir):
     shared = {"table": "events", "cursor": "ts", "state": state}
     load.load(si.before_cut(events, "ts"), path, "incremental", run_id="1", **shared)
     load.load(events, path, "incremental", run_id="2", **shared)
-    return spark.read.parquet(path)
+    return load.read_target(spark, path)
 
 
 def load_row_counts(spark, sf_dir):
@@ -125,7 +125,7 @@ def stage_schema_reset(spark, sf_dir):
     staging.stage_table(spark, path, target)
     bronze.write_days(si.from_cut(days, "ts"), path)
     staging.stage_table(spark, path, target)
-    return spark.read.parquet(target).select("event_id", "user_id", "props")
+    return tables.read_table(spark, target).select("event_id", "user_id", "props")
 
 
 def bronze_merged_schema(spark, sf_dir):

@@ -7,7 +7,7 @@ from lakemart.functions.dates import (
     iso_weekday,
     month_date,
     month_key,
-    order_seconds,
+    time_slice,
 )
 from lakemart.functions.keys import name_parts, source_of, surrogate_key
 from lakemart.functions.measures import (
@@ -34,7 +34,6 @@ __all__ = [
     "month_date",
     "month_key",
     "name_parts",
-    "order_seconds",
     "percent",
     "ratio_if_positive",
     "safe_divide",
@@ -42,4 +41,5 @@ __all__ = [
     "sum_or_zero",
     "sum_where",
     "surrogate_key",
+    "time_slice",
 ]

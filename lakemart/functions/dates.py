@@ -44,16 +44,20 @@ def elapsed_hours(start: Column, end: Column, digits: int = 1) -> Column:
     return F.round(seconds / F.lit(3600.0), digits)
 
 
-def order_seconds(df: DataFrame, name: str) -> Column:
-    """A whole number that never falls as the column rises; used to cut a key into time slices."""
-    kind = df.schema[name].dataType
-    col = F.col(name)
-    if isinstance(kind, T.TimestampType):
-        return F.unix_seconds(col)
-    if isinstance(kind, T.TimestampNTZType):
-        # wall-clock arithmetic: no session time zone, so no repeated hour
-        clock = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
-        return F.unix_date(F.to_date(col)).cast("long") * 86400 + clock
-    if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("long")
-    return F.floor(col).cast("long")
+def time_slice(df: DataFrame, name: str, unit: str = "month") -> Column:
+    """The unit of time (``hour``, ``day``, ``month``, ``year``) a column lies in; it never falls as the column rises.
+
+    Text is taken to be ISO times, of which as many characters are used as name the unit. Numbers are seconds.
+    """
+    kind, col = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.date_trunc(unit, col)
+    if isinstance(kind, T.StringType):
+        return F.substring(col, 1, _ISO_CHARS[unit])
+    if isinstance(kind, T.NumericType):
+        return F.floor(col / F.lit(_SECONDS[unit])).cast("long")
+    raise TypeError(f"{name} has no order in time: {kind.simpleString()}")
+
+
+_ISO_CHARS = {"hour": 13, "day": 10, "month": 7, "year": 4}
+_SECONDS = {"hour": 3600, "day": 86_400, "month": 30 * 86_400, "year": 365 * 86_400}

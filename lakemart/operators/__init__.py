@@ -10,7 +10,6 @@ from lakemart.operators.history import (
 )
 from lakemart.operators.merge import insert_newer, merge_incremental, past_marks, rows_past_watermark, upsert
 from lakemart.operators.newest import current_rows, newest_per_key, stamp, union_sources
-from lakemart.operators.spread import hot_keys, mark_time_slices
 
 __all__ = [
     "apply_batch",
@@ -18,11 +17,9 @@ __all__ = [
     "changed_versions",
     "current_rows",
     "current_versions",
-    "hot_keys",
     "insert_newer",
     "join_path_contains",
     "lookup_current",
-    "mark_time_slices",
     "merge_incremental",
     "newest_per_key",
     "past_marks",

@@ -2,32 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakemart.operators.spread import HOT, HOT_SHARE, MIN_ROWS, SLICE, hot_keys, mark_time_slices
+from lakemart.functions.dates import time_slice
 
+SLICE = "_slice"
+# Every key is cut into slices of this unit of its time column, whatever the size of the table.
+UNIT = "month"
 
-def _slice_edges(rows: DataFrame, keys: Sequence[str], edge, name: str, neighbour) -> DataFrame:
-    """Per slice of a hot key, the value at the edge of the neighbouring slice.
 
-    Holds one row per slice of a hot key, which ``mark_time_slices`` bounds, so it can be broadcast.
+def _with_edge(
+    rows: DataFrame, source: DataFrame, keys: Sequence[str], edge: Column, name: str, neighbour: Callable
+) -> DataFrame:
+    """``rows`` with ``name``: ``edge`` of the same key's neighbouring slice in ``source``.
+
+    Rows are grouped by key and slice already; only one row per slice is shuffled by key.
     """
-    edges = rows.where(HOT).groupBy(*keys, SLICE).agg(edge.alias("_edge"))
+    edges = source.groupBy(*keys, SLICE).agg(edge.alias("_edge"))
     by_slice = Window.partitionBy(*keys).orderBy(SLICE)
-    return edges.select(
-        *[F.col(k).alias(f"_e_{k}") for k in keys],
-        F.col(SLICE).alias("_e_slice"),
-        neighbour("_edge").over(by_slice).alias(name),
-    )
-
-
-def _with_edge(rows: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    same = [F.col(k).eqNullSafe(F.col(f"_e_{k}")) for k in keys] + [F.col(SLICE) == F.col("_e_slice")]
-    return rows.join(F.broadcast(edges), same, "left").drop("_e_slice", *[f"_e_{k}" for k in keys])
+    parts = [*keys, SLICE]
+    edges = edges.select(*[F.col(c).alias(f"_e_{c}") for c in parts], neighbour("_edge").over(by_slice).alias(name))
+    same = [F.col(c).eqNullSafe(F.col(f"_e_{c}")) for c in parts]
+    return rows.join(edges, same, "left").drop(*[f"_e_{c}" for c in parts])
 
 
 def build_history(
@@ -36,34 +36,37 @@ def build_history(
     tracked: Sequence[str],
     updated_at: str,
     tie_breakers: Sequence[str] = (),
-    hot_share: int = HOT_SHARE,
-    min_rows: int = MIN_ROWS,
+    strategy: str = "check",
+    unit: str = UNIT,
 ) -> DataFrame:
     """One row per version: keys, tracked columns, ``valid_from``, ``valid_to``, ``is_current``.
 
-    Rows of a key in (updated_at, tie_breakers) order; neighbours with equal tracked values are one
-    version. A version ends where the next begins; the open one has no end. Both windows use the same
-    shuffle and sort. A hot key is spread over time slices and joined up at the slice edges.
+    Rows of a key in (updated_at, tie_breakers) order. With ``check`` neighbours with equal tracked values are
+    one version; with ``timestamp`` every time of a key opens a version, with the last row of that time.
+    A version ends where the next begins; the open one has no end.
+
+    Every key is cut into slices by ``unit`` (``hour``, ``day``, ``month`` or ``year``) of its time, so a task
+    sorts the rows of one key within one unit; slices are joined up at their edges. The plan is the same
+    for every table, and no job runs while it is made.
     """
-    narrow = rows.select(*keys, *tracked, updated_at, *tie_breakers)
-    hot = hot_keys(narrow, keys, updated_at, hot_share, min_rows)
-    sliced = mark_time_slices(narrow, keys, updated_at, hot)
-    value = F.struct(*tracked)
+    if strategy not in ("check", "timestamp"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    sliced = rows.select(*keys, *tracked, updated_at, *tie_breakers)
+    sliced = sliced.withColumn(SLICE, time_slice(sliced, updated_at, unit))
     position = [updated_at, *tie_breakers]
     in_slice = Window.partitionBy(*keys, SLICE).orderBy(*position)
-
-    before = F.lag(value).over(in_slice)
-    if hot is not None:
-        last_values = _slice_edges(sliced, keys, F.max_by(value, F.struct(*position)), "_carried", F.lag)
-        sliced = _with_edge(sliced, last_values, keys)
-        before = F.coalesce(before, F.col("_carried"))
-    starts = sliced.withColumn("_before", before).where(~F.col("_before").eqNullSafe(value))
-
-    valid_to = F.lead(updated_at).over(in_slice)
-    if hot is not None:
-        next_starts = _slice_edges(starts, keys, F.min(updated_at), "_next", F.lead)
-        starts = _with_edge(starts, next_starts, keys)
-        valid_to = F.coalesce(valid_to, F.col("_next"))
+    if strategy == "timestamp":
+        # the last row of each time; a row without a time opens no version
+        after = F.lead(updated_at).over(in_slice)
+        timed = sliced.where(F.col(updated_at).isNotNull()).withColumn("_after", after)
+        starts = timed.where(F.col("_after").isNull() | (F.col("_after") > F.col(updated_at)))
+    else:
+        value = F.struct(*tracked)
+        carried = _with_edge(sliced, sliced, keys, F.max_by(value, F.struct(*position)), "_carried", F.lag)
+        before = F.coalesce(F.lag(value).over(in_slice), F.col("_carried"))
+        starts = carried.withColumn("_before", before).where(~F.col("_before").eqNullSafe(value))
+    starts = _with_edge(starts, starts, keys, F.min(updated_at), "_next", F.lead)
+    valid_to = F.coalesce(F.lead(updated_at).over(in_slice), F.col("_next"))
     return starts.select(
         *keys,
         *tracked,
@@ -80,12 +83,13 @@ def changed_versions(
     tracked: Sequence[str],
     updated_at: str,
     tie_breakers: Sequence[str] = (),
-    **limits: int,
+    **how: str,
 ) -> DataFrame:
     """What the open versions become with one more batch: the ones it closes, and the open ones.
 
-    A new key is inserted, a change closes the open version and opens the next, anything not newer
-    than the open version is ignored.
+    A new key is inserted, a change closes the open version and opens the next. The batch must be newer than
+    all that the open versions have seen; rows not newer than a key's open version are ignored. ``HistoryTable``
+    keeps what it has seen and takes batches in any order.
     """
     open_rows = open_versions.select(*keys, *tracked, F.col("valid_from").alias(updated_at))
     since = open_rows.select(*keys, F.col(updated_at).alias("_since"))
@@ -96,13 +100,13 @@ def changed_versions(
         .drop("_since")
     )
     rows = open_rows.unionByName(newer, allowMissingColumns=True)
-    return build_history(rows, keys, tracked, updated_at, tie_breakers, **limits)
+    return build_history(rows, keys, tracked, updated_at, tie_breakers, **how)
 
 
-def apply_batch(history: DataFrame, batch: DataFrame, keys: Sequence[str], *shape, **limits: int) -> DataFrame:
+def apply_batch(history: DataFrame, batch: DataFrame, keys: Sequence[str], *shape, **how: str) -> DataFrame:
     """The history after one more batch; see ``changed_versions``. Closed versions pass without a shuffle."""
     closed = history.where(~F.col("is_current"))
-    return closed.unionByName(changed_versions(current_versions(history), batch, keys, *shape, **limits))
+    return closed.unionByName(changed_versions(current_versions(history), batch, keys, *shape, **how))
 
 
 def current_versions(history: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 from collections.abc import Iterable, Mapping
 from functools import partial
 
@@ -19,6 +20,8 @@ DAY = "load_date"
 RUN = "run_seq"
 # Loader bookkeeping tables; never counted as data.
 BOOKKEEPING = "_"
+# Markers of runs that were landed together, and of the groups that are complete.
+GROUP, GROUPS = "_group-", "_groups"
 
 
 def table_path(root: str, subject: str, source: str, schema: str, table: str) -> str:
@@ -41,10 +44,15 @@ def write_days(df: DataFrame, path: str, partition: str = DAY) -> None:
 
 
 def write_day(df: DataFrame, path: str, day: dt.date) -> int:
-    """Replace one day; returns the number of rows written, counted by the write itself."""
-    seen = Observation()
-    counted = df.withColumn(DAY, F.lit(day)).observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+    """Replace one day, also by no rows; returns the number of rows written, counted by the write itself.
+
+    The day is written beside the old one and takes its place when it is finished.
+    """
+    seen, spark = Observation(), df.sparkSession
+    draft = f"{path.rstrip('/')}/_{day.isoformat()}-{uuid.uuid4().hex}"
+    counted = df.drop(DAY).observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.parquet(draft)
+    folders.swap(spark, draft, _day_folder(path, day))
     return seen.get["rows"]
 
 
@@ -54,12 +62,19 @@ def next_run(spark: SparkSession, path: str, day: dt.date) -> int:
     return 1 + max((int(v) for v in earlier), default=-1)
 
 
-def write_run(df: DataFrame, path: str, day: dt.date, run: int | None = None) -> tuple[int, int]:
-    """Add a run to a day and keep the earlier ones; returns its number and its rows."""
+def write_run(
+    df: DataFrame, path: str, day: dt.date, run: int | None = None, group: str | None = None
+) -> tuple[int, int]:
+    """Add a run to a day and keep the earlier ones; returns its number and its rows.
+
+    A run counts when it is marked as done; a run of a group when the group is.
+    """
     run = next_run(df.sparkSession, path, day) if run is None else run
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(f"{_day_folder(path, day)}/{RUN}={run}")
+    folder = f"{_day_folder(path, day)}/{RUN}={run}"
+    counted.write.mode("overwrite").parquet(folder)
+    folders.touch(df.sparkSession, f"{folder}/{GROUP}{group}" if group else f"{folder}/{folders.DONE}")
     return run, seen.get["rows"]
 
 
@@ -72,15 +87,20 @@ def land_group(
 ) -> dict[str, int]:
     """Land the tables of one source as a run of a day, all of them or none; returns rows per table.
 
+    All runs become visible at once, by one marker that is written last; if the driver is lost before, none is.
     The whole group is tried again after a failure. A failed attempt leaves no run behind, and earlier
     runs of the day stay as they were.
     """
     paths = {name: f"{root}/{name}" for name in tables}
     for attempt in range(1, attempts + 1):
+        group = uuid.uuid4().hex
         runs = {name: next_run(df.sparkSession, paths[name], day) for name, df in tables.items()}
-        work = {name: partial(write_run, df, paths[name], day, runs[name]) for name, df in tables.items()}
+        work = {name: partial(write_run, df, paths[name], day, runs[name], group) for name, df in tables.items()}
         try:
-            return {name: rows for name, (_, rows) in run_together(work).items()}
+            landed = {name: rows for name, (_, rows) in run_together(work).items()}
+            for df in list(tables.values())[:1]:
+                folders.touch(df.sparkSession, f"{root}/{GROUPS}/{group}")
+            return landed
         except Exception:
             for name, df in tables.items():
                 folders.drop(df.sparkSession, f"{_day_folder(paths[name], day)}/{RUN}={runs[name]}")
@@ -90,6 +110,17 @@ def land_group(
     return {}
 
 
+def finished_runs(spark: SparkSession, path: str, day: dt.date) -> list[int]:
+    """Runs of a day that count, oldest first."""
+    groups = set(folders.names(spark, f"{path.rstrip('/').rpartition('/')[0]}/{GROUPS}"))
+    done = []
+    for run in sorted(int(v) for v in partition_values(spark, _day_folder(path, day), RUN)):
+        for name in folders.names(spark, f"{_day_folder(path, day)}/{RUN}={run}"):
+            if name == folders.DONE or name.startswith(GROUP) and name.removeprefix(GROUP) in groups:
+                done.append(run)
+    return done
+
+
 def latest_snapshot(bronze: DataFrame) -> DataFrame:
     """Rows of the newest day, and of its newest run if runs are kept.
 
@@ -121,8 +152,7 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
         folder = _day_folder(path, day)
         if not partition_values(spark, folder, RUN):
             return spark.read.parquet(folder)
-        # a run that was not finished does not count
-        if runs := folders.finished_versions(spark, folder, RUN):
+        if runs := finished_runs(spark, path, day):
             return spark.read.parquet(f"{folder}/{RUN}={runs[-1]}")
     return None
 

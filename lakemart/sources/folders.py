@@ -26,13 +26,39 @@ def partition_values(spark: SparkSession, path: str, partition: str) -> list[str
     return [n.split("=", 1)[1] for n in names(spark, path) if n.startswith(f"{partition}=")]
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, with the folders above it. It is there or it is not, so it can mark the end of a write."""
+    files, place = _file_system(spark, path)
+    files.create(place, True).close()
+
+
+DONE = "_done"
+
+
 def finished_versions(spark: SparkSession, path: str, partition: str = "version") -> list[int]:
-    """Numbered versions whose write was completed, oldest first."""
+    """Numbered versions that were marked as done, oldest first; job marker files are not relied on."""
     numbers = sorted(int(v) for v in partition_values(spark, path, partition))
-    return [n for n in numbers if exists(spark, f"{path}/{partition}={n}/_SUCCESS")]
+    return [n for n in numbers if exists(spark, f"{path}/{partition}={n}/{DONE}")]
+
+
+def newest_version(spark: SparkSession, path: str, partition: str = "version") -> int | None:
+    """The newest version that is done; unfinished ones after it cost a look each."""
+    for n in sorted((int(v) for v in partition_values(spark, path, partition)), reverse=True):
+        if exists(spark, f"{path}/{partition}={n}/{DONE}"):
+            return n
+    return None
 
 
 def drop(spark: SparkSession, path: str) -> bool:
     """Delete a folder; whether it was there."""
     files, folder = _file_system(spark, path)
     return bool(files.delete(folder, True))
+
+
+def swap(spark: SparkSession, new: str, target: str) -> None:
+    """Put a finished folder in the place of another."""
+    files, folder = _file_system(spark, target)
+    files.delete(folder, True)
+    files.mkdirs(folder.getParent())
+    if not files.rename(_file_system(spark, new)[1], folder):
+        raise OSError(f"{new} could not be moved to {target}")

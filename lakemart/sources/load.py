@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.functions.dates import cursor_start
+from lakemart.sources import folders
 from lakemart.sources.bronze import table_exists
 
 # Newest cursor value seen per table and run; append-only, so a lost run leaves the last good value.
@@ -20,6 +22,17 @@ STATE_SCHEMA = T.StructType(
         T.StructField("run_id", T.StringType()),
     ]
 )
+# What a run leaves with its rows: its result, and the folders that make up the table after it.
+RUN_SCHEMA = T.StructType(
+    [
+        T.StructField("run_id", T.StringType(), False),
+        T.StructField("strategy", T.StringType(), False),
+        T.StructField("row_count", T.LongType(), False),
+        T.StructField("cursor_value", T.StringType()),
+        T.StructField("folders", T.ArrayType(T.StringType()), False),
+    ]
+)
+RUNS = "_runs"
 
 
 @dataclass(frozen=True)
@@ -29,14 +42,22 @@ class LoadResult:
     cursor_value: str | None = None
 
 
-def load_full(source: DataFrame, target: str) -> LoadResult:
+def read_target(spark: SparkSession, target: str) -> DataFrame:
+    """The table as the newest finished run left it; columns added later are null before."""
+    last = _last_run(spark, target)
+    if last is None:
+        raise FileNotFoundError(f"nothing was loaded to {target}")
+    return spark.read.option("mergeSchema", "true").parquet(*[f"{target}/{folder}" for folder in last["folders"]])
+
+
+def load_full(source: DataFrame, target: str, run_id: str = "") -> LoadResult:
     """Every row, replacing the target."""
-    return LoadResult("full", _write(source, target, "overwrite")["rows"])
+    return _run(source, target, "full", run_id, replace=True)
 
 
-def load_append(source: DataFrame, target: str) -> LoadResult:
+def load_append(source: DataFrame, target: str, run_id: str = "") -> LoadResult:
     """Every row, added to the target."""
-    return LoadResult("append", _write(source, target, "append")["rows"])
+    return _run(source, target, "append", run_id, replace=False)
 
 
 def load_incremental(
@@ -53,23 +74,27 @@ def load_incremental(
     The first run has no state and loads everything. Without a stored value ``initial_value`` is the
     start. Rows equal to the stored value are read again, because more of them may have arrived;
     the keyed merge that follows absorbs the repeats. The filter reaches the source scan, and the
-    new cursor value is observed during the write.
+    new cursor value is observed during the write. Rows and cursor are committed together; ``state`` is the log of
+    all tables, written after that.
     """
     spark = source.sparkSession
-    first_run = not table_exists(spark, state)
+    before = _last_run(spark, target)
+    first_run = before is None and not table_exists(spark, state)
     kind = source.schema[cursor].dataType.simpleString()
     fresh = source
     if not first_run:
-        start = _stored_cursor(spark, state, table)
+        start = _newest_cursor(spark, target) or _stored_cursor(spark, state, table)
         if start is not None:
             fresh = source.where(F.col(cursor) >= F.lit(start).cast(kind))
         elif initial_value:
             fresh = source.where(F.col(cursor) >= cursor_start(F.lit(initial_value)).cast(kind))
     newest = F.max(cursor).cast("string").alias("newest")
-    seen = _write(fresh, target, "overwrite" if first_run else "append", newest)
-    row = (table, seen["newest"], seen["rows"], run_id)
-    spark.createDataFrame([row], STATE_SCHEMA).coalesce(1).write.mode("append").parquet(state)
-    return LoadResult("full" if first_run else "incremental", seen["rows"], seen["newest"])
+    strategy = "full" if first_run else "incremental"
+    result = _run(fresh, target, strategy, run_id, replace=first_run, newest=newest)
+    if not _logged(spark, state, table, run_id):
+        row = (table, result.cursor_value, result.rows, run_id)
+        spark.createDataFrame([row], STATE_SCHEMA).coalesce(1).write.mode("append").parquet(state)
+    return result
 
 
 def load(
@@ -85,16 +110,64 @@ def load(
 ) -> LoadResult:
     """Load by strategy name; ``incremental`` without a cursor column is an append of everything."""
     if strategy == "full":
-        return load_full(source, target)
+        return load_full(source, target, run_id)
     if strategy == "incremental" and cursor and state:
         return load_incremental(source, target, table, cursor, state, run_id, initial_value)
-    return load_append(source, target)
+    return load_append(source, target, run_id)
+
 
+def _run(
+    source: DataFrame, target: str, strategy: str, run_id: str, replace: bool, newest: Column | None = None
+) -> LoadResult:
+    """Write a run's rows to a folder of their own, then the record that makes them part of the table.
 
-def _write(df: DataFrame, target: str, mode: str, *metrics) -> dict:
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).write.mode(mode).parquet(target)
-    return seen.get
+    A run that is repeated under its id, because its end was not seen, finds its record and adds nothing. A run that
+    failed before its record left nothing that readers see.
+    """
+    spark = source.sparkSession
+    done = folders.finished_versions(spark, f"{target}/{RUNS}")
+    records = _records(spark, target, done)
+    if run_id and (known := [row for row in records if row["run_id"] == run_id]):
+        return LoadResult(known[0]["strategy"], known[0]["row_count"], known[0]["cursor_value"])
+    number = done[-1] + 1 if done else 0
+    folder, seen = f"rows-{number:08d}", Observation()
+    metrics = [F.count(F.lit(1)).alias("rows"), *([newest] if newest is not None else [])]
+    source.observe(seen, *metrics).write.mode("overwrite").parquet(f"{target}/{folder}")
+    got = seen.get
+    kept = [] if replace or not records else records[-1]["folders"]
+    row = (run_id, strategy, got["rows"], got.get("newest"), [*kept, folder])
+    record = f"{target}/{RUNS}/version={number}"
+    spark.createDataFrame([row], RUN_SCHEMA).coalesce(1).write.mode("overwrite").parquet(record)
+    folders.touch(spark, f"{record}/{folders.DONE}")
+    return LoadResult(strategy, got["rows"], got.get("newest"))
+
+
+def _records(spark: SparkSession, target: str, versions: Sequence[int]) -> list[Row]:
+    """What the runs left, oldest first; one row per run."""
+    if not versions:
+        return []
+    paths = [f"{target}/{RUNS}/version={n}" for n in versions]
+    rows = spark.read.schema(RUN_SCHEMA).option("basePath", f"{target}/{RUNS}").parquet(*paths)
+    return rows.withColumn("n", F.col("_metadata.file_path")).orderBy(F.regexp_extract("n", r"version=(\d+)", 1).cast("long")).collect()
+
+
+def _last_run(spark: SparkSession, target: str) -> Row | None:
+    version = folders.newest_version(spark, f"{target}/{RUNS}")
+    return None if version is None else _records(spark, target, [version])[0]
+
+
+def _newest_cursor(spark: SparkSession, target: str) -> str | None:
+    """The cursor of the newest run that saw a row."""
+    done = folders.finished_versions(spark, f"{target}/{RUNS}")
+    seen = [row["cursor_value"] for row in _records(spark, target, done) if row["cursor_value"] is not None]
+    return seen[-1] if seen else None
+
+
+def _logged(spark: SparkSession, state: str, table: str, run_id: str) -> bool:
+    if not run_id or not table_exists(spark, state):
+        return False
+    log = spark.read.schema(STATE_SCHEMA).parquet(state)
+    return not log.where((F.col("table_name") == table) & (F.col("run_id") == run_id)).isEmpty()
 
 
 def _stored_cursor(spark: SparkSession, state: str, table: str) -> str | None:

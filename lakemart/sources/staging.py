@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from lakemart.sources.bronze import DAY, read_latest
 from lakemart.sources.folders import partition_values
+from lakemart.sources.tables import replace_table
 from lakemart.sources.together import run_together
 
 RESULT_SCHEMA = T.StructType(
@@ -29,7 +30,9 @@ class NothingToStage(RuntimeError):
 
 
 def stage_table(spark: SparkSession, bronze_path: str, target: str) -> int:
-    """Replace one staging table by the newest snapshot; returns its rows.
+    """Replace one staging table by the newest snapshot; returns its rows. ``tables.read_table`` reads it.
+
+    Readers keep the old table until the new one is finished.
 
     The snapshot's own schema is what gets written, so a column added or dropped at the source
     resets the staging table instead of failing on the old layout.
@@ -39,7 +42,7 @@ def stage_table(spark: SparkSession, bronze_path: str, target: str) -> int:
         raise FileNotFoundError("no snapshot")
     seen = Observation()
     snapshot = newest.observe(seen, F.count(F.lit(1)).alias("rows"))
-    snapshot.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
+    replace_table(snapshot, target)
     return seen.get["rows"]
 
 

@@ -2,6 +2,7 @@ import datetime as dt
 import hashlib
 from decimal import Decimal
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -75,9 +76,12 @@ def test_conditional_aggregates(spark):
     assert tuple(got) == (Decimal("1.50"), Decimal("0.00"), 2, 1.75, 0.0)
 
 
-def test_order_seconds_rises_with_the_column(spark):
+def test_time_slice_never_falls_as_the_column_rises(spark):
     df = spark.createDataFrame(
-        [(dt.datetime(2024, 1, 1, 23, 59, 59),), (dt.datetime(2024, 1, 2),)], "t timestamp_ntz"
+        [(dt.datetime(2024, 1, 1, 23, 59, 59),), (dt.datetime(2024, 1, 2),), (dt.datetime(2024, 2, 1),)], "t timestamp_ntz"
     )
-    low, high = sorted(r[0] for r in df.select(fn.order_seconds(df, "t")).collect())
-    assert high - low == 1
+    for unit, different in (("hour", 3), ("day", 3), ("month", 2), ("year", 1)):
+        cut = [r[0] for r in df.orderBy("t").select(fn.time_slice(df, "t", unit)).collect()]
+        assert cut == sorted(cut) and len(set(cut)) == different
+    with pytest.raises(TypeError, match="no order"):
+        fn.time_slice(df.select(F.array("t").alias("t")), "t")

@@ -1,12 +1,14 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from lakemart import functions as fn
 from lakemart import operators as op
-from lakemart.operators import spread
+from lakemart.sources.store import HistoryTable
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "k string, a string, t timestamp_ntz, n int"
@@ -56,33 +58,90 @@ def test_random_history(spark):
     assert rows(build(spark, data)) == history_by_hand(data)
 
 
-@pytest.mark.parametrize("hot_share, min_rows", [(20, 50), (1000, 30), (3, 10)])
-def test_sliced_hot_keys_give_the_same_history(spark, hot_share, min_rows):
+@pytest.mark.parametrize("unit", ["hour", "day", "month", "year"])
+def test_slices_of_any_unit_give_the_same_history(spark, unit):
     data = events(1500, 2)
+    assert rows(build(spark, data, unit=unit)) == history_by_hand(data)
+
+
+def test_outliers_do_not_change_the_slices(spark):
+    """The largest slice has as many rows with a first and a last day of time in the table as without."""
+
+    def largest(data):
+        df = spark.createDataFrame(data, SCHEMA)
+        sliced = df.groupBy("k", fn.time_slice(df, "t", "day").alias("s")).count()
+        return sliced.agg(F.max("count")).first()[0]
+
+    data = [("hot", "ab"[n % 2], at(n // 50), n) for n in range(2000)]
+    ends = [("hot", "a", dt.datetime(1970, 1, 1), -1), ("hot", "a", dt.datetime(9999, 12, 31), -2)]
+    assert largest(data) == largest(data + ends) == 50
+    assert rows(build(spark, data + ends, unit="day")) == history_by_hand(data + ends)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "date", "string", "long"])
+def test_any_time_column_can_be_cut(spark, kind):
+    data = [(k, v, t.replace(hour=0, second=0, minute=0), n) for k, v, t, n in events(300, 6)]
     df = spark.createDataFrame(data, SCHEMA)
-    hot = op.hot_keys(df, ["k"], "t", hot_share, min_rows)
-    sliced = op.mark_time_slices(df, ["k"], "t", hot)
-    assert "hot" in {r[0] for r in hot.select("_hot_k").collect()}
-    assert sliced.where("_hot").select("k", "_slice").distinct().count() > 4
-    assert rows(build(spark, data, hot_share=hot_share, min_rows=min_rows)) == history_by_hand(data)
+    cast = F.unix_seconds(F.col("t").cast("timestamp")) if kind == "long" else F.col("t").cast(kind)
+    got = op.build_history(df.withColumn("t", cast), ["k"], ["a"], "t", ["n"])
+    assert got.count() == len(history_by_hand(data)) and got.where("is_current").count() == len({r[0] for r in data})
 
 
-def test_slices_follow_time_and_spread_the_key(spark):
-    df = spark.createDataFrame([("hot", "a", at(0, s * 60), s) for s in range(2000)], SCHEMA)
-    hot = op.hot_keys(df, ["k"], "t", hot_share=10, min_rows=10)
-    cut = op.mark_time_slices(df, ["k"], "t", hot).groupBy(spread.SLICE).agg(F.min("t"), F.max("t"), F.count("*"))
-    slices = sorted(tuple(r) for r in cut.collect())
-    assert len(slices) == 10 * spread.FINER
-    assert all(a[2] < b[1] for a, b in zip(slices, slices[1:]))
-    assert max(s[3] for s in slices) <= 2000 / 10
+def test_one_plan_and_no_job_while_it_is_made(spark):
+    def plan(data):
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+        df = build(spark, data)
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+        return re.sub(r"#\d+L?|\[.*?\]", "", text)
 
+    assert plan(events(10, 1)) == plan(events(3000, 1, hot_part=0.9))
 
-def test_no_hot_key_needs_no_slices(spark):
-    df = spark.createDataFrame(events(100, 3), SCHEMA)
-    assert op.hot_keys(df, ["k"], "t") is None
+
+def timestamps_by_hand(data):
+    out = []
+    for key in sorted({r[0] for r in data}):
+        last = {}
+        for _, value, when, n in sorted((r for r in data if r[0] == key), key=lambda r: (r[2], r[3])):
+            last[when] = value
+        times = sorted(last)
+        for since, until in zip(times, [*times[1:], None]):
+            out.append((key, last[since], since, until, until is None))
+    return sorted(out, key=repr)
+
+
+def test_timestamp_strategy_opens_a_version_for_each_time(spark):
+    data = events(800, 7)
+    assert rows(build(spark, data, strategy="timestamp")) == timestamps_by_hand(data)
+    with pytest.raises(ValueError, match="strategy"):
+        build(spark, data, strategy="other")
+
+
+@pytest.mark.parametrize("strategy", ["check", "timestamp"])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_batches_in_any_order_give_the_whole_history(spark, tmp_path, strategy, seed):
+    data, draw = events(400, seed), random.Random(seed)
+    draw.shuffle(data)
+    table = HistoryTable(spark, str(tmp_path / "h"), ["k"], ["a"], "t", ["n"], strategy)
+    want = history_by_hand if strategy == "check" else timestamps_by_hand
+    for end in (100, 250, 250, 400):
+        start = {100: 0, 250: 100, 400: 250}[end]
+        table.apply(spark.createDataFrame(data[start:end], SCHEMA))
+        assert rows(table.read(), "k", "a", "valid_from", "valid_to", "is_current") == want(data[:end])
+    table.keep(1)
+    assert rows(table.read(), "k", "a", "valid_from", "valid_to", "is_current") == want(data)
+
+
+def test_late_row_between_equal_ones(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "h"), ["k"], ["a"], "t", ["n"])
+    for row in (("x", "a", at(10), 1), ("x", "a", at(20), 2), ("x", "b", at(15), 3)):
+        table.apply(spark.createDataFrame([row], SCHEMA))
+    assert rows(table.read(), "a", "valid_from", "is_current") == [
+        ("a", at(10), False), ("a", at(20), True), ("b", at(15), False),
+    ]
 
 
-@pytest.mark.parametrize("limits", [{}, {"hot_share": 20, "min_rows": 20}])
+@pytest.mark.parametrize("limits", [{}, {"unit": "day"}])
 def test_batches_add_up_to_the_whole_history(spark, limits):
     data = sorted(events(900, 4), key=lambda r: (r[2], r[3]))
     cuts = [at(8), at(20)]

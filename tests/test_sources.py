@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from lakemart.operators import monitor
-from lakemart.sources import bronze, folders, load, meta, rdbms, seed, staging
+from lakemart.sources import bronze, folders, load, meta, rdbms, seed, staging, tables
 from lakemart.sources.store import HistoryTable, KeyedTable, write_models
 
 DAY = dt.date
@@ -113,7 +113,7 @@ def test_staging_replaces_skips_and_reports(spark, tmp_path):
     bronze.write_day(numbers(spark, (3, "c", 1.5), schema="id int, v string, extra double"), f"{lake}/t", DAY(2024, 1, 2))
     results = staging.stage_group(spark, paths, stage)
     assert rows(results) == [("none", "skipped", 0, "no snapshot", 0), ("t", "loaded", 1, "", 1)]
-    assert rows(spark.read.parquet(f"{stage}/t")) == [(3, "c", 1.5)]
+    assert rows(tables.read_table(spark, f"{stage}/t")) == [(3, "c", 1.5)]
     assert rows(monitor.load_summary(results)) == [("OK", 1, 1, 1), ("SKIP", 1, 0, 0)]
 
 
@@ -145,7 +145,7 @@ def test_incremental_load(spark, tmp_path):
     assert (nothing.rows, nothing.cursor_value) == (0, None)
     again = load.load(more, target, "incremental", run_id="4", **shared)
     assert again.rows == 1
-    assert rows(spark.read.parquet(target).distinct(), "id") == [(1,), (2,), (3,), (4,)]
+    assert rows(load.read_target(spark, target).distinct(), "id") == [(1,), (2,), (3,), (4,)]
 
 
 def test_initial_value_starts_a_new_table_of_a_known_source(spark, tmp_path):
@@ -162,9 +162,9 @@ def test_incremental_without_cursor_and_append_add_everything(spark, tmp_path):
     target, data = str(tmp_path / "t"), numbers(spark, (1, "a"))
     assert load.load(data, target, "append").rows == 1
     assert load.load(data, target, "incremental").strategy == "append"
-    assert spark.read.parquet(target).count() == 2
+    assert load.read_target(spark, target).count() == 2
     assert load.load(data, target, "full").rows == 1
-    assert spark.read.parquet(target).count() == 1
+    assert load.read_target(spark, target).count() == 1
 
 
 def test_seed_round_trip(spark, tmp_path):
@@ -241,16 +241,121 @@ def test_new_column_appears_in_buckets_not_yet_rewritten(spark, tmp_path):
     assert rows(table.read().where("extra is not null"), "id", "extra") == [(3, 7)] and table.read().count() == 20
 
 
-def test_repeated_batch_writes_the_same_version(spark, tmp_path):
+def test_repeated_batch_is_recognised(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
-    table.merge_batch(numbers(spark, (1, "a", 5, "x"), schema=SCHEMA), 0)
+    table.merge_batch(numbers(spark, (1, "a", 5, "x"), schema=SCHEMA), "s", 0)
     second = numbers(spark, (1, "older", 4, "x"), (2, "b", 1, "x"), schema=SCHEMA)
-    table.merge_batch(second, 1)
-    table.merge_batch(second, 1)
+    assert [table.merge_batch(second, "s", 1), table.merge_batch(second, "s", 1)] == [1, 1]
     assert table.versions() == [0, 1]
     assert rows(table.read(), "id", "v") == [(1, "a"), (2, "b")]
 
 
+def test_stream_batch_numbers_are_not_versions(spark, tmp_path):
+    """Refresh, then batch 0 of a stream, then batch 0 of the stream that follows a lost checkpoint."""
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
+    table.refresh(numbers(spark, *[(n, "a", 1, "x") for n in range(10)], schema=SCHEMA))
+    table.merge_batch(numbers(spark, (3, "b", 2, "x"), schema=SCHEMA), "first", 0)
+    table.merge_batch(numbers(spark, (4, "c", 3, "x"), schema=SCHEMA), "second", 0)
+    assert table.read().count() == 10 and rows(table.read().where("v <> 'a'"), "id", "v") == [(3, "b"), (4, "c")]
+
+
+@pytest.mark.parametrize("first, second", [(4, 7), (7, 4)])
+def test_bucket_count_of_the_table_is_used(spark, tmp_path, first, second):
+    KeyedTable(spark, str(tmp_path / "t"), ["id"], buckets=first).refresh(
+        numbers(spark, *[(n, "old", 1, "x") for n in range(40)], schema=SCHEMA)
+    )
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"], buckets=second)
+    table.refresh(numbers(spark, *[(n, "new", 2, "x") for n in range(0, 40, 3)], schema=SCHEMA))
+    want = [(n, "new" if n % 3 == 0 else "old") for n in range(40)]
+    assert sorted(rows(table.read(), "id", "v")) == want
+    table.rebucket(second)
+    table.refresh(numbers(spark, *[(n, "newer", 3, "x") for n in range(0, 40, 2)], schema=SCHEMA))
+    assert rows(table.read(), "id") == [(n,) for n in sorted(range(40), key=lambda n: repr((n,)))]
+    assert table.read().where("v = 'newer'").count() == 20
+    assert table.keep(1) > 0 and table.read().count() == 40
+
+
+def test_whole_number_keys_of_any_type_meet(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
+    table.refresh(numbers(spark, *[(n, "old", 1, "x") for n in range(20)], schema=SCHEMA))
+    table.refresh(numbers(spark, (7, "new", 2, "x"), (2**40, "big", 2, "x"), schema=SCHEMA.replace("id int", "id long")))
+    table.refresh(numbers(spark, (8, "newer", 3, "x"), schema=SCHEMA))
+    assert table.read().count() == 21 and table.read().schema["id"].dataType.simpleString() == "bigint"
+    assert rows(table.read().where("v <> 'old'"), "id", "v") == [(1099511627776, "big"), (7, "new"), (8, "newer")]
+    with pytest.raises(ValueError, match="key id"):
+        table.refresh(numbers(spark, ("7", "new", 9, "x"), schema=SCHEMA.replace("id int", "id string")))
+
+
+def test_first_refresh_may_be_empty(spark, tmp_path):
+    table, none = KeyedTable(spark, str(tmp_path / "t"), ["id"]), numbers(spark, schema=SCHEMA)
+    assert table.refresh(none) == 0 and table.read().count() == 0
+    assert table.refresh(none) == 0
+    assert table.refresh(numbers(spark, (1, "a", 1, "x"), schema=SCHEMA)) == 1
+    assert rows(table.read(), "id", "v") == [(1, "a")]
+    assert not folders.names(spark, f"{tmp_path}/t/batch")
+
+
+def test_merge_that_fails_shows_nothing(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
+    table.refresh(numbers(spark, (1, "a", 1, "x"), schema=SCHEMA))
+    bad = numbers(spark, (1, "b", 2, "x"), schema=SCHEMA).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        table.refresh(bad)
+    assert rows(table.read(), "id", "v") == [(1, "a")]
+
+
+def failing(spark):
+    return numbers(spark, (1, "a")).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+
+
+def test_failed_replacement_leaves_the_old_table(spark, tmp_path):
+    path, day = str(tmp_path / "m"), DAY(2024, 1, 1)
+    write_models({"m": numbers(spark, (1, "a"))}, str(tmp_path))
+    bronze.write_day(numbers(spark, (1, "a")), f"{tmp_path}/d", day)
+    load.load_full(numbers(spark, (1, "a")), f"{tmp_path}/f", "1")
+    for write in (
+        lambda: write_models({"m": failing(spark)}, str(tmp_path)),
+        lambda: bronze.write_day(failing(spark), f"{tmp_path}/d", day),
+        lambda: load.load_full(failing(spark), f"{tmp_path}/f", "2"),
+    ):
+        with pytest.raises(Exception, match="lost"):
+            write()
+    assert rows(tables.read_table(spark, path)) == [(1, "a")]
+    assert rows(bronze.read_latest(spark, f"{tmp_path}/d")) == [(1, "a")]
+    assert rows(load.read_target(spark, f"{tmp_path}/f")) == [(1, "a")]
+    for _ in range(4):
+        write_models({"m": numbers(spark, (2, "b"))}, str(tmp_path))
+    assert rows(tables.read_table(spark, path)) == [(2, "b")]
+    assert len(folders.finished_versions(spark, path)) == tables.KEPT
+
+
+def test_repeated_load_adds_nothing(spark, tmp_path):
+    target, data = str(tmp_path / "t"), numbers(spark, (1, "a"), (2, "b"))
+    assert [load.load_append(data, target, "run-1").rows for _ in range(3)] == [2, 2, 2]
+    assert load.read_target(spark, target).count() == 2
+    load.load_append(data, target, "run-2")
+    assert load.read_target(spark, target).count() == 4
+    with pytest.raises(FileNotFoundError):
+        load.read_target(spark, str(tmp_path / "none"))
+
+
+def test_a_day_without_rows_is_empty(spark, tmp_path):
+    path, day = str(tmp_path / "t"), DAY(2024, 1, 1)
+    assert bronze.write_day(numbers(spark, *[(n, "a") for n in range(5)]), path, day) == 5
+    assert bronze.write_day(numbers(spark, (1, "a")).limit(0), path, day) == 0
+    assert bronze.read_latest(spark, path).count() == 0
+
+
+def test_group_without_its_marker_is_invisible(spark, tmp_path):
+    """The driver is lost after the tables were written and before the marker was."""
+    root, day = str(tmp_path), DAY(2024, 1, 1)
+    bronze.land_group({"a": numbers(spark, (1, "a")), "b": numbers(spark, (1, "b"))}, root, day)
+    bronze.write_run(numbers(spark, (2, "a"), (3, "a")), f"{root}/a", day, group="lost")
+    assert rows(bronze.read_latest(spark, f"{root}/a"), "id") == [(1,)]
+    bronze.land_group({"a": numbers(spark, (9, "a")), "b": numbers(spark, (9, "b"))}, root, day)
+    assert rows(bronze.read_latest(spark, f"{root}/a"), "id") == rows(bronze.read_latest(spark, f"{root}/b"), "id") == [(9,)]
+
+
 def test_history_table_adds_closed_versions_only(spark, tmp_path):
     table = HistoryTable(spark, str(tmp_path / "h"), ["id"], ["v"], "at")
     schema = "id int, v string, at int"
