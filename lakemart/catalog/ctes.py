@@ -146,7 +146,7 @@ VIEWS = {
                      max(disc) AS disc, max(tax) AS tax
               FROM day_work JOIN cal c USING (d) JOIN months mo ON c.mk = mo.mk
               GROUP BY c.mk, sup, part_id, wd)""",
-    "member": "SELECT * FROM member_month JOIN division USING (sup) JOIN contract USING (sup)",
+    "member": "SELECT * FROM member_month JOIN division USING (sup) LEFT JOIN contract USING (sup)",
     "team": f"""
         SELECT m.*, CAST(rate * (wd * 8) AS DECIMAL(20,6)) AS forecast, CAST(rate * hours AS DECIMAL(20,6)) AS actual
         FROM member_month m JOIN part ON part_id = p_partkey WHERE NOT {_FIX}""",
@@ -203,7 +203,7 @@ VIEWS = {
                                   WHEN 'gizmo' THEN 'presale' WHEN 'anvil' THEN 'internal' ELSE 'billable' END AS kind,
                      CAST(sum(l_quantity) AS BIGINT) AS hours, sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS price
               FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)
-        JOIN division USING (sup) JOIN contract USING (sup)""",
+        JOIN division USING (sup) LEFT JOIN contract USING (sup)""",
     "head": f"""
         SELECT mk, division, sup, pay,
                CASE WHEN s_acctbal < 0 THEN 'Part-time' WHEN s_acctbal >= 9000 THEN 'Outsource' ELSE 'Full-time' END AS kind

@@ -202,6 +202,34 @@ def keyed_table_refresh(spark, sf_dir):
     return store.read()
 
 
+def keyed_table_rebucket(spark, sf_dir):
+    """Loaded with 4 buckets, written anew with 7, then refreshed by a table that asks for 5."""
+    path, sources = new_table_path(spark, "keyed"), si.event_sources(spark, sf_dir)
+    store = KeyedTable(spark, path, ["id"], ["event_id"], buckets=4)
+    store.refresh(op.union_sources({s: si.before_cut(df) for s, df in sources.items()}))
+    store.rebucket(7)
+    store = KeyedTable(spark, path, ["id"], ["event_id"], buckets=5)
+    store.refresh(op.union_sources(sources))
+    return store.read()
+
+
+def keyed_table_mixed_intake(spark, sf_dir):
+    """A refresh with the late events, then streams, the second with a new checkpoint, with the early ones.
+
+    A stored row stays where the stream brings an older one, and a user deleted at the source stays: users whose id
+    divides by ten are in the refresh only, with what they had before the cut.
+    """
+    store = KeyedTable(spark, new_table_path(spark, "keyed"), ["id"], ["event_id"])
+    rows = si.event_rows(spark, sf_dir).withColumnRenamed("event_type", op.newest.SOURCE)
+    deleted = F.col("id") % 10 == 0
+    store.refresh(si.from_cut(rows).where(~deleted).unionByName(si.before_cut(rows).where(deleted)))
+    for part in (0, 1):
+        inbox, checkpoint = new_table_path(spark, "inbox"), new_table_path(spark, "checkpoint")
+        si.before_cut(rows).where(~deleted & (F.col("event_id") % 2 == part)).write.parquet(inbox)
+        intake.run_available(store, inbox, rows.schema, checkpoint)
+    return store.read()
+
+
 def land_group(spark, sf_dir):
     """A group of tables landed on one day, with the rows each holds."""
     root, day = new_table_path(spark, "bronze"), dt.date(2001, 8, 1)
@@ -231,6 +259,8 @@ QUERIES = {
     "meta_freshness_append": meta_freshness_append,
     "stream_intake_upsert": stream_intake_upsert,
     "keyed_table_refresh": keyed_table_refresh,
+    "keyed_table_rebucket": keyed_table_rebucket,
+    "keyed_table_mixed_intake": keyed_table_mixed_intake,
     "land_group": land_group,
 }
 
@@ -301,6 +331,10 @@ ORACLE = {
                    WHERE status = 'success' AND dag_id LIKE 'src2brz%' GROUP BY source) ON s = source"""),
     "stream_intake_upsert": _NEWEST,
     "keyed_table_refresh": _NEWEST,
+    "keyed_table_rebucket": _NEWEST,
+    "keyed_table_mixed_intake": _NEWEST.replace(
+        "FROM events", "FROM events WHERE user_id % 10 <> 0 OR ts < TIMESTAMP '2024-01-20'"
+    ),
     "land_group": """
         SELECT DATE '2001-08-01' AS load_date, count(*) AS rows, 'orders' AS table_name FROM orders
         UNION ALL SELECT DATE '2001-08-01', count(*), 'customer' FROM customer""",

@@ -82,7 +82,10 @@ def m_operational_cost(spark, sf_dir):
 
 
 def m_working_days(spark, sf_dir):
-    """Employee supplier, project part; a project spans its first to its last shipment."""
+    """Employee supplier, project part; a project runs for 200 days from the day of the order of its number.
+
+    Much work lies outside its project's span.
+    """
     lines = si.table(spark, sf_dir, "lineitem")
     timesheet = lines.select(
         F.col("l_suppkey").alias("employee_key"),
@@ -90,7 +93,10 @@ def m_working_days(spark, sf_dir):
         F.to_date("l_shipdate").alias("day"),
         F.col("l_quantity").cast("decimal(8,2)").alias("hours"),
     )
-    spans = timesheet.groupBy("project_key").agg(F.min("day").alias("start_day"), F.max("day").alias("end_day"))
+    first = F.to_date("o_orderdate")
+    spans = si.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("project_key"), first.alias("start_day"), F.date_add(first, 200).alias("end_day")
+    )
     return metrics.working_days(timesheet, si.calendar(spark, sf_dir), spans)
 
 
@@ -104,7 +110,8 @@ def m_target_variance(spark, sf_dir):
     )
     earned = metrics.teambase_member_revenue(si.team_members(spark, sf_dir))
     spent = si.fct_cost(spark, sf_dir).groupBy("date_key").agg(F.sum("cost_actual").alias("cost_actual"))
-    actuals = earned.groupBy("date_key").agg(F.sum("revenue_actual").alias("revenue_actual")).join(spent, "date_key")
+    actuals = earned.groupBy("date_key").agg(F.sum("revenue_actual").alias("revenue_actual"))
+    actuals = actuals.join(spent, "date_key", "full")
     return metrics.target_variance(actuals, targets)
 
 
@@ -193,7 +200,8 @@ _PACKAGE = f"""
     WHERE working AND p_type = 'ECONOMY' GROUP BY part_id, mk, wd, p_retailprice"""
 _PROJECT_COST = f"""
     SELECT coalesce(a.mk, b.mk) AS date_key, coalesce(a.part_id, b.part_id) AS part_id,
-           CASE WHEN package IS NULL THEN 'teambase' ELSE 'fix_cost' END AS cost_type,
+           CASE WHEN coalesce(a.part_id, b.part_id) IN (SELECT part_id FROM ({_PACKAGE})) THEN 'fix_cost'
+                ELSE 'teambase' END AS cost_type,
            coalesce(members, 0) + coalesce(package, 0) AS cost
     FROM (SELECT mk, part_id, sum(actual) AS members FROM ({_MEMBER_COST}) GROUP BY mk, part_id) a
     FULL JOIN ({_PACKAGE}) b ON a.mk = b.mk AND a.part_id = b.part_id"""
@@ -242,21 +250,21 @@ ORACLE = {
     "m_working_days": """
         SELECT c.mk AS date_key, sup AS employee_key, w.part_id AS project_key,
                count(*) FILTER (working) AS actual_working_days,
-               any_value((SELECT count(*) FROM cal k WHERE k.mk = c.mk AND k.working AND k.d BETWEEN first AND last))
-                   AS plan_working_days,
+               any_value((SELECT count(*) FROM cal k WHERE k.mk = c.mk AND k.working
+                          AND k.d >= coalesce(first, k.d) AND k.d <= coalesce(last, k.d))) AS plan_working_days,
                CAST(sum(greatest(hours - 8, 0)) AS DOUBLE) AS overtime_hours
         FROM day_work w JOIN cal c USING (d)
-        JOIN (SELECT l_partkey AS part_id, CAST(min(l_shipdate) AS DATE) AS first, CAST(max(l_shipdate) AS DATE) AS last
-              FROM lineitem GROUP BY 1) s ON w.part_id = s.part_id
+        LEFT JOIN (SELECT o_orderkey AS part_id, CAST(o_orderdate AS DATE) AS first, CAST(o_orderdate AS DATE) + 200 AS last
+              FROM orders) s ON w.part_id = s.part_id
         GROUP BY c.mk, sup, w.part_id, first, last""",
     "m_target_variance": """
-        SELECT e.mk AS date_key, CAST(earned AS DOUBLE) AS revenue_actual, CAST(target AS DOUBLE) AS revenue_target,
+        SELECT mk AS date_key, CAST(earned AS DOUBLE) AS revenue_actual, CAST(target AS DOUBLE) AS revenue_target,
                CAST(earned - target AS DOUBLE) AS revenue_variance, CAST(spent AS DOUBLE) AS cost_actual,
                CAST(target * 0.8 AS DOUBLE) AS cost_target, CAST(spent - target * 0.8 AS DOUBLE) AS cost_variance
         FROM (SELECT mk, sum(actual) AS earned FROM team GROUP BY mk) e
-        JOIN (SELECT date_key AS mk, sum(actual) AS spent FROM cost GROUP BY 1) s ON e.mk = s.mk
+        FULL JOIN (SELECT date_key AS mk, sum(actual) AS spent FROM cost GROUP BY 1) s USING (mk)
         LEFT JOIN (SELECT year(o_orderdate) * 10000 + month(o_orderdate) * 100 + 1 AS mk,
-                          sum(CAST(o_totalprice AS DECIMAL(18,2))) AS target FROM orders GROUP BY 1) t ON e.mk = t.mk""",
+                          sum(CAST(o_totalprice AS DECIMAL(18,2))) AS target FROM orders GROUP BY 1) t USING (mk)""",
     "m_pnl_ratio": f"""
         SELECT mk AS date_key, division,
                CASE WHEN rf > 0 THEN CAST(cf AS DOUBLE) / CAST(rf AS DOUBLE) * 100 END AS pnl_forecast,

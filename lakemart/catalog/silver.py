@@ -94,6 +94,21 @@ def scd2_apply_batch(spark, sf_dir):
     return history.read()
 
 
+def scd2_apply_late_batch(spark, sf_dir):
+    """Events with even ids first, then those with odd ids, which lie between them."""
+    events = si.table(spark, sf_dir, "events")
+    history = HistoryTable(spark, new_table_path(spark, "history"), ["user_id"], ["event_type"], "ts", ["event_id"])
+    for part in (0, 1):
+        history.apply(events.where(F.col("event_id") % 2 == part))
+    return history.read()
+
+
+def scd2_timestamp(spark, sf_dir):
+    """A version for every time of a user, also where the type stays the same."""
+    events = si.table(spark, sf_dir, "events")
+    return op.build_history(events, ["user_id"], ["event_type"], "ts", ["event_id"], strategy="timestamp")
+
+
 def fact_current_dim_lookup(spark, sf_dir):
     """Early events are the fact, newer ones are inserted; each row gets its user's open version and date key."""
     events = si.table(spark, sf_dir, "events")
@@ -168,6 +183,8 @@ QUERIES = {
     "silver_models": silver_models,
     "scd2_history": scd2_history,
     "scd2_apply_batch": scd2_apply_batch,
+    "scd2_apply_late_batch": scd2_apply_late_batch,
+    "scd2_timestamp": scd2_timestamp,
     "fact_current_dim_lookup": fact_current_dim_lookup,
     "latest_by_composite_key": latest_by_composite_key,
     "latest_contract": latest_contract,
@@ -200,6 +217,11 @@ ORACLE = {
                   FROM orders GROUP BY o_custkey""",
     "scd2_history": with_views(_VERSIONS),
     "scd2_apply_batch": with_views(_VERSIONS),
+    "scd2_apply_late_batch": with_views(_VERSIONS),
+    "scd2_timestamp": """
+        SELECT user_id, event_type, ts AS valid_from, lead(ts) OVER w AS valid_to, lead(ts) OVER w IS NULL AS is_current
+        FROM (SELECT user_id, ts, max_by(event_type, event_id) AS event_type FROM events GROUP BY ALL)
+        WINDOW w AS (PARTITION BY user_id ORDER BY ts)""",
     "fact_current_dim_lookup": with_views("""
         SELECT event_id, e.user_id, CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS value,
                CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS created_date_key,

@@ -6,14 +6,15 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from lakemart import operators as op
 from lakemart import standins as si
 from lakemart.catalog.ctes import with_views
 from lakemart.operators import monitor, quality
 from lakemart.plans import calendar as cal
 from lakemart.plans import mart, metrics
-from lakemart.plans.checks import DECLARED
+from lakemart.plans.checks import DECLARED, KEYED
 from lakemart.session import new_table_path
-from lakemart.sources import seed
+from lakemart.sources import meta, seed
 
 CLOCK = dt.datetime(2024, 1, 31)
 SHOP_CLOCK = dt.date(2001, 8, 1)
@@ -91,10 +92,34 @@ def mart_tables(spark, sf_dir):
 
 
 def dq_declared_suite(spark, sf_dir):
-    """Every check declared for the dimensions and facts, on the stored tables."""
-    inputs, root = _mart(spark, sf_dir), new_table_path(spark, "mart")
-    dims = mart.build_dims(inputs, root)
-    return mart.check_mart({**dims, **mart.build_facts(inputs, dims, root)})
+    """Every declared check: dimensions, facts and reports as stored, and a keyed table of several sources."""
+    tables = mart.build_mart(spark, _mart(spark, sf_dir), new_table_path(spark, "mart"), si.AS_OF)
+    keyed = {"silver_event": op.current_rows(si.event_sources(spark, sf_dir), ["id"], ["event_id"])}
+    results = mart.check_mart(tables).unionByName(quality.run_declared(keyed, {"silver_event": KEYED}))
+    stored = meta.store_results(results, new_table_path(spark, "results"), "1")
+    return stored.select("test_name", "status", "failures")
+
+
+def dq_results_stored(spark, sf_dir):
+    """Results of two runs in one table, read back."""
+    path = new_table_path(spark, "results")
+    meta.store_results(dq_unique(spark, sf_dir), path, "1")
+    meta.store_results(dq_accepted_values(spark, sf_dir), path, "2")
+    stored = meta.read(spark, path, meta.TEST_RESULT_SCHEMA)
+    return stored.select("run_id", "test_name", "status", "failures", "message")
+
+
+def dq_out_of_calendar(spark, sf_dir):
+    """Rows dated outside the calendar, which facts leave out."""
+    lines = si.table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("day"))
+    early = lines.select(F.add_months("day", -300).alias("day"))
+    calendar = si.calendar(spark, sf_dir)
+    return quality.suite(
+        [
+            quality.relationships(lines, "lineitem", "day", calendar, "date_actual"),
+            quality.relationships(early, "early", "day", calendar, "date_actual"),
+        ]
+    )
 
 
 def _mixed_results(spark, sf_dir):
@@ -167,6 +192,8 @@ QUERIES = {
     "dq_orphan_rows": dq_orphan_rows,
     "dq_accepted_values": dq_accepted_values,
     "dq_declared_suite": dq_declared_suite,
+    "dq_results_stored": dq_results_stored,
+    "dq_out_of_calendar": dq_out_of_calendar,
     "mart_tables": mart_tables,
     "dq_summary": dq_summary,
     "dq_daily_trend": dq_daily_trend,
@@ -282,6 +309,28 @@ def _declared_sql() -> str:
     return _ALL.join(parts)
 
 
+def _report_sql() -> str:
+    """The declared checks of the reports, on the views they are made of."""
+    parts = []
+    for table in ("rpt_monthly_pnl", "rpt_rate_metrics"):
+        parts += [_nulls(table, "date_key", "shown", "mk"), _nulls(table, "month_date", "shown")]
+        parts.append(_repeats(table, "month_date", source="shown"))
+    parts.append(_nulls("rpt_revenue_mix", "revenue_type", "revenue"))
+    parts += [_nulls(table, "month_date", "shown") for table in ("rpt_hr_summary", "rpt_cost_summary")]
+    by_project = "(SELECT month_date, project_name FROM revenue r JOIN months ON date_key = mk LEFT JOIN project p USING (project_key))"
+    parts += [_nulls("rpt_revenue_by_project", c, by_project) for c in ("month_date", "project_name")]
+    newest = "(SELECT DISTINCT user_id AS id, event_type AS _source FROM events)"
+    parts += [_nulls("silver_event", c, newest) for c in ("id", "_source")]
+    return _ALL.join([*parts, _repeats("silver_event", "id", "_source", source=newest)])
+
+
+def _run_of(run: str, results: str) -> str:
+    return f"""
+        SELECT '{run}' AS run_id, *, CASE WHEN failures > 0 THEN failures || ' failing' END AS message FROM ({results})"""
+
+
+_OUTSIDE = "SELECT count(*) FROM (SELECT CAST(l_shipdate AS DATE) {shift} AS d FROM lineitem) ANTI JOIN cal USING (d)"
+
 ORACLE = {
     "dq_not_null": _NOT_NULL,
     "dq_unique": _UNIQUE,
@@ -291,7 +340,14 @@ ORACLE = {
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
         WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)""",
     "dq_accepted_values": _ACCEPTED,
-    "dq_declared_suite": _declared_sql(),
+    "dq_declared_suite": _ALL.join([_declared_sql(), _report_sql()]),
+    "dq_results_stored": _ALL.join([_run_of("1", _UNIQUE), _run_of("2", _ACCEPTED)]),
+    "dq_out_of_calendar": _ALL.join(
+        [
+            _row("relationships_lineitem_day", _OUTSIDE.format(shift="")),
+            _row("relationships_early_day", _OUTSIDE.format(shift="- INTERVAL 300 MONTH")),
+        ]
+    ),
     "mart_tables": _ALL.join(f"SELECT '{table}' AS table_name, ({count}) AS rows" for table, count in _COUNTS.items()),
     "dq_summary": f"""
         SELECT count(*) FILTER (status = 'pass') AS passed, count(*) FILTER (status = 'fail') AS failed,

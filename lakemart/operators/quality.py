@@ -87,8 +87,9 @@ def suite(results: Sequence[DataFrame]) -> DataFrame:
 def run_declared(tables: Mapping[str, DataFrame], declared: Mapping[str, Mapping]) -> DataFrame:
     """Run the checks declared for each table.
 
-    ``declared[table]`` may hold ``not_null``: columns, ``unique``: columns, ``relationships``:
-    (column, parent table, parent column) and ``accepted_values``: (column, values).
+    ``declared[table]`` may hold ``not_null``: columns, ``unique``: columns, ``unique_together``: columns that
+    are unique as a whole, ``relationships``: (column, parent table, parent column) and ``accepted_values``:
+    (column, values).
     """
     results = []
     for table, checks in declared.items():
@@ -96,6 +97,8 @@ def run_declared(tables: Mapping[str, DataFrame], declared: Mapping[str, Mapping
         if checks.get("not_null"):
             results.append(not_null(df, table, checks["not_null"]))
         results += [unique(df, table, [c]) for c in checks.get("unique", ())]
+        if checks.get("unique_together"):
+            results.append(unique(df, table, checks["unique_together"]))
         results += [
             relationships(df, table, column, tables[parent], parent_column)
             for column, parent, parent_column in checks.get("relationships", ())

@@ -119,18 +119,24 @@ def member_cost(members: DataFrame) -> DataFrame:
 def project_cost(member_costs: DataFrame, packages: DataFrame) -> DataFrame:
     """Member cost of each (month, project), plus the package share of fixed-price projects.
 
-    ``packages``: date_key, project_key, package_cost, working_days, working_days_in_month; a project
-    without one is team-based. A package month without member cost still counts.
+    ``packages``: date_key, project_key, package_cost, working_days, working_days_in_month. A project with a
+    package in any month is a fixed-price one in all of them, others are team-based. A package month without
+    member cost still counts.
     """
     members = member_costs.groupBy("date_key", "project_key").agg(F.sum("cost_actual").alias("member_cost"))
     share = safe_divide(F.col("package_cost") * F.col("working_days"), "working_days_in_month")
     package = packages.groupBy("date_key", "project_key").agg(F.sum(amount(share)).alias("package_cost"))
     spent = F.coalesce("member_cost", F.lit(0)) + F.coalesce("package_cost", F.lit(0))
-    return members.join(package, ["date_key", "project_key"], "full").select(
-        "date_key",
-        "project_key",
-        F.when(F.col("package_cost").isNull(), "teambase").otherwise("fix_cost").alias("cost_type"),
-        amount(spent).alias("project_cost"),
+    fixed = package.groupBy("project_key").agg(F.lit(True).alias("fixed"))
+    return (
+        members.join(package, ["date_key", "project_key"], "full")
+        .join(fixed, "project_key", "left")
+        .select(
+            "date_key",
+            "project_key",
+            F.when(F.col("fixed"), "fix_cost").otherwise("teambase").alias("cost_type"),
+            amount(spent).alias("project_cost"),
+        )
     )
 
 
@@ -171,7 +177,7 @@ def working_days(timesheet: DataFrame, calendar: DataFrame, spans: DataFrame) ->
     ``timesheet``: employee_key, project_key, day, hours; ``spans``: project_key, start_day, end_day.
     Actual: distinct working days with hours. Overtime: hours above eight a day. Planned: working days
     of the month inside the project's span, as the difference of two positions in the month's running
-    count, so two equi joins do what a range join would.
+    count, so two equi joins do what a range join would; none if the month lies outside the span.
     """
     days = calendar.select(F.col("date_actual").alias("day"), "is_working_day", "month_start_date", "month_end_date")
     month = ["month_start_date", "month_end_date"]
@@ -194,7 +200,7 @@ def working_days(timesheet: DataFrame, calendar: DataFrame, spans: DataFrame) ->
     )
     first = running.select(F.col("_day").alias("_first"), (F.col("_upto") - F.col("_self")).alias("_before"))
     last = running.select(F.col("_day").alias("_last"), F.col("_upto").alias("_through"))
-    planned = F.greatest(F.col("_through") - F.col("_before"), F.lit(0))
+    planned = F.when(F.col("_first") <= F.col("_last"), F.col("_through") - F.col("_before"))
     return (
         worked.join(spans, "project_key", "left")
         .withColumn("_first", F.greatest("start_day", "month_start_date"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable, Sequence
 from typing import Any
 
@@ -67,6 +68,23 @@ def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def store_results(results: DataFrame, path: str, run_id: str, created_at: dt.datetime | None = None) -> DataFrame:
+    """Run the checks once, append their results and return those of the run as stored.
+
+    The message counts what failed; the time is that of the whole run, divided evenly.
+    """
+    started = time.monotonic()
+    rows = results.collect()  # one row per check
+    spent = (time.monotonic() - started) / max(1, len(rows))
+    spark, at = results.sparkSession, created_at or dt.datetime.now(dt.timezone.utc)
+    values = [
+        (run_id, r["test_name"], r["status"], r["failures"], spent, f"{r['failures']} failing" if r["failures"] else None, at)
+        for r in rows
+    ]
+    append(spark.createDataFrame(values, TEST_RESULT_SCHEMA).coalesce(1), path, TEST_RESULT_SCHEMA)
+    return read(spark, path, TEST_RESULT_SCHEMA).where(F.col("run_id") == run_id)
+
+
 def audited(
     spark: SparkSession,
     log: str,
