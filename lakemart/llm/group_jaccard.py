@@ -7,11 +7,12 @@ Tokens are 64-bit hashes of word shingles; equal token sets form one class, name
 3. Two sets that reach the threshold t share a token among the first n - ceil(t * n) + 1 of each, in any one order of
    all tokens. The order is by the sketch's count, so frequent tokens come last and hardly take part. These tokens
    against the groups that hold them are the matrix; a group's entries are the union over its members.
-4. Groups that share an entry may hold links. First each is paired with the smallest group of each of its tokens, and
-   with itself; a task opens a pair, bounds the overlap of each set with the union of the other side's tokens, and
-   compares those that can still reach the threshold. Links make components.
-5. What is left are pairs of groups that share a token and are not both whole in one component. They are opened too. Groups
-   of copies thus cost a number of pairs in proportion to their size, and no link between components is missed.
+4. The number of entries that two groups share bounds the overlap of their members; only pairs of groups that qualify
+   are opened. First each group is paired with the smallest group of each of its tokens, and with itself. A task
+   opens a pair, bounds the overlap of each set with the union of the other side's tokens, and compares those that
+   can still reach the threshold. Links make components.
+5. What is left are pairs of groups that share a token and are not both whole in one component. They are bounded and opened
+   too. Groups of copies thus cost pairs in proportion to their size, and no link between components is missed.
 
 Groups are cut into blocks of about ``BLOCK_TOKENS`` tokens, so a task holds two blocks. Between the steps narrow tables are
 written to the shared folder. The driver gets the sketch's ranks, 2 MB at any size of the corpus, and counts.
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.components import components
@@ -185,8 +186,10 @@ def link_components(
     )
     groups = _written(groups, "groups")
     own = groups.where("members > 1").select(F.col("grp").alias("a"), F.col("grp").alias("b"), "blocks")
-    star = matrix.where("head <> grp").select(F.col("head").alias("a"), F.col("grp").alias("b")).distinct()
-    star = star.join(groups.select(F.col("grp").alias("b"), "blocks"), "b")
+    a, b = (groups.select(*[F.col(c).alias(f"{side}_{c}") for c in groups.columns]) for side in "ab")
+    star = matrix.where("head <> grp").groupBy(F.col("head").alias("a_grp"), F.col("grp").alias("b_grp"))
+    star = star.agg(F.count("*").alias("common")).join(a, "a_grp").join(b, "b_grp").where(_may_link(percent))
+    star = star.select(F.col("a_grp").alias("a"), F.col("b_grp").alias("b"), F.col("b_blocks").alias("blocks"))
     each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("bi")
     first = own.select("a", each.alias("ai"), "b").withColumn("bi", F.col("ai"))
     first = first.unionByName(own.where("blocks > 1").select("a", F.lit(0).alias("ai"), "b", each).where("bi > 0"))
@@ -235,13 +238,14 @@ def link_components(
     left = matrix.join(whole, "grp")
     mixed = left.groupBy("token").agg(F.min("c0").alias("x"), F.max("c1").alias("y")).where("x <> y").select("token")
     left = left.join(mixed, "token").drop("head", "members")
-    a, b = left.alias("a"), left.alias("b")
-    near = (F.col("a.high") * 100 >= F.col("b.low") * percent) & (F.col("b.high") * 100 >= F.col("a.low") * percent)
-    apart = (F.least("a.c0", "b.c0") < F.greatest("a.c1", "b.c1")) & near
-    rest = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.grp") < F.col("b.grp")) & apart)
+    a, b = (left.select(*[F.col(c).alias(f"{side}_{c}") for c in left.columns]) for side in "ab")
+    apart = F.least("a_c0", "b_c0") < F.greatest("a_c1", "b_c1")
+    rest = a.join(b, (F.col("a_token") == F.col("b_token")) & (F.col("a_grp") < F.col("b_grp")) & apart & _sizes(percent))
+    rest = rest.groupBy(*[f"{side}_{c}" for side in "ab" for c in ("grp", "low", "high", "blocks")])
+    rest = rest.agg(F.count("*").alias("common")).where(_may_link(percent))
     rest = rest.select(
-        F.col("a.grp").alias("a"), F.col("b.grp").alias("b"), F.col("a.blocks").alias("an"), F.col("b.blocks").alias("bn")
-    ).distinct()
+        F.col("a_grp").alias("a"), F.col("b_grp").alias("b"), F.col("a_blocks").alias("an"), F.col("b_blocks").alias("bn")
+    )
     split = whole.where("c0 < c1 and blocks > 2")
     split = split.select(F.col("grp").alias("a"), F.col("grp").alias("b"), F.col("blocks").alias("an"), F.col("blocks").alias("bn"))
     rest = rest.unionByName(split).withColumn("ai", F.explode(F.sequence(F.lit(0), F.col("an") - 1)))
@@ -261,6 +265,27 @@ def link_components(
     return joined.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component)
 
 
+def _sizes(percent: int) -> Column:
+    """Whether two groups have members of sizes that may link."""
+    high = [F.col(f"{side}_high") * 100 for side in "ab"]
+    return (high[0] >= F.col("b_low") * percent) & (high[1] >= F.col("a_low") * percent)
+
+
+def _may_link(percent: int) -> Column:
+    """Whether two groups share enough leading tokens (``common``) for any of their members to link.
+
+    Of two sets' tokens in the common order, those behind the leading ones of the set whose leading ones end first
+    are at most ceil(t * n) - 1; what the overlap needs beyond that must be among the leading ones of both.
+    """
+
+    def least(x: Column, y: Column) -> Column:
+        overlap = -F.floor(-(x + y) * percent / (100 + percent))
+        return overlap - F.ceil(F.greatest(x, y) * percent / 100) + 1
+
+    low, high = ([F.col(f"{side}_{c}") for side in "ab"] for c in ("low", "high"))
+    return _sizes(percent) & (F.col("common") >= F.least(least(low[0], high[1]), least(high[0], low[1])))
+
+
 DESCRIBED = pa.schema(
     [
         *[(c, pa.int64()) for c in ("id", "n", "key", "grp")],
