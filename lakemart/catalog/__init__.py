@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.catalog import landing, mart, measures, silver, watch
+from lakemart.standins import look_again
 
 MODULES = (silver, landing, mart, measures, watch)
 
@@ -17,6 +18,7 @@ def _plain(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
     """Decimals leave a query as doubles, the type the SQL side casts to."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        look_again(spark, sf_dir)
         df = query(spark, sf_dir)
         decimals = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)}
         if not decimals:

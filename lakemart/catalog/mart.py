@@ -5,41 +5,44 @@ from __future__ import annotations
 from lakemart import standins as si
 from lakemart.catalog.ctes import with_views
 from lakemart.plans import calendar as cal
-from lakemart.plans import cards, facts, metrics, reports
+from lakemart.plans import cards, facts, mart, metrics, reports
+from lakemart.session import new_table_path
 from lakemart.sources import seed
 
 
-def _pnl(spark, sf_dir):
-    return reports.rpt_monthly_pnl(si.months_as_of(spark, sf_dir), si.fct_revenue(spark, sf_dir), si.fct_cost(spark, sf_dir))
-
-
-def _rates(spark, sf_dir):
-    return reports.rpt_rate_metrics(si.months_as_of(spark, sf_dir), si.fct_headcount(spark, sf_dir))
-
-
-def _revenue_mix(spark, sf_dir):
-    return reports.rpt_revenue_mix(si.fct_revenue(spark, sf_dir), si.calendar(spark, sf_dir))
+def mart_inputs(spark, sf_dir):
+    return mart.MartInputs(
+        calendar=si.calendar(spark, sf_dir),
+        employees=si.dim_employee(spark, sf_dir),
+        organization=si.dim_organization(spark, sf_dir),
+        projects=si.dim_project(spark, sf_dir),
+        categories=seed.cost_categories(spark),
+        activity=si.activity(spark, sf_dir),
+        presence=si.presence(spark, sf_dir),
+        assignments=si.assignments(spark, sf_dir),
+        team_revenue=metrics.teambase_member_revenue(si.team_members(spark, sf_dir)),
+    )
 
 
-def _cost_mix(spark, sf_dir):
-    return reports.rpt_cost_mix(si.fct_cost(spark, sf_dir), si.calendar(spark, sf_dir), seed.cost_categories(spark))
+@si.once
+def stored(spark, sf_dir):
+    """The mart's tables, built and written once for all reports and cards."""
+    return mart.build_mart(spark, mart_inputs(spark, sf_dir), new_table_path(spark, "mart"), si.AS_OF)
 
 
-def _cost_summary(spark, sf_dir, **options):
-    return reports.rpt_cost_summary(
-        si.months_as_of(spark, sf_dir), si.dim_organization(spark, sf_dir), si.fct_cost(spark, sf_dir), **options
-    )
+def _stored(name):
+    return lambda spark, sf_dir: stored(spark, sf_dir)[name]
 
 
-def _hr_summary(spark, sf_dir):
-    return reports.rpt_hr_summary(
-        si.months_as_of(spark, sf_dir), si.dim_organization(spark, sf_dir), si.fct_headcount(spark, sf_dir)
-    )
+def _card(card, name):
+    return lambda spark, sf_dir: card(stored(spark, sf_dir)[name])
 
 
-def _revenue_by_project(spark, sf_dir):
-    months = cal.month_spine(si.calendar(spark, sf_dir))
-    return reports.rpt_revenue_by_project(si.fct_revenue(spark, sf_dir), months, si.dim_project(spark, sf_dir))
+def _cost_by_division(spark, sf_dir):
+    tables = stored(spark, sf_dir)
+    months = cal.month_spine(tables["dim_date"], si.AS_OF)
+    summary = reports.rpt_cost_summary(months, tables["dim_organization"], tables["fct_cost_monthly"], by_division=True)
+    return summary.select("month_date", "company_name", "division_name", "total_cost_actual", "total_cost_forecast")
 
 
 def _revenue_by_member(spark, sf_dir):
@@ -82,26 +85,24 @@ QUERIES = {
     "fct_headcount_monthly": si.fct_headcount,
     "fct_revenue_fixcost": si.fct_revenue_fixcost,
     "fct_revenue_monthly": si.fct_revenue,
-    "rpt_monthly_pnl": _pnl,
-    "rpt_rate_metrics": _rates,
-    "rpt_revenue_mix": _revenue_mix,
-    "rpt_cost_mix": _cost_mix,
-    "rpt_cost_summary": _cost_summary,
-    "rpt_cost_by_division": lambda spark, sf_dir: _cost_summary(spark, sf_dir, by_division=True).select(
-        "month_date", "company_name", "division_name", "total_cost_actual", "total_cost_forecast"
-    ),
-    "rpt_hr_summary": _hr_summary,
-    "rpt_revenue_by_project": _revenue_by_project,
+    "rpt_monthly_pnl": _stored("rpt_monthly_pnl"),
+    "rpt_rate_metrics": _stored("rpt_rate_metrics"),
+    "rpt_revenue_mix": _stored("rpt_revenue_mix"),
+    "rpt_cost_mix": _stored("rpt_cost_mix"),
+    "rpt_cost_summary": _stored("rpt_cost_summary"),
+    "rpt_cost_by_division": _cost_by_division,
+    "rpt_hr_summary": _stored("rpt_hr_summary"),
+    "rpt_revenue_by_project": _stored("rpt_revenue_by_project"),
     "rpt_revenue_by_member": _revenue_by_member,
     "rpt_employee_performance": _employee_performance,
-    "card_revenue_kpi": lambda spark, sf_dir: cards.card_revenue_kpi(_pnl(spark, sf_dir)),
-    "card_pnl_kpi": lambda spark, sf_dir: cards.card_pnl_kpi(_pnl(spark, sf_dir)),
-    "card_busy_rate": lambda spark, sf_dir: cards.card_busy_rate(_rates(spark, sf_dir)),
-    "card_billable_rate": lambda spark, sf_dir: cards.card_billable_rate(_rates(spark, sf_dir)),
-    "card_revenue_by_month": lambda spark, sf_dir: cards.card_revenue_by_month(_pnl(spark, sf_dir)),
-    "card_pnl_by_month": lambda spark, sf_dir: cards.card_pnl_by_month(_pnl(spark, sf_dir)),
-    "card_revenue_pct": lambda spark, sf_dir: cards.card_revenue_pct(_revenue_mix(spark, sf_dir)),
-    "card_cost_pct": lambda spark, sf_dir: cards.card_cost_pct(_cost_mix(spark, sf_dir)),
+    "card_revenue_kpi": _card(cards.card_revenue_kpi, "rpt_monthly_pnl"),
+    "card_pnl_kpi": _card(cards.card_pnl_kpi, "rpt_monthly_pnl"),
+    "card_busy_rate": _card(cards.card_busy_rate, "rpt_rate_metrics"),
+    "card_billable_rate": _card(cards.card_billable_rate, "rpt_rate_metrics"),
+    "card_revenue_by_month": _card(cards.card_revenue_by_month, "rpt_monthly_pnl"),
+    "card_pnl_by_month": _card(cards.card_pnl_by_month, "rpt_monthly_pnl"),
+    "card_revenue_pct": _card(cards.card_revenue_pct, "rpt_revenue_mix"),
+    "card_cost_pct": _card(cards.card_cost_pct, "rpt_cost_mix"),
 }
 
 

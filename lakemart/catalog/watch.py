@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from lakemart import operators as op
 from lakemart import standins as si
 from lakemart.catalog.ctes import with_views
+from lakemart.catalog.mart import mart_inputs, stored
 from lakemart.operators import monitor, quality
 from lakemart.plans import calendar as cal
-from lakemart.plans import mart, metrics
+from lakemart.plans import mart
 from lakemart.plans.checks import DECLARED, KEYED
 from lakemart.session import new_table_path
 from lakemart.sources import meta, seed
@@ -70,34 +71,20 @@ def dq_accepted_values(spark, sf_dir):
     )
 
 
-def _mart(spark, sf_dir):
-    return mart.MartInputs(
-        calendar=si.calendar(spark, sf_dir),
-        employees=si.dim_employee(spark, sf_dir),
-        organization=si.dim_organization(spark, sf_dir),
-        projects=si.dim_project(spark, sf_dir),
-        categories=seed.cost_categories(spark),
-        activity=si.activity(spark, sf_dir),
-        presence=si.presence(spark, sf_dir),
-        assignments=si.assignments(spark, sf_dir),
-        team_revenue=metrics.teambase_member_revenue(si.team_members(spark, sf_dir)),
-    )
-
-
 def mart_tables(spark, sf_dir):
     """The whole mart built and stored; the rows of each of its tables."""
-    tables = mart.build_mart(spark, _mart(spark, sf_dir), new_table_path(spark, "mart"), si.AS_OF)
+    tables = mart.build_mart(spark, mart_inputs(spark, sf_dir), new_table_path(spark, "mart"), si.AS_OF)
     counts = [df.agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(n)) for n, df in tables.items()]
     return quality.suite(counts)
 
 
 def dq_declared_suite(spark, sf_dir):
     """Every declared check: dimensions, facts and reports as stored, and a keyed table of several sources."""
-    tables = mart.build_mart(spark, _mart(spark, sf_dir), new_table_path(spark, "mart"), si.AS_OF)
+    tables = stored(spark, sf_dir)
     keyed = {"silver_event": op.current_rows(si.event_sources(spark, sf_dir), ["id"], ["event_id"])}
     results = mart.check_mart(tables).unionByName(quality.run_declared(keyed, {"silver_event": KEYED}))
-    stored = meta.store_results(results, new_table_path(spark, "results"), "1")
-    return stored.select("test_name", "status", "failures")
+    kept = meta.store_results(results, new_table_path(spark, "results"), "1")
+    return kept.select("test_name", "status", "failures")
 
 
 def dq_results_stored(spark, sf_dir):

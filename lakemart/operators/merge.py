@@ -63,10 +63,13 @@ def merge_incremental(
     load_id: str = LOAD_ID,
     watermark: str = "per_source",
 ) -> DataFrame:
-    """The next state of a keyed table: watermark filter, newest row per (key, source), upsert."""
-    keyed = [*keys, SOURCE]
-    fresh = rows_past_watermark(landing, target, load_id, watermark)
-    return upsert(target, newest_per_key(fresh, keyed, [load_id, *tie_breakers]), keyed)
+    """The next state of a keyed table: watermark filter, newest row per (key, source), which replaces the stored one.
+
+    Landing and target go through one ranking in which what has landed comes first, so each is read and shuffled once.
+    """
+    fresh = rows_past_watermark(landing, target, load_id, watermark).withColumn("_fresh", F.lit(1))
+    both = target.withColumn("_fresh", F.lit(0)).unionByName(fresh, allowMissingColumns=True)
+    return newest_per_key(both, [*keys, SOURCE], ["_fresh", load_id, *tie_breakers]).drop("_fresh")
 
 
 def insert_newer(fact: DataFrame, rows: DataFrame, created: str) -> DataFrame:

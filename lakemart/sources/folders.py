@@ -21,6 +21,13 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
 
 
+def stamp(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of what lies directly under a folder; it changes when a table there does."""
+    files, folder = _file_system(spark, path)
+    found = files.listStatus(folder) if files.exists(folder) else []
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found))
+
+
 def partition_values(spark: SparkSession, path: str, partition: str) -> list[str]:
     """Values of a partition column, one per ``partition=value`` folder."""
     return [n.split("=", 1)[1] for n in names(spark, path) if n.startswith(f"{partition}=")]

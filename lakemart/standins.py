@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 from lakemart.functions import money, month_key, safe_divide, surrogate_key
 from lakemart.plans import calendar as cal
 from lakemart.plans import dims, facts, metrics
+from lakemart.sources.folders import stamp
 
 FIRST_DAY, LAST_DAY = dt.date(1995, 1, 1), dt.date(2001, 12, 31)
 AS_OF = dt.date(2000, 6, 15)
@@ -44,16 +45,29 @@ PROJECT_NAMES = {
 }
 
 
+_built: dict[tuple, DataFrame] = {}
+_stamps: dict[tuple, tuple] = {}
+
+
+def look_again(spark: SparkSession, sf_dir: str) -> None:
+    """Forget what was built from tables that have changed since; every query calls this first."""
+    place = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    now = stamp(spark, sf_dir)
+    if _stamps.get(place) != now:
+        _stamps[place] = now
+        for key in [key for key in _built if key[1:4] == place]:
+            del _built[key]
+
+
 def once(build: Callable) -> Callable:
-    """Build an input once per session: queries then share the read schema and the analysed plan."""
-    built: dict[tuple, DataFrame] = {}
+    """Build an input once as long as its tables do not change: queries then share schema, plan and stored tables."""
 
     @functools.wraps(build)
     def get(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, id(spark), sf_dir, *more)
-        if key not in built:
-            built[key] = build(spark, sf_dir, *more)
-        return built[key]
+        key = (build.__name__, spark.sparkContext.applicationId, id(spark), sf_dir, *more)
+        if key not in _built:
+            _built[key] = build(spark, sf_dir, *more)
+        return _built[key]
 
     return get
 
