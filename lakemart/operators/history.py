@@ -10,24 +10,23 @@ from pyspark.sql.window import Window
 
 from lakemart.functions.dates import time_slice
 
-SLICE = "_slice"
 # Every key is cut into slices of this unit of its time column, whatever the size of the table.
 UNIT = "month"
 
 
-def _with_edge(
-    rows: DataFrame, source: DataFrame, keys: Sequence[str], edge: Column, name: str, neighbour: Callable
-) -> DataFrame:
+# Key and slice as one column: it is never null, so windows, sums and plain equi joins share one partitioning.
+PLACE = "_place"
+
+
+def _with_edge(rows: DataFrame, source: DataFrame, edge: Column, name: str, neighbour: Callable) -> DataFrame:
     """``rows`` with ``name``: ``edge`` of the same key's neighbouring slice in ``source``.
 
     Rows are grouped by key and slice already; only one row per slice is shuffled by key.
     """
-    edges = source.groupBy(*keys, SLICE).agg(edge.alias("_edge"))
-    by_slice = Window.partitionBy(*keys).orderBy(SLICE)
-    parts = [*keys, SLICE]
-    edges = edges.select(*[F.col(c).alias(f"_e_{c}") for c in parts], neighbour("_edge").over(by_slice).alias(name))
-    same = [F.col(c).eqNullSafe(F.col(f"_e_{c}")) for c in parts]
-    return rows.join(edges, same, "left").drop(*[f"_e_{c}" for c in parts])
+    edges = source.groupBy(PLACE).agg(edge.alias("_edge"))
+    by_slice = Window.partitionBy(F.col(PLACE)["key"]).orderBy(F.col(PLACE)["slice"])
+    edges = edges.select(F.col(PLACE).alias("_edge_of"), neighbour("_edge").over(by_slice).alias(name))
+    return rows.join(edges, F.col(PLACE) == F.col("_edge_of"), "left").drop("_edge_of")
 
 
 def build_history(
@@ -52,9 +51,10 @@ def build_history(
     if strategy not in ("check", "timestamp"):
         raise ValueError(f"unknown strategy {strategy!r}")
     sliced = rows.select(*keys, *tracked, updated_at, *tie_breakers)
-    sliced = sliced.withColumn(SLICE, time_slice(sliced, updated_at, unit))
+    key, cut = F.struct(*keys).alias("key"), time_slice(sliced, updated_at, unit).alias("slice")
+    sliced = sliced.withColumn(PLACE, F.struct(key, cut))
     position = [updated_at, *tie_breakers]
-    in_slice = Window.partitionBy(*keys, SLICE).orderBy(*position)
+    in_slice = Window.partitionBy(PLACE).orderBy(*position)
     if strategy == "timestamp":
         # the last row of each time; a row without a time opens no version
         after = F.lead(updated_at).over(in_slice)
@@ -62,10 +62,10 @@ def build_history(
         starts = timed.where(F.col("_after").isNull() | (F.col("_after") > F.col(updated_at)))
     else:
         value = F.struct(*tracked)
-        carried = _with_edge(sliced, sliced, keys, F.max_by(value, F.struct(*position)), "_carried", F.lag)
+        carried = _with_edge(sliced, sliced, F.max_by(value, F.struct(*position)), "_carried", F.lag)
         before = F.coalesce(F.lag(value).over(in_slice), F.col("_carried"))
         starts = carried.withColumn("_before", before).where(~F.col("_before").eqNullSafe(value))
-    starts = _with_edge(starts, starts, keys, F.min(updated_at), "_next", F.lead)
+    starts = _with_edge(starts, starts, F.min(updated_at), "_next", F.lead)
     valid_to = F.coalesce(F.lead(updated_at).over(in_slice), F.col("_next"))
     return starts.select(
         *keys,

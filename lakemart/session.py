@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,7 +42,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):  # a local cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_folders:

@@ -138,6 +138,8 @@ class KeyedTable:
     def keep(self, count: int) -> int:
         """Drop what none of the newest ``count`` versions reads; returns the number of buckets that went."""
         versions = self.versions()
+        if not versions:
+            return 0
         used = {(v, b) for n in versions[-count:] for b, v in enumerate(self._state(n + 1).homes)}
         dropped = 0
         for v in (int(x) for x in folders.partition_values(self.spark, self._data, VERSION)):
