@@ -22,7 +22,8 @@ from __future__ import annotations
 import os
 import re
 import struct
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -38,18 +39,20 @@ from lakemart.llm.files import new_file, open_file
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 FRAME_BYTES = 1 << 20
-CACHE_WORDS = 300_000  # words whose ids a worker keeps; beyond that it starts anew
+CACHE_WORDS, CACHE_RUNS = 300_000, 700_000  # what a worker keeps; beyond that it starts anew
 SKIPPABLE, DIRECTORY, SEEKABLE = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1  # fixed values of the format
 LEVEL = 3
-PLAIN = re.compile("[A-Za-z]+|[^A-Za-z]+")
+# words of ASCII and of letters whose lower case is one letter and that no other character changes
+KNOWN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]*").fullmatch
+LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u017e]+|[^a-z\u00df-\u00f6\u00f8-\u017e]+").findall
 
 
 class WordEncoder:
-    """Encodes texts with a tokenizer that drops white space and has no token across it.
+    """Encodes texts with a tokenizer that drops white space, has no token across it, and lower-cases.
 
-    Texts are cut at spaces and line ends; a word is encoded by the tokenizer once for as long as the cache
-    holds it, and its ids are kept as bytes. ASCII words without an apostrophe are cut further into runs of
-    letters and of others, which the tokenizer's own pattern separates too.
+    Texts are cut at spaces and line ends. Words of ASCII and Latin letters without apostrophes are cut further into
+    runs of letters, in lower case, and of others, which the tokenizer's own pattern separates too. The tokenizer encodes
+    a run once for as long as the cache holds it; ids are kept as bytes.
     """
 
     def __init__(self, path: str):
@@ -59,26 +62,33 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [text.replace("\n", " ").split(" ") for text in texts]
         if len(self.words) > CACHE_WORDS:
-            self.words, self.parts = {}, {}
-        known = self.words
-        if new := {word for words in cut for word in words if word not in known}:
+            self.words = {}
+        if len(self.runs) > CACHE_RUNS:
+            self.runs = {}
+        if new := list(set().union(*cut) - self.words.keys()):
             self._learn(new)
-        return [b"".join([known[word] for word in words]) for words in cut]
+        word = self.words.__getitem__
+        return [b"".join(map(word, words)) for words in cut]
 
-    def _learn(self, words: Iterable[str]) -> None:
-        split = {word: PLAIN.findall(word) if word.isascii() and "'" not in word else [word] for word in words}
-        parts = self.parts
-        if new := list({part for found in split.values() for part in found if part not in parts}):
-            for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                parts[part] = np.array(found.ids, dtype="<u4").tobytes()
-        for word, found in split.items():
-            self.words[word] = b"".join([parts[part] for part in found])
+    def _learn(self, words: list[str]) -> None:
+        split = [_runs(word) for word in words]
+        if new := list(set(chain.from_iterable(split)) - self.runs.keys()):
+            for run, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                self.runs[run] = np.array(found.ids, dtype="<u4").tobytes()
+        run = self.runs.__getitem__
+        self.words.update((word, b"".join(map(run, found))) for word, found in zip(words, split, strict=True))
+
+
+def _runs(word: str) -> list[str]:
+    if "'" in word or not KNOWN(word):
+        return [word]
+    return LETTERS(word.lower())
 
 
 _worker: dict[str, WordEncoder] = {}
@@ -163,7 +173,7 @@ class FrameReader:
         self.frames_read += 1
         return content
 
-    def documents(self, places: Iterable[int] | None = None) -> Iterator[tuple[int, bytes]]:
+    def documents(self, places: Sequence[int] | None = None) -> Iterator[tuple[int, bytes]]:
         """Place and ids of the documents at ``places`` (ascending), or of all; one frame is held at a time."""
         held, content = -1, b""
         for place in range(len(self.ids)) if places is None else places:
