@@ -11,10 +11,13 @@ Tokens are 64-bit hashes of word shingles; equal token sets form one class, name
    are opened. First each group is paired with the smallest group of each of its tokens, and with itself. A task
    opens a pair, bounds the overlap of each set with the union of the other side's tokens, and compares those that
    can still reach the threshold. Links make components.
-5. What is left are pairs of groups that share a token and are not both whole in one component. They are bounded and opened
-   too. Groups of copies thus cost pairs in proportion to their size, and no link between components is missed.
+5. What is left are groups that share a token and are not whole in one component. Each is paired once more with the smallest
+   group of each such token, now whatever the bound says; then all pairs of groups of different components that share a
+   token are bounded and opened. Groups of copies thus cost pairs in proportion to their size, and no link between
+   components is missed.
 
-Groups are cut into blocks of about ``BLOCK_TOKENS`` tokens, so a task holds two blocks. Between the steps narrow tables are
+Groups are cut into blocks of about ``BLOCK_TOKENS`` tokens, so a task holds two blocks. Up to ``BROADCAST_CLASSES`` classes to open
+are sent to the texts, more are joined by a shuffle. Between the steps narrow tables are
 written to the shared folder. The driver gets the sketch's ranks, 2 MB at any size of the corpus, and counts.
 
 Null and empty texts have an empty set, no links and their own id as component. Rows that repeat a text are one class;
@@ -36,7 +39,8 @@ from lakemart.session import new_table_path
 
 WORDS = 3
 PERCENT = 90
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 16
+BROADCAST_CLASSES = 200_000  # rows of four numbers
 SKETCH, SEGMENT = 1 << 21, 1 << 16
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)  # odd numbers that spread bits
 
@@ -195,12 +199,6 @@ def link_components(
     first = first.unionByName(own.where("blocks > 1").select("a", F.lit(0).alias("ai"), "b", each).where("bi > 0"))
     first = _written(first.unionByName(star.select("a", F.lit(0).alias("ai"), "b", each)), "pairs")
 
-    # the sets of all groups that are opened, each computed from one document of its class
-    opened = first.select(F.col("a").alias("grp")).union(first.select("b")).distinct()
-    block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block")
-    chosen = classes.join(groups.select("grp", "blocks"), "grp").join(opened, "grp", "left_semi")
-    chosen = texts.join(chosen.select("id", "key", "grp", block), "id").select("text", "key", "grp", "block")
-
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -211,7 +209,21 @@ def link_components(
                 same = [set_key(tokens) == key for tokens, key in zip(found, some.column(1).to_pylist(), strict=True)]
                 yield filled.filter(pa.array(same, pa.bool_()))
 
-    members = _written(chosen.mapInArrow(fill, "key long, grp long, block int, tokens binary"), "members")
+    def fill_in(opened: DataFrame) -> DataFrame:
+        """The sets of groups that are opened, each computed from one document of its class."""
+        block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block")
+        chosen = classes.join(groups.select("grp", "blocks"), "grp").join(opened.distinct(), "grp", "left_semi")
+        chosen = _written(chosen.select("id", "key", "grp", block), "chosen")
+        if chosen.count() <= BROADCAST_CLASSES:  # else the texts are shuffled to meet them
+            chosen = F.broadcast(chosen)
+        filled = texts.join(chosen, "id").select("text", "key", "grp", "block")
+        return _written(filled.mapInArrow(fill, "key long, grp long, block int, tokens binary"), "members")
+
+    members = fill_in(first.select(F.col("a").alias("grp")).union(first.select("b")))
+
+    def unfilled(pairs: DataFrame) -> DataFrame:
+        opened = pairs.select(F.col("a").alias("grp")).union(pairs.select("b"))
+        return opened.join(members.select("grp").distinct(), "grp", "left_anti")
 
     def open_pair(table: pa.Table) -> pa.Table:
         keys, sides, known = (table.column(c).to_pylist() for c in ("key", "side", "root"))
@@ -227,20 +239,48 @@ def link_components(
         sides = one.unionByName(other).join(members.join(roots, "key"), ["grp", "block"])
         return sides.groupBy(*pair).applyInArrow(open_pair, "a long, b long")
 
-    alone = classes.select("key", F.col("key").alias("root"))
-    found = _written(components(compare(first, alone)), "components")
-    roots = classes.join(found, classes["key"] == found["node"], "left")
-    roots = roots.select("key", "grp", F.coalesce("root", "key").alias("root"))
-
-    # pairs of groups that share a token and are not both whole in one component
-    whole = roots.groupBy("grp").agg(F.min("root").alias("c0"), F.max("root").alias("c1"))
-    whole = _written(whole.join(groups, "grp"), "whole")
-    left = matrix.join(whole, "grp")
-    mixed = left.groupBy("token").agg(F.min("c0").alias("x"), F.max("c1").alias("y")).where("x <> y").select("token")
-    left = left.join(mixed, "token").drop("head", "members")
+    def follow(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
+        """Components of new links and of the ones found before."""
+        if before is not None:
+            links = links.unionByName(before.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        return _written(components(links), "components")
+
+    def named(found: DataFrame) -> DataFrame:
+        joined = classes.join(found, classes["key"] == found["node"], "left")
+        return joined.select("key", "id", "grp", F.coalesce("root", "key").alias("root"))
+
+    def apart(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Groups with their components, and the entries of tokens that groups of different components hold."""
+        whole = named(found).groupBy("grp").agg(F.min("root").alias("c0"), F.max("root").alias("c1"))
+        whole = _written(whole.join(groups, "grp").drop("members"), "whole")
+        left = matrix.drop("head").join(whole, "grp")
+        mixed = left.groupBy("token").agg(F.min("c0").alias("x"), F.max("c1").alias("y"), F.min("grp").alias("head"))
+        return whole, _written(left.join(mixed.where("x <> y").select("token", "head"), "token"), "left")
+
+    different = F.least("a_c0", "b_c0") < F.greatest("a_c1", "b_c1")
+    found = follow(compare(first, classes.select("key", F.col("key").alias("root"))))
+
+    # once more with the smallest group of each token that is left, now whatever their number of common entries
+    whole, left = apart(found)
+    a, b = (whole.select(*[F.col(c).alias(f"{side}_{c}") for c in whole.columns]) for side in "ab")
+    again = left.where("head <> grp").select(F.col("head").alias("a_grp"), F.col("grp").alias("b_grp")).distinct()
+    again = again.join(a, "a_grp").join(b, "b_grp").where(different & _sizes(percent))
+    again = again.select(
+        F.col("a_grp").alias("a"),
+        F.lit(0).alias("ai"),
+        F.col("b_grp").alias("b"),
+        F.explode(F.sequence(F.lit(0), F.col("b_blocks") - 1)).alias("bi"),
+    )
+    done = ["a", "ai", "b", "bi"]
+    again = _written(again.join(first, done, "left_anti"), "pairs")
+    members = members.unionByName(fill_in(unfilled(again)))
+    found = follow(compare(again, named(found).select("key", "root")), found)
+
+    # then all pairs of groups that share a token and are not both whole in one component
+    whole, left = apart(found)
+    left = left.drop("head")
     a, b = (left.select(*[F.col(c).alias(f"{side}_{c}") for c in left.columns]) for side in "ab")
-    apart = F.least("a_c0", "b_c0") < F.greatest("a_c1", "b_c1")
-    rest = a.join(b, (F.col("a_token") == F.col("b_token")) & (F.col("a_grp") < F.col("b_grp")) & apart & _sizes(percent))
+    rest = a.join(b, (F.col("a_token") == F.col("b_token")) & (F.col("a_grp") < F.col("b_grp")) & different & _sizes(percent))
     rest = rest.groupBy(*[f"{side}_{c}" for side in "ab" for c in ("grp", "low", "high", "blocks")])
     rest = rest.agg(F.count("*").alias("common")).where(_may_link(percent))
     rest = rest.select(
@@ -250,17 +290,15 @@ def link_components(
     split = split.select(F.col("grp").alias("a"), F.col("grp").alias("b"), F.col("blocks").alias("an"), F.col("blocks").alias("bn"))
     rest = rest.unionByName(split).withColumn("ai", F.explode(F.sequence(F.lit(0), F.col("an") - 1)))
     rest = rest.withColumn("bi", F.explode(F.sequence(F.lit(0), F.col("bn") - 1))).where("a < b or ai < bi")
-    rest = rest.select("a", "ai", "b", "bi").join(first, ["a", "ai", "b", "bi"], "left_anti")
-    more = compare(rest, roots.select("key", "root"))
-    known = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    # links between keys, and from each key to the root found before
-    found = components(more.unionByName(known))
-
-    named = classes.join(found, classes["key"] == found["node"], "left")
-    named = named.select("key", "id", F.coalesce("root", "key").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = named.join(smallest, "root").select("key", "component_id")
-    joined = sets.join(named, "key", "left")
+    rest = rest.select(*done).join(first.unionByName(again), done, "left_anti")
+    rest = _written(rest, "pairs")
+    members = members.unionByName(fill_in(unfilled(rest)))
+    found = follow(compare(rest, named(found).select("key", "root")), found)
+
+    keyed = named(found)
+    smallest = keyed.groupBy("root").agg(F.min("id").alias("component_id"))
+    keyed = keyed.join(smallest, "root").select("key", "component_id")
+    joined = sets.join(keyed, "key", "left")
     component = F.coalesce("component_id", "id").alias("component_id")
     return joined.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component)
 

@@ -375,9 +375,10 @@ def test_components_query(spark, small):
     assert Counter(map(tuple, found.collect())) == expected_components(texts_of(small_documents(spark, small)))
 
 
-@pytest.mark.parametrize("block_tokens", [300, 1 << 18])
-def test_components_of_many_near_copies(spark, block_tokens):
+@pytest.mark.parametrize("block_tokens, broadcast", [(300, 0), (1 << 18, 1000)])
+def test_components_of_many_near_copies(spark, monkeypatch, block_tokens, broadcast):
     """One family of near copies in many blocks, and texts that only share a passage."""
+    monkeypatch.setattr(group_jaccard, "BROADCAST_CLASSES", broadcast)
     draw = random.Random(3)
     word = lambda: "w" + str(draw.randint(0, 10**9))
     family, passage = [word() for _ in range(60)], [word() for _ in range(40)]
