@@ -4,8 +4,8 @@ Null ids and texts, repeated rows and empty tables pass through as the operators
 
 * language: rows without a letter, and those whose best language is less likely than ``LEAST_SCORE``, go; a null label
   is filled with the prediction.
-* near copies: of each component the document with the smallest id stays, of rows equal in id and text one. A document
-  without an id stays unless it is linked with one that has an id.
+* near copies: of each component the document with the smallest id stays, of rows equal in id and text one. Documents
+  without an id come behind all others.
 * decontamination: documents that a benchmark item leaks into go.
 * secrets: every span is replaced by a mark and ``n_chars`` counted anew; no document goes.
 * tokens: one row per document that is left.
@@ -34,13 +34,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose sets of five-word shingles are alike to 80 percent."""
-    found = group_jaccard.link_components(docs, words=5, percent=80)
-    first = found.where(F.col("component_id").eqNullSafe(F.col("doc_id")))
-    first = first.select(F.col("doc_id").alias("first_id")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-    # the join has brought rows of an id together, so this needs no further shuffle
-    equal = Window.partitionBy("doc_id", "text").orderBy("source")
-    return kept.withColumn("nth", F.row_number().over(equal)).where("nth = 1").select(*docs.columns)
+    # a document without an id gets a number of its text above all ids
+    own = F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(1 << 62)
+    keyed = docs.withColumn("key", F.coalesce(F.col("doc_id"), own))
+    found = group_jaccard.link_components(keyed, words=5, percent=80, id_column="key")
+    first = found.where("component_id = key").groupBy("key").agg(F.count("*").alias("rows_of_key"))
+    # the join has brought the rows of a key together, so this needs no further shuffle
+    repeated = F.when(F.col("rows_of_key") > 1, F.col("text"))
+    nth = F.row_number().over(Window.partitionBy("key", repeated).orderBy("source"))
+    return keyed.join(first, "key").withColumn("nth", nth).where("nth = 1").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
