@@ -5,8 +5,9 @@ or a comma and a space) and units (a unit's name behind a number) turn into type
 case. Windows of ``WINDOW`` words with at least ``LEAST_WORDS`` real words of the benchmark are joined with the windows
 of the corpus by hash and compared. Windows of the same item that lie at the same distance form an alignment. Its slots
 must be consistent: within a type, equal values of the item meet equal values of the document and the other way round.
-So a question asked again with other numbers is found, a chance meeting of placeholders is not. An item leaks
-into a document if consistent alignments cover ``SHARE`` of its windows.
+Where values contradict each other, the one in the most places holds, none on a tie, and windows with another go; windows
+without slots always stay. So a question asked again with other numbers is found, a chance meeting of placeholders is
+not. An item leaks into a document if what stays covers ``SHARE`` of its windows.
 
 The benchmark's windows are sent to every executor if they are at most ``BROADCAST_WINDOWS``, else both sides are
 shuffled by hash. Only windows that match are shuffled for the rest; a group holds the windows of one item in one document.
@@ -87,6 +88,34 @@ def _real_words(words: Column) -> Column:
     return F.size(F.filter(words, lambda w: ~w.isin(NAME, NUMBER, UNIT)))
 
 
+def _value(pair: Column) -> Column:
+    return F.struct(*[pair[c].alias(c) for c in ("words", "of_item", "raw")])
+
+
+def _lost(pairs: Column, values: Column) -> Column:
+    """Values of slots that contradict others of their alignment which stand in as many places or more."""
+
+    def different(*fields: str) -> Column:
+        return F.size(F.array_distinct(F.transform(values, lambda v: F.struct(*[v[f] for f in fields]))))
+
+    def counted(v: Column) -> Column:
+        places = F.size(F.filter(pairs, lambda z: _value(z) == v))
+        return F.struct(v.alias("value"), places.alias("places"))
+
+    def contradicts(v: Column, w: Column) -> Column:
+        return (v["words"] == w["words"]) & ((v["of_item"] == w["of_item"]) != (v["raw"] == w["raw"]))
+
+    one_to_one = (different("words", "of_item") == F.size(values)) & (different("words", "raw") == F.size(values))
+    # counted before they are compared: the optimizer takes counts of two lambda variables for one and the same
+    counts = F.transform(values, counted)
+    beaten = F.filter(
+        counts,
+        lambda v: F.exists(counts, lambda w: contradicts(v["value"], w["value"]) & (w["places"] >= v["places"])),
+    )
+    lost = F.transform(beaten, lambda v: v["value"])
+    return F.when(~one_to_one, lost).otherwise(F.slice(values, 1, 0))
+
+
 def leaks(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -98,7 +127,7 @@ def leaks(
 ) -> DataFrame:
     """One row per document and item that leaks into it: ids, ``n_windows``, ``share`` and ``verbatim``.
 
-    ``verbatim`` is true where all slots have the item's own values.
+    ``verbatim`` is true where all slots have the item's own values, also those of windows that went.
     """
     names = ["item", "item_place", "hash", "item_words", "of_item"]
     asked = windows(benchmark, item_id, text_column, window).toDF(*names)
@@ -110,24 +139,25 @@ def leaks(
     found = windows(documents, document_id, text_column, window).join(asked, "hash")
     # the words behind equal hashes: one null and one not cannot be equal
     found = found.where(F.col("words").eqNullSafe(F.col("item_words")))
+    places = F.sequence(F.col("item_place"), F.col("item_place") + window - 1).alias("at")
     pairs = F.when(
         F.col("words").isNotNull(),
-        F.filter(F.arrays_zip("words", "of_item", "raw"), lambda z: z["words"].isin(NAME, NUMBER, UNIT)),
+        F.filter(F.arrays_zip(places, "words", "of_item", "raw"), lambda z: z["words"].isin(NAME, NUMBER, UNIT)),
     ).alias("pairs")
     aligned = found.select("id", "item", "item_place", (F.col("place") - F.col("item_place")).alias("shift"), pairs)
     alignments = aligned.groupBy("id", "item", "shift").agg(
-        F.collect_set("item_place").alias("places"),
+        F.collect_set(F.struct("item_place", "pairs")).alias("windows"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
-
-    def different(*fields: str) -> Column:
-        return F.size(F.array_distinct(F.transform("pairs", lambda z: F.struct(*[z[f] for f in fields]))))
-
-    one_to_one = (different("words", "of_item") == F.size("pairs")) & (different("words", "raw") == F.size("pairs"))
+    alignments = held(alignments, values=F.array_distinct(F.transform("pairs", _value)))
+    alignments = held(alignments, lost=_lost(F.col("pairs"), F.col("values")))
+    stays = F.filter(
+        "windows",
+        lambda w: w["pairs"].isNull() | ~F.exists(w["pairs"], lambda z: F.array_contains("lost", _value(z))),
+    )
     same = F.forall("pairs", lambda z: z["of_item"] == z["raw"])
     covered = (
-        alignments.where(one_to_one)
-        .select("id", "item", same.alias("same"), F.explode("places").alias("place"))
+        alignments.select("id", "item", same.alias("same"), F.explode(stays["item_place"]).alias("place"))
         .groupBy("id", "item")
         .agg(F.count_distinct("place").alias("n_windows"), F.min("same").alias("verbatim"))
     )

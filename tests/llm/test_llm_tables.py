@@ -215,6 +215,17 @@ def test_questions_with_other_numbers_leak(spark):
     assert found_leaks(spark, texts) == {(0, 1): True, (1, 1): False, (3, 4): True}
 
 
+def test_one_contradicting_slot_costs_its_own_windows_only(spark):
+    words = [f"{a}{b}" for a in "abcdefg" for b in "klmnopq"]
+    item = " ".join(["7", *words[:30], "7", *words[30:], "7"])
+    texts = [item, item.replace("7", "8", 1), " ".join(["8", *words[:30], "9", *words[30:], "7"]), item.replace("7", "8")]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = template_decon.leaks(documents(spark, texts), items, share=0.0).collect()
+    # 45 windows; the first slot is in 1, the second in 8 and the third in 1
+    want = {0: (45, True), 1: (44, False), 2: (35, False), 3: (45, False)}
+    assert {r["doc_id"]: (r["n_windows"], r["verbatim"]) for r in found} == want
+
+
 def test_no_documents_or_items(spark):
     df = documents(spark, [ITEMS[0][1]])
     items = spark.createDataFrame([(i, t) for i, t in ITEMS], "item_id long, text string")
