@@ -314,14 +314,24 @@ def _may_link(percent: int) -> Column:
 
     Of two sets' tokens in the common order, those behind the leading ones of the set whose leading ones end first
     are at most ceil(t * n) - 1; what the overlap needs beyond that must be among the leading ones of both.
+
+    Over a range of sizes the ceilings make this bound jump by one, so the least of it is not at the ends. There the
+    bound without ceilings holds, whose least is: ceil(t * n) is at most t * n + 99/100.
     """
 
     def least(x: Column, y: Column) -> Column:
         overlap = -F.floor(-(x + y) * percent / (100 + percent))
         return overlap - F.ceil(F.greatest(x, y) * percent / 100) + 1
 
+    def below(x: Column, y: Column) -> Column:
+        """Times 100 * (100 + percent), to stay with whole numbers."""
+        return 100 * percent * (x + y) - percent * (100 + percent) * F.greatest(x, y) + (100 + percent)
+
     low, high = ([F.col(f"{side}_{c}") for side in "ab"] for c in ("low", "high"))
-    return _sizes(percent) & (F.col("common") >= F.least(least(low[0], high[1]), least(high[0], low[1])))
+    one_size = (low[0] == high[0]) & (low[1] == high[1])
+    of_range = F.least(below(low[0], high[1]), below(high[0], low[1]))
+    enough = F.when(one_size, F.col("common") >= least(low[0], low[1]))
+    return _sizes(percent) & enough.otherwise(F.col("common") * (100 * (100 + percent)) >= of_range)
 
 
 DESCRIBED = pa.schema(

@@ -403,3 +403,28 @@ def test_components_of_edge_rows(spark, edge):
     found = group_jaccard.link_components(edge.where("doc_id is not null"))
     rows = [row for row in texts_of(edge) if row[0] is not None]
     assert bag(found, "doc_id", "n_shingles", "component_id") == expected_components(rows)
+
+
+def least_leading(x, y, percent):
+    """The fewest leading tokens that sets of these sizes share at the threshold, the tokens of one side only first."""
+    common = -(-percent * (x + y) // (100 + percent))
+    ends = [n - -(-percent * n // 100) + 1 - (n - common) for n in (x, y)]
+    return min(ends) if common <= min(x, y) else None
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_bound_of_groups_with_mixed_sizes(spark, percent):
+    assert least_leading(25, 29, 80) == 1
+    rows = []
+    for a_low in range(1, 62, 3):
+        for a_high in range(a_low, a_low + 4):
+            for b_low in range(a_low, a_high + 10):
+                for b_high in range(b_low, b_low + 6):
+                    pairs = [(x, y) for x in range(a_low, a_high + 1) for y in range(b_low, b_high + 1)]
+                    fewest = [n for n in (least_leading(x, y, percent) for x, y in pairs) if n is not None]
+                    if fewest:
+                        rows.append((a_low, a_high, b_low, b_high, min(fewest)))
+    df = spark.createDataFrame(rows, "a_low long, a_high long, b_low long, b_high long, common long")
+    assert df.where(~group_jaccard._may_link(percent)).collect() == []
+    alone = df.where("a_low = a_high and b_low = b_high").withColumn("common", F.col("common") - 1)
+    assert alone.where(group_jaccard._may_link(percent)).count() == 0
