@@ -7,7 +7,8 @@ which otherwise matches equal bigrams, so only passages that share a bigram with
 looked at. Built-in functions only; only matching bigrams are shuffled, added up per passage.
 
 Null and empty texts, and passages of one word, match nothing. A passage that a text, or texts with the same id,
-hold several times counts once. A passage belongs to its best template, ties to the one listed first.
+hold several times counts once. A passage belongs to its best template, ties to the one listed first. Siblings differ in
+few words, so a template counts only if the passage has the words that tell its licence (``DISTINGUISHING``).
 """
 
 from __future__ import annotations
@@ -71,8 +72,80 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "LGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version.",
+    ),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    (
+        "CC-BY-SA-4.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ),
+    (
+        "CC-BY-NC-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    ),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    (
+        "CC-BY-ND-4.0",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    (
+        "CC-BY-NC-SA-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    (
+        "CC-BY-NC-ND-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+    ),
 )
 
+# What tells a licence from its siblings: a template that has such a pair of words is named only if the passage has it.
+DISTINGUISHING: dict[str, tuple[str, ...]] = {
+    "MIT": ("mit license",),
+    "Apache-2.0": ("apache license", "version 2", "2 0"),
+    "GPL-2.0": ("gnu general", "version 2"),
+    "GPL-3.0": ("gnu general", "version 3"),
+    "LGPL-2.1": ("gnu lesser", "version 2", "2 1"),
+    "LGPL-3.0": ("gnu lesser", "version 3"),
+    "AGPL-3.0": ("gnu affero", "version 3"),
+    "MPL-2.0": ("mozilla public", "2 0"),
+    "CC-BY-4.0": ("by 4", "attribution 4", "4 0"),
+    "CC-BY-SA-4.0": ("by sa", "sa 4", "attribution sharealike", "sharealike 4", "4 0"),
+    "CC-BY-NC-4.0": ("by nc", "nc 4", "attribution noncommercial", "noncommercial 4", "4 0"),
+    "CC-BY-ND-4.0": ("by nd", "nd 4", "attribution noderivatives", "noderivatives 4", "4 0"),
+    "CC-BY-NC-SA-4.0": ("by nc", "nc sa", "attribution noncommercial", "noncommercial sharealike", "4 0"),
+    "CC-BY-NC-ND-4.0": ("by nc", "nc nd", "attribution noncommercial", "noncommercial noderivatives", "4 0"),
+}
+
 
 def _words(text: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), " ")
@@ -100,14 +173,16 @@ def scan(
     text_column: str = "text",
 ) -> DataFrame:
     """Every passage that reaches the threshold: id, passage, its best template (number and licence) and ``dice``."""
-    rows = [(n, licence, text) for n, (licence, text) in enumerate(templates)]
-    listed = documents.sparkSession.createDataFrame(rows, "template int, licence string, wording string")
+    rows = [(n, licence, text, [*DISTINGUISHING.get(licence, ())]) for n, (licence, text) in enumerate(templates)]
+    names = "template int, licence string, wording string, named array<string>"
+    listed = documents.sparkSession.createDataFrame(rows, names)
     words = F.col("words")
     few, many = threshold / (2 - threshold), (2 - threshold) / threshold
     parts = held(listed, words=_words(F.col("wording"))).where(F.size(words) > 1)
     parts = held(parts, bigrams=_bigrams(words)).withColumn("b", F.size("bigrams"))
     sizes = parts.agg(F.min("b"), F.max("b")).first()
-    parts = parts.select("template", "licence", "b", F.explode("bigrams").alias("bigram"))
+    named = F.array_intersect("named", "bigrams").alias("named")
+    parts = parts.select("template", "licence", "b", named, F.explode("bigrams").alias("bigram"))
     if sum(len(text.split()) for _, text in templates) <= BROADCAST_WORDS:
         parts = F.broadcast(parts)
 
@@ -124,7 +199,9 @@ def scan(
     )
     dice = 2 * F.col("c") / (F.col("a") + F.col("b"))
     # as a set: rows that repeat an id may hold the same passage
-    scored = common.agg(F.size(F.collect_set(found["bigram"])).alias("c")).withColumn("dice", dice).where(F.col("dice") >= threshold)
+    shared = F.collect_set(found["bigram"])
+    scored = common.agg(F.size(shared).alias("c"), F.size(F.array_except(F.first("named"), shared)).alias("unnamed"))
+    scored = scored.withColumn("dice", dice).where((F.col("dice") >= threshold) & (F.col("unnamed") == 0))
     best = scored.groupBy("id", "passage").agg(
         F.max(F.struct("dice", (-F.col("template")).alias("first"), "licence")).alias("best")
     )

@@ -182,6 +182,29 @@ def test_dice_by_hand(spark):
     assert [(r["template"], r["licence"], r["dice"]) for r in found] == [(0, "L", 0.8)]
 
 
+def test_siblings_are_not_taken_for_each_other(spark):
+    gnu = "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public "
+    gnu += "License as published by the Free Software Foundation; either version {} of the License, or (at your option) any "
+    gnu += "later version."
+    commons = "This work is licensed under a Creative Commons Attribution{} International License."
+    texts = {
+        gnu.format("program", "", "2"): "GPL-2.0",
+        gnu.format("program", "", "3"): "GPL-3.0",
+        gnu.format("library", "Lesser ", "2.1"): "LGPL-2.1",
+        gnu.format("library", "Lesser ", "3"): "LGPL-3.0",
+        gnu.format("program", "Affero ", "3"): "AGPL-3.0",
+        gnu.format("program", "Other ", "3"): None,
+        gnu.format("program", "", "9"): None,
+        commons.format(" 4.0"): "CC-BY-4.0",
+        commons.format("-ShareAlike 4.0"): "CC-BY-SA-4.0",
+        commons.format("-NonCommercial 4.0"): "CC-BY-NC-4.0",
+        commons.format("-NonCommercial-NoDerivatives 4.0"): "CC-BY-NC-ND-4.0",
+        commons.format(" 2.5"): None,
+    }
+    found = {r["doc_id"]: r["licence"] for r in licence_dice.scan(documents(spark, list(texts))).collect()}
+    assert [found.get(n) for n in range(len(texts))] == list(texts.values())
+
+
 # ---- benchmark
 
 
