@@ -1,10 +1,12 @@
 """Licence scan: passages compared with licence templates by the Dice coefficient over word bigrams.
 
-A passage is a line, or a paragraph of several lines. Passage and template are lower-cased and everything but letters
+A passage is a line, a paragraph of several lines, or a window of a template's length within one of them. Passage and template are lower-cased and everything but letters
 and digits becomes one space. With a and b distinct bigrams, of which c are common, the coefficient is 2c / (a + b).
 It can reach t only if a lies between b * t / (2 - t) and b * (2 - t) / t: these size bounds go into the join,
 which otherwise matches equal bigrams, so only passages that share a bigram with a template of fitting size are
-looked at. Built-in functions only; only matching bigrams are shuffled, added up per passage.
+looked at. Built-in functions only; only matching bigrams are shuffled, added up per passage. Windows are laid where a
+bigram has its place in the template, of so many of the template's bigrams that one is found in all that can reach t.
+A window that is for the most part a line or paragraph found for its licence, or a better window, is not counted again.
 
 Null and empty texts, and passages of one word, match nothing. A passage that a text, or texts with the same id,
 hold several times counts once. A passage belongs to its best template, ties to the one listed first. Siblings differ in
@@ -14,11 +16,13 @@ few words, so a template counts only if the passage has the words that tell its
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.held import held
+from lakemart.session import new_table_path
 
 THRESHOLD = 0.8
 BROADCAST_WORDS = 200_000  # templates up to this size are sent to every executor; larger ones are shuffled
@@ -151,11 +155,13 @@ def _words(text: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), " ")
 
 
+def _pair(words: Column, i: Column) -> Column:
+    return F.concat_ws(" ", F.get(words, i), F.get(words, i + 1))
+
+
 def _bigrams(words: Column) -> Column:
     """Distinct pairs of neighbours; ``words`` has two or more."""
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1))
-    )
+    pairs = F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: _pair(words, i))
     return F.array_distinct(pairs)
 
 
@@ -180,21 +186,29 @@ def scan(
     few, many = threshold / (2 - threshold), (2 - threshold) / threshold
     parts = held(listed, words=_words(F.col("wording"))).where(F.size(words) > 1)
     parts = held(parts, bigrams=_bigrams(words)).withColumn("b", F.size("bigrams"))
+    parts = parts.withColumn("named", F.array_intersect("named", "bigrams"))
     sizes = parts.agg(F.min("b"), F.max("b")).first()
-    named = F.array_intersect("named", "bigrams").alias("named")
-    parts = parts.select("template", "licence", "b", named, F.explode("bigrams").alias("bigram"))
-    if sum(len(text.split()) for _, text in templates) <= BROADCAST_WORDS:
-        parts = F.broadcast(parts)
+    anchors, longest = _anchors(parts, threshold)
+    small = sum(len(text.split()) for _, text in templates) <= BROADCAST_WORDS
+    light = F.broadcast if small else (lambda df: df)
 
     passages = documents.select(F.col(id_column).alias("id"), F.explode(_passages(F.col(text_column))).alias("passage"))
     passages = held(passages.where(F.length("passage") > 2), words=_words(F.col("passage")))
     # repeated words make bigrams fewer, so only the lower bound holds for words
     passages = passages.where(F.size(words) - 1 >= F.lit(few * (sizes[0] or 1)))
-    passages = held(passages, bigrams=_bigrams(words)).drop("words").withColumn("a", F.size("bigrams"))
-    passages = passages.where(F.col("a").between(few * (sizes[0] or 1), many * (sizes[1] or 0)))
-    found = passages.select("id", "passage", "a", F.explode("bigrams").alias("bigram"))
+    telling = sorted({max(bigram.split(" "), key=len) for bigram, *_ in anchors})
+    # read twice below, and little is left
+    passages = passages.where(F.arrays_overlap(words, F.array(*map(F.lit, telling)).cast("array<string>")))
+    path = new_table_path(documents.sparkSession, "licence_passages")
+    passages.write.parquet(path)
+    passages = documents.sparkSession.read.parquet(path)
+
+    whole = held(passages, bigrams=_bigrams(words)).drop("words").withColumn("a", F.size("bigrams"))
+    whole = whole.where(F.col("a").between(few * (sizes[0] or 1), many * (sizes[1] or 0)))
+    found = whole.select("id", "passage", "a", F.explode("bigrams").alias("bigram"))
     fits = (F.col("a") >= F.col("b") * few) & (F.col("a") <= F.col("b") * many)
-    common = found.join(parts, (found["bigram"] == parts["bigram"]) & fits).groupBy(
+    pairs = light(parts.select("template", "licence", "b", "named", F.explode("bigrams").alias("bigram")))
+    common = found.join(pairs, (found["bigram"] == pairs["bigram"]) & fits).groupBy(
         "id", "passage", "template", "licence", "a", "b"
     )
     dice = 2 * F.col("c") / (F.col("a") + F.col("b"))
@@ -205,15 +219,74 @@ def scan(
     best = scored.groupBy("id", "passage").agg(
         F.max(F.struct("dice", (-F.col("template")).alias("first"), "licence")).alias("best")
     )
-    return best.select(
+
+    # windows of a template's size, laid so that a bigram that only this and few others have falls on its place
+    near = F.slice("words", F.greatest(F.col("at") - longest, F.lit(0)) + 1, 2 * longest)
+    spots = F.filter(F.sequence(F.lit(0), F.size(words) - 2), lambda i: _pair(words, i).isin([x for x, *_ in anchors]))
+    spots = passages.select("id", "words", F.explode(spots).alias("at"))
+    spots = spots.select(
+        "id", "at", F.size(words).alias("n"), _pair(words, F.col("at")).alias("bigram"), near.alias("near")
+    )
+    listed = documents.sparkSession.createDataFrame(anchors, "bigram string, template int, offset int, size int")
+    listed = light(listed.join(parts.drop("words", "wording").withColumnRenamed("bigrams", "of_template"), "template"))
+    start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("offset"), F.col("n") - F.col("size"))).alias("start")
+    laid = spots.join(listed, "bigram").where("n > size").select("*", start)
+    begin = F.col("start") - F.greatest(F.col("at") - longest, F.lit(0)) + 1
+    laid = held(laid.drop("bigram"), words=F.slice("near", begin, F.col("size")))
+    laid = held(laid.drop("near"), bigrams=_bigrams(words))
+    laid = held(laid, a=F.size("bigrams"), common=F.array_intersect("bigrams", "of_template"))
+    laid = laid.withColumn("c", F.size("common")).withColumn("dice", dice)
+    laid = laid.where((F.col("dice") >= threshold) & (F.size(F.array_except("named", "common")) == 0))
+    text = F.array_join("words", " ").alias("passage")
+    rank = F.struct("dice", (-F.col("template")).alias("first"), "licence")
+    laid = laid.select("id", text, "licence", rank.alias("best")).groupBy("id", "passage", "licence")
+    laid = laid.agg(F.max("best").alias("best")).drop("licence")
+
+    def entry(inside: bool) -> Column:
+        fields = [F.col(f"best.{c}").alias(c) for c in ("dice", "first", "licence")]
+        bigrams = F.when(F.size(_words(F.col("passage"))) > 1, _bigrams(_words(F.col("passage"))))
+        return F.struct(F.lit(not inside).alias("whole"), *fields, F.col("passage"), bigrams.alias("bigrams"))
+
+    every = best.select("id", entry(False).alias("e")).unionByName(laid.select("id", entry(True).alias("e")))
+    every = every.groupBy("id").agg(F.sort_array(F.collect_set("e"), asc=False).alias("all"))
+
+    def same(x: Column, y: Column) -> Column:
+        """Three quarters of a shifted window are common; two wordings of one line have less."""
+        common = F.size(F.array_intersect(x["bigrams"], y["bigrams"]))
+        return (x["licence"] == y["licence"]) & (4 * common > 3 * F.least(F.size(x["bigrams"]), F.size(y["bigrams"])))
+
+    # what a passage or a better window has already is not counted again
+    taken = F.aggregate(
+        F.filter("all", lambda x: ~x["whole"]),
+        F.filter("all", lambda x: x["whole"]),
+        lambda kept, x: F.when(F.exists(kept, lambda y: same(x, y)), kept).otherwise(F.concat(kept, F.array(x))),
+    )
+    result = every.select("id", F.inline(taken))
+    return result.select(
         F.col("id").alias(id_column),
         "passage",
-        (-F.col("best.first")).alias("template"),
-        F.col("best.licence").alias("licence"),
-        F.col("best.dice").alias("dice"),
+        (-F.col("first")).alias("template"),
+        "licence",
+        "dice",
     )
 
 
+def _anchors(parts: DataFrame, threshold: float) -> tuple[list[tuple[str, int, int, int]], int]:
+    """Bigrams of which a likeness at the threshold has one, with template, place and the template's words; the longest.
+
+    Of b bigrams at least b * t / (2 - t) must be common, so all but so many and one more will do: the longest ones.
+    """
+    out, longest = [], 1
+    for row in parts.select("template", "words", "bigrams").collect():
+        b = len(row["bigrams"])
+        count = b - max(ceil(threshold * b / (2 - threshold) - 1e-9), 1) + 1
+        chosen = set(sorted(row["bigrams"], key=lambda x: (-len(x), x))[:count])
+        pairs = [f"{x} {y}" for x, y in zip(row["words"], row["words"][1:])]
+        out += [(x, row["template"], n, len(row["words"])) for n, x in enumerate(pairs) if x in chosen]
+        longest = max(longest, len(row["words"]))
+    return out, longest
+
+
 def scan_sql(templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> str:
     """The passages of ``scan`` in DuckDB's SQL, as table ``best``."""
     quoted = ", ".join(

@@ -205,6 +205,26 @@ def test_siblings_are_not_taken_for_each_other(spark):
     assert [found.get(n) for n in range(len(texts))] == list(texts.values())
 
 
+def test_notices_within_longer_passages(spark):
+    mit = licence_dice.TEMPLATES[2][1]
+    head = "The parser was rewritten last year by our team. "
+    tail = " See the docs for more of what it does and how to run it on many files."
+    other = head + "Licensed under CC BY-SA 4.0." + tail
+    texts = [
+        head + "Released under the MIT License." + tail,
+        head + mit.replace("free of charge", "without charge") + tail * 9,
+        head + "\n" + mit.replace(" and", "\nand") + "\n" + " ".join(f"file{n}" for n in range(90)),
+        other + " Licensed under CC BY-NC 4.0." + tail + " Released under the MIT License." + tail,
+        head + tail * 20,
+        "Released under the MIT License.\n" + tail,
+    ]
+    found = licence_dice.scan(documents(spark, texts)).collect()
+    got = Counter((r["doc_id"], r["licence"]) for r in found)
+    want = {(n, "MIT"): 1 for n in (0, 1, 2, 3, 5)} | {(3, "CC-BY-SA-4.0"): 1, (3, "CC-BY-NC-4.0"): 1}
+    assert got == want
+    assert {r["doc_id"]: r["dice"] for r in found if r["doc_id"] in (0, 2, 5)} == {0: 1.0, 2: 1.0, 5: 1.0}
+
+
 # ---- benchmark
 
 
