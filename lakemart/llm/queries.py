@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm import (
+    block_naming,
     bpe_recursive,
     byte_cnn,
     entropy_secrets,
@@ -145,6 +146,21 @@ def op10_group_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_jaccard.link_components(_read(spark, sf_dir, "documents"))
 
 
+def op12_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal documents and the one of each that stays."""
+    return block_naming.exact_copies(_read(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH t AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS n FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept, sha256(n) AS text_sha256
+FROM t WINDOW same AS (PARTITION BY n)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_frames": op1_token_frames,
     "op2_template_decon": op2_template_decon,
@@ -156,6 +172,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_entropy_secrets": op9_entropy_secrets,
     "op10_group_jaccard": op10_group_jaccard,
+    "op12_block_naming": op12_block_naming,
 }
 
 ORACLE: dict[str, str] = {
@@ -163,4 +180,5 @@ ORACLE: dict[str, str] = {
     "op3_licence_dice": OP3_SQL,
     "op5_kd_topk": OP5_SQL,
     "op7_warc_merge": OP7_SQL,
+    "op12_block_naming": OP12_SQL,
 }
