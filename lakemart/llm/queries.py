@@ -16,6 +16,7 @@ from lakemart.llm import (
     kd_topk,
     licence_dice,
     lpf_dedup,
+    pair_bitmaps,
     template_decon,
     token_frames,
     warc_merge,
@@ -146,6 +147,13 @@ def op10_group_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_jaccard.link_components(_read(spark, sf_dir, "documents"))
 
 
+def op11_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of byte-level and piece tokens of every document, with the corpus-wide counts of its pairs."""
+    path = new_table_path(spark, "pair_bitmaps")
+    pair_bitmaps.build_index(_read(spark, sf_dir, "documents"), path)
+    return pair_bitmaps.score_documents(spark.read.parquet(path))
+
+
 def op12_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal documents and the one of each that stays."""
     return block_naming.exact_copies(_read(spark, sf_dir, "documents"))
@@ -172,6 +180,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_entropy_secrets": op9_entropy_secrets,
     "op10_group_jaccard": op10_group_jaccard,
+    "op11_pair_bitmaps": op11_pair_bitmaps,
     "op12_block_naming": op12_block_naming,
 }
 
