@@ -17,6 +17,7 @@ from lakemart.llm import (
     licence_dice,
     lpf_dedup,
     pair_bitmaps,
+    prefix_free,
     template_decon,
     token_frames,
     warc_merge,
@@ -169,6 +170,11 @@ FROM t WINDOW same AS (PARTITION BY n)
 """
 
 
+def op13_prefix_free(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language, counted over a prefix-free parse of all documents."""
+    return prefix_free.collocations(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_frames": op1_token_frames,
     "op2_template_decon": op2_template_decon,
@@ -182,6 +188,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_group_jaccard": op10_group_jaccard,
     "op11_pair_bitmaps": op11_pair_bitmaps,
     "op12_block_naming": op12_block_naming,
+    "op13_prefix_free": op13_prefix_free,
 }
 
 ORACLE: dict[str, str] = {
@@ -190,4 +197,5 @@ ORACLE: dict[str, str] = {
     "op5_kd_topk": OP5_SQL,
     "op7_warc_merge": OP7_SQL,
     "op12_block_naming": OP12_SQL,
+    "op13_prefix_free": prefix_free.collocations_sql(),
 }
