@@ -1,12 +1,10 @@
 import datetime as dt
 import random
-import re
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from lakemart import functions as fn
 from lakemart import operators as op
 from lakemart.sources.store import HistoryTable
 
@@ -58,24 +56,61 @@ def test_random_history(spark):
     assert rows(build(spark, data)) == history_by_hand(data)
 
 
-@pytest.mark.parametrize("unit", ["hour", "day", "month", "year"])
-def test_slices_of_any_unit_give_the_same_history(spark, unit):
+@pytest.mark.parametrize("slices", [1, 3, 40, 2000])
+@pytest.mark.parametrize("strategy", ["check", "timestamp"])
+def test_any_number_of_slices_gives_the_same_history(spark, slices, strategy):
     data = events(1500, 2)
-    assert rows(build(spark, data, unit=unit)) == history_by_hand(data)
+    want = history_by_hand if strategy == "check" else timestamps_by_hand
+    assert rows(build(spark, data, slices=slices, strategy=strategy)) == want(data)
 
 
-def test_outliers_do_not_change_the_slices(spark):
-    """The largest slice has as many rows with a first and a last day of time in the table as without."""
+def largest_slice(spark, data, slices):
+    df = spark.createDataFrame(data, SCHEMA)
+    sliced, any_cut = op.history.cut_hot_keys(df, ["k"], ["t", "n"], slices)
+    assert any_cut
+    return sliced.groupBy(op.history.PLACE).count().agg(F.max("count")).first()[0]
+
 
-    def largest(data):
-        df = spark.createDataFrame(data, SCHEMA)
-        sliced = df.groupBy("k", fn.time_slice(df, "t", "day").alias("s")).count()
-        return sliced.agg(F.max("count")).first()[0]
+def test_a_key_with_a_third_of_all_rows_within_one_day_is_cut(spark):
+    data = [("hot", "ab"[n // 7 % 2], at(3, n // 10), n) for n in range(20_000)]
+    data += [(f"k{n % 4000}", "ab"[n % 2], at(n % 30, n), n) for n in range(40_000)]
+    assert largest_slice(spark, data, 60) < 2.5 * len(data) / 60
+    assert rows(build(spark, data, slices=60)) == history_by_hand(data)
 
+
+def test_rows_of_one_second_are_cut_by_their_tie_breaker(spark):
+    data = [("hot", "ab"[n // 5 % 2], at(3), n) for n in range(20_000)]
+    assert largest_slice(spark, data, 50) < 2.5 * len(data) / 50
+
+
+def test_outliers_do_not_change_the_slices(spark):
+    """The largest slice has about as many rows with a first and a last day of time in the table as without."""
     data = [("hot", "ab"[n % 2], at(n // 50), n) for n in range(2000)]
     ends = [("hot", "a", dt.datetime(1970, 1, 1), -1), ("hot", "a", dt.datetime(9999, 12, 31), -2)]
-    assert largest(data) == largest(data + ends) == 50
-    assert rows(build(spark, data + ends, unit="day")) == history_by_hand(data + ends)
+    assert max(largest_slice(spark, data, 20), largest_slice(spark, data + ends, 20)) < 2.5 * len(data) / 20
+    assert rows(build(spark, data + ends, slices=20)) == history_by_hand(data + ends)
+
+
+def test_null_keys_and_positions_with_cuts(spark):
+    data = [(None if n % 2 else "x", "ab"[n // 9 % 2], at(0, n), None if n % 3 else n) for n in range(900)]
+    assert rows(build(spark, data, slices=12)) == rows(build(spark, data, slices=1))
+    assert build(spark, data, slices=12).where("is_current").count() == 2
+
+
+def test_copies_of_one_row_do_not_swell_the_sample(spark):
+    data = [("hot", "a", at(1), 1)] * 5000 + [("x", "b", at(2), n) for n in range(50)]
+    assert rows(build(spark, data, slices=10)) == [("hot", "a", at(1), None, True), ("x", "b", at(2), None, True)]
+
+
+@pytest.mark.parametrize("hot", [0, 1 / 3])
+def test_rows_are_shuffled_once_and_edges_are_broadcast(spark, tmp_path, hot):
+    data = [(f"k{n}" if n % 3 or not hot else "hot", "ab"[n // 9 % 2], at(1, n), n) for n in range(3000)]
+    spark.createDataFrame(data, SCHEMA).write.parquet(str(tmp_path / "e"))
+    df = op.build_history(spark.read.parquet(str(tmp_path / "e")), ["k"], ["a"], "t", ["n"], slices=40)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "NestedLoop" not in plan
+    assert ("BroadcastHashJoin" in plan) == bool(hot)
+    assert hot or plan.count("Exchange") == 1
 
 
 @pytest.mark.parametrize("kind", ["timestamp", "date", "string", "long"])
@@ -87,17 +122,6 @@ def test_any_time_column_can_be_cut(spark, kind):
     assert got.count() == len(history_by_hand(data)) and got.where("is_current").count() == len({r[0] for r in data})
 
 
-def test_one_plan_and_no_job_while_it_is_made(spark):
-    def plan(data):
-        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
-        df = build(spark, data)
-        text = df._jdf.queryExecution().optimizedPlan().toString()
-        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
-        return re.sub(r"#\d+L?|\[.*?\]", "", text)
-
-    assert plan(events(10, 1)) == plan(events(3000, 1, hot_part=0.9))
-
-
 def timestamps_by_hand(data):
     out = []
     for key in sorted({r[0] for r in data}):
@@ -141,7 +165,7 @@ def test_late_row_between_equal_ones(spark, tmp_path):
     ]
 
 
-@pytest.mark.parametrize("limits", [{}, {"unit": "day"}])
+@pytest.mark.parametrize("limits", [{}, {"slices": 30}])
 def test_batches_add_up_to_the_whole_history(spark, limits):
     data = sorted(events(900, 4), key=lambda r: (r[2], r[3]))
     cuts = [at(8), at(20)]
