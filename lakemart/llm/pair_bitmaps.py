@@ -6,7 +6,8 @@ hold it linked.
 
 * A task takes its documents in chunks of at most ``CHUNK_DOCUMENTS`` rows and about ``CHUNK_BYTES`` of text. Of each pair
   of ids it writes a compressed bitmap of the chunk's documents: sorted 16-bit numbers, or plain bits where those are
-  shorter. Bitmaps of the same pair and chunk are OR-merged; those of different chunks hold different documents.
+  shorter. A chunk is encoded in steps of about ``STEP_BYTES`` whose documents are OR-merged per pair; chunks hold
+  different documents.
 * A pair linked m times in a document has m - 1 in *multiplicity planes*: plane p is the bitmap of documents whose m - 1
   has bit p - 1. Plane 0 is the bitmap of all.
 * Popcounts of plane 0 add up to document counts, those of the planes to link counts (``pair_counts``).
@@ -46,6 +47,7 @@ from lakemart.session import new_table_path
 
 BYTE_VOCABULARY, PIECE_MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK_BYTES, CHUNK_DOCUMENTS = 8 << 20, 1 << 16
+STEP_BYTES = 1 << 20  # text that is encoded at once
 LONG_UNIT = 4096  # bytes; longer units go to the slower library, whose pattern matcher has no depth limit
 BLANK = "▁"  # how pieces spell a blank
 
@@ -252,9 +254,13 @@ def aligner(byte_path: str, piece_path: str) -> Aligner:
     return _worker[key]
 
 
-def plane_rows(pairs: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, np.ndarray, pa.Array, np.ndarray]]:
-    """Plane, different pairs, their bitmaps and popcounts. Links may repeat; equal ones of a document are counted."""
-    entries, times = np.unique(pairs << 16 | places, return_counts=True)
+def postings(pairs: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different (pair, place) entries as ``pair << 16 | place``, sorted, and how often each is linked."""
+    return np.unique(pairs << 16 | places, return_counts=True)
+
+
+def plane_rows(entries: np.ndarray, times: np.ndarray) -> Iterator[tuple[int, np.ndarray, pa.Array, np.ndarray]]:
+    """Plane, different pairs, their bitmaps and popcounts of sorted postings."""
     more = times - 1
     plane, chosen = 0, entries
     while len(chosen):
@@ -322,18 +328,24 @@ def build_index(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
-        for some in _chunks(batches, chunk_bytes, chunk_documents):
-            found = aligner(*files).align(some.column("text").to_pylist())
-            n = some.num_rows
-            sha = [hashlib.sha256(g).hexdigest() if len(g) else "" for g in found.groups]
-            yield from _batches(
-                n,
-                chunk=np.full(n, chunk), place=np.arange(n, dtype=np.int32), n_a=found.n_a, n_b=found.n_b,
-                n_groups=found.n_groups, n_links=found.n_links, groups_sha256=pa.array(sha, pa.string()),
-                id=some.column("id").combine_chunks(),
-            )
-            id_type = some.schema.field("id").type
-            for plane, pairs, bitmaps, counts in plane_rows(found.pairs, found.places):
+        for parts in _chunks(batches, chunk_bytes, chunk_documents):
+            held, place = [], 0
+            for some in parts:
+                n, id_type = some.num_rows, some.schema.field("id").type
+                found = aligner(*files).align(some.column("text").to_pylist())
+                sha = [hashlib.sha256(g).hexdigest() if len(g) else "" for g in found.groups]
+                yield from _batches(
+                    n,
+                    chunk=np.full(n, chunk), place=np.arange(place, place + n, dtype=np.int32), n_a=found.n_a,
+                    n_b=found.n_b, n_groups=found.n_groups, n_links=found.n_links,
+                    groups_sha256=pa.array(sha, pa.string()), id=some.column("id").combine_chunks(),
+                )
+                held.append(postings(found.pairs, found.places + place))
+                place += n
+                del found
+            entries, times = map(np.concatenate, zip(*held, strict=True))
+            order = np.argsort(entries)
+            for plane, pairs, bitmaps, counts in plane_rows(entries[order], times[order]):
                 yield from _batches(
                     len(pairs),
                     chunk=np.full(len(pairs), chunk), pair=pairs, plane=np.full(len(pairs), plane, np.int32),
@@ -367,22 +379,43 @@ def _batches(n: int, **columns) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, 20_000)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], most_bytes: int, most_rows: int) -> Iterator[pa.Table]:
-    """Rows in chunks; a row is never cut, so only a longer text makes a larger chunk."""
-    held, size, rows = [], 0, 0
+def _steps(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Table, int]]:
+    """Rows in steps of about ``most`` characters, with their number of characters; a row is never cut."""
+    held, size = [], 0
     for batch in batches:
         lengths = np.array([len(v or "") for v in batch.column("text").to_pylist()], np.int64)
         at = 0
         while at < batch.num_rows:
-            fits = np.cumsum(lengths[at : at + most_rows - rows]) <= most_bytes - size
-            n = int(fits.sum()) if rows else max(1, int(fits.sum()))
+            n = max(1, int((np.cumsum(lengths[at:]) <= most - size).sum()))
             held.append(batch.slice(at, n))
-            size, rows, at = size + int(lengths[at : at + n].sum()), rows + n, at + n
-            if at < batch.num_rows or rows >= most_rows:
-                yield pa.Table.from_batches(held)
-                held, size, rows = [], 0, 0
-    if rows:
-        yield pa.Table.from_batches(held)
+            size, at = size + int(lengths[at : at + n].sum()), at + n
+            if size >= most or at < batch.num_rows:
+                yield pa.Table.from_batches(held), size
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held), size
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], most: int, most_rows: int) -> Iterator[Iterator[pa.Table]]:
+    """The steps of each chunk; a chunk ends when it has ``most`` characters or ``most_rows`` rows."""
+    steps = (
+        (part.slice(at, most_rows), size)
+        for part, size in _steps(batches, min(most, STEP_BYTES))
+        for at in range(0, part.num_rows, most_rows)
+    )
+    following = next(steps, None)
+
+    def chunk() -> Iterator[pa.Table]:
+        nonlocal following
+        size = rows = 0
+        while following and (not rows or size + following[1] <= most and rows + following[0].num_rows <= most_rows):
+            part, added = following
+            following, size, rows = None, size + added, rows + part.num_rows
+            yield part
+            following = next(steps, None)
+
+    while following:
+        yield chunk()
 
 
 def pair_counts(index: DataFrame) -> DataFrame:
@@ -410,8 +443,9 @@ def score_documents(index: DataFrame, id_column: str = "doc_id") -> DataFrame:
     figures = ["place", "id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
     documents = index.where("pair IS NULL").select("chunk", *figures)
     counts = pair_counts(index).select("pair", F.col("documents").alias("count"), "best")
-    postings = index.where("pair IS NOT NULL").select("chunk", "pair", "plane", "bitmap").join(counts, "pair")
-    postings = postings.select(F.col("chunk").alias("of"), "plane", "bitmap", "count", "best")
+    returned = index.where("pair IS NOT NULL").select("chunk", "pair", "plane", "bitmap")
+    returned = returned.join(counts, "pair")
+    returned = returned.select(F.col("chunk").alias("of"), "plane", "bitmap", "count", "best")
 
     def score(own: pa.Table, held: pa.Table) -> pa.Table:
         sums, best = np.zeros((2, CHUNK_DOCUMENTS), np.int64)
@@ -433,5 +467,5 @@ def score_documents(index: DataFrame, id_column: str = "doc_id") -> DataFrame:
     for name in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"):
         schema = schema.add(name, "long")
     schema = schema.add("groups_sha256", "string")
-    scored = documents.groupBy("chunk").cogroup(postings.groupBy("of")).applyInArrow(score, schema)
+    scored = documents.groupBy("chunk").cogroup(returned.groupBy("of")).applyInArrow(score, schema)
     return scored.withColumnRenamed("id", id_column)

@@ -150,7 +150,7 @@ def test_bitmaps_round_trip():
     links = [key for key, times in want.items() for _ in range(times)]
     pairs, places = np.array(links).T
     found = Counter()
-    for plane, keys, bitmaps, counts in pair_bitmaps.plane_rows(pairs, places):
+    for plane, keys, bitmaps, counts in pair_bitmaps.plane_rows(*pair_bitmaps.postings(pairs, places)):
         for pair, bitmap, count in zip(keys.tolist(), bitmaps.to_pylist(), counts.tolist(), strict=True):
             numbers = pair_bitmaps.numbers_of(bitmap).tolist()
             assert len(numbers) == count
@@ -161,7 +161,7 @@ def test_bitmaps_round_trip():
 
 def test_a_plane_without_documents_is_passed_over():
     pairs, places = np.array([5] * 9 + [6]), np.zeros(10, np.int64)
-    assert [plane for plane, *_ in pair_bitmaps.plane_rows(pairs, places)] == [0, 4]
+    assert [plane for plane, *_ in pair_bitmaps.plane_rows(*pair_bitmaps.postings(pairs, places))] == [0, 4]
 
 
 @pytest.mark.parametrize("partitions", [1, 7])
