@@ -39,7 +39,7 @@ def load_append(spark, sf_dir):
 
 
 def load_incremental_cursor(spark, sf_dir):
-    """First run over the early events, second over all of them; the boundary row comes twice."""
+    """First run over the early events, second over all of them; the row at the boundary comes once."""
     path, state = new_table_path(spark, "events"), new_table_path(spark, "state")
     events = si.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     shared = {"table": "events", "cursor": "ts", "state": state}
@@ -48,6 +48,20 @@ def load_incremental_cursor(spark, sf_dir):
     return load.read_target(spark, path)
 
 
+def load_incremental_boundary(spark, sf_dir):
+    """Days as the cursor: new rows of the newest day are taken, loaded ones are not, also where nothing newer comes."""
+    path, state = new_table_path(spark, "events"), new_table_path(spark, "state")
+    events = si.table(spark, sf_dir, "events").select("event_id", "event_type", F.to_date("ts").alias("day"))
+    early = si.before_cut(events.withColumn("at", F.col("day").cast("timestamp_ntz")), "at").drop("at")
+    third = F.col("event_id") % 3
+    shared = {"table": "events", "cursor": "day", "state": state, "identity": ["event_id", "day"]}
+    load.load(early.where(third == 0), path, "incremental", run_id="1", **shared)
+    load.load(early.where(third < 2), path, "incremental", run_id="2", **shared)
+    load.load(early.where(third < 2), path, "incremental", run_id="3", **shared)
+    load.load(events.withColumn("seen_late", third == 2), path, "incremental", run_id="4", **shared)
+    return load.read_target(spark, path)
+
+
 def load_row_counts(spark, sf_dir):
     tables = {name: si.table(spark, sf_dir, name) for name in COUNTED}
     counts = bronze.write_counted(tables, new_table_path(spark, "counted"))
@@ -245,6 +259,7 @@ QUERIES = {
     "load_full": load_full,
     "load_append": load_append,
     "load_incremental_cursor": load_incremental_cursor,
+    "load_incremental_boundary": load_incremental_boundary,
     "load_row_counts": load_row_counts,
     "bronze_daily_partition": bronze_daily_partition,
     "bronze_run_versions": bronze_run_versions,
@@ -280,11 +295,16 @@ _NEWEST = """
 ORACLE = {
     "load_full": "SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus FROM orders",
     "load_append": "SELECT c_custkey, c_name FROM customer UNION ALL SELECT c_custkey, c_name FROM customer",
-    "load_incremental_cursor": """
-        SELECT event_id, user_id, ts FROM events WHERE ts < TIMESTAMP '2024-01-20'
-        UNION ALL
-        SELECT event_id, user_id, ts FROM events
-        WHERE ts >= (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20')""",
+    "load_incremental_cursor": "SELECT event_id, user_id, ts FROM events",
+    "load_incremental_boundary": f"""
+        WITH e AS (SELECT event_id, event_type, {_DAY} AS day FROM events),
+        old AS (SELECT *, (SELECT max(day) FROM e WHERE day < DATE '2024-01-20' AND event_id % 3 = 0) AS edge
+                FROM e WHERE day < DATE '2024-01-20')
+        SELECT event_id, event_type, day, NULL::BOOLEAN AS seen_late FROM old WHERE event_id % 3 = 0
+        UNION ALL SELECT event_id, event_type, day, NULL FROM old WHERE event_id % 3 = 1 AND day >= edge
+        UNION ALL SELECT event_id, event_type, day, event_id % 3 = 2 FROM old
+                  WHERE event_id % 3 = 2 AND day >= (SELECT max(day) FROM old WHERE event_id % 3 < 2 AND day >= edge)
+        UNION ALL SELECT event_id, event_type, day, event_id % 3 = 2 FROM e WHERE day >= DATE '2024-01-20'""",
     "load_row_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in COUNTED
     ),

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from lakemart.functions.dates import cursor_start
 from lakemart.sources import folders
@@ -30,6 +31,9 @@ RUN_SCHEMA = T.StructType(
         T.StructField("row_count", T.LongType(), False),
         T.StructField("cursor_value", T.StringType()),
         T.StructField("folders", T.ArrayType(T.StringType()), False),
+        # fingerprints of the rows at the newest cursor value, and the columns they are made of
+        T.StructField("boundary", T.StringType()),
+        T.StructField("identity", T.ArrayType(T.StringType())),
     ]
 )
 RUNS = "_runs"
@@ -68,35 +72,86 @@ def load_incremental(
     state: str,
     run_id: str,
     initial_value: str | None = None,
+    identity: Sequence[str] | None = None,
 ) -> LoadResult:
-    """Rows at or past the stored cursor, added to the target.
+    """Rows at or past the stored cursor that no run has loaded yet, added to the target.
 
     The first run has no state and loads everything. Without a stored value ``initial_value`` is the
-    start. Rows equal to the stored value are read again, because more of them may have arrived;
-    the keyed merge that follows absorbs the repeats. The filter reaches the source scan, and the
-    new cursor value is observed during the write. Rows and cursor are committed together; ``state`` is the log of
-    all tables, written after that.
+    start. Rows equal to the stored value are read again, because more of them may have arrived; those that were
+    loaded before are left out. A run therefore keeps a fingerprint of every row at its newest value and how often it was
+    there: a row that comes more often than before is new as often as that. ``identity`` names the columns that tell
+    rows apart, by default all that the source had when the value was first seen; columns that come later do not make a
+    loaded row new. If one of these columns is gone, rows at the value cannot be told apart and all come again.
+
+    The filter reaches the source scan, and the new cursor value is observed during the write. Rows, fingerprints and
+    cursor are committed together; ``state`` is the log of all tables, written after that.
     """
     spark = source.sparkSession
     before = _last_run(spark, target)
     first_run = before is None and not table_exists(spark, state)
     kind = source.schema[cursor].dataType.simpleString()
-    fresh = source
+    fresh, edge = source, _Edge(cursor, list(identity or source.columns))
     if not first_run:
-        start = _newest_cursor(spark, target) or _stored_cursor(spark, state, table)
+        last = _newest_run(spark, target)
+        start = last["cursor_value"] if last else _stored_cursor(spark, state, table)
         if start is not None:
             fresh = source.where(F.col(cursor) >= F.lit(start).cast(kind))
         elif initial_value:
             fresh = source.where(F.col(cursor) >= cursor_start(F.lit(initial_value)).cast(kind))
-    newest = F.max(cursor).cast("string").alias("newest")
+        if last and last["boundary"] and set(last["identity"]) <= set(source.columns):
+            seen = spark.read.schema(EDGE_SCHEMA).parquet(f"{target}/{last['boundary']}")
+            edge = _Edge(cursor, last["identity"], start, seen)
+            fresh = edge.not_seen(source, F.lit(start).cast(kind))
     strategy = "full" if first_run else "incremental"
-    result = _run(fresh, target, strategy, run_id, replace=first_run, newest=newest)
+    result = _run(fresh, target, strategy, run_id, replace=first_run, edge=edge)
     if not _logged(spark, state, table, run_id):
         row = (table, result.cursor_value, result.rows, run_id)
         spark.createDataFrame([row], STATE_SCHEMA).coalesce(1).write.mode("append").parquet(state)
     return result
 
 
+EDGE_SCHEMA = T.StructType(
+    [T.StructField("f1", T.LongType()), T.StructField("f2", T.LongType()), T.StructField("times", T.LongType())]
+)
+
+
+@dataclass(frozen=True)
+class _Edge:
+    """Rows at the newest cursor value, known by 128 bits of their identity and by how often they are there."""
+
+    cursor: str
+    identity: Sequence[str]
+    value: str | None = None
+    seen: DataFrame | None = None
+
+    @property
+    def newest(self) -> Column:
+        return F.max(self.cursor).cast("string").alias("newest")
+
+    def _marked(self, rows: DataFrame) -> DataFrame:
+        # hashes pass over nulls, so which columns are null counts too; maps have no hash of their own
+        columns = [F.to_json(c) if isinstance(rows.schema[c].dataType, T.MapType) else F.col(c) for c in self.identity]
+        nulls = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in self.identity])
+        return rows.withColumns({f"f{n}": F.xxhash64(F.lit(n), nulls, *columns) for n in (1, 2)})
+
+    def not_seen(self, source: DataFrame, value: Column) -> DataFrame:
+        """Rows past ``value``, and those at it that are not among the ones seen; only the latter are shuffled."""
+        at = self._marked(source.where(F.col(self.cursor) == value))
+        nth = F.row_number().over(Window.partitionBy("f1", "f2").orderBy("f1"))
+        new = at.withColumn("nth", nth).join(self.seen, ["f1", "f2"], "left")
+        new = new.where(F.col("nth") > F.coalesce("times", F.lit(0)))
+        return source.where(F.col(self.cursor) > value).unionByName(new.select(*source.columns))
+
+    def write(self, rows: DataFrame, newest: str, path: str) -> None:
+        """Fingerprints of the rows at ``newest``, with those seen before if the value is still the same."""
+        kind = rows.schema[self.cursor].dataType.simpleString()
+        counts = self._marked(rows.where(F.col(self.cursor) == F.lit(newest).cast(kind)))
+        counts = counts.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("times"))
+        if self.seen is not None and newest == self.value:
+            counts = counts.unionByName(self.seen).groupBy("f1", "f2").agg(F.sum("times").alias("times"))
+        counts.write.mode("overwrite").parquet(path)
+
+
 def load(
     source: DataFrame,
     target: str,
@@ -107,17 +162,18 @@ def load(
     state: str | None = None,
     run_id: str = "",
     initial_value: str | None = None,
+    identity: Sequence[str] | None = None,
 ) -> LoadResult:
     """Load by strategy name; ``incremental`` without a cursor column is an append of everything."""
     if strategy == "full":
         return load_full(source, target, run_id)
     if strategy == "incremental" and cursor and state:
-        return load_incremental(source, target, table, cursor, state, run_id, initial_value)
+        return load_incremental(source, target, table, cursor, state, run_id, initial_value, identity)
     return load_append(source, target, run_id)
 
 
 def _run(
-    source: DataFrame, target: str, strategy: str, run_id: str, replace: bool, newest: Column | None = None
+    source: DataFrame, target: str, strategy: str, run_id: str, replace: bool, edge: _Edge | None = None
 ) -> LoadResult:
     """Write a run's rows to a folder of their own, then the record that makes them part of the table.
 
@@ -131,15 +187,19 @@ def _run(
         return LoadResult(known[0]["strategy"], known[0]["row_count"], known[0]["cursor_value"])
     number = done[-1] + 1 if done else 0
     folder, seen = f"rows-{number:08d}", Observation()
-    metrics = [F.count(F.lit(1)).alias("rows"), *([newest] if newest is not None else [])]
+    metrics = [F.count(F.lit(1)).alias("rows"), *([edge.newest] if edge else [])]
     source.observe(seen, *metrics).write.mode("overwrite").parquet(f"{target}/{folder}")
     got = seen.get
     kept = [] if replace or not records else records[-1]["folders"]
-    row = (run_id, strategy, got["rows"], got.get("newest"), [*kept, folder])
+    newest, boundary = got.get("newest"), None
+    if edge and newest is not None:
+        boundary = f"boundary-{number:08d}"
+        edge.write(spark.read.schema(source.schema).parquet(f"{target}/{folder}"), newest, f"{target}/{boundary}")
+    row = (run_id, strategy, got["rows"], newest, [*kept, folder], boundary, list(edge.identity) if boundary else None)
     record = f"{target}/{RUNS}/version={number}"
     spark.createDataFrame([row], RUN_SCHEMA).coalesce(1).write.mode("overwrite").parquet(record)
     folders.touch(spark, f"{record}/{folders.DONE}")
-    return LoadResult(strategy, got["rows"], got.get("newest"))
+    return LoadResult(strategy, got["rows"], newest)
 
 
 def _records(spark: SparkSession, target: str, versions: Sequence[int]) -> list[Row]:
@@ -156,10 +216,10 @@ def _last_run(spark: SparkSession, target: str) -> Row | None:
     return None if version is None else _records(spark, target, [version])[0]
 
 
-def _newest_cursor(spark: SparkSession, target: str) -> str | None:
-    """The cursor of the newest run that saw a row."""
+def _newest_run(spark: SparkSession, target: str) -> Row | None:
+    """The newest run that saw a row: its cursor, and what was there at that value."""
     done = folders.finished_versions(spark, f"{target}/{RUNS}")
-    seen = [row["cursor_value"] for row in _records(spark, target, done) if row["cursor_value"] is not None]
+    seen = [row for row in _records(spark, target, done) if row["cursor_value"] is not None]
     return seen[-1] if seen else None
 
 
