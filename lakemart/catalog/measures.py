@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lakemart import standins as si
 from lakemart.catalog.ctes import key, quotient, with_views
 from lakemart.functions import money, month_key, surrogate_key
-from lakemart.plans import dims, metrics
+from lakemart.plans import dims, levels, metrics
 
 
 def m_contract_revenue(spark, sf_dir):
@@ -153,6 +153,16 @@ def dim_project_division(spark, sf_dir):
     return dims.project_divisions(projects, units, departments)
 
 
+def rpt_cost_summary_full(spark, sf_dir):
+    """All kinds of cost, for divisions and the company."""
+    return levels.cost_summary(metrics.member_cost(si.members(spark, sf_dir)), si.classed_work(spark, sf_dir))
+
+
+def rpt_hr_summary_full(spark, sf_dir):
+    """All head counts and rates, for divisions and the company."""
+    return levels.hr_summary(si.classed_work(spark, sf_dir), si.heads(spark, sf_dir), si.OUTSOURCE_TYPES)
+
+
 QUERIES = {
     "m_contract_revenue": m_contract_revenue,
     "m_fixcost_revenue_delta": m_fixcost_revenue_delta,
@@ -171,6 +181,8 @@ QUERIES = {
     "m_turnover": m_turnover,
     "m_headcount_class": m_headcount_class,
     "dim_project_division": dim_project_division,
+    "rpt_cost_summary_full": rpt_cost_summary_full,
+    "rpt_hr_summary_full": rpt_hr_summary_full,
 }
 
 _COMPLETION = f"""
@@ -299,6 +311,58 @@ ORACLE = {
     "m_headcount_class": """
         SELECT mk AS date_key, division, count(*) FILTER (kind = 'Outsource') AS outsource_hc,
                count(*) FILTER (kind <> 'Outsource') AS internal_hc FROM head GROUP BY 1, 2""",
+    "rpt_cost_summary_full": f"""
+        WITH made AS (SELECT mk, division, sum(forecast) AS pf, sum(actual) AS pa FROM ({_MEMBER_COST}) GROUP BY 1, 2),
+             spent AS (SELECT mk, division, coalesce(sum(rate * hours) FILTER (kind = 'hr'), 0) AS hr,
+                              coalesce(sum(rate * hours) FILTER (kind = 'training'), 0) AS training,
+                              coalesce(sum(rate * hours) FILTER (kind = 'presale'), 0) AS presale,
+                              coalesce(sum(pay) FILTER (kind = 'pool'), 0) * 0.01 AS pool FROM classed GROUP BY 1, 2),
+             rows AS (SELECT mk, division, coalesce(pf, 0) AS pf, coalesce(pa, 0) AS pa, coalesce(hr, 0) AS hr,
+                             coalesce(training, 0) AS training, coalesce(presale, 0) AS presale, coalesce(pool, 0) AS pool
+                      FROM made FULL JOIN spent USING (mk, division))
+        SELECT mk AS date_key, CASE grouping(division) WHEN 1 THEN 'company' ELSE 'division' END AS level, division,
+               CAST(sum(pf) AS DOUBLE) AS production_cost_forecast, CAST(sum(pa) AS DOUBLE) AS production_cost_actual,
+               CAST(sum(hr) AS DOUBLE) AS hr_cost_actual, CAST(sum(training) AS DOUBLE) AS training_cost_actual,
+               CAST(sum(presale) AS DOUBLE) AS presale_cost_actual, CAST(sum(pool) AS DOUBLE) AS resource_pool_cost_actual,
+               CAST(sum(pa) + sum(hr) + sum(training) + sum(presale) + sum(pool) AS DOUBLE) AS total_cost_actual
+        FROM rows GROUP BY GROUPING SETS ((mk, division), (mk))""",
+    "rpt_hr_summary_full": """
+        WITH w AS (SELECT mk, 'division' AS level, division, sup, kind FROM classed
+                   UNION ALL SELECT mk, 'company', NULL, sup, kind FROM classed),
+             at_work AS (
+                 SELECT mk, level, division, count(DISTINCT sup) AS n,
+                        count(DISTINCT sup) FILTER (kind = 'billable') AS b,
+                        count(DISTINCT sup) FILTER (kind IN ('billable', 'hr')) AS busy,
+                        count(DISTINCT sup) FILTER (kind = 'pool') AS pool,
+                        count(DISTINCT sup) FILTER (kind = 'training') AS train FROM w GROUP BY ALL),
+             h AS (SELECT (mk // 10000) * 12 + (mk // 100) % 100 - 1 AS i, * FROM (
+                       SELECT mk, 'division' AS level, division, sup, pay, kind FROM head
+                       UNION ALL SELECT mk, 'company', NULL, sup, any_value(pay), any_value(kind) FROM head GROUP BY mk, sup)),
+             total AS (SELECT i, level, division, count(*) AS c, count(*) FILTER (kind = 'Outsource') AS outsource,
+                              sum(pay) * 0.01 AS salary FROM h GROUP BY ALL),
+             gone AS (SELECT i + 1 AS i, level, division, count(*) AS g FROM h a
+                      WHERE NOT EXISTS (FROM h b WHERE b.i = a.i + 1 AND b.sup = a.sup AND b.level = a.level
+                                        AND b.division IS NOT DISTINCT FROM a.division) GROUP BY ALL),
+             slot AS (SELECT i, level, division FROM total UNION
+                      SELECT i + 1, level, division FROM total WHERE i < (SELECT max(i) FROM total)),
+             there AS (
+                 SELECT CAST((s.i // 12) * 10000 + (s.i % 12 + 1) * 100 + 1 AS INTEGER) AS mk, s.level, s.division,
+                        coalesce(t.c, 0) AS c, coalesce(t.outsource, 0) AS outsource, t.salary,
+                        coalesce(g, 0) AS departed,
+                        coalesce(g, 0) / ((coalesce(t.c, 0) + coalesce(p.c, 0)) / 2.0::DOUBLE) * 100 AS rate
+                 FROM slot s
+                 LEFT JOIN total t ON t.i = s.i AND t.level = s.level AND t.division IS NOT DISTINCT FROM s.division
+                 LEFT JOIN total p ON p.i = s.i - 1 AND p.level = s.level AND p.division IS NOT DISTINCT FROM s.division
+                 LEFT JOIN gone ON gone.i = s.i AND gone.level = s.level AND gone.division IS NOT DISTINCT FROM s.division)
+        SELECT coalesce(w.mk, p.mk) AS date_key, coalesce(w.level, p.level) AS level, coalesce(w.division, p.division) AS division,
+               coalesce(n, 0) AS total_hc, coalesce(b, 0) AS billable_hc, coalesce(busy, 0) AS busy_hc,
+               coalesce(pool, 0) AS available_hc, coalesce(train, 0) AS training_hc,
+               b / n * 100 AS billable_rate, busy / n * 100 AS busy_rate, coalesce(c, 0) AS headcount,
+               coalesce(outsource, 0) AS outsource_hc, coalesce(c, 0) - coalesce(outsource, 0) AS internal_hc,
+               coalesce(departed, 0) AS departed, rate AS turnover_rate, CAST(coalesce(salary, 0) AS DOUBLE) AS total_salary,
+               CASE WHEN c > 0 THEN CAST(salary AS DOUBLE) / CAST(c AS DOUBLE) END AS dev_avg_salary
+        FROM at_work w FULL JOIN there p
+             ON w.mk = p.mk AND w.level = p.level AND w.division IS NOT DISTINCT FROM p.division""",
     "dim_project_division": """
         SELECT p_partkey AS project_key,
                coalesce(n_name, CASE WHEN p_type <> 'PROMO' THEN 'DIV-' || p_type END) AS division_name
