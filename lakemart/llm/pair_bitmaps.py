@@ -444,7 +444,8 @@ def score_documents(index: DataFrame, id_column: str = "doc_id") -> DataFrame:
     documents = index.where("pair IS NULL").select("chunk", *figures)
     counts = pair_counts(index).select("pair", F.col("documents").alias("count"), "best")
     returned = index.where("pair IS NOT NULL").select("chunk", "pair", "plane", "bitmap")
-    returned = returned.join(counts, "pair")
+    # merged also where the counts would be few enough to broadcast: the number of pairs has no useful bound
+    returned = returned.join(counts.hint("merge"), "pair")
     returned = returned.select(F.col("chunk").alias("of"), "plane", "bitmap", "count", "best")
 
     def score(own: pa.Table, held: pa.Table) -> pa.Table:
