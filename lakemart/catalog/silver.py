@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lakemart import operators as op
 from lakemart import standins as si
 from lakemart.catalog.ctes import with_views
-from lakemart.functions import date_key, money, sum_where
+from lakemart.functions import date_key, money, name_parts, source_of, sum_where
 from lakemart.operators.monitor import within_retention
 from lakemart.plans.dims import latest_contracts
 from lakemart.plans.silver import SilverModel, refresh_silver
@@ -35,7 +35,8 @@ def _early(spark, sf_dir):
 
 
 def merge_upsert(spark, sf_dir):
-    landing = op.union_sources(si.event_sources(spark, sf_dir))
+    """Deleted rows stay; late rows and rows without a load id are not taken."""
+    landing = op.union_sources(si.uneven_landing(spark, sf_dir))
     return op.merge_incremental(_stored(spark, _early(spark, sf_dir)), landing, KEYS, ["event_id"])
 
 
@@ -137,6 +138,12 @@ def latest_contract(spark, sf_dir):
     return latest_contracts(si.contracts(spark, sf_dir), ["base_salary"]).select("employee", "base_salary", "modified")
 
 
+def source_names(spark, sf_dir):
+    """Runs per layer, subject and source, from the job's name."""
+    runs = si.audit(spark, sf_dir).select(name_parts("dag_id").alias("parts"), source_of("dag_id").alias("of"))
+    return runs.groupBy("parts.layer", "parts.subject", "parts.source", "of").agg(F.count(F.lit(1)).alias("runs"))
+
+
 def retention_rows(spark, sf_dir):
     rows = si.table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("load_date"))
     return within_retention(rows, "load_date", dt.date(2001, 8, 1), 365)
@@ -188,6 +195,7 @@ QUERIES = {
     "fact_current_dim_lookup": fact_current_dim_lookup,
     "latest_by_composite_key": latest_by_composite_key,
     "latest_contract": latest_contract,
+    "source_names": source_names,
     "retention_rows": retention_rows,
     "join_path_containment": join_path_containment,
     "agg_filtered": agg_filtered,
@@ -200,7 +208,7 @@ _VERSIONS = "SELECT user_id, event_type, valid_from, valid_to, valid_to IS NULL
 
 ORACLE = {
     "silver_current": _NEWEST.format(props="props", where=""),
-    "merge_upsert": _NEWEST.format(props="props", where=""),
+    "merge_upsert": _NEWEST.format(props="props", where="WHERE user_id % 10 > 2 OR ts < TIMESTAMP '2024-01-20'"),
     "merge_append_new_columns": _NEWEST.format(
         props="CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN props END", where=""
     ),
@@ -235,6 +243,10 @@ ORACLE = {
     "latest_contract": with_views(
         "SELECT sup AS employee, CAST(pay * 0.01 AS DOUBLE) AS base_salary, modified FROM contract"
     ),
+    "source_names": with_views("""
+        SELECT split_part(dag_id, '__', 1) AS layer, split_part(dag_id, '__', 2) AS subject,
+               split_part(dag_id, '__', 3) AS source, split_part(dag_id, '__', 3) AS of, count(*) AS runs
+        FROM run GROUP BY ALL"""),
     "retention_rows": """
         SELECT o_orderkey, CAST(o_orderdate AS DATE) AS load_date FROM orders
         WHERE CAST(o_orderdate AS DATE) >= DATE '2001-08-01' - 365""",

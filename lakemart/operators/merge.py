@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.operators.newest import LOAD_ID, SOURCE, newest_per_key
 
@@ -73,7 +74,27 @@ def merge_incremental(
 
 
 def insert_newer(fact: DataFrame, rows: DataFrame, created: str) -> DataFrame:
-    """Append rows created after the newest row of the fact; nothing is updated."""
-    newest = fact.agg(F.max(created)).first()[0]
-    fresh = rows if newest is None else rows.where(F.col(created) > F.lit(newest).cast(fact.schema[created].dataType))
+    """Append rows created after the newest row of the fact; nothing is updated.
+
+    The newest time is a subquery of the plan: no job runs while the plan is made, and the comparison reaches the scan of
+    ``rows`` with its value. An empty fact takes every row that has a time.
+    """
+    kind = fact.schema[created].dataType
+    newest = fact.agg(F.coalesce(F.max(created), F.lit(_least(kind)).cast(kind)).alias("newest"))
+    fresh = rows.where(F.col(created) > newest.scalar())
     return fact.unionByName(fresh, allowMissingColumns=True)
+
+
+def _least(kind: T.DataType) -> object:
+    """A value before all others of a type that orders rows in time."""
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return "0001-01-01"
+    if isinstance(kind, T.IntegralType):
+        return {T.ByteType: -(1 << 7), T.ShortType: -(1 << 15), T.IntegerType: -(1 << 31)}.get(type(kind), -(1 << 63))
+    if isinstance(kind, T.DecimalType):
+        return "-" + "9" * (kind.precision - kind.scale) + "." + "9" * kind.scale
+    if isinstance(kind, T.FractionalType):
+        return float("-inf")
+    if isinstance(kind, T.StringType):
+        return ""
+    raise TypeError(f"rows cannot be ordered in time by {kind.simpleString()}")

@@ -104,6 +104,21 @@ def from_cut(df: DataFrame, column: str = "_load_id") -> DataFrame:
     return df.where(F.col(column) >= F.lit(CUT).cast("timestamp_ntz"))
 
 
+def uneven_landing(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """What a second load brings where the source has not just grown, by the last digit of the user.
+
+    0: deleted at the source. 1: only rows from before the cut, with another value. 2: all rows, without a load id.
+    """
+    digit, value = F.col("id") % 10, F.col("value")
+    out = {}
+    for source, rows in event_sources(spark, sf_dir).items():
+        early = F.col("_load_id") < F.lit(CUT).cast("timestamp_ntz")
+        rows = rows.where((digit != 0) & ((digit != 1) | early))
+        load_id = F.when(digit != 2, F.col("_load_id"))
+        out[source] = rows.withColumns({"value": F.when(digit == 1, -value).otherwise(value), "_load_id": load_id})
+    return out
+
+
 # --- calendar and dimensions ----------------------------------------------------------------------
 
 

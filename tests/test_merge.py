@@ -82,6 +82,28 @@ def test_insert_newer_only_appends(spark):
     assert rows(op.insert_newer(fact.where("false"), more, "_load_id")) == rows(more)
 
 
+def test_insert_newer_runs_no_job_while_it_is_made_and_pushes_its_mark(spark, tmp_path):
+    for name, last in (("fact", 5), ("rows", 9)):
+        data = [(n, f"v{n}", n) for n in range(last)]
+        table(spark, data).write.parquet(str(tmp_path / name))
+    fact, more = (spark.read.parquet(str(tmp_path / name)) for name in ("fact", "rows"))
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    out = op.insert_newer(fact, more, "_load_id")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+    assert rows(out, "id") == [(n,) for n in range(9)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(_load_id), GreaterThan(_load_id,ScalarSubquery" in plan
+
+
+@pytest.mark.parametrize(
+    "kind", ["timestamp", "timestamp_ntz", "date", "tinyint", "int", "bigint", "decimal(10,2)", "double", "string"]
+)
+def test_insert_newer_into_an_empty_fact(spark, kind):
+    value = F.lit("2024-01-05" if kind in ("timestamp", "timestamp_ntz", "date") else "7").cast(kind)
+    more = spark.range(2).select("id", F.when(F.col("id") == 0, value).alias("t"))
+    assert rows(op.insert_newer(more.where("false"), more, "t"), "id") == [(0,)]
+
+
 @pytest.mark.parametrize("nearest", [False, True])
 def test_path_containment_matches_like(spark, nearest):
     paths = spark.createDataFrame(
