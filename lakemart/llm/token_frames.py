@@ -13,6 +13,7 @@ that hold them; a frame whose checksum differs is an error. Any Zstandard tool u
 Documents are range-partitioned by id, so shards follow each other in order; a task writes its shard as it encodes
 and keeps one frame in memory. A shard appears under its name when it is complete, so a repeated task does no harm.
 
+Names of special tokens that stand in a text are taken as the tokenizer library takes them: as the special token.
 Null and empty texts have the end id only. Rows that repeat an id are all kept, ordered by text; a null id comes
 first. An empty table gives no shard. Only the id and text columns are read, so other columns cannot clash.
 """
@@ -39,20 +40,36 @@ from lakemart.llm.files import new_file, open_file
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 FRAME_BYTES = 1 << 20
-CACHE_WORDS, CACHE_RUNS = 300_000, 700_000  # what a worker keeps; beyond that it starts anew
+CACHE_UNITS = 1_000_000  # what a worker keeps; beyond that it starts anew
+STEP_BYTES = 1 << 21  # text that is encoded at once
+WORD_END = "</w>"  # how vocabulary entries that end a word end
 SKIPPABLE, DIRECTORY, SEEKABLE = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1  # fixed values of the format
 LEVEL = 3
-# words of ASCII and of letters whose lower case is one letter and that no other character changes
-KNOWN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]*").fullmatch
-LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u017e]+|[^a-z\u00df-\u00f6\u00f8-\u017e]+").findall
+# what bytes are: blanks end words; letters, marks and digits are plain; all else, and apostrophes, are odd
+BLANK, LETTER, MARK, DIGIT, ODD = range(5)
+KINDS = np.full(256, ODD, np.uint8)
+KINDS[[0x20, 0x0A]] = BLANK
+KINDS[0x21:0x7F] = MARK
+KINDS[0x30:0x3A] = DIGIT
+KINDS[0x41:0x5B] = KINDS[0x61:0x7B] = LETTER
+KINDS[0x27] = ODD
+# of U+00C0 to U+017F, what is no letter or does not become one letter in lower case
+ODD_LETTER = np.zeros(192, bool)
+ODD_LETTER[[ord(c) - 0xC0 for c in "\u00d7\u00f7\u0130\u0149\u017f"]] = True
+KNOWN = re.compile(
+    b"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\x88\x8a-\xbe])+"
+    b"|[0-9]|(?:(?!<\\|)[!-&(-/:-@\\[-`{-~])+"
+).fullmatch
 
 
 class WordEncoder:
     """Encodes texts with a tokenizer that drops white space, has no token across it, and lower-cases.
 
-    Texts are cut at spaces and line ends. Words of ASCII and Latin letters without apostrophes are cut further into
-    runs of letters, in lower case, and of others, which the tokenizer's own pattern separates too. The tokenizer encodes
-    a run once for as long as the cache holds it; ids are kept as bytes.
+    Texts are cut at blanks and line ends into words, and words of plain characters (``KINDS``) into units: runs of
+    letters, runs of marks and single digits, which the tokenizer's own pattern separates too. A word with anything else,
+    an apostrophe or the name of a special token is one unit. Equal units of a batch are brought together before
+    anything is looked up, and a unit is encoded once for as long as the cache holds it. Many plain units are encoded as
+    one text: each is a word to the tokenizer, and the last id of a word tells where it ends.
     """
 
     def __init__(self, path: str):
@@ -60,35 +77,93 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.words: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        names = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(1 + max(names.values()), bool)
+        self.ends_word[[n for name, n in names.items() if name.endswith(WORD_END)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.counts = self.ids = np.zeros(0, np.int64)
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [text.replace("\n", " ").split(" ") for text in texts]
-        if len(self.words) > CACHE_WORDS:
-            self.words = {}
-        if len(self.runs) > CACHE_RUNS:
-            self.runs = {}
-        if new := list(set().union(*cut) - self.words.keys()):
+        content = [text.encode() for text in texts]
+        if any(len(c) > STEP_BYTES for c in content):
+            return [b"".join(self._encode([part.encode()])[0] for part in _parts(text)) for text in texts]
+        return self._encode(content)
+
+    def _encode(self, content: list[bytes]) -> list[bytes]:
+        different, which, ends = _units(content)
+        if len(self.known) > CACHE_UNITS:
+            self._forget()
+        if new := [unit for unit in different if unit not in self.known]:
             self._learn(new)
-        word = self.words.__getitem__
-        return [b"".join(map(word, words)) for words in cut]
-
-    def _learn(self, words: list[str]) -> None:
-        split = [_runs(word) for word in words]
-        if new := list(set(chain.from_iterable(split)) - self.runs.keys()):
-            for run, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.runs[run] = np.array(found.ids, dtype="<u4").tobytes()
-        run = self.runs.__getitem__
-        self.words.update((word, b"".join(map(run, found))) for word, found in zip(words, split, strict=True))
-
-
-def _runs(word: str) -> list[str]:
-    if "'" in word or not KNOWN(word):
-        return [word]
-    return LETTERS(word.lower())
+        numbers = np.fromiter(map(self.known.__getitem__, different), np.int64, len(different))[which]
+        counts = self.counts[numbers]
+        done = np.append(0, np.cumsum(counts))
+        starts = np.cumsum(self.counts) - self.counts
+        places = np.repeat(starts[numbers] - done[:-1], counts) + np.arange(done[-1])
+        ids = self.ids[places].astype("<u4").tobytes()
+        bounds = [0, *(4 * done[ends]).tolist()]
+        return [ids[start:end] for start, end in zip(bounds, bounds[1:])]
+
+    def _learn(self, units: list[bytes]) -> None:
+        plain, odd = [], []
+        for unit in units:
+            (plain if KNOWN(unit) else odd).append(unit)
+        texts = [b" ".join(plain[at : at + 1000]).decode() for at in range(0, len(plain), 1000)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.int64)
+        counts = np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1)
+        if len(counts) != len(plain):
+            raise ValueError("a run of letters or marks is not one word to this tokenizer")
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast([u.decode() for u in odd], add_special_tokens=False)]
+        more = np.fromiter(map(len, lists), np.int64, len(lists))
+        for unit in chain(plain, odd):
+            self.known[unit] = len(self.known)
+        self.counts = np.concatenate([self.counts, counts, more])
+        self.ids = np.concatenate([self.ids, ids, np.fromiter(chain.from_iterable(lists), np.int64)])
+
+
+def _parts(text: str) -> Iterator[str]:
+    """A long text in parts that end before a blank; a word is never cut."""
+    at = 0
+    while at < len(text):
+        end = text.find(" ", at + STEP_BYTES // 2)
+        end = len(text) if end < 0 else end
+        yield text[at:end]
+        at = end + 1
+
+
+def _units(content: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Different units, the unit at each place, and the number of places up to the end of each text."""
+    joined = b"\n".join(content) + b"\n"
+    byte = np.frombuffer(joined, np.uint8)
+    kinds = KINDS[byte]
+    # letters of two bytes: a first byte of some and its second; single ones are excepted
+    lead = np.flatnonzero((byte >= 0xC3) & (byte <= 0xC5))
+    letter = ~ODD_LETTER[(byte[lead].astype(np.int64) - 0xC3) * 64 + (byte[lead + 1] & 0x3F)]
+    kinds[lead[letter]] = kinds[lead[letter] + 1] = LETTER
+    special = np.flatnonzero((byte[:-1] == 0x3C) & (byte[1:] == 0x7C))  # how names of special tokens begin
+    kinds[special] = ODD
+    blank = kinds == BLANK
+    inside = ~blank
+    word_starts = inside.copy()
+    word_starts[1:] &= blank[:-1]
+    word = np.cumsum(word_starts)
+    odd_words = np.zeros(int(word[-1]) + 1, bool)
+    odd_words[word[kinds == ODD]] = True
+    changes = np.append(True, kinds[1:] != kinds[:-1]) | (kinds == DIGIT)
+    starts = word_starts | (inside & changes & ~odd_words[word])
+    kept = byte[inside]
+    offsets = np.append(np.flatnonzero(starts[inside]), len(kept))
+    units = pa.Array.from_buffers(
+        pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(kept)]
+    ).dictionary_encode()
+    text_ends = np.cumsum([len(c) + 1 for c in content]) - 1
+    done = np.cumsum(starts)
+    return units.dictionary.to_pylist(), units.indices.to_numpy(), done[text_ends]
 
 
 _worker: dict[str, WordEncoder] = {}
@@ -213,8 +288,7 @@ def write_shards(
         with new_file(name) as out:
             writer = FrameWriter(out, first.schema.field(0).type, frame_bytes)
             for batch in _chain(first, batches):
-                for at in range(0, batch.num_rows, 64):
-                    some = batch.slice(at, 64)
+                for some in _steps(batch):
                     texts = encoder.encode([text or "" for text in some.column(1).to_pylist()])
                     for doc_id, ids in zip(some.column(0).to_pylist(), texts, strict=True):
                         writer.add(doc_id, ids + end)
@@ -231,6 +305,14 @@ def write_shards(
 SHARDS = pa.schema({"shard": pa.int64(), "file": pa.string(), "documents": pa.int64(), "tokens": pa.int64()})
 
 
+def _steps(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch in steps of about ``STEP_BYTES`` of text."""
+    size = np.cumsum([len(text or "") for text in batch.column(1).to_pylist()])
+    edges = np.flatnonzero(np.diff(size // STEP_BYTES, prepend=-1)).tolist()
+    for start, end in zip(edges, [*edges[1:], batch.num_rows], strict=True):
+        yield batch.slice(start, end - start)
+
+
 def _chain(first: pa.RecordBatch, rest: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield first
     yield from rest
