@@ -9,7 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.operators import union_sources
-from lakemart.sources.store import KeyedTable
+from lakemart.sources.bucketed import BucketedTable
 from lakemart.sources.together import run_together
 
 
@@ -38,7 +38,7 @@ def refresh_silver(
     """
 
     def refresh(model: SilverModel) -> DataFrame:
-        table = KeyedTable(spark, f"{root}/{model.name}", [model.key], model.tie_breakers, buckets=buckets)
+        table = BucketedTable(spark, f"{root}/{model.name}", [model.key], model.tie_breakers, buckets=buckets)
         table.refresh(union_sources({s: staging[s, model.table] for s in model.sources}))
         return table.read()
 
