@@ -137,18 +137,23 @@ VIEWS = {
     "division": """
         SELECT s_suppkey AS sup, r_name AS division FROM supplier JOIN nation ON s_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey""",
+    "planned": """
+        SELECT part_id, k.mk, count(*) FILTER (working) AS pd
+        FROM (SELECT part_id, min(d) AS first, max(d) AS last FROM day_work GROUP BY part_id) s
+        JOIN cal k ON k.d BETWEEN first AND last GROUP BY part_id, k.mk""",
     "member_month": f"""
         SELECT mk, sup, part_id, {key('sup', "'erp'")} AS employee_key, {key('part_id', "'timesheet'")} AS project_key,
-               wd, days, hours, extra, rate, disc, least(tax + 10, 30) AS perf
+               wd, pd, days, hours, extra, rate, disc, least(tax + 10, 30) AS perf
         FROM (SELECT c.mk, sup, part_id, wd, CAST(count(*) FILTER (working) AS BIGINT) AS days,
                      CAST(sum(hours) AS BIGINT) AS hours, CAST(sum(greatest(hours - 8, 0)) AS BIGINT) AS extra,
                      {quotient('CAST(sum(price) * 100 AS BIGINT)', '(CAST(sum(hours) AS BIGINT) * 100)', 2)} AS rate,
                      max(disc) AS disc, max(tax) AS tax
               FROM day_work JOIN cal c USING (d) JOIN months mo ON c.mk = mo.mk
-              GROUP BY c.mk, sup, part_id, wd)""",
+              GROUP BY c.mk, sup, part_id, wd)
+        JOIN planned USING (part_id, mk)""",
     "member": "SELECT * FROM member_month JOIN division USING (sup) LEFT JOIN contract USING (sup)",
     "team": f"""
-        SELECT m.*, CAST(rate * (wd * 8) AS DECIMAL(20,6)) AS forecast, CAST(rate * hours AS DECIMAL(20,6)) AS actual
+        SELECT m.*, CAST(rate * (pd * 8) AS DECIMAL(20,6)) AS forecast, CAST(rate * hours AS DECIMAL(20,6)) AS actual
         FROM member_month m JOIN part ON part_id = p_partkey WHERE NOT {_FIX}""",
     "revenue": f"""
         SELECT {key('date_key', 'project_key')} AS revenue_monthly_key, date_key, project_key,
@@ -160,7 +165,7 @@ VIEWS = {
         WHERE project_type = 'Fix Cost' AND amount IS NOT NULL
         UNION ALL
         SELECT {key('mk', 'project_key')}, mk, project_key, 'teambase', NULL, NULL, NULL,
-               CAST(sum(wd * 8) AS BIGINT), CAST(sum(hours) AS BIGINT), sum(forecast), sum(actual)
+               CAST(sum(pd * 8) AS BIGINT), CAST(sum(hours) AS BIGINT), sum(forecast), sum(actual)
         FROM team GROUP BY mk, project_key""",
     "pnl": """
         SELECT mk AS date_key, month_date, y AS year, m AS month, wd AS total_working_days_in_month,

@@ -116,8 +116,7 @@ def m_target_variance(spark, sf_dir):
 
 
 def m_pnl_ratio(spark, sf_dir):
-    members = si.members(spark, sf_dir)
-    return metrics.pnl_ratio(metrics.teambase_member_revenue(members), metrics.member_cost(members))
+    return metrics.pnl_ratio(si.members(spark, sf_dir))
 
 
 def m_rates_by_division(spark, sf_dir):
@@ -202,7 +201,7 @@ _DELTA = f"""
 # pay in cents; bonus is pay times a whole percentage, so base is in hundredths of a cent
 _MEMBER_COST = f"""
     SELECT mk, employee_key, project_key, division, part_id,
-           {quotient('(pay * 100 + pay * disc) * wd', '(wd * 10000)')} AS forecast,
+           {quotient('(pay * 100 + pay * disc) * pd', '(wd * 10000)')} AS forecast,
            {quotient('((pay * 100 + pay * disc) * days * 8 + pay * 100 * extra)', '(wd * 80000)')} AS actual
     FROM member"""
 _PACKAGE = f"""
@@ -229,7 +228,7 @@ ORACLE = {
                CAST(forecast AS DOUBLE) AS revenue_forecast, CAST(actual AS DOUBLE) AS revenue_actual FROM ({_DELTA})""",
     "m_teambase_revenue": """
         SELECT mk AS date_key, employee_key, project_key, CAST(rate AS DOUBLE) AS employee_rate,
-               CAST(wd * 8 AS DOUBLE) AS forecast_hours, CAST(hours AS DOUBLE) AS actual_hours,
+               CAST(pd * 8 AS DOUBLE) AS forecast_hours, CAST(hours AS DOUBLE) AS actual_hours,
                CAST(forecast AS DOUBLE) AS revenue_forecast, CAST(actual AS DOUBLE) AS revenue_actual FROM team""",
     "m_fixcost_member_share": f"""
         SELECT mk AS date_key, employee_key, project_key, CAST(wd * 8 * disc * 0.1 AS DOUBLE) AS effort_hours,
@@ -281,7 +280,7 @@ ORACLE = {
         SELECT mk AS date_key, division,
                CASE WHEN rf > 0 THEN CAST(cf AS DOUBLE) / CAST(rf AS DOUBLE) * 100 END AS pnl_forecast,
                CASE WHEN ra > 0 THEN CAST(ca AS DOUBLE) / CAST(ra AS DOUBLE) * 100 END AS pnl_actual
-        FROM (SELECT mk, division, sum(rate * (wd * 8)) AS rf, sum(rate * hours) AS ra FROM member GROUP BY 1, 2)
+        FROM (SELECT mk, division, sum(rate * (pd * 8)) AS rf, sum(rate * hours) AS ra FROM member GROUP BY 1, 2)
         FULL JOIN (SELECT mk, division, sum(forecast) AS cf, sum(actual) AS ca FROM ({_MEMBER_COST}) GROUP BY 1, 2)
              USING (mk, division)""",
     "m_rates_by_division": """

@@ -61,20 +61,29 @@ def fixcost_revenue_delta(completion: DataFrame) -> DataFrame:
 
 def teambase_member_revenue(members: DataFrame) -> DataFrame:
     """Forecast: rate times eight hours per planned day. Actual: rate times hours worked."""
-    rate = F.col("employee_rate")
-    hours = (F.col("plan_days") * HOURS_PER_DAY).cast("decimal(9,2)")
     known = [c for c in ("division",) if c in members.columns]
     return members.select(
         *MONTH_MEMBER,
         *known,
-        rate,
-        hours.alias("forecast_hours"),
+        "employee_rate",
+        _planned_hours().alias("forecast_hours"),
         "actual_hours",
-        amount(rate * hours).alias("revenue_forecast"),
-        amount(rate * F.col("actual_hours")).alias("revenue_actual"),
+        *[column.alias(name) for name, column in _revenue().items()],
     )
 
 
+def _planned_hours() -> Column:
+    return (F.col("plan_days") * HOURS_PER_DAY).cast("decimal(9,2)")
+
+
+def _revenue() -> dict[str, Column]:
+    rate = F.col("employee_rate")
+    return {
+        "revenue_forecast": amount(rate * _planned_hours()),
+        "revenue_actual": amount(rate * F.col("actual_hours")),
+    }
+
+
 def fixcost_member_share(members: DataFrame, project_revenue: DataFrame) -> DataFrame:
     """Member's share of effort, times performance, times the project's revenue of the month.
 
@@ -104,16 +113,18 @@ def total_effort(members: DataFrame) -> DataFrame:
 
 def member_cost(members: DataFrame) -> DataFrame:
     """Direct cost and bonus by planned and by actual days; the actual side adds overtime at salary."""
+    return members.select(*MONTH_MEMBER, "division", *[column.alias(name) for name, column in _cost().items()])
+
+
+def _cost() -> dict[str, Column]:
     base = F.col("direct_cost") + F.coalesce(F.col("project_bonus"), F.lit(0))
     month = F.col("working_days_in_month")
     worked = base * F.col("actual_days") * HOURS_PER_DAY
     overtime = F.col("base_salary") * F.coalesce(F.col("overtime_hours"), F.lit(0))
-    return members.select(
-        *MONTH_MEMBER,
-        "division",
-        amount(safe_divide(base * F.col("plan_days"), month)).alias("cost_forecast"),
-        amount(safe_divide(worked + overtime, month * HOURS_PER_DAY)).alias("cost_actual"),
-    )
+    return {
+        "cost_forecast": amount(safe_divide(base * F.col("plan_days"), month)),
+        "cost_actual": amount(safe_divide(worked + overtime, month * HOURS_PER_DAY)),
+    }
 
 
 def project_cost(member_costs: DataFrame, packages: DataFrame) -> DataFrame:
@@ -191,6 +202,23 @@ def working_days(timesheet: DataFrame, calendar: DataFrame, spans: DataFrame) ->
             F.sum(above).cast("decimal(18,2)").alias("overtime_hours"),
         )
     )
+    planned = planned_days(worked.join(spans, "project_key", "left"), calendar)
+    return planned.select(
+        date_key("month_start_date").alias("date_key"),
+        "employee_key",
+        "project_key",
+        "actual_working_days",
+        F.col("plan_days").alias("plan_working_days"),
+        "overtime_hours",
+    )
+
+
+def planned_days(rows: DataFrame, calendar: DataFrame) -> DataFrame:
+    """``rows`` with ``plan_days``: working days of their month between their ``start_day`` and ``end_day``.
+
+    ``rows`` have month_start_date and month_end_date too; an open end does not bound the span. The days are the
+    difference of two positions in the month's running count, so two equi joins do what a range join would.
+    """
     # one row per calendar day: working days of the month up to and including it
     so_far = Window.partitionBy("year", "month").orderBy("date_actual")
     running = calendar.select(
@@ -201,20 +229,13 @@ def working_days(timesheet: DataFrame, calendar: DataFrame, spans: DataFrame) ->
     first = running.select(F.col("_day").alias("_first"), (F.col("_upto") - F.col("_self")).alias("_before"))
     last = running.select(F.col("_day").alias("_last"), F.col("_upto").alias("_through"))
     planned = F.when(F.col("_first") <= F.col("_last"), F.col("_through") - F.col("_before"))
+    spanned = rows.withColumn("_first", F.greatest("start_day", "month_start_date"))
     return (
-        worked.join(spans, "project_key", "left")
-        .withColumn("_first", F.greatest("start_day", "month_start_date"))
-        .withColumn("_last", F.least("end_day", "month_end_date"))
+        spanned.withColumn("_last", F.least("end_day", "month_end_date"))
         .join(F.broadcast(first), "_first", "left")
         .join(F.broadcast(last), "_last", "left")
-        .select(
-            date_key("month_start_date").alias("date_key"),
-            "employee_key",
-            "project_key",
-            "actual_working_days",
-            F.coalesce(planned, F.lit(0)).alias("plan_working_days"),
-            "overtime_hours",
-        )
+        .withColumn("plan_days", F.coalesce(planned, F.lit(0)))
+        .drop("_first", "_last", "_before", "_through")
     )
 
 
@@ -231,21 +252,17 @@ def target_variance(actuals: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-def pnl_ratio(revenue: DataFrame, cost: DataFrame, keys: Sequence[str] = ("date_key", "division")) -> DataFrame:
-    """Cost as a percentage of revenue, forecast and actual."""
+def pnl_ratio(members: DataFrame, keys: Sequence[str] = ("date_key", "division")) -> DataFrame:
+    """Cost as a percentage of revenue, forecast and actual; revenue and cost of a member are summed in one grouping."""
+    sides = {**_revenue(), **_cost()}
+    summed = members.groupBy(*keys).agg(*[F.sum(column).alias(name) for name, column in sides.items()])
 
     def ratio(spent: str, earned: str) -> Column:
         return F.when(
             F.col(earned) > 0, F.col(spent).cast("double") / F.col(earned).cast("double") * F.lit(100.0)
         )
 
-    earned = revenue.groupBy(*keys).agg(
-        F.sum("revenue_forecast").alias("revenue_forecast"), F.sum("revenue_actual").alias("revenue_actual")
-    )
-    spent = cost.groupBy(*keys).agg(
-        F.sum("cost_forecast").alias("cost_forecast"), F.sum("cost_actual").alias("cost_actual")
-    )
-    return earned.join(spent, list(keys), "full").select(
+    return summed.select(
         *keys,
         ratio("cost_forecast", "revenue_forecast").alias("pnl_forecast"),
         ratio("cost_actual", "revenue_actual").alias("pnl_actual"),

@@ -430,6 +430,11 @@ def member_months(spark: SparkSession, sf_dir: str, kind: str = "all") -> DataFr
             F.max("tax").alias("tax"),
         )
     )
+    # a project is planned from the first to the last day it was worked on
+    spans = daily.groupBy("l_partkey").agg(F.min("day").alias("start_day"), F.max("day").alias("end_day"))
+    first = F.make_date(F.floor(F.col("date_key") / 10000).cast("int"), (F.floor(F.col("date_key") / 100) % 100).cast("int"), F.lit(1))
+    monthly = monthly.withColumn("month_start_date", first).withColumn("month_end_date", F.last_day("month_start_date"))
+    monthly = metrics.planned_days(monthly.join(spans, "l_partkey"), calendar(spark, sf_dir))
     performance = F.least(F.lit("0.30").cast("decimal(4,2)"), F.col("tax") + F.lit("0.10").cast("decimal(4,2)"))
     effort = (F.col("discount") * 10).cast("decimal(4,1)")
     return monthly.select(
@@ -440,7 +445,7 @@ def member_months(spark: SparkSession, sf_dir: str, kind: str = "all") -> DataFr
         surrogate_key(F.col("l_partkey"), F.lit(TIMESHEET)).alias("project_key"),
         "working_days_in_month",
         "actual_days",
-        F.col("working_days_in_month").alias("plan_days"),
+        F.col("plan_days").cast("int").alias("plan_days"),
         "actual_hours",
         "overtime_hours",
         money(safe_divide("price", "actual_hours")).alias("employee_rate"),
