@@ -6,11 +6,12 @@ distinct values for ``unique`` and ``accepted_values``; nulls only fail ``not_nu
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _result(test_name: Column, failures: Column, severity: str) -> list[Column]:
@@ -31,18 +32,43 @@ def not_null(df: DataFrame, table: str, columns: Sequence[str], severity: str =
     )
 
 
+# Keys of at most so many bytes are counted as they are; two numbers of 64 bits.
+NARROW = 16
+
+
 def unique(
-    df: DataFrame, table: str, columns: Sequence[str], name: str | None = None, severity: str = "fail"
+    df: DataFrame,
+    table: str,
+    columns: Sequence[str],
+    name: str | None = None,
+    severity: str = "fail",
+    fingerprint: Callable[..., Column] = F.xxhash64,
 ) -> DataFrame:
-    """Number of values (or value combinations) that occur more than once; a null part exempts a row."""
-    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-    repeated = df.where(present).groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    """Number of values (or value combinations) that occur more than once; a null part exempts a row.
+
+    Of wide keys, such as text, only a fingerprint of 64 bits is shuffled and counted. Keys whose fingerprint
+    occurs more than once, the repeated ones and the few that share one by chance, are then counted themselves.
+    """
+    present = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))
+    count = F.count(F.lit(1)).alias("_n")
+    if not _narrow([df.schema[c].dataType for c in columns]):
+        marked = present.select(*columns, fingerprint(*columns).alias("_mark"))
+        again = marked.groupBy("_mark").agg(count).where("_n > 1").select("_mark")
+        present = marked.join(again, "_mark", "left_semi")
+    repeated = present.groupBy(*columns).agg(count).where("_n > 1")
     label = name or f"unique_{table}_{'_'.join(columns)}"
     return repeated.agg(F.count(F.lit(1)).alias("failures")).select(
         *_result(F.lit(label), F.col("failures"), severity)
     )
 
 
+def _narrow(kinds: Sequence[T.DataType]) -> bool:
+    fixed = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4}
+    eight = (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)
+    sizes = [8 if isinstance(k, eight) else fixed.get(type(k), NARROW + 1) for k in kinds]
+    return sum(sizes) <= NARROW
+
+
 def relationships(
     child: DataFrame,
     table: str,

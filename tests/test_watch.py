@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -109,3 +110,23 @@ def test_row_count_history(spark):
         "source string, data_subject string, table_name string, row_count long, status string, finished_at timestamp_ntz",
     )
     assert [r.row_count for r in monitor.row_count_history(audit).collect()] == [0, 5]
+
+
+KEYED = [("a", "x", 1), ("a", "x", 2), ("a", None, 1), ("a", None, 1), ("b", "x", 1), ("ab", "", 1), ("a", "b", 1), ("b", "x", 3), ("a", "x", 9)]
+
+
+@pytest.mark.parametrize("mark", [F.xxhash64, lambda *c: F.xxhash64(*c) % 2, lambda *c: F.lit(0).cast("long")])
+def test_wide_keys_that_share_a_fingerprint_are_told_apart(spark, mark):
+    df = spark.createDataFrame(KEYED, "k string, l string, n int")
+    found = quality.unique(df, "t", ["k", "l"], fingerprint=mark).first()
+    assert (found["test_name"], found["status"], found["failures"]) == ("unique_t_k_l", "fail", 2)
+    assert quality.unique(df.where("n = 1 and l is not null"), "t", ["k", "l"], fingerprint=mark).first()["failures"] == 0
+
+
+def test_only_fingerprints_of_wide_keys_are_counted_first(spark, tmp_path):
+    spark.createDataFrame(KEYED, "k string, l string, n int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    wide = quality.unique(df, "t", ["k", "l"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_mark" in wide and "LeftSemi" in wide
+    narrow = quality.unique(df, "t", ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert "_mark" not in narrow
