@@ -4,7 +4,8 @@ Patterns give spans of the kinds assign, access and hex. Besides, every string o
 alphabet that has a letter and a digit is a candidate. A window of ``WINDOW`` characters slides over it; the counts of
 its characters change by one in and one out at every step, and so does the sum of count * log2(count), from which
 the entropy follows. A candidate whose windows reach its class's limit (hex or mixed) gives a span of kind entropy
-from the first such window to the end of the last. Candidates that the allow list knows are left alone.
+from the first such window to the end of the last. Candidates that the allow list knows are left alone: identifiers, paths,
+placeholder words that stand alone between separators, and mere alphabets; such a word inside a secret hides nothing.
 
 Everything happens within a row: no shuffle, no Python. Positions are code points, ends exclusive.
 
@@ -32,8 +33,8 @@ WINDOW = 20
 HEX_LIMIT, MIXED_LIMIT = 3.05, 3.85  # bits
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
-    r"(?i)example|sample|placeholder|xxxx",
-    r"(?i)0123456789|abcdefgh",  # alphabets and counting
+    r"(?i)(^|[+/_=-])(example|sample|placeholder|x{4,})([+/_=-]|$)",  # as a word of its own
+    r"(?i)^(0?1234567890?|abcdefgh(ijklmnopqrstuvwxyz)?|abcdef|[+/_=-])+$",  # nothing but alphabets and counting
     r"^[A-Za-z]+([/_-][A-Za-z]+)*([/_-][0-9]+)+/?$",  # paths and slugs that end in a number
 )
 SUMS_BLOCK = 512
@@ -85,9 +86,11 @@ def _entropy_spans(candidates: str, window: int, hex_limit: float, mixed_limit:
     weight = "array(" + ", ".join(f"{n * log2(n) if n else 0.0!r}D" for n in range(window + 2)) + ")"
     most = [window * (log2(window) - limit) for limit in (hex_limit, mixed_limit)]
     limit = f"IF(c.match RLIKE '^[0-9a-fA-F]+$', {most[0]!r}D, {most[1]!r}D)"
-    code = f"(locate({{}}, {_quoted(ALPHABET)}) - 1)"
-    enters = code.format("substring(c.match, i, 1)")
-    leaves = f"IF(i > {window}, {code.format(f'substring(c.match, i - {window}, 1)')}, -1)"
+    # the characters' numbers, once per candidate
+    codes = f"transform(regexp_extract_all(s.match, '.', 0), ch -> locate(ch, {_quoted(ALPHABET)}) - 1)"
+    candidates = f"transform({candidates}, s -> named_struct('start', s.start, 'match', s.match, 'codes', {codes}))"
+    enters = "c.codes[i - 1]"
+    leaves = f"IF(i > {window}, c.codes[i - {window} - 1], -1)"
     # t: what comes in and goes out at this step; counts before it
     step = f"named_struct('a', a, 'i', i, 'e', {enters}, 'l', {leaves})"
     minus = "IF(t.l < 0, 0D, {w}[t.a.counts[t.l]] - {w}[t.a.counts[t.l] - 1])".replace("{w}", weight)
@@ -104,7 +107,7 @@ def _entropy_spans(candidates: str, window: int, hex_limit: float, mixed_limit:
         f"transform(transform(array({step}), t -> named_struct('t', t, 'total', {total})), u -> {state})[0]"
     )
     zero = f"named_struct('counts', array_repeat(0, {len(ALPHABET)}), 'total', 0D, 'first', 0, 'last', 0, 'most', {limit})"
-    slide = f"aggregate(sequence(1, length(c.match)), {zero}, (a, i) -> {turn})"
+    slide = f"aggregate(sequence(1, size(c.codes)), {zero}, (a, i) -> {turn})"
     windows = f"transform({candidates}, c -> named_struct('c', c, 'w', {slide}))"
     span = "named_struct('start', h.c.start + h.w.first - 1, 'kind', 3, 'end', h.c.start + h.w.last)"
     return f"transform(filter({windows}, h -> h.w.first > 0), h -> {span})"
