@@ -170,6 +170,21 @@ def join_path_containment(spark, sf_dir):
     )
 
 
+def unit_ancestors(spark, sf_dir):
+    """Customers under nations under regions, and parts under the part of half their number: only parents are given."""
+
+    def nodes(table, kind, key, above, parent):
+        name = F.concat(F.lit(kind), F.col(key).cast("string")).alias("unit")
+        return si.table(spark, sf_dir, table).select(name, F.concat(F.lit(above), parent.cast("string")).alias("parent"))
+
+    half = F.floor(F.col("p_partkey") / 2)
+    units = nodes("customer", "c", "c_custkey", "n", F.col("c_nationkey"))
+    units = units.unionByName(nodes("nation", "n", "n_nationkey", "r", F.col("n_regionkey")))
+    units = units.unionByName(nodes("region", "r", "r_regionkey", "r", F.lit(None)))
+    units = units.unionByName(nodes("part", "p", "p_partkey", "p", F.when(half > 0, half)))
+    return op.ancestors(units, "unit", "parent")
+
+
 def agg_filtered(spark, sf_dir):
     rows = si.table(spark, sf_dir, "lineitem")
     price = money("l_extendedprice")
@@ -198,6 +213,7 @@ QUERIES = {
     "source_names": source_names,
     "retention_rows": retention_rows,
     "join_path_containment": join_path_containment,
+    "unit_ancestors": unit_ancestors,
     "agg_filtered": agg_filtered,
 }
 
@@ -255,6 +271,16 @@ ORACLE = {
                       FROM customer JOIN nation n ON c_nationkey = n.n_nationkey)
         SELECT c_custkey, parent_path, u.n_nationkey AS unit_id, u.n_name AS unit_name
         FROM dept LEFT JOIN nation u ON parent_path LIKE '%/' || u.n_nationkey || '/%'""",
+    "unit_ancestors": """
+        WITH RECURSIVE unit AS (
+            SELECT 'c' || c_custkey AS unit, 'n' || c_nationkey AS parent FROM customer
+            UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation
+            UNION ALL SELECT 'p' || p_partkey, 'p' || (p_partkey // 2) FROM part WHERE p_partkey > 1
+        ), up AS (
+            SELECT unit, parent AS ancestor, 1 AS distance FROM unit
+            UNION ALL SELECT up.unit, unit.parent, distance + 1 FROM up JOIN unit ON unit.unit = up.ancestor
+        )
+        SELECT unit, ancestor, distance FROM up""",
     "agg_filtered": """
         SELECT year(l_shipdate) AS year,
                CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) FILTER (l_returnflag = 'R') AS DOUBLE) AS returned,

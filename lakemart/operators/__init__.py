@@ -1,5 +1,6 @@
 """Operators over any DataFrame."""
 
+from lakemart.operators.ancestors import ancestors
 from lakemart.operators.containment import join_path_contains
 from lakemart.operators.history import (
     apply_batch,
@@ -12,6 +13,7 @@ from lakemart.operators.merge import insert_newer, merge_incremental, past_marks
 from lakemart.operators.newest import current_rows, newest_per_key, stamp, union_sources
 
 __all__ = [
+    "ancestors",
     "apply_batch",
     "build_history",
     "changed_versions",

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -104,6 +106,39 @@ def test_insert_newer_into_an_empty_fact(spark, kind):
     assert rows(op.insert_newer(more.where("false"), more, "t"), "id") == [(0,)]
 
 
+def ancestors_by_hand(edges):
+    above = {}
+    for node, parent in edges:
+        if node is not None and parent is not None:
+            above.setdefault(node, set()).add(parent)
+    out = []
+    for node in above:
+        distance, last = {node: 0}, {node}
+        while last:
+            last = {p for n in last for p in above.get(n, ())} - distance.keys()
+            distance |= {p: 1 + max(distance.values()) for p in last}
+        out += [(node, a, d) for a, d in distance.items() if a != node]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ancestors_with_cycles_and_several_parents(spark, seed):
+    pick = random.Random(seed)
+    chain = [(n, n + 1) for n in range(100, 137)]  # a line that ends in a parent that is no node
+    cycle = [(n, 200 + (n - 199) % 7) for n in range(200, 207)] + [(300, 203), (301, 301), (None, 5), (302, None), (300, 203)]
+    edges = chain + cycle + [(pick.randrange(30), pick.randrange(30)) for _ in range(25)]
+    found = op.ancestors(spark.createDataFrame(edges, "id int, parent int"), "id", "parent")
+    assert rows(found) == ancestors_by_hand(edges)
+
+
+def test_ancestors_are_the_path_where_both_are_given(spark):
+    units = spark.createDataFrame([(1, None), (5, 1), (9, 5), (7, 1)], "unit int, parent int")
+    paths = spark.createDataFrame([(9, "/1/5/9/"), (7, "/1/7/"), (1, "/1/")], "dept int, path string")
+    by_path = op.join_path_contains(paths, units.select("unit"), "path", "unit").where("dept <> unit")
+    found = op.ancestors(units, "unit", "parent").where("unit <> 5")
+    assert rows(found, "unit", "ancestor") == rows(by_path, "dept", "unit")
+
+
 @pytest.mark.parametrize("nearest", [False, True])
 def test_path_containment_matches_like(spark, nearest):
     paths = spark.createDataFrame(
