@@ -16,12 +16,14 @@ Tokens are 64-bit hashes of word shingles; equal token sets form one class, name
    token are bounded and opened. Groups of copies thus cost pairs in proportion to their size, and no link between
    components is missed.
 
-Groups are cut into blocks of about ``BLOCK_TOKENS`` tokens, so a task holds two blocks. Up to ``BROADCAST_CLASSES`` classes to open
+Groups are cut into blocks of about ``BLOCK_TOKENS`` tokens. A task holds one block, the head, and a share of the blocks that
+it meets, of about as many tokens. Up to ``BROADCAST_CLASSES`` classes to open
 are sent to the texts, more are joined by a shuffle. Between the steps narrow tables are
 written to the shared folder. The driver gets the sketch's ranks, 2 MB at any size of the corpus, and counts.
 
 Null and empty texts have an empty set, no links and their own id as component. Rows that repeat a text are one class;
-rows that repeat an id keep their own sets, and the id stands for all. A null id is never a component's name.
+rows that repeat an id keep their own sets, and the id stands for all. A document without an id links like any other,
+but a null id is never a component's name, unless no member has an id.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.components import components
+from lakemart.llm.spread import spread_join
 from lakemart.session import new_table_path
 
 WORDS = 3
@@ -138,6 +141,8 @@ def link_components(
     """``id_column`` (long), ``n_shingles`` and ``component_id`` of every row."""
     spark = documents.sparkSession
     texts = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    # where a text is found again: its id, or a hash of the text where there is none
+    texts = texts.withColumn("at", F.coalesce("id", F.xxhash64("text")))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH, np.uint32)
@@ -149,15 +154,15 @@ def link_components(
                 rows.append((len(tokens), set_key(tokens), group_key(tokens)) if len(tokens) else (0, None, None))
             columns = [pa.array(x, pa.int64()) for x in (zip(*rows, strict=True) if rows else ((), (), ()))]
             empty = [pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, *empty], schema=DESCRIBED)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns, *empty], schema=DESCRIBED)
         for n in range(SKETCH // SEGMENT):
             part = counts[n * SEGMENT : (n + 1) * SEGMENT]
             if part.any():
                 yield pa.RecordBatch.from_pylist([{"segment": n, "counts": part.tobytes()}], DESCRIBED)
 
-    described = "id long, n long, key long, grp long, segment int, counts binary"
+    described = "id long, at long, n long, key long, grp long, segment int, counts binary"
     described = _written(texts.mapInArrow(describe, described), "described")
-    sets = described.where("segment is null").select("id", "n", "key", "grp")
+    sets = described.where("segment is null").select("id", "at", "n", "key", "grp")
     ranks = spark.sparkContext.broadcast(_ranks(described.where("segment is not null")))
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +185,7 @@ def link_components(
     spread = entries.groupBy("token").agg(F.min("grp").alias("head"), F.max("grp").alias("last")).where("head <> last")
     matrix = _written(entries.join(spread.select("token", "head"), "token").distinct(), "matrix")
 
-    classes = sets.where("key is not null").groupBy("key", "grp", "n").agg(F.min("id").alias("id"))
+    classes = sets.where("key is not null").groupBy("key", "grp", "n").agg(F.min("id").alias("id"), F.min("at").alias("at"))
     classes = _written(classes, "classes")
     groups = classes.groupBy("grp").agg(
         F.count("*").alias("members"),
@@ -205,7 +210,8 @@ def link_components(
                 some = batch.slice(at, 256)
                 found = [token_set(text, words) for text in some.column(0).to_pylist()]
                 content = pa.array([tokens.tobytes() for tokens in found], pa.binary())
-                filled = pa.RecordBatch.from_arrays([*some.columns[1:], content], ["key", "grp", "block", "tokens"])
+                sizes = pa.array([len(tokens) for tokens in found], pa.int64())
+                filled = pa.RecordBatch.from_arrays([*some.columns[1:], sizes, content], ["key", "grp", "block", "size", "tokens"])
                 same = [set_key(tokens) == key for tokens, key in zip(found, some.column(1).to_pylist(), strict=True)]
                 yield filled.filter(pa.array(same, pa.bool_()))
 
@@ -213,11 +219,11 @@ def link_components(
         """The sets of groups that are opened, each computed from one document of its class."""
         block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block")
         chosen = classes.join(groups.select("grp", "blocks"), "grp").join(opened.distinct(), "grp", "left_semi")
-        chosen = _written(chosen.select("id", "key", "grp", block), "chosen")
+        chosen = _written(chosen.select("at", "key", "grp", block), "chosen")
         if chosen.count() <= BROADCAST_CLASSES:  # else the texts are shuffled to meet them
             chosen = F.broadcast(chosen)
-        filled = texts.join(chosen, "id").select("text", "key", "grp", "block")
-        return _written(filled.mapInArrow(fill, "key long, grp long, block int, tokens binary"), "members")
+        filled = texts.join(chosen, "at").select("text", "key", "grp", "block")
+        return _written(filled.mapInArrow(fill, "key long, grp long, block int, size long, tokens binary"), "members")
 
     members = fill_in(first.select(F.col("a").alias("grp")).union(first.select("b")))
 
@@ -232,12 +238,46 @@ def link_components(
         return pa.table({"a": [a for a, _ in found], "b": [b for _, b in found]}, LINKS)
 
     def compare(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-        pair = ["a", "ai", "b", "bi"]
-        one = pairs.select(*pair, F.lit(0).alias("side"), F.col("a").alias("grp"), F.col("ai").alias("block"))
-        other = pairs.where("a <> b or ai <> bi")
-        other = other.select(*pair, F.lit(1).alias("side"), F.col("b").alias("grp"), F.col("bi").alias("block"))
-        sides = one.unionByName(other).join(members.join(roots, "key"), ["grp", "block"])
-        return sides.groupBy(*pair).applyInArrow(open_pair, "a long, b long")
+        """Links of the opened pairs of blocks.
+
+        The larger block of a pair is its head. A head's partners are dealt into shares of about ``block_tokens`` tokens,
+        and the head goes once to each share, not once to each partner.
+        """
+        sizes = members.groupBy("grp", "block").agg(F.sum("size").alias("size"))
+        sizes = _written(sizes, "sizes")
+        weighed = pairs
+        for side in "ab":
+            of_side = sizes.select(
+                F.col("grp").alias(side), F.col("block").alias(f"{side}i"), F.col("size").alias(f"{side}_size")
+            )
+            weighed = weighed.join(of_side, [side, f"{side}i"])
+        larger = [F.when(F.col("b_size") > F.col("a_size"), F.col(y)).otherwise(F.col(x)) for x, y in (("a", "b"), ("ai", "bi"))]
+        smaller = [F.when(F.col("b_size") > F.col("a_size"), F.col(x)).otherwise(F.col(y)) for x, y in (("a", "b"), ("ai", "bi"))]
+        weighed = weighed.select(
+            larger[0].alias("head"), larger[1].alias("hi"), smaller[0].alias("grp"), smaller[1].alias("block"),
+            F.least("a_size", "b_size").alias("size"),
+        )
+        weighed = _written(weighed, "weighed")
+        itself = (F.col("head") == F.col("grp")) & (F.col("hi") == F.col("block"))
+        partners = weighed.where(~itself)
+        shares = partners.groupBy("head", "hi").agg(
+            F.greatest(F.ceil(F.sum("size") / block_tokens), F.lit(1)).alias("shares"), F.count("*").alias("pairs")
+        )
+        shares = _written(shares, "shares")
+        dealt = spread_join(partners, shares, ["head", "hi"], "pairs")
+        dealt = dealt.withColumn("share", F.pmod(F.xxhash64("grp", "block"), F.col("shares")))
+        task = ["head", "hi", "share"]
+        heads = dealt.select(*task, F.lit(0).alias("side"), F.col("head").alias("grp"), F.col("hi").alias("block")).distinct()
+        alone = weighed.where(itself).select("head", "hi", F.lit(-1).cast("long").alias("share"), F.lit(0).alias("side"), "grp", "block")
+        sides = heads.unionByName(alone).unionByName(dealt.select(*task, F.lit(1).alias("side"), "grp", "block"))
+        # who meets whom is settled with narrow rows; then the sets are shuffled to it once and dealt to the tasks once
+        placed = members.select("key", "grp", "block").distinct().join(roots, "key")
+        meeting = _written(sides.join(placed, ["grp", "block"]).select(*task, "side", "key", "root"), "meeting")
+        opened = _written(meeting.select("key").distinct(), "opened")
+        few = opened.count() <= BROADCAST_CLASSES
+        content = members.select("key", "tokens").join(F.broadcast(opened) if few else opened, "key", "left_semi")
+        # rows that repeat an id and a text have filled in the same set
+        return meeting.join(content.dropDuplicates(["key"]), "key").groupBy(*task).applyInArrow(open_pair, "a long, b long")
 
     def follow(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
         """Components of new links and of the ones found before."""
@@ -336,7 +376,7 @@ def _may_link(percent: int) -> Column:
 
 DESCRIBED = pa.schema(
     [
-        *[(c, pa.int64()) for c in ("id", "n", "key", "grp")],
+        *[(c, pa.int64()) for c in ("id", "at", "n", "key", "grp")],
         ("segment", pa.int32()),
         ("counts", pa.binary()),
     ]
