@@ -5,8 +5,8 @@ the recursive query joins the rows with the merge table, takes each word's leftm
 contracts it, until no word has a pair left to merge. Decoding joins the ids with the byte strings of the
 vocabulary and adds them up in order.
 
-Text is cut before a single space that stands between two other characters; no match of the pattern crosses
-such a place, so equal pieces have equal tokens wherever they are. A Python worker encodes a word once for as long
+Text is cut before a space that follows a plain character; no match of the pattern crosses such a place, so equal
+pieces have equal tokens wherever they are, and a piece that repeats within a slice is looked up once. A Python worker encodes a word once for as long
 as its bounded cache holds it. No row leaves its partition: there is no shuffle.
 
 Null and empty texts have no tokens. Rows that repeat are encoded like any other; an empty table gives no rows.
@@ -15,7 +15,6 @@ Null and empty texts have no tokens. Rows that repeat are encoded like any other
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -28,7 +27,6 @@ import regex
 from pyspark.sql import DataFrame
 
 RANKS = "byte_bpe_50k.tiktoken"
-CUT = re.compile(r"(?<=\S)(?= \S)")
 CACHE_WORDS = 500_000  # words a worker keeps; beyond that it starts anew
 SLICE_CHARS = 2_000_000  # text taken at a time
 RUN = 128  # tokens that one aggregate decodes
@@ -79,6 +77,27 @@ def _merges(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
     return pairs, ids
 
 
+def _pieces(content: list[bytes]) -> tuple[list[bytes], pa.Array, np.ndarray]:
+    """Different pieces, the piece at each place, and the number of places up to the end of each text.
+
+    A piece begins with a text, or with a space behind a printable ASCII character or a letter from U+00C0 to U+00FF.
+    """
+    joined = b"".join(content)
+    byte = np.frombuffer(joined, np.uint8)
+    starts = np.zeros(len(byte) + 1, bool)
+    before = byte[1:-1]
+    plain = (before >= 0x21) & (before <= 0x7E) | (byte[:-2] == 0xC3)  # 0xC3 leads U+00C0 to U+00FF
+    starts[2:-1] = plain & (byte[2:] == 0x20)
+    ends = np.cumsum([len(c) for c in content])
+    starts[0] = True
+    starts[ends] = True
+    offsets = np.flatnonzero(starts)
+    found = pa.Array.from_buffers(
+        pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(joined)]
+    ).dictionary_encode()
+    return found.dictionary.to_pylist(), found.indices, np.searchsorted(offsets, ends)
+
+
 class RecursiveBpe:
     """Encoder and decoder of one Python worker; its tables are in memory and hold one slice at a time."""
 
@@ -87,9 +106,6 @@ class RecursiveBpe:
         self.pattern = regex.compile(pattern)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}  # pieces as they are
-        self.spaced: dict[str, bytes] = {}  # pieces with the space before them left out
-        self.odd: set[str] = set()  # those that start or end with white space, or are empty
         self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         pairs, ids = _merges(ranks)
         merges = pa.table({"pair": pa.array(pairs, pa.int64()), "id": pa.array(ids, pa.int32())})
@@ -117,32 +133,21 @@ class RecursiveBpe:
         finally:
             self.con.unregister(name)
 
-    def _learn(self, cache: dict[str, bytes], pieces: list[str], space: str) -> None:
-        split = [self.pattern.findall(space + piece) for piece in pieces]
-        new = list(set(chain.from_iterable(split)) - self.words.keys())
-        if new:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers; pieces that repeat are looked up once."""
+        pieces, which, ends = _pieces([text.encode() for text in texts])
+        split = [self.pattern.findall(piece.decode()) for piece in pieces]
+        if len(self.words) > CACHE_WORDS:
+            self.words = {}
+        if new := list(set(chain.from_iterable(split)) - self.words.keys()):
             self.words.update(zip(new, self.encode_words([word.encode() for word in new]), strict=True))
         word = self.words.__getitem__
-        cache.update((piece, b"".join(map(word, found))) for piece, found in zip(pieces, split, strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        if max(len(self.words), len(self.pieces), len(self.spaced)) > CACHE_WORDS:
-            self.words, self.pieces, self.spaced, self.odd = {}, {}, {}, set()
-        # most texts have single spaces only; the others are cut with care
-        cut = [text.split(" ") for text in texts]
-        new = list(set(chain.from_iterable(pieces[1:] for pieces in cut)) - self.spaced.keys())
-        odd = [piece for piece in new if not piece or piece[0].isspace() or piece[-1].isspace()]
-        self.odd.update(odd)
-        self._learn(self.spaced, new, " ")
-        plain = [self.odd.isdisjoint(pieces) and not pieces[0][-1:].isspace() for pieces in cut]
-        careful = [CUT.split(text) if not ok else [] for text, ok in zip(texts, plain, strict=True)]
-        whole = set(chain.from_iterable(careful)) | {pieces[0] for pieces, ok in zip(cut, plain, strict=True) if ok}
-        self._learn(self.pieces, list(whole - self.pieces.keys()), "")
-        first, rest, out = self.pieces.__getitem__, self.spaced.__getitem__, []
-        for pieces, parts, ok in zip(cut, careful, plain, strict=True):
-            out.append(first(pieces[0]) + b"".join(map(rest, pieces[1:])) if ok else b"".join(map(first, parts)))
-        return out
+        ids = pa.array([b"".join(map(word, found)) for found in split], pa.large_binary()).take(which)
+        if not len(ids):
+            return [b""] * len(texts)
+        bounds = np.frombuffer(ids.buffers()[1], np.int64)[: len(ids) + 1][np.append(0, ends)].tolist()
+        content = memoryview(ids.buffers()[2] or b"")
+        return [bytes(content[start:end]) for start, end in zip(bounds, bounds[1:], strict=False)]
 
     def decode(self, documents: list[bytes]) -> list[bytes]:
         """Bytes of each document's ids: tokens join the vocabulary, and runs of ``RUN`` tokens are put in order."""
@@ -164,7 +169,7 @@ _worker: dict[tuple[str, str], RecursiveBpe] = {}
 
 
 def codec(path: str, pattern: str = public_tokenizers.PATTERN) -> RecursiveBpe:
-    """The codec of this Python worker; tasks that follow each other share its tables and caches."""
+    """The codec of this Python worker; tasks that follow each other share its tables and its words."""
     if (path, pattern) not in _worker:
         _worker[path, pattern] = RecursiveBpe(path, pattern)
     return _worker[path, pattern]

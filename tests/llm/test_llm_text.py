@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from math import log2
@@ -53,7 +54,6 @@ def small_documents(spark, folder):
 
 def expected_frames(rows):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     out, start = [], 0
     for doc_id, text in rows:
@@ -76,6 +76,34 @@ def test_frames_query(spark, small):
     assert Counter(map(tuple, found.collect())) == expected_frames(texts_of(small_documents(spark, small)))
 
 
+def test_word_units_are_the_tokenizers_own():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, whole = token_frames.WordEncoder(path), Tokenizer.from_file(path)
+    assert np.frombuffer(encoder.encode(["see <|endoftext|> here"])[0], "<u4").tolist() == [862, 49407, 763]
+    pick = random.Random(7)
+    parts = [
+        "the", "The", "ING", "é", "É", "e\u0301", "\u0301", "ß", "ÿ", "×", "÷", "İ", "ŉ", "ſ", "ž", "Ā", "12", "3.5", "don't", "'s", "'", "-",
+        "<|", "|>", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "<", "|", "...", "日本", "ª", "²", "½", "\x7f", "\x00",
+        " ", " ", " ", "  ", "\n", "\t", "\r", "\xa0", "\u2028", "\x85", "😀", "ǅ", "ﬁ", "K",
+    ]
+    texts = ["".join(pick.choices(parts, k=pick.randrange(25))) for _ in range(4000)]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)]
+    want = [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert [t for t, a, b in zip(texts, got, want, strict=True) if a != b] == []
+
+
+def test_long_texts_and_a_small_cache(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(token_frames, "STEP_BYTES", 400)
+    monkeypatch.setattr(token_frames, "CACHE_UNITS", 50)
+    pick = random.Random(1)
+    texts = ["", "x" * 2000, " ".join(f"w{pick.randrange(900)}\n-é" for _ in range(900)), " " * 1500 + "end", "short one"]
+    encoder, whole = token_frames.WordEncoder(path), Tokenizer.from_file(path)
+    for _ in range(2):
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)]
+        assert got == [whole.encode(text, add_special_tokens=False).ids for text in texts]
+
+
 def test_frames_are_read_in_part(spark, small):
     path = new_table_path(spark, "frames")
     token_frames.write_shards(small_documents(spark, small).coalesce(1), path, frame_bytes=2048)
@@ -331,6 +359,25 @@ def test_secrets_on_hard_texts(spark):
         assert masked[n] == ("".join([*parts, text[at:]]) if left else text)
 
 
+def test_a_marker_inside_a_secret_hides_nothing(spark):
+    draw = random.Random(2)
+    secret = "".join(draw.choice(entropy_secrets.ALPHABET[:62]) for _ in range(36))
+    hidden = ["example-" + secret[:30] + "7", secret[:24] + "/xxxx/" + "9", entropy_secrets.ALPHABET, "0123456789abcdef_0123456789"]
+    shown = [secret[:15] + mark + secret[15:] for mark in ("xxxx", "yyyy", "sample", "0123456789", "abcdefgh")]
+    found = entropy_secrets.scan(documents(spark, hidden + shown))
+    spans = {r["doc_id"]: [s for s in r["spans"] if s["kind"] == 3] for r in found.collect()}
+    assert [bool(spans[n]) for n in range(len(hidden + shown))] == [False] * len(hidden) + [True] * len(shown)
+
+
+def test_a_very_long_candidate(spark):
+    draw = random.Random(4)
+    text = "".join(draw.choices(entropy_secrets.ALPHABET[:62], k=1_000_000))
+    start = time.perf_counter()
+    spans = entropy_secrets.scan(documents(spark, [text])).first()["spans"]
+    assert [s["end"] - s["start"] > 999_000 for s in spans if s["kind"] == 3] == [True]
+    assert time.perf_counter() - start < 60
+
+
 def test_secrets_have_no_python_and_no_shuffle(spark, small):
     plan = queries.op9_entropy_secrets(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
@@ -398,11 +445,20 @@ def test_components_of_many_near_copies(spark, monkeypatch, block_tokens, broadc
     assert bag(found, "doc_id", "n_shingles", "component_id") == expected_components(texts_of(df))
 
 
+def test_a_document_without_an_id_carries_links(spark):
+    words = [f"w{n}" for n in range(40)]
+    near = [" ".join(words[: 40 - n]) for n in (4, 2, 0)]  # the first and the last do not link
+    rows = [(1, near[0]), (None, near[1]), (2, near[2]), (None, "some other text"), (None, "some other text")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = expected_components(rows)
+    assert {row[2] for row in want} == {1, None}
+    assert bag(group_jaccard.link_components(df), "doc_id", "n_shingles", "component_id") == want
+
+
 def test_components_of_edge_rows(spark, edge):
     assert group_jaccard.link_components(edge.limit(0)).count() == 0
-    found = group_jaccard.link_components(edge.where("doc_id is not null"))
-    rows = [row for row in texts_of(edge) if row[0] is not None]
-    assert bag(found, "doc_id", "n_shingles", "component_id") == expected_components(rows)
+    found = group_jaccard.link_components(edge)
+    assert bag(found, "doc_id", "n_shingles", "component_id") == expected_components(texts_of(edge))
 
 
 def least_leading(x, y, percent):
