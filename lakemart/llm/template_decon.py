@@ -1,19 +1,25 @@
 r"""Benchmark decontamination by canonical templates, with built-in functions only.
 
-Texts of benchmark and corpus become sequences of words: numbers, names (a capitalised word behind a lower-case letter
-or a comma and a space) and units (a unit's name behind a number) turn into typed placeholders, other words into lower
-case. Windows of ``WINDOW`` words with at least ``LEAST_WORDS`` real words of the benchmark are joined with the windows
-of the corpus by hash and compared. Windows of the same item that lie at the same distance form an alignment. Its slots
-must be consistent: within a type, equal values of the item meet equal values of the document and the other way round.
-Where values contradict each other, the one in the most places holds, none on a tie, and windows with another go; windows
-without slots always stay. So a question asked again with other numbers is found, a chance meeting of placeholders is
-not. An item leaks into a document if what stays covers ``SHARE`` of its windows.
+Texts of benchmark and corpus become sequences of words. A run of capitalised words is one name, also where a sentence
+begins; a number is one word with its sign and separators (which are taken as alike); a unit's name behind a number, or
+attached to it, is a unit. These three turn into typed placeholders, other words into lower case. Windows of ``WINDOW``
+words with at least ``LEAST_WORDS`` real words of the benchmark are joined with the windows of the corpus by hash and
+compared. Windows of the same item that lie at the same distance form an alignment. Its slots must be consistent: within
+a type, equal values of the item meet equal values of the document and the other way round. Where values contradict each
+other, the one in the most places holds, none on a tie, and windows with another go; windows without slots always stay.
+So a question asked again with other numbers is found, a chance meeting of placeholders is not. An item leaks into a
+document if what stays covers ``SHARE`` of its windows.
+
+An item of fewer than ``WINDOW`` words is one window, its whole sequence; with fewer than ``LEAST_WORDS`` real words its
+slots must have its own values, and its first word is also looked for in lower case. An item of fewer than ``LEAST_WORDS`` words in all is found only where it is a document's
+whole text, as such words meet by chance everywhere.
 
 The benchmark's windows are sent to every executor if they are at most ``BROADCAST_WINDOWS``, else both sides are
-shuffled by hash. Only windows that match are shuffled for the rest; a group holds the windows of one item in one document.
+shuffled by hash. Only windows that match are shuffled for the rest; a group holds the windows of one item in one
+document. The driver learns how many words short items have, at most ``WINDOW`` - 1 numbers.
 
-Null and empty texts, and items of fewer than ``WINDOW`` words, match nothing. Rows with the same document and item id
-are taken together. Columns other than id and text are not read.
+Null and empty texts, and texts without a word, match nothing. Rows with the same document and item id are taken
+together. Columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -33,59 +39,93 @@ UNITS = (
     "s sec second seconds min minute minutes h hour hours day days week weeks month months year years "
     "dollar dollars euro euros cent cents percent degree degrees"
 ).split()
-NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
-_NAMED = r"([\p{Ll},;:] )(\p{Lu}\p{Ll}+)"
+# marks in front of a slot's value; the first also ends a name, the last stands for signs and separators within numbers
+NAME, NUMBER, UNIT, JOIN = "\u0001", "\u0002", "\u0003", "\u0004"
+MARKS = NAME + NUMBER + UNIT + JOIN
+_NAMED = r"([^\p{L}\p{N}])(\p{Lu}\p{Ll}+)"
+_JOINED = r"([\p{N} ])[-.,](\p{N})"
+_BETWEEN = rf"[^\p{{L}}\p{{N}}{NAME}{JOIN}]+"
+_ATTACHED = rf" ([\p{{N}}{JOIN}]+)({'|'.join(UNITS)}) "
+_NUMBER = rf" ([\p{{N}}{JOIN}]+) "
+_UNIT = rf" ({NUMBER}[\p{{N}}{JOIN}]+)  ({'|'.join(UNITS)}) "
+_SLOT = rf"([{NAME}{NUMBER}{UNIT}])[\p{{L}}\p{{N}}{NAME}{JOIN}]+"
 
 
 def _marked(text: Column) -> Column:
-    """Words of the text, two spaces between them and one around; names carry a mark."""
-    marked = F.regexp_replace(F.translate(text, NAME + NUMBER + UNIT, ""), _NAMED, f"$1{NAME}$2")
-    return F.regexp_replace(F.concat(F.lit(" "), marked, F.lit(" ")), rf"[^\p{{L}}\p{{N}}{NAME}]+", "  ")
+    """Words of the text in lower case, two spaces between them and around; slots begin with the mark of their type."""
+    named = F.regexp_replace(F.concat(F.lit(" "), F.translate(text, MARKS, ""), F.lit(" ")), _NAMED, f"$1{NAME}$2{NAME}")
+    named = F.replace(named, F.lit(f"{NAME} {NAME}"), F.lit(NAME))
+    # twice, as a digit between two separators is in one match only
+    joined = F.regexp_replace(F.regexp_replace(named, _JOINED, f"$1{JOIN}$2"), _JOINED, f"$1{JOIN}$2")
+    joined = F.when(named.rlike(r"\p{N}"), joined).otherwise(named)
+    return F.regexp_replace(F.lower(joined), _BETWEEN, "  ")
 
 
-def _canonical(marked: Column) -> Column:
-    """Placeholders for slots; as many words as ``marked`` has, in the same places."""
-    units = "|".join(UNITS)
-    text = F.lower(marked)
-    text = F.when(text.contains(NAME), F.regexp_replace(text, rf"{NAME}\p{{L}}+", NAME)).otherwise(text)
-    numbers = F.regexp_replace(text, r" \p{N}+ ", f" {NUMBER} ")
-    numbers = F.regexp_replace(numbers, rf" {NUMBER}  ({units}) ", f" {NUMBER}  {UNIT} ")
-    return F.when(text.rlike(r" \p{N}+ "), numbers).otherwise(text)
+def _numbered(marked: Column) -> Column:
+    """The words with marks at numbers and units, units apart from their numbers."""
+    apart = F.regexp_replace(marked, _ATTACHED, " $1  $2 ")
+    numbers = F.regexp_replace(apart, _NUMBER, f" {NUMBER}$1 ")
+    return F.when(marked.rlike(r" [\p{N}" + JOIN + "]"), F.regexp_replace(numbers, _UNIT, f" $1  {UNIT}$2 ")).otherwise(marked)
 
 
 def _split(text: Column) -> Column:
     return F.split(F.trim(text), "  ", -1)
 
 
-def windows(texts: DataFrame, id_column: str, text_column: str, window: int = WINDOW) -> DataFrame:
-    """``id``, ``place``, ``hash``, ``words`` (canonical) and ``raw`` (as in the text) of every window.
+def _typed(words: Column) -> Column:
+    """Placeholders for slots, as ``windows`` hashes them."""
+    first = F.transform(words, lambda w: F.when(_is_slot(w), w.substr(1, 1)).otherwise(w))
+    return F.when(words.isNotNull(), first)
 
-    ``words`` and ``raw`` are null where a window has no slot: the hash then says all that is asked of it.
-    """
-    marked, canonical, raw = F.col("marked"), F.col("canonical"), F.col("raw")
-    slotted = F.col("slotted")
+
+def _is_slot(word: Column) -> Column:
+    return word.substr(1, 1).isin(NAME, NUMBER, UNIT)
+
+
+def _sequences(texts: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``id``, ``canonical`` and ``raw`` words of every text that has any; ``raw`` is null without slots."""
+    marked = F.col("marked")
     rows = texts.select(F.col(id_column).alias("id"), _marked(F.col(text_column)).alias("marked"))
-    rows = held(held(rows, marked=marked), canonical=_canonical(marked))
-    slots = F.col("canonical").rlike(f"[{NAME}{NUMBER}{UNIT}]")
-    words = {"canonical": _split(canonical), "raw": F.when(slots, _split(F.lower(marked))), "slotted": slots}
-    rows = held(rows, **words).where(F.size(canonical) >= window)
-    last = F.size(canonical) - window
+    rows = held(held(rows, marked=marked), marked=_numbered(marked)).where(F.length(F.trim(marked)) > 0)
+    slots = marked.rlike(f"[{NAME}{NUMBER}]")
+    canonical = F.when(slots, F.regexp_replace(marked, _SLOT, "$1")).otherwise(marked)
+    return held(rows, canonical=_split(canonical), raw=F.when(slots, _split(marked))).drop("marked")
+
+
+def windows(sequences: DataFrame, sizes: list[int]) -> DataFrame:
+    """``id``, ``place``, ``hash`` and ``raw`` of every window of each of ``sizes`` words.
+
+    ``raw`` has the words with their values, null where a window has no slot: the hash then says all that is asked of it.
+    Windows of fewer than ``LEAST_WORDS`` words are taken only of texts of just that many.
+    """
+    canonical, raw = F.col("canonical"), F.col("raw")
+    n = F.size(canonical)
 
-    def one(place: Column) -> Column:
-        words = F.slice(canonical, place + 1, window)
-        own = slotted & F.arrays_overlap(words, F.array(F.lit(NAME), F.lit(NUMBER), F.lit(UNIT)))
-        return F.struct(
-            place.alias("place"),
-            F.xxhash64(words).alias("hash"),
-            F.when(own, words).alias("words"),
-            F.when(own, F.slice(raw, place + 1, window)).alias("raw"),
-        )
+    def of_size(size: int) -> Column:
+        def one(place: Column) -> Column:
+            words = F.slice(canonical, place + 1, size)
+            own = raw.isNotNull() & F.arrays_overlap(words, F.array(F.lit(NAME), F.lit(NUMBER), F.lit(UNIT)))
+            return F.struct(
+                place.alias("place"), F.xxhash64(words).alias("hash"), F.when(own, F.slice(raw, place + 1, size)).alias("raw")
+            )
 
-    return rows.select("id", F.inline(F.transform(F.sequence(F.lit(0), last), one)))
+        fits = n == size if size < LEAST_WORDS else n >= size
+        return F.when(fits, F.transform(F.sequence(F.lit(0), n - size), one))
+
+    found = [F.coalesce(of_size(size), F.array()) for size in sizes]
+    return sequences.select("id", F.inline(F.concat(*found) if len(found) > 1 else of_size(sizes[0])))
+
+
+def _asked(long: DataFrame, short: DataFrame, window: int) -> DataFrame:
+    """Windows of the long items, and the whole sequences of the short ones."""
+    long = windows(long, [window])
+    long = long.where(F.col("raw").isNull() | (_real_words(F.col("raw")) >= LEAST_WORDS))
+    short = short.select("id", F.lit(0).alias("place"), F.xxhash64("canonical").alias("hash"), "raw")
+    return long.unionByName(short).where(F.col("id").isNotNull()).dropDuplicates()
 
 
 def _real_words(words: Column) -> Column:
-    return F.size(F.filter(words, lambda w: ~w.isin(NAME, NUMBER, UNIT)))
+    return F.size(F.filter(words, lambda w: ~_is_slot(w)))
 
 
 def _value(pair: Column) -> Column:
@@ -129,17 +169,26 @@ def leaks(
 
     ``verbatim`` is true where all slots have the item's own values, also those of windows that went.
     """
-    names = ["item", "item_place", "hash", "item_words", "of_item"]
-    asked = windows(benchmark, item_id, text_column, window).toDF(*names)
-    asked = asked.where(F.col("item_words").isNull() | (_real_words(F.col("item_words")) >= LEAST_WORDS))
-    asked = asked.where(F.col("item").isNotNull()).dropDuplicates()
+    items = _sequences(benchmark, item_id, text_column)
+    long, short = items.where(F.size("canonical") >= window), items.where(F.size("canonical") < window)
+    # within a sentence the first word of a question may be no name
+    text = F.col(text_column)
+    lowered = F.concat(F.lower(F.substring(text, 1, 1)), F.substring(text, 2, 1 << 30))
+    within = _sequences(benchmark.select(item_id, lowered.alias(text_column)), item_id, text_column)
+    short = short.unionByName(within.where(F.size("canonical") < window))
+    lengths = short.select(F.size("canonical").alias("n")).distinct()
+    sizes = sorted(row["n"] for row in lengths.collect()) + [window]
+    asked = _asked(long, short, window).toDF("item", "item_place", "hash", "of_item")
     total = asked.groupBy("item").agg(F.count_distinct("item_place").alias("total"))
     if asked.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
         asked, total = F.broadcast(asked), F.broadcast(total)
-    found = windows(documents, document_id, text_column, window).join(asked, "hash")
+    found = windows(_sequences(documents, document_id, text_column), sizes).join(asked, "hash")
     # the words behind equal hashes: one null and one not cannot be equal
+    found = held(found, words=_typed(F.col("raw")), item_words=_typed(F.col("of_item")))
     found = found.where(F.col("words").eqNullSafe(F.col("item_words")))
-    places = F.sequence(F.col("item_place"), F.col("item_place") + window - 1).alias("at")
+    few = F.coalesce(_real_words(F.col("of_item")) < LEAST_WORDS, F.lit(False))
+    found = found.where(~few | F.col("raw").eqNullSafe(F.col("of_item")))
+    places = F.sequence(F.col("item_place"), F.col("item_place") + F.size("words") - 1).alias("at")
     pairs = F.when(
         F.col("words").isNotNull(),
         F.filter(F.arrays_zip(places, "words", "of_item", "raw"), lambda z: z["words"].isin(NAME, NUMBER, UNIT)),
@@ -171,53 +220,84 @@ def leaks(
 
 def leaks_sql(window: int = WINDOW, share: float = SHARE) -> str:
     """``leaks`` of documents and benchmark in DuckDB's SQL; windows are compared as text."""
-    name, number, unit = (f"chr({ord(x)})" for x in (NAME, NUMBER, UNIT))
-    slots = f"[{name}, {number}, {unit}]"
-    alphabet = rf"'[^\p{{L}}\p{{N}}' || {name} || ']+'"
-
-    def split(text: str) -> str:
-        return f"string_split(trim({text}), '  ')"
-
-    def texts(table: str, key: str) -> str:
-        clean = f"translate(text, {name} || {number} || {unit}, '')"
-        marked = rf"regexp_replace({clean}, '([\p{{Ll}},;:] )(\p{{Lu}}\p{{Ll}}+)', '\1' || {name} || '\2', 'g')"
+    name, number, unit, join = (f"chr({ord(x)})" for x in MARKS)
+    units = "|".join(UNITS)
+    digits = rf"([\p{{N}}' || {join} || ']+)"
+
+    def replaced(text: str, pattern: str, by: str) -> str:
+        return f"regexp_replace({text}, '{pattern}', {by}, 'g')"
+
+    def texts(table: str, key: str, text: str = "text") -> str:
+        clean = f"' ' || translate({text}, {name} || {number} || {unit} || {join}, '') || ' '"
+        named = replaced(clean, _NAMED, rf"'\1' || {name} || '\2' || {name}")
+        named = f"replace({named}, {name} || ' ' || {name}, {name})"
+        joined = replaced(replaced(named, _JOINED, rf"'\1' || {join} || '\2'"), _JOINED, rf"'\1' || {join} || '\2'")
+        words = replaced(f"lower({joined})", rf"[^\p{{L}}\p{{N}}' || {name} || {join} || ']+", "'  '")
+        apart = replaced(words, rf" {digits}({units}) ", r"' \1  \2 '")
+        numbers = replaced(apart, rf" {digits} ", rf"' ' || {number} || '\1 '")
+        marked = replaced(numbers, rf" (' || {number} || '{digits[1:-1]})  ({units}) ", rf"' \1  ' || {unit} || '\2 '")
         return f"""
-    SELECT {key} AS id, lower(regexp_replace(' ' || {marked} || ' ', {alphabet}, '  ', 'g')) AS marked
-    FROM {table} WHERE text IS NOT NULL AND {key} IS NOT NULL"""
+    SELECT id, string_split(trim(marked), '  ') AS raw FROM (
+        SELECT {key} AS id, {marked} AS marked FROM {table} WHERE text IS NOT NULL AND {key} IS NOT NULL)
+    WHERE trim(marked) <> ''"""
 
-    named = rf"regexp_replace(marked, {name} || '\p{{L}}+', {name}, 'g')"
-    numbered = rf"regexp_replace({named}, ' \p{{N}}+ ', ' ' || {number} || ' ', 'g')"
-    behind = f"' ' || {number} || '  ({'|'.join(UNITS)}) '"
-    canonical = f"regexp_replace({numbered}, {behind}, ' ' || {number} || '  ' || {unit} || ' ', 'g')"
+    slots = f"[{name}, {number}, {unit}]"
+    slot = f"list_contains({slots}, w[1])"
+    typed = f"list_transform(raw, lambda w: CASE WHEN {slot} THEN w[1] ELSE w END)"
+    real = f"len(list_filter(raw, lambda w: NOT {slot}))"
 
-    def cut(table: str) -> str:
+    def cut(table: str, fits: str, size: str) -> str:
         return f"""
-    SELECT id, place, canonical[place + 1:place + {window}] AS words, raw[place + 1:place + {window}] AS raw FROM (
-        SELECT id, canonical, raw, unnest(range(len(canonical) - {window - 1})) AS place FROM (
-            SELECT id, {split(canonical)} AS canonical, {split("marked")} AS raw FROM {table})
-        WHERE len(canonical) >= {window})"""
+    SELECT id, place, raw[place + 1:place + {size}] AS raw, {size} AS size FROM (
+        SELECT id, raw, size, unnest(range(len(raw) - {size} + 1)) AS place FROM {table} WHERE {fits})"""
 
-    real = f"len(list_filter(words, lambda w: NOT list_contains({slots}, w)))"
-    zipped = "list_zip(d.words, a.raw, d.raw)"
     return f"""
-WITH marked_items AS ({texts("benchmark", "item_id")}), marked_documents AS ({texts("documents", "doc_id")}),
-asked AS (SELECT DISTINCT * FROM ({cut("marked_items")}) WHERE {real} >= {LEAST_WORDS}),
+WITH items AS (
+    SELECT *, len(raw) AS size FROM ({texts("benchmark", "item_id")})
+    UNION ALL
+    SELECT *, len(raw) AS size FROM ({texts("benchmark", "item_id", "(lower(text[1]) || text[2:])")})
+    WHERE len(raw) < {window}
+),
+asked AS (
+    SELECT DISTINCT id, place, raw, size, {typed} AS words, {real} AS n_real FROM (
+        {cut("items", f"size >= {window}", str(window))} UNION ALL {cut("items", f"size < {window}", "size")})
+    WHERE size < {window} OR {real} >= {LEAST_WORDS}
+),
 total AS (SELECT id AS item_id, count(DISTINCT place) AS total FROM asked GROUP BY id),
+sizes AS (SELECT DISTINCT size FROM asked UNION SELECT {window}),
+sequences AS ({texts("documents", "doc_id")}),
+sized AS (
+    SELECT id, raw, size FROM sequences, sizes
+    WHERE len(raw) = size OR (len(raw) > size AND size >= {LEAST_WORDS})
+),
+cuts AS (SELECT id, place, raw, {typed} AS words FROM ({cut("sized", "true", "size")})),
 found AS (
-    SELECT d.id AS doc_id, a.id AS item_id, a.place, d.place - a.place AS shift,
-        list_filter({zipped}, lambda z: list_contains({slots}, z[1])) AS pairs
-    FROM ({cut("marked_documents")}) d JOIN asked a ON a.words = d.words
-), alignments AS (
-    SELECT doc_id, item_id, list(DISTINCT place) AS places, list_distinct(flatten(list(pairs))) AS pairs
-    FROM found GROUP BY doc_id, item_id, shift
-), consistent AS (
-    SELECT doc_id, item_id, unnest(places) AS place,
-        len(list_filter(pairs, lambda z: z[2] <> z[3])) = 0 AS same
-    FROM alignments
-    WHERE len(list_distinct(list_transform(pairs, lambda z: z[1] || z[2]))) = len(pairs)
-      AND len(list_distinct(list_transform(pairs, lambda z: z[1] || z[3]))) = len(pairs)
+    SELECT DISTINCT d.id AS doc_id, a.id AS item_id, a.place, d.place - a.place AS shift, a.raw AS of_item, d.raw AS raw,
+        a.words AS words
+    FROM cuts d JOIN asked a ON a.words = d.words WHERE a.n_real >= {LEAST_WORDS} OR a.raw = d.raw
+),
+pairs AS (
+    SELECT doc_id, item_id, shift, place, place + i AS spot, words[i] AS type, of_item[i] AS of_item, raw[i] AS raw
+    FROM (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM found) WHERE list_contains({slots}, words[i])
+),
+counts AS (
+    SELECT doc_id, item_id, shift, type, of_item, raw, count(DISTINCT spot) AS places FROM pairs GROUP BY ALL
+),
+lost AS (
+    SELECT DISTINCT v.doc_id, v.item_id, v.shift, v.type, v.of_item, v.raw
+    FROM counts v JOIN counts w USING (doc_id, item_id, shift, type)
+    WHERE (v.of_item = w.of_item) <> (v.raw = w.raw) AND w.places >= v.places
+),
+gone AS (
+    SELECT DISTINCT doc_id, item_id, shift, place FROM pairs JOIN lost USING (doc_id, item_id, shift, type, of_item, raw)
+),
+same AS (SELECT doc_id, item_id, shift, bool_and(of_item = raw) AS same FROM pairs GROUP BY ALL),
+stays AS (
+    SELECT doc_id, item_id, place, coalesce(same, true) AS same
+    FROM (SELECT DISTINCT doc_id, item_id, shift, place FROM found) f ANTI JOIN gone USING (doc_id, item_id, shift, place)
+    LEFT JOIN same USING (doc_id, item_id, shift)
 )
 SELECT doc_id, item_id, n_windows, n_windows / total AS share, verbatim
 FROM (SELECT doc_id, item_id, count(DISTINCT place) AS n_windows, bool_and(same) AS verbatim
-      FROM consistent GROUP BY doc_id, item_id)
+      FROM stays GROUP BY doc_id, item_id)
 JOIN total USING (item_id) WHERE n_windows / total >= {share!r}"""

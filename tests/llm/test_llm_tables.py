@@ -8,6 +8,7 @@ import random
 import sys
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import test_llm_text
@@ -255,7 +256,8 @@ def test_questions_with_other_numbers_leak(spark):
         "5 6 7 8 9 10 11 12 13 14 15 16 " * 2000,
     ]
     # the third has two values for one slot in some windows; what is consistent there is less than half
-    assert found_leaks(spark, texts) == {(0, 1): True, (1, 1): False, (3, 4): True}
+    # the sixth is an item of three words as a whole
+    assert found_leaks(spark, texts) == {(0, 1): True, (1, 1): False, (3, 4): True, (5, 2): True}
 
 
 def test_one_contradicting_slot_costs_its_own_windows_only(spark):
@@ -269,6 +271,55 @@ def test_one_contradicting_slot_costs_its_own_windows_only(spark):
     assert {r["doc_id"]: (r["n_windows"], r["verbatim"]) for r in found} == want
 
 
+QUESTION = "Alice Brown buys 12kg of rice at 3.5 dollars and 1,200 g of salt on Monday, how much does she pay in all?"
+CHANGED = "Peter Green buys 40 kg of rice at 7 dollars and 900g of salt on Friday, how much does she pay in all?"
+SHORT = [
+    (1, QUESTION),
+    (2, "What is 17 plus 25?"),
+    (3, "name the capital city of Peru"),
+    (4, "Berlin"),
+    (5, "the red fox"),
+    (6, "-5 degrees or 3.25 degrees, which of the two is the colder one of them?"),
+    (7, "?!"),
+    (8, None),
+]
+ASKED = [
+    CHANGED,
+    "Before. " + QUESTION + " After.",
+    "we ask what is 17 plus 25 again",
+    "What is 17 plus 25?",
+    "what is 18 plus 25",
+    "please name the capital city of Mali now",
+    "Berlin",
+    "We saw Berlin and the red fox there",
+    "The Red Fox",
+    "the red fox",
+    "7 degrees or 1,000,000.5 degrees, which of the two is the colder one of them?",
+    CHANGED.replace("900g", "40 g") + " " + CHANGED.replace("7 dollars", "40 dollars"),
+    "word " * 20_000 + QUESTION,
+    "a" * 300_000 + " 1.2.3.4.5 " + "1" * 300_000 + " A" + "b" * 300_000,
+    "",
+    "?!",
+    None,
+]
+
+
+def test_names_numbers_units_and_short_items(spark, tmp_path):
+    docs = documents(spark, ASKED)
+    items = spark.createDataFrame([(i, t, "x") for i, t in SHORT], "item_id long, text string, raw string")
+    found = template_decon.leaks(docs, items)
+    got = {(r["doc_id"], r["item_id"]): r["verbatim"] for r in found.collect()}
+    want = {(0, 1): False, (1, 1): True, (2, 2): True, (3, 2): True, (5, 3): False, (6, 4): True, (9, 5): True}
+    assert got == want | {(10, 6): False, (11, 1): False, (12, 1): True}
+    docs.union(docs.limit(4)).write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    twin = con.execute(template_decon.leaks_sql()).fetchall()
+    assert sorted(twin) == sorted(map(tuple, found.select("doc_id", "item_id", "n_windows", "share", "verbatim").collect()))
+
+
 def test_no_documents_or_items(spark):
     df = documents(spark, [ITEMS[0][1]])
     items = spark.createDataFrame([(i, t) for i, t in ITEMS], "item_id long, text string")
