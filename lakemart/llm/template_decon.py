@@ -24,6 +24,9 @@ together. Columns other than id and text are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,13 +86,17 @@ def _is_slot(word: Column) -> Column:
 
 
 def _sequences(texts: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``id``, ``canonical`` and ``raw`` words of every text that has any; ``raw`` is null without slots."""
-    marked = F.col("marked")
+    """``id`` and the words of every text that has any: ``keys`` are hashes of the canonical words, ``raw`` the words
+    with their values, ``slot`` tells which are slots; the last two are null without slots."""
+    marked, canonical = F.col("marked"), F.col("canonical")
     rows = texts.select(F.col(id_column).alias("id"), _marked(F.col(text_column)).alias("marked"))
     rows = held(held(rows, marked=marked), marked=_numbered(marked)).where(F.length(F.trim(marked)) > 0)
     slots = marked.rlike(f"[{NAME}{NUMBER}]")
-    canonical = F.when(slots, F.regexp_replace(marked, _SLOT, "$1")).otherwise(marked)
-    return held(rows, canonical=_split(canonical), raw=F.when(slots, _split(marked))).drop("marked")
+    words = _split(F.when(slots, F.regexp_replace(marked, _SLOT, "$1")).otherwise(marked))
+    rows = held(rows, canonical=words, raw=F.when(slots, _split(marked)))
+    keys = F.transform(canonical, lambda w: F.xxhash64(w))
+    slot = F.when(F.col("raw").isNotNull(), F.transform(canonical, lambda w: w.isin(NAME, NUMBER, UNIT)))
+    return held(rows, keys=keys, slot=slot).select("id", "keys", "slot", "raw")
 
 
 def windows(sequences: DataFrame, sizes: list[int]) -> DataFrame:
@@ -98,16 +105,14 @@ def windows(sequences: DataFrame, sizes: list[int]) -> DataFrame:
     ``raw`` has the words with their values, null where a window has no slot: the hash then says all that is asked of it.
     Windows of fewer than ``LEAST_WORDS`` words are taken only of texts of just that many.
     """
-    canonical, raw = F.col("canonical"), F.col("raw")
-    n = F.size(canonical)
+    n = F.size("keys")
 
     def of_size(size: int) -> Column:
         def one(place: Column) -> Column:
-            words = F.slice(canonical, place + 1, size)
-            own = raw.isNotNull() & F.arrays_overlap(words, F.array(F.lit(NAME), F.lit(NUMBER), F.lit(UNIT)))
-            return F.struct(
-                place.alias("place"), F.xxhash64(words).alias("hash"), F.when(own, F.slice(raw, place + 1, size)).alias("raw")
-            )
+            # elements by their places: a slice would copy
+            keys, slot, raw = ([F.get(F.col(c), place + k) for k in range(size)] for c in ("keys", "slot", "raw"))
+            own = F.when(reduce(or_, slot), F.array(*raw))
+            return F.struct(place.alias("place"), F.xxhash64(*keys).alias("hash"), own.alias("raw"))
 
         fits = n == size if size < LEAST_WORDS else n >= size
         return F.when(fits, F.transform(F.sequence(F.lit(0), n - size), one))
@@ -120,7 +125,7 @@ def _asked(long: DataFrame, short: DataFrame, window: int) -> DataFrame:
     """Windows of the long items, and the whole sequences of the short ones."""
     long = windows(long, [window])
     long = long.where(F.col("raw").isNull() | (_real_words(F.col("raw")) >= LEAST_WORDS))
-    short = short.select("id", F.lit(0).alias("place"), F.xxhash64("canonical").alias("hash"), "raw")
+    short = short.select("id", F.lit(0).alias("place"), F.xxhash64("keys").alias("hash"), "raw")
     return long.unionByName(short).where(F.col("id").isNotNull()).dropDuplicates()
 
 
@@ -170,13 +175,13 @@ def leaks(
     ``verbatim`` is true where all slots have the item's own values, also those of windows that went.
     """
     items = _sequences(benchmark, item_id, text_column)
-    long, short = items.where(F.size("canonical") >= window), items.where(F.size("canonical") < window)
+    long, short = items.where(F.size("keys") >= window), items.where(F.size("keys") < window)
     # within a sentence the first word of a question may be no name
     text = F.col(text_column)
     lowered = F.concat(F.lower(F.substring(text, 1, 1)), F.substring(text, 2, 1 << 30))
     within = _sequences(benchmark.select(item_id, lowered.alias(text_column)), item_id, text_column)
-    short = short.unionByName(within.where(F.size("canonical") < window))
-    lengths = short.select(F.size("canonical").alias("n")).distinct()
+    short = short.unionByName(within.where(F.size("keys") < window))
+    lengths = short.select(F.size("keys").alias("n")).distinct()
     sizes = sorted(row["n"] for row in lengths.collect()) + [window]
     asked = _asked(long, short, window).toDF("item", "item_place", "hash", "of_item")
     total = asked.groupBy("item").agg(F.count_distinct("item_place").alias("total"))
