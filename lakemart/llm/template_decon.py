@@ -10,9 +10,9 @@ other, the one in the most places holds, none on a tie, and windows with another
 So a question asked again with other numbers is found, a chance meeting of placeholders is not. An item leaks into a
 document if what stays covers ``SHARE`` of its windows.
 
-An item of fewer than ``WINDOW`` words is one window, its whole sequence; with fewer than ``LEAST_WORDS`` real words its
-slots must have its own values, and its first word is also looked for in lower case. An item of fewer than ``LEAST_WORDS`` words in all is found only where it is a document's
-whole text, as such words meet by chance everywhere.
+An item of fewer than ``WINDOW`` words is one window, its whole sequence; its first word is also looked for in lower case.
+With fewer than ``LEAST_WORDS`` real words its slots must have its own values. An item of fewer than ``LEAST_WORDS`` words
+in all is found only where it is a document's whole text, as such words meet by chance everywhere.
 
 The benchmark's windows are sent to every executor if they are at most ``BROADCAST_WINDOWS``, else both sides are
 shuffled by hash. Only windows that match are shuffled for the rest; a group holds the windows of one item in one
@@ -25,7 +25,6 @@ together. Columns other than id and text are not read.
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,17 +85,20 @@ def _is_slot(word: Column) -> Column:
 
 
 def _sequences(texts: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``id`` and the words of every text that has any: ``keys`` are hashes of the canonical words, ``raw`` the words
-    with their values, ``slot`` tells which are slots; the last two are null without slots."""
+    """``id`` and the words of every text that has any: ``keys`` are hashes of the canonical words, odd for slots, and
+    ``raw`` the words with their values, null without slots."""
     marked, canonical = F.col("marked"), F.col("canonical")
     rows = texts.select(F.col(id_column).alias("id"), _marked(F.col(text_column)).alias("marked"))
     rows = held(held(rows, marked=marked), marked=_numbered(marked)).where(F.length(F.trim(marked)) > 0)
     slots = marked.rlike(f"[{NAME}{NUMBER}]")
     words = _split(F.when(slots, F.regexp_replace(marked, _SLOT, "$1")).otherwise(marked))
     rows = held(rows, canonical=words, raw=F.when(slots, _split(marked)))
-    keys = F.transform(canonical, lambda w: F.xxhash64(w))
-    slot = F.when(F.col("raw").isNotNull(), F.transform(canonical, lambda w: w.isin(NAME, NUMBER, UNIT)))
-    return held(rows, keys=keys, slot=slot).select("id", "keys", "slot", "raw")
+
+    def key(word: Column) -> Column:
+        number = F.xxhash64(word)
+        return F.when(word.isin(NAME, NUMBER, UNIT), number.bitwiseOR(F.lit(1))).otherwise(F.shiftleft(number, 1))
+
+    return held(rows, keys=F.transform(canonical, key)).select("id", "keys", "raw")
 
 
 def windows(sequences: DataFrame, sizes: list[int]) -> DataFrame:
@@ -106,19 +108,26 @@ def windows(sequences: DataFrame, sizes: list[int]) -> DataFrame:
     Windows of fewer than ``LEAST_WORDS`` words are taken only of texts of just that many.
     """
     n = F.size("keys")
+    most = max(sizes)
+    # one row per word with those that follow it, null behind the end
+    shifted = {f"{c}{k}": F.slice(c, F.lit(k + 1), n) for c in ("keys", "raw") for k in range(most)}
+    present = [F.coalesce(c, F.array()) for c in shifted.values()]
+    rows = sequences.select("id", F.inline(F.arrays_zip(F.sequence(F.lit(0), n - 1), *present)))
+    rows = rows.toDF("id", "place", *shifted)
 
     def of_size(size: int) -> Column:
-        def one(place: Column) -> Column:
-            # elements by their places: a slice would copy
-            keys, slot, raw = ([F.get(F.col(c), place + k) for k in range(size)] for c in ("keys", "slot", "raw"))
-            own = F.when(reduce(or_, slot), F.array(*raw))
-            return F.struct(place.alias("place"), F.xxhash64(*keys).alias("hash"), own.alias("raw"))
-
-        fits = n == size if size < LEAST_WORDS else n >= size
-        return F.when(fits, F.transform(F.sequence(F.lit(0), n - size), one))
-
-    found = [F.coalesce(of_size(size), F.array()) for size in sizes]
-    return sequences.select("id", F.inline(F.concat(*found) if len(found) > 1 else of_size(sizes[0])))
+        keys, raw = ([F.col(f"{c}{k}") for k in range(size)] for c in ("keys", "raw"))
+        own = reduce(Column.bitwiseOR, keys).bitwiseAND(F.lit(1)) == 1
+        return F.struct(F.xxhash64(*keys).alias("hash"), F.when(own, F.array(*raw)).alias("raw"))
+
+    def fits(size: int) -> Column:
+        inside = F.col(f"keys{size - 1}").isNotNull()
+        return inside & (F.col("place") == 0) & F.col(f"keys{size}").isNull() if size < min(LEAST_WORDS, most) else inside
+
+    if len(sizes) == 1:
+        return rows.where(fits(most)).select("id", "place", of_size(most).alias("w")).select("id", "place", "w.*")
+    each = F.array(*[F.when(fits(size), of_size(size)) for size in sizes])
+    return rows.select("id", "place", F.explode(F.array_compact(each)).alias("w")).select("id", "place", "w.*")
 
 
 def _asked(long: DataFrame, short: DataFrame, window: int) -> DataFrame:
