@@ -31,11 +31,12 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{24,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
 HEX_LIMIT, MIXED_LIMIT = 3.05, 3.85  # bits
+# Repeated groups are possessive, so that Java takes them in a loop: no deep stack and no second try for a long candidate.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
     r"(?i)(^|[+/_=-])(example|sample|placeholder|x{4,})([+/_=-]|$)",  # as a word of its own
-    r"(?i)^(0?1234567890?|abcdefgh(ijklmnopqrstuvwxyz)?|abcdef|[+/_=-])+$",  # nothing but alphabets and counting
-    r"^[A-Za-z]+([/_-][A-Za-z]+)*([/_-][0-9]+)+/?$",  # paths and slugs that end in a number
+    r"(?i)^(?:0?1234567890?|abcdefgh(?:ijklmnopqrstuvwxyz)?|abcdef|[+/_=-])++$",  # nothing but alphabets and counting
+    r"^[A-Za-z]++(?:[/_-][A-Za-z]++)*+(?:[/_-][0-9]++)++/?$",  # paths and slugs that end in a number
 )
 SUMS_BLOCK = 512
 

@@ -359,6 +359,27 @@ def test_secrets_on_hard_texts(spark):
         assert masked[n] == ("".join([*parts, text[at:]]) if left else text)
 
 
+def test_each_kind_is_counted_wherever_it_lies(spark, tmp_path):
+    key, digits = "AKIA" + "A1" * 8, "deadbeef" * 3
+    texts = [None, "", digits, f"{key} {digits}", f"{digits} token=abcdef {digits} {key} token=abcdefg", "token=abcdef " * 5]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.op9_entropy_secrets(spark, str(tmp_path)).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        base = [s for s in expected_secrets(texts[row["doc_id"]] or "") if s[1] < 3]
+        assert [row["n_assign"], row["n_access"], row["n_hex"]] == [sum(k == n for _, k, _ in base) for n in range(3)]
+        named = ",".join(f"{entropy_secrets.KINDS[k]}:{a}:{b}" for a, k, b in base)
+        assert row["base_sha256"] == hashlib.sha256(named.encode()).hexdigest()
+
+
+def test_long_candidates_meet_the_allow_list(spark):
+    texts = ["abcdef" * 20_000 + "1234567890", "a/" * 50_000 + "1/2", "1234567890" * 60 + "x", "word-" * 30_000 + "x1"]
+    found = entropy_secrets.scan(documents(spark, texts))
+    spans = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in found.collect()}
+    assert [bool([s for s in spans[n] if s[1] == 3]) for n in range(2)] == [False, False]
+    assert len(spans) == len(texts)
+
+
 def test_a_marker_inside_a_secret_hides_nothing(spark):
     draw = random.Random(2)
     secret = "".join(draw.choice(entropy_secrets.ALPHABET[:62]) for _ in range(36))
