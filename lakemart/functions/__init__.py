@@ -9,7 +9,7 @@ from lakemart.functions.dates import (
     month_key,
     time_slice,
 )
-from lakemart.functions.keys import name_parts, source_of, surrogate_key
+from lakemart.functions.keys import name_parts, packed, source_of, surrogate_key, unpacked
 from lakemart.functions.measures import (
     amount,
     count_where,
@@ -34,6 +34,7 @@ __all__ = [
     "month_date",
     "month_key",
     "name_parts",
+    "packed",
     "percent",
     "ratio_if_positive",
     "safe_divide",
@@ -42,4 +43,5 @@ __all__ = [
     "sum_where",
     "surrogate_key",
     "time_slice",
+    "unpacked",
 ]
