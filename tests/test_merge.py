@@ -1,3 +1,5 @@
+import importlib
+import os
 import random
 
 import pytest
@@ -131,6 +133,17 @@ def test_ancestors_with_cycles_and_several_parents(spark, seed):
     assert rows(found) == ancestors_by_hand(edges)
 
 
+def test_each_turn_writes_only_new_ancestors(spark, tmp_path, monkeypatch):
+    paths = iter(f"{tmp_path}/{n}" for n in range(99))
+    module = importlib.import_module("lakemart.operators.ancestors")
+    monkeypatch.setattr(module, "new_table_path", lambda spark, name: next(paths))
+    line = spark.createDataFrame([(n, n - 1 if n > 1 else None) for n in range(1, 21)], "id int, parent int")
+    found = op.ancestors(line, "id", "parent")
+    assert rows(found) == sorted(((n, m, n - m) for n in range(1, 21) for m in range(1, n)), key=repr)
+    written = [spark.read.parquet(f.path).count() for f in os.scandir(tmp_path)]
+    assert sum(written) == found.count()
+
+
 def test_ancestors_are_the_path_where_both_are_given(spark):
     units = spark.createDataFrame([(1, None), (5, 1), (9, 5), (7, 1)], "unit int, parent int")
     paths = spark.createDataFrame([(9, "/1/5/9/"), (7, "/1/7/"), (1, "/1/")], "dept int, path string")
