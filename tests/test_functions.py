@@ -18,6 +18,16 @@ def test_surrogate_key_is_md5_of_parts(spark):
     assert key == hashlib.md5("7\x1ferp".encode()).hexdigest()
 
 
+def test_packed_keys_come_back_and_stay_different(spark):
+    digest = hashlib.md5(b"7").hexdigest()
+    keys = [digest, digest.upper(), digest + "\n", "\0" * 16, "x" * 16, "", "é7", "0" * 32, bytes(17).decode(), None]
+    df = spark.createDataFrame([(k,) for k in keys], "k string").select("k", fn.packed("k").alias("p"))
+    found = df.select("k", "p", fn.unpacked("p").alias("again")).collect()
+    assert [r["again"] for r in found] == [r["k"] for r in found] == keys
+    assert len({bytes(r["p"]) for r in found if r["p"] is not None}) == len(keys) - 1
+    assert len(found[0]["p"]) == 16
+
+
 def test_surrogate_key_keeps_nulls_and_boundaries_apart(spark):
     null = F.lit(None).cast("string")
     keys = {

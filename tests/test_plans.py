@@ -5,7 +5,9 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from lakemart import catalog
+from lakemart import catalog, standins
+from lakemart.plans import calendar as cal
+from lakemart.plans import facts, metrics
 
 NAMES = sorted(catalog.queries())
 
@@ -38,6 +40,29 @@ def test_history_shuffles_rows_once(spark, small):
     assert {node for node in below if not re.search("Aggregate|Window", node)} == {"FileScan"}, text
 
 
+@pytest.mark.parametrize("build, column", [("member_months", "l_partkey"), ("activity", "l_suppkey")])
+def test_lines_are_shuffled_once_for_days_months_and_keys(spark, small, build, column):
+    """By the digest of their key; what follows groups and joins where the lines lie."""
+    text = plan(getattr(standins, build)(spark, small))
+    shuffles = re.findall(r"Exchange hashpartitioning\([^\n]*", text)
+    lines = [s for s in shuffles if column in s and "REPARTITION" in s]
+    again = [s for s in shuffles if s not in lines and re.search("l_partkey|l_suppkey|_key", s) and "md5" not in s]
+    assert len(lines) == 1 and not [s for s in again if "day" in s or "month" in s], shuffles
+
+
+def test_months_are_gathered_before_keys_are_made(spark, small):
+    for cost in (True, False):
+        if cost:
+            df = facts.fct_cost_monthly(*standins.cost_inputs(spark, small), by_month=True)
+        else:
+            starts = cal.month_starts(standins.calendar(spark, small))
+            team = metrics.teambase_member_revenue(standins.team_members(spark, small))
+            df = facts.fct_revenue_monthly(standins.dim_project(spark, small), starts, team, by_month=True)
+        text = plan(df)
+        assert "REBALANCE" in text and "_monthly_key" in text[: text.index("REBALANCE")]
+        assert "_monthly_key" not in text[text.rindex("REBALANCE") :]
+
+
 def test_merge_pushes_each_sources_watermark_into_its_scan(spark, small):
     text = plan(entry.queries()["merge_upsert"](spark, small))
     assert len(re.findall(r"PushedFilters: \[[^\]]*GreaterThan\(ts,", text)) >= 5
