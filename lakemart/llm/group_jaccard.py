@@ -11,15 +11,18 @@ Tokens are 64-bit hashes of word shingles; equal token sets form one class, name
    are opened. First each group is paired with the smallest group of each of its tokens, and with itself. A task
    opens a pair, bounds the overlap of each set with the union of the other side's tokens, and compares those that
    can still reach the threshold. Links make components.
-5. What is left are groups that share a token and are not whole in one component. Each is paired once more with the smallest
-   group of each such token, now whatever the bound says; then all pairs of groups of different components that share a
-   token are bounded and opened. Groups of copies thus cost pairs in proportion to their size, and no link between
-   components is missed.
+5. What is left is compared class by class, with two exact bounds. A leading token at place i can be the first that a set of
+   size n shares with another only if the n - i tokens from there on suffice for the threshold, which bounds the other's
+   size (``reaches``); the matrix keeps it for each entry. The number of leading tokens that two sets share is counted
+   in full. First each class is paired with one class per token, that with the fewest tokens before it; then all pairs of
+   different components that share a token within reach. Members of a family that differ by tokens of their own do
+   not reach each other, so large families make few pairs, and no link between components is missed.
 
 Groups are cut into blocks of about ``BLOCK_TOKENS`` tokens. A task holds one block, the head, and a share of the blocks that
-it meets, of about as many tokens. Up to ``BROADCAST_CLASSES`` classes to open
-are sent to the texts, more are joined by a shuffle. Between the steps narrow tables are
-written to the shared folder. The driver gets the sketch's ranks, 2 MB at any size of the corpus, and counts.
+it meets, of about as many tokens. Who meets whom is settled with narrow tables, written to the shared folder between the
+steps; then each set is made from its text and shuffled once, to the tasks that need it. Up to ``BROADCAST_CLASSES`` such
+rows are sent to the texts, more are joined by a shuffle. The driver gets the sketch's ranks, 2 MB at any size of the
+corpus, and counts.
 
 Null and empty texts have an empty set, no links and their own id as component. Rows that repeat a text are one class;
 rows that repeat an id keep their own sets, and the id stands for all. A document without an id links like any other,
@@ -29,6 +32,8 @@ but a null id is never a component's name, unless no member has an id.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +48,7 @@ from lakemart.session import new_table_path
 WORDS = 3
 PERCENT = 90
 BLOCK_TOKENS = 1 << 16
-BROADCAST_CLASSES = 200_000  # rows of four numbers
+BROADCAST_CLASSES = 200_000  # rows of seven numbers
 SKETCH, SEGMENT = 1 << 21, 1 << 16
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)  # odd numbers that spread bits
 
@@ -84,6 +89,12 @@ def leading(tokens: np.ndarray, ranks: np.ndarray, percent: int) -> np.ndarray:
     return tokens[order[:count]]
 
 
+def reaches(n: int, count: int, percent: int) -> np.ndarray:
+    """For each of the ``count`` leading tokens of a set of size n, the largest set that may link if it is the first token
+    that both hold: only the n - place tokens from there on can be common."""
+    return (n - np.arange(count)) * (100 + percent) // percent - n
+
+
 def links_between(
     keys: list[int], sets: list[np.ndarray], sides: list[int], known: list[int], percent: int
 ) -> list[tuple[int, int]]:
@@ -166,24 +177,26 @@ def link_components(
     ranks = spark.sparkContext.broadcast(_ranks(described.where("segment is not null")))
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, int]] = []
+        held: list[tuple[np.ndarray, int, int]] = []
         size = 0
         for batch in batches:
             for text in batch.column(1).to_pylist():
                 tokens = token_set(text, words)
                 if len(tokens):
-                    held.append((leading(tokens, ranks.value, percent), group_key(tokens)))
+                    held.append((leading(tokens, ranks.value, percent), set_key(tokens), len(tokens)))
                     size += len(held[-1][0])
                 if size > 500_000:
-                    yield _entries(held)
+                    yield _entries(held, percent)
                     held, size = [], 0
         if held:
-            yield _entries(held)
+            yield _entries(held, percent)
 
-    # one shuffle serves the groups' smallest per token and the join with it
-    entries = texts.select("id", "text").mapInArrow(lead, "token long, grp long").repartition("token")
-    spread = entries.groupBy("token").agg(F.min("grp").alias("head"), F.max("grp").alias("last")).where("head <> last")
-    matrix = _written(entries.join(spread.select("token", "head"), "token").distinct(), "matrix")
+    # one shuffle serves the tokens that more than one class holds and the join with them, as both read all columns
+    entries = texts.select("id", "text").mapInArrow(lead, "token long, key long, size int, reach int").repartition("token")
+    bounds = [F.min("key").alias("x"), F.max("key").alias("y"), F.min("size").alias("size"), F.min("reach").alias("reach")]
+    spread = entries.groupBy("token").agg(*bounds).where("x <> y and size > 0 and reach >= 0").select("token")
+    matrix = entries.join(spread, "token").groupBy("token", "key")
+    matrix = _written(matrix.agg(F.min("size").alias("size"), F.max("reach").alias("reach")), "matrix")
 
     classes = sets.where("key is not null").groupBy("key", "grp", "n").agg(F.min("id").alias("id"), F.min("at").alias("at"))
     classes = _written(classes, "classes")
@@ -196,7 +209,11 @@ def link_components(
     groups = _written(groups, "groups")
     own = groups.where("members > 1").select(F.col("grp").alias("a"), F.col("grp").alias("b"), "blocks")
     a, b = (groups.select(*[F.col(c).alias(f"{side}_{c}") for c in groups.columns]) for side in "ab")
-    star = matrix.where("head <> grp").groupBy(F.col("head").alias("a_grp"), F.col("grp").alias("b_grp"))
+    held_by = matrix.select("token", "key").join(classes.select("key", "grp"), "key").select("token", "grp").distinct()
+    held_by = _written(held_by, "held_by")
+    heads = held_by.groupBy("token").agg(F.min("grp").alias("head"), F.max("grp").alias("last")).where("head <> last")
+    star = held_by.join(heads.select("token", "head"), "token").where("head <> grp")
+    star = star.groupBy(F.col("head").alias("a_grp"), F.col("grp").alias("b_grp"))
     star = star.agg(F.count("*").alias("common")).join(a, "a_grp").join(b, "b_grp").where(_may_link(percent))
     star = star.select(F.col("a_grp").alias("a"), F.col("b_grp").alias("b"), F.col("b_blocks").alias("blocks"))
     each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("bi")
@@ -204,47 +221,43 @@ def link_components(
     first = first.unionByName(own.where("blocks > 1").select("a", F.lit(0).alias("ai"), "b", each).where("bi > 0"))
     first = _written(first.unionByName(star.select("a", F.lit(0).alias("ai"), "b", each)), "pairs")
 
+    block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block")
+    by_block = classes.join(groups.select("grp", "blocks"), "grp").select("key", "grp", "n", "at", block)
+    by_class = classes.select("key", F.col("key").alias("grp"), "n", "at", F.lit(0).alias("block"))
+
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = set()  # rows that repeat an id and a text have the same set
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
                 found = [token_set(text, words) for text in some.column(0).to_pylist()]
                 content = pa.array([tokens.tobytes() for tokens in found], pa.binary())
-                sizes = pa.array([len(tokens) for tokens in found], pa.int64())
-                filled = pa.RecordBatch.from_arrays([*some.columns[1:], sizes, content], ["key", "grp", "block", "size", "tokens"])
-                same = [set_key(tokens) == key for tokens, key in zip(found, some.column(1).to_pylist(), strict=True)]
-                yield filled.filter(pa.array(same, pa.bool_()))
-
-    def fill_in(opened: DataFrame) -> DataFrame:
-        """The sets of groups that are opened, each computed from one document of its class."""
-        block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block")
-        chosen = classes.join(groups.select("grp", "blocks"), "grp").join(opened.distinct(), "grp", "left_semi")
-        chosen = _written(chosen.select("at", "key", "grp", block), "chosen")
-        if chosen.count() <= BROADCAST_CLASSES:  # else the texts are shuffled to meet them
-            chosen = F.broadcast(chosen)
-        filled = texts.join(chosen, "at").select("text", "key", "grp", "block")
-        return _written(filled.mapInArrow(fill, "key long, grp long, block int, size long, tokens binary"), "members")
-
-    members = fill_in(first.select(F.col("a").alias("grp")).union(first.select("b")))
-
-    def unfilled(pairs: DataFrame) -> DataFrame:
-        opened = pairs.select(F.col("a").alias("grp")).union(pairs.select("b"))
-        return opened.join(members.select("grp").distinct(), "grp", "left_anti")
+                filled = pa.RecordBatch.from_arrays([*some.columns[1:], content], [*some.schema.names[1:], "tokens"])
+                new = []
+                for tokens, *place, key in zip(found, *(some.column(n).to_pylist() for n in range(1, 6)), strict=True):
+                    place = (*place, key)
+                    new.append(place not in sent and set_key(tokens) == key)
+                    if new[-1]:
+                        sent.add(place)
+                yield filled.filter(pa.array(new, pa.bool_()))
 
     def open_pair(table: pa.Table) -> pa.Table:
         keys, sides, known = (table.column(c).to_pylist() for c in ("key", "side", "root"))
-        content = [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()]
+        once = sorted({place: n for n, place in enumerate(zip(keys, sides, strict=True))}.values())
+        keys, sides, known = ([x[n] for n in once] for x in (keys, sides, known))
+        content = [np.frombuffer(table.column("tokens")[n].as_buffer(), np.uint64) for n in once]
         found = links_between(keys, content, sides, known, percent)
         return pa.table({"a": [a for a, _ in found], "b": [b for _, b in found]}, LINKS)
 
-    def compare(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-        """Links of the opened pairs of blocks.
+    def compare(pairs: DataFrame, roots: DataFrame, blocks: DataFrame) -> DataFrame:
+        """Links of the opened pairs of blocks, or of classes that are a block each.
 
         The larger block of a pair is its head. A head's partners are dealt into shares of about ``block_tokens`` tokens,
         and the head goes once to each share, not once to each partner.
         """
-        sizes = members.groupBy("grp", "block").agg(F.sum("size").alias("size"))
-        sizes = _written(sizes, "sizes")
+        opened = pairs.select(F.col("a").alias("grp")).union(pairs.select("b")).distinct()
+        placed = _written(blocks.join(opened, "grp", "left_semi").join(roots, "key"), "placed")
+        sizes = _written(placed.groupBy("grp", "block").agg(F.sum("n").alias("size")), "sizes")
         weighed = pairs
         for side in "ab":
             of_side = sizes.select(
@@ -270,14 +283,13 @@ def link_components(
         heads = dealt.select(*task, F.lit(0).alias("side"), F.col("head").alias("grp"), F.col("hi").alias("block")).distinct()
         alone = weighed.where(itself).select("head", "hi", F.lit(-1).cast("long").alias("share"), F.lit(0).alias("side"), "grp", "block")
         sides = heads.unionByName(alone).unionByName(dealt.select(*task, F.lit(1).alias("side"), "grp", "block"))
-        # who meets whom is settled with narrow rows; then the sets are shuffled to it once and dealt to the tasks once
-        placed = members.select("key", "grp", "block").distinct().join(roots, "key")
-        meeting = _written(sides.join(placed, ["grp", "block"]).select(*task, "side", "key", "root"), "meeting")
-        opened = _written(meeting.select("key").distinct(), "opened")
-        few = opened.count() <= BROADCAST_CLASSES
-        content = members.select("key", "tokens").join(F.broadcast(opened) if few else opened, "key", "left_semi")
-        # rows that repeat an id and a text have filled in the same set
-        return meeting.join(content.dropDuplicates(["key"]), "key").groupBy(*task).applyInArrow(open_pair, "a long, b long")
+        # who meets whom is settled with narrow rows; the sets are made where their texts lie and shuffled once, to the tasks
+        meeting = sides.join(placed, ["grp", "block"]).select("at", *task, "side", "key", "root")
+        meeting = _written(meeting, "meeting")
+        few = meeting.count() <= BROADCAST_CLASSES  # else the texts are shuffled to meet them
+        content = texts.join(F.broadcast(meeting) if few else meeting, "at").select("text", *task, "side", "key", "root")
+        place = "head long, hi int, share long, side int, key long, root long"
+        return content.mapInArrow(fill, f"{place}, tokens binary").groupBy(*task).applyInArrow(open_pair, "a long, b long")
 
     def follow(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
         """Components of new links and of the ones found before."""
@@ -289,51 +301,39 @@ def link_components(
         joined = classes.join(found, classes["key"] == found["node"], "left")
         return joined.select("key", "id", "grp", F.coalesce("root", "key").alias("root"))
 
-    def apart(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Groups with their components, and the entries of tokens that groups of different components hold."""
-        whole = named(found).groupBy("grp").agg(F.min("root").alias("c0"), F.max("root").alias("c1"))
-        whole = _written(whole.join(groups, "grp").drop("members"), "whole")
-        left = matrix.drop("head").join(whole, "grp")
-        mixed = left.groupBy("token").agg(F.min("c0").alias("x"), F.max("c1").alias("y"), F.min("grp").alias("head"))
-        return whole, _written(left.join(mixed.where("x <> y").select("token", "head"), "token"), "left")
-
-    different = F.least("a_c0", "b_c0") < F.greatest("a_c1", "b_c1")
-    found = follow(compare(first, classes.select("key", F.col("key").alias("root"))))
-
-    # once more with the smallest group of each token that is left, now whatever their number of common entries
-    whole, left = apart(found)
-    a, b = (whole.select(*[F.col(c).alias(f"{side}_{c}") for c in whole.columns]) for side in "ab")
-    again = left.where("head <> grp").select(F.col("head").alias("a_grp"), F.col("grp").alias("b_grp")).distinct()
-    again = again.join(a, "a_grp").join(b, "b_grp").where(different & _sizes(percent))
-    again = again.select(
-        F.col("a_grp").alias("a"),
-        F.lit(0).alias("ai"),
-        F.col("b_grp").alias("b"),
-        F.explode(F.sequence(F.lit(0), F.col("b_blocks") - 1)).alias("bi"),
-    )
-    done = ["a", "ai", "b", "bi"]
-    again = _written(again.join(first, done, "left_anti"), "pairs")
-    members = members.unionByName(fill_in(unfilled(again)))
-    found = follow(compare(again, named(found).select("key", "root")), found)
-
-    # then all pairs of groups that share a token and are not both whole in one component
-    whole, left = apart(found)
-    left = left.drop("head")
-    a, b = (left.select(*[F.col(c).alias(f"{side}_{c}") for c in left.columns]) for side in "ab")
-    rest = a.join(b, (F.col("a_token") == F.col("b_token")) & (F.col("a_grp") < F.col("b_grp")) & different & _sizes(percent))
-    rest = rest.groupBy(*[f"{side}_{c}" for side in "ab" for c in ("grp", "low", "high", "blocks")])
-    rest = rest.agg(F.count("*").alias("common")).where(_may_link(percent))
-    rest = rest.select(
-        F.col("a_grp").alias("a"), F.col("b_grp").alias("b"), F.col("a_blocks").alias("an"), F.col("b_blocks").alias("bn")
-    )
-    split = whole.where("c0 < c1 and blocks > 2")
-    split = split.select(F.col("grp").alias("a"), F.col("grp").alias("b"), F.col("blocks").alias("an"), F.col("blocks").alias("bn"))
-    rest = rest.unionByName(split).withColumn("ai", F.explode(F.sequence(F.lit(0), F.col("an") - 1)))
-    rest = rest.withColumn("bi", F.explode(F.sequence(F.lit(0), F.col("bn") - 1))).where("a < b or ai < bi")
-    rest = rest.select(*done).join(first.unionByName(again), done, "left_anti")
+    def apart(found: DataFrame) -> DataFrame:
+        """The entries, with their components, of tokens that classes of different components hold."""
+        left = matrix.join(named(found).select("key", "root"), "key")
+        head = F.max_by("key", F.struct(F.col("reach") - F.col("size"), "key")).alias("head")
+        mixed = left.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), head)
+        return _written(left.join(mixed.where("x <> y").select("token", "head"), "token"), "left")
+
+    def candidates(a: DataFrame, b: DataFrame, left: DataFrame, *more: Column) -> DataFrame:
+        """Pairs of classes of different components, one of them in each table, that share enough tokens to link."""
+        a, b = (t.select(*[F.col(c).alias(f"{side}_{c}") for c in t.columns]) for side, t in (("a", a), ("b", b)))
+        reach = (F.col("a_size") <= F.col("b_reach")) & (F.col("b_size") <= F.col("a_reach"))
+        apart = (F.col("a_token") == F.col("b_token")) & (F.col("a_root") != F.col("b_root"))
+        sizes = [F.col(f"{side}_size").cast("long").alias(f"{side}_{c}") for side in "ab" for c in ("low", "high")]
+        pairs = a.join(b, apart & reach & _sizes_of("size", "size", percent) & reduce(and_, more, F.lit(True)))
+        pairs = _written(pairs.select("a_key", "b_key", *sizes).distinct(), "candidates")
+        of_b = left.select(F.col("key").alias("b_key"), "token")
+        common = pairs.join(of_b, "b_key").join(left.select(F.col("key").alias("a_key"), "token"), ["a_key", "token"])
+        common = common.groupBy(*pairs.columns).agg(F.count("*").alias("common")).where(_may_link(percent))
+        zero = F.lit(0)
+        return common.select(F.col("a_key").alias("a"), zero.alias("ai"), F.col("b_key").alias("b"), zero.alias("bi"))
+
+    found = follow(compare(first, classes.select("key", F.col("key").alias("root")), by_block))
+
+    # now class by class, first with the class of each token that has the fewest tokens before it
+    left = apart(found)
+    again = _written(candidates(left.where("key = head"), left.where("key <> head"), left), "pairs")
+    found = follow(compare(again, named(found).select("key", "root"), by_class), found)
+
+    # then all pairs of classes that share a token and are not in one component
+    left = apart(found)
+    rest = candidates(left, left, left, F.col("a_key") < F.col("b_key")).join(again, ["a", "ai", "b", "bi"], "left_anti")
     rest = _written(rest, "pairs")
-    members = members.unionByName(fill_in(unfilled(rest)))
-    found = follow(compare(rest, named(found).select("key", "root")), found)
+    found = follow(compare(rest, named(found).select("key", "root"), by_class), found)
 
     keyed = named(found)
     smallest = keyed.groupBy("root").agg(F.min("id").alias("component_id"))
@@ -343,10 +343,14 @@ def link_components(
     return joined.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component)
 
 
+def _sizes_of(high: str, low: str, percent: int) -> Column:
+    highs = [F.col(f"{side}_{high}").cast("long") * 100 for side in "ab"]
+    return (highs[0] >= F.col(f"b_{low}") * percent) & (highs[1] >= F.col(f"a_{low}") * percent)
+
+
 def _sizes(percent: int) -> Column:
     """Whether two groups have members of sizes that may link."""
-    high = [F.col(f"{side}_high") * 100 for side in "ab"]
-    return (high[0] >= F.col("b_low") * percent) & (high[1] >= F.col("a_low") * percent)
+    return _sizes_of("high", "low", percent)
 
 
 def _may_link(percent: int) -> Column:
@@ -381,18 +385,21 @@ DESCRIBED = pa.schema(
         ("counts", pa.binary()),
     ]
 )
-ENTRIES = pa.schema([("token", pa.int64()), ("grp", pa.int64())])
+ENTRIES = pa.schema([("token", pa.int64()), ("key", pa.int64()), ("size", pa.int32()), ("reach", pa.int32())])
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _entries(held: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
-    """Different (token, group) entries, so that copies in one task add nothing to the shuffle."""
-    tokens = np.concatenate([tokens for tokens, _ in held]).view(np.int64)
-    groups = np.repeat(np.array([group for _, group in held], np.int64), [len(tokens) for tokens, _ in held])
-    order = np.lexsort((groups, tokens))
-    tokens, groups = tokens[order], groups[order]
-    new = np.append(True, (tokens[1:] != tokens[:-1]) | (groups[1:] != groups[:-1]))
-    return pa.RecordBatch.from_arrays([pa.array(tokens[new]), pa.array(groups[new])], schema=ENTRIES)
+def _entries(held: list[tuple[np.ndarray, int, int]], percent: int) -> pa.RecordBatch:
+    """Different (token, class) entries, so that copies in one task add nothing to the shuffle."""
+    tokens = np.concatenate([tokens for tokens, _, _ in held]).view(np.int64)
+    counts = [len(tokens) for tokens, _, _ in held]
+    keys = np.repeat(np.array([key for _, key, _ in held], np.int64), counts)
+    sizes = np.repeat(np.array([n for _, _, n in held], np.int32), counts)
+    reach = np.concatenate([reaches(n, len(tokens), percent) for tokens, _, n in held]).astype(np.int32)
+    order = np.lexsort((keys, tokens))
+    tokens, keys = tokens[order], keys[order]
+    new = np.append(True, (tokens[1:] != tokens[:-1]) | (keys[1:] != keys[:-1]))
+    return pa.RecordBatch.from_arrays([pa.array(x[new]) for x in (tokens, keys, sizes[order], reach[order])], schema=ENTRIES)
 
 
 def _ranks(segments: DataFrame) -> np.ndarray:

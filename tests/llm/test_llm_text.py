@@ -466,6 +466,56 @@ def test_components_of_many_near_copies(spark, monkeypatch, block_tokens, broadc
     assert bag(found, "doc_id", "n_shingles", "component_id") == expected_components(texts_of(df))
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_links_lie_within_reach_of_their_first_common_token(percent):
+    draw = random.Random(percent)
+    ranks = np.array([draw.randint(0, 3) for _ in range(group_jaccard.SKETCH)], np.uint8)
+    links = 0
+    for _ in range(2000):
+        base = [draw.getrandbits(64) for _ in range(draw.randint(1, 60))]
+        pair = []
+        for _ in range(2):
+            kept = [x for x in base if draw.random() < 0.95] or base
+            pair.append(np.unique(np.array(kept + [draw.getrandbits(64) for _ in range(draw.randint(0, 2))], np.uint64)))
+        common = len(np.intersect1d(*pair))
+        if 100 * common < percent * (len(pair[0]) + len(pair[1]) - common):
+            continue
+        links += 1
+        lead = [list(group_jaccard.leading(tokens, ranks, percent)) for tokens in pair]
+        first = next(x for x in lead[0] if x in lead[1])
+        for (mine, tokens), other in zip(zip(lead, pair, strict=True), pair[::-1], strict=True):
+            reach = group_jaccard.reaches(len(tokens), len(mine), percent)
+            assert len(other) <= reach[mine.index(first)]
+    assert links > 200
+
+
+def test_far_relatives_make_few_pairs_and_sets_are_not_written(spark, monkeypatch):
+    """Documents of one family, each with so many words of its own that none links to another."""
+    draw = random.Random(5)
+    word = lambda: "w" + str(draw.randint(0, 10**9))
+    family = [word() for _ in range(200)]
+    texts = []
+    for _ in range(80):
+        copy = list(family)
+        for _ in range(9):
+            copy[draw.randint(0, 199)] = word()
+        texts.append(" ".join(copy))
+    texts += [" ".join([*family[:-1], word()]) for _ in range(3)]
+    rows = {}
+
+    def written(df, name, old=group_jaccard._written):
+        assert "tokens" not in df.columns
+        found = old(df, name)
+        rows.setdefault(name, []).append(found.count())
+        return found
+
+    monkeypatch.setattr(group_jaccard, "_written", written)
+    df = documents(spark, texts)
+    found = group_jaccard.link_components(df)
+    assert bag(found, "doc_id", "n_shingles", "component_id") == expected_components(texts_of(df))
+    assert len(rows["candidates"]) == 2 and max(rows["candidates"]) < 2 * len(texts)
+
+
 def test_a_document_without_an_id_carries_links(spark):
     words = [f"w{n}" for n in range(40)]
     near = [" ".join(words[: 40 - n]) for n in (4, 2, 0)]  # the first and the last do not link
