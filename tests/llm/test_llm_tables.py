@@ -71,6 +71,39 @@ def test_exact_beyond_doubles(spark):
     assert Counter(map(tuple, found.collect())) == expected_top(rows, 3, 4.0, 5)
 
 
+def test_blocks_of_queries_are_not_broadcast(spark):
+    """A copy of every block for every part of the trees grows with the square of the table."""
+    rows = [(n, [float(n % 7), float(n % 11)]) for n in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = kd_topk.top_k(df, F.col("id") % 5 == 0, k=3, scale=4.0, shard_rows=20)
+    plan = found._jdf.queryExecution().toString()
+    assert "Broadcast" not in plan and "NestedLoop" not in plan
+    found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("part_bytes", [200, 2000])
+def test_top_k_in_many_cells(spark, monkeypatch, part_bytes):
+    for name, value in {"PART_BYTES": part_bytes, "BLOCK_QUERIES": 7, "TURN_QUERIES": 5, "MOST_OFFERS": 3}.items():
+        monkeypatch.setattr(kd_topk, name, value)
+    draw = random.Random(5)
+    # one very common vector, components of two, four and eight bytes, ids below zero
+    rows = [(n - 100, [float(draw.randint(-9, 9)) for _ in range(5)]) for n in range(400)]
+    rows += [(n, [3.0, -3.0, 1.0, 0.0, 2.0]) for n in range(300, 420)]
+    rows += [(n, [float(draw.randint(-9, 9) * 5000) for _ in range(5)]) for n in range(420, 450)]
+    rows += [(n, [float(draw.choice([-1, 1]) * 2**29), 1.0, float(n), -2.0, 0.0]) for n in range(450, 470)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = kd_topk.top_k(df, F.col("id") % 5 == 0, k=3, scale=4.0, shard_rows=150)
+    assert Counter(map(tuple, found.collect())) == expected_top(rows, 3, 4.0, 5)
+
+
+def test_exact_beyond_floats(spark):
+    rows = [(n, [float(2**11 + n), float(2**11 - 3 * n), 1.0]) for n in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = kd_topk.top_k(df, F.col("id") % 5 == 0, k=3, scale=4.0, shard_rows=30)
+    assert Counter(map(tuple, found.collect())) == expected_top(rows, 3, 4.0, 5)
+
+
 def test_boxes_are_tight_and_hold_their_points():
     points = np.random.default_rng(4).integers(-100, 100, (1000, 6))
     order, low, high = kd_topk.build(points)
